@@ -1,0 +1,13 @@
+"""Small in-memory frames."""
+
+from __future__ import annotations
+
+from collections.abc import Iterable, Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+
+def rows(spark: SparkSession, data: Iterable[Sequence], schema: str | StructType) -> DataFrame:
+    """A frame from literal rows; the schema carries types, not only names."""
+    return spark.createDataFrame(list(data), schema)
