@@ -16,8 +16,6 @@ from pyspark.sql import functions as F
 BUCKETS = 2**32
 # One draw has 32 bits, so a Poisson tail below 2**-32 can never be reached.
 _TAIL = 1.0 / BUCKETS
-# exp(-rate) stays far from underflow when a large rate is drawn in pieces.
-_MAX_PIECE = 8.0
 
 
 def bucket(key: Column, seed: int | str, part: int = 0) -> Column:
@@ -37,52 +35,44 @@ def standard_normal(key: Column, seed: int | str) -> Column:
     return radius * F.cos(F.lit(2.0 * math.pi) * uniform(key, seed, 1))
 
 
-def _poisson_thresholds(rate: float) -> list[float]:
+def poisson_thresholds(rate: float) -> list[float]:
+    """Poisson distribution function at 0, 1, 2, … until the rest is below any possible draw."""
+    if not 0 <= rate <= 100:
+        raise ValueError("sampling rate must lie between 0 and 100")
     term = math.exp(-rate)
     total = term
     thresholds = [total]
     k = 0
-    while 1.0 - total >= _TAIL:
+    while 1.0 - total >= _TAIL and (k <= rate or term >= _TAIL * 1e-3):
         k += 1
         term *= rate / k
         total += term
         thresholds.append(total)
-        if term < _TAIL * 1e-3 and k > rate:
-            break
     return thresholds
 
 
-def poisson(key: Column, seed: int | str, rate: float | Column) -> Column:
-    """Number of times a row is drawn when sampling with replacement at ``rate``.
+def poisson_count(u: Column, rate: float | Column) -> Column:
+    """How often a row with uniform draw ``u`` is taken when sampling with replacement at ``rate``.
 
-    ``rate`` may be a Column for a share computed in the same plan; a share is
-    at most one, and anything above raises.
+    A rate given as a Column must not exceed one, see :func:`share`.
     """
     if isinstance(rate, Column):
-        u = uniform(key, seed)
         first = F.exp(-rate)
-        count = (u >= first).cast("int")
         partial = F.lit(1.0)
-        # For a rate of at most one, twelve terms leave a tail below 2**-32.
+        thresholds = [first]
+        # For a rate of at most one, twelve more terms leave a tail below 2**-32.
         for k in range(1, 13):
             partial = partial + F.pow(rate, F.lit(float(k))) / F.lit(float(math.factorial(k)))
-            count = count + (u >= first * partial).cast("int")
-        return F.when(rate <= 1, count).otherwise(
-            F.raise_error(F.lit("a sampling rate taken from the plan must not exceed 1")).cast("int")
-        )
-    if rate < 0:
-        raise ValueError("sampling rate must not be negative")
-    # Poisson(a + b) = Poisson(a) + Poisson(b) for independent draws.
-    pieces = max(1, math.ceil(rate / _MAX_PIECE))
-    draws = []
-    for i in range(pieces):
-        u = uniform(key, seed if i == 0 else f"{seed}.{i}")
-        for threshold in _poisson_thresholds(rate / pieces):
-            draws.append((u >= F.lit(threshold)).cast("int"))
-    total = draws[0]
-    for draw in draws[1:]:
-        total = total + draw
-    return total
+            thresholds.append(first * partial)
+    else:
+        thresholds = [F.lit(t) for t in poisson_thresholds(rate)]
+    return sum(((u >= t).cast("int") for t in thresholds[1:]), (u >= thresholds[0]).cast("int"))
+
+
+def share(rate: Column) -> Column:
+    """A rate computed in the plan, checked to be at most one."""
+    problem = F.raise_error(F.lit("a sampling rate taken from the plan must not exceed 1")).cast("double")
+    return F.when(rate <= 1, rate).otherwise(problem)
 
 
 def random_letters(key: Column, seed: int | str, length: int) -> Column:

@@ -17,16 +17,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deedlens.functions.hashing import standard_normal
-from deedlens.operators.features import impute_mean, scaling, standardise, unstandardise
+from deedlens.functions.scalars import finite
+from deedlens.operators.features import impute_mean, scaling
 
 
 @dataclass(frozen=True)
 class LatentModel:
-    """Decoder of standardised columns: one weight per column and latent dimension."""
+    """Decoder: per column its mean, its deviation and one weight per latent dimension."""
 
     columns: tuple[str, ...]
+    means: np.ndarray
+    deviations: np.ndarray
     weights: np.ndarray
-    stats: DataFrame
 
 
 def one_hot_columns(df: DataFrame, column: str, levels: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -40,21 +42,29 @@ def one_hot_columns(df: DataFrame, column: str, levels: Sequence[str]) -> tuple[
 
 
 def fit_latent(df: DataFrame, columns: Sequence[str], dimensions: int = 2) -> LatentModel:
-    """Impute, standardise and fit. ``columns`` are numeric."""
+    """Impute by the mean, standardise and fit. ``columns`` are numeric.
+
+    The driver receives two figures per column and a square matrix over the columns.
+    """
     names = tuple(columns)
     filled = impute_mean(df, names).select(*[F.col(c).cast("double").alias(c) for c in names])
-    stats = scaling(filled, names)
-    scaled = standardise(filled, names, stats)
-    vectors = VectorAssembler(inputCols=list(names), outputCol="x").transform(scaled)
+    stats = scaling(filled, names).first().asDict()
+    means = np.array([stats[f"{c}_mean"] for c in names])
+    deviations = np.array([stats[f"{c}_std"] or 0.0 for c in names])
+    scaled = [
+        ((F.coalesce(finite(F.col(c)), F.lit(float(mean))) - F.lit(float(mean))) / F.lit(float(std or 1.0))).alias(c)
+        for c, mean, std in zip(names, means, deviations)
+    ]
+    vectors = VectorAssembler(inputCols=list(names), outputCol="x").transform(df.select(*scaled)).select("x")
+    # The fit passes over its input more than once.
+    vectors.persist()
     model = PCA(k=len(names), inputCol="x", outputCol="z").fit(vectors)
-    axes = model.pc.toArray()
-    spread = stats.first().asDict()
-    variance = sum(1.0 for c in names if spread[f"{c}_std"])
-    eigenvalues = np.asarray(model.explainedVariance.toArray()) * variance
+    vectors.unpersist()
+    eigenvalues = model.explainedVariance.toArray() * np.count_nonzero(deviations)
     rest = eigenvalues[dimensions:]
     noise = float(rest.mean()) if rest.size else 0.0
     lengths = np.sqrt(np.clip(eigenvalues[:dimensions] - noise, 0.0, None))
-    return LatentModel(names, axes[:, :dimensions] * lengths, stats)
+    return LatentModel(names, means, deviations, model.pc.toArray()[:, :dimensions] * lengths)
 
 
 def draw_latent(df: DataFrame, key: str, model: LatentModel, seed: int = 42) -> DataFrame:
@@ -69,8 +79,8 @@ def draw_latent(df: DataFrame, key: str, model: LatentModel, seed: int = 42) ->
     )
     decoded = []
     for i, name in enumerate(model.columns):
-        value = F.lit(0.0)
+        value = F.lit(float(model.means[i]))
         for d in range(dimensions):
-            value = value + F.col(f"_z{d}") * F.lit(float(model.weights[i, d]))
+            value = value + F.col(f"_z{d}") * F.lit(float(model.weights[i, d] * model.deviations[i]))
         decoded.append(value.alias(name))
-    return unstandardise(drawn.select(key, *decoded), model.columns, model.stats)
+    return drawn.select(key, *decoded)

@@ -125,52 +125,75 @@ def value_range(df: DataFrame, column: str) -> DataFrame:
     return df.agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
 
 
-def _bin_bounds(df: DataFrame, value: Column) -> Column:
-    """Scalar struct (lo, hi). A single value is put in the middle of a range of one."""
-    lo, hi = F.min(value), F.max(value)
-    flat = lo == hi
-    return df.agg(
-        F.struct(
-            F.when(flat, lo - 0.5).otherwise(lo).alias("lo"),
-            F.when(flat, hi + 0.5).otherwise(hi).alias("hi"),
-        ).alias("bounds")
-    ).scalar()
-
-
-def histogram(df: DataFrame, column: str, bins: int = 20, by: str | None = None) -> DataFrame:
-    """Counts in ``bins`` equal bins from minimum to maximum, the last one closed.
+def histograms(df: DataFrame, columns: Sequence[str], bins: int = 20, by: str | None = None) -> DataFrame:
+    """Counts in ``bins`` equal bins from minimum to maximum of each column, the last bin closed.
 
-    Empty bins are listed with 0. With ``by`` (a tag with few values, such as
-    the name of a source) every tag is counted over the same bins.
+    Empty bins are listed with 0. A column with a single value has it in the
+    middle of a range of one. With ``by`` (a tag with few values, such as the
+    name of a source) every tag is counted over the same bins. Two passes: one
+    for all ranges, one for all counts.
     """
-    value = F.col(column).cast("double")
-    known = df.filter(value.isNotNull())
     tags = [F.col(by)] if by else []
-    lo, width = F.col("bounds.lo"), (F.col("bounds.hi") - F.col("bounds.lo")) / F.lit(float(bins))
-    binned = known.select(*tags, value.alias("x"), _bin_bounds(known, value).alias("bounds")).withColumn(
-        "bin", F.least(F.floor((F.col("x") - lo) / width), F.lit(bins - 1)).cast("int")
+    values = {c: F.col(f"`{c}`").cast("double") for c in columns}
+    bounds = []
+    for i, value in enumerate(values.values()):
+        lo, hi = F.min(value), F.max(value)
+        half = F.when(lo == hi, 0.5).otherwise(0.0)
+        bounds += [(lo - half).alias(f"lo_{i}"), (hi + half).alias(f"hi_{i}")]
+    bounded = df.select(
+        *tags,
+        *[value.alias(f"x_{i}") for i, value in enumerate(values.values())],
+        df.agg(F.struct(*bounds).alias("bounds")).scalar().alias("bounds"),
+    )
+    long = bounded.select(
+        *tags,
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(name).alias("column"),
+                        F.col(f"x_{i}").alias("x"),
+                        F.col(f"bounds.lo_{i}").alias("lo"),
+                        ((F.col(f"bounds.hi_{i}") - F.col(f"bounds.lo_{i}")) / F.lit(float(bins))).alias("width"),
+                    )
+                    for i, name in enumerate(columns)
+                ]
+            )
+        ),
     )
-    counted = binned.groupBy(*tags, "bounds").agg(
-        *[F.count_if(F.col("bin") == i).alias(f"bin_{i}") for i in range(bins)]
+    bin_of = F.least(F.floor((F.col("x") - F.col("lo")) / F.col("width")), F.lit(bins - 1))
+    counted = (
+        long.filter(F.col("x").isNotNull())
+        .withColumn("bin", bin_of.cast("int"))
+        .groupBy(*tags, "column", "lo", "width")
+        .agg(*[F.count_if(F.col("bin") == i).alias(f"bin_{i}") for i in range(bins)])
     )
     structs = [
         F.struct(
             F.lit(i).alias("bin"),
-            (lo + width * F.lit(float(i))).alias("bin_start"),
-            (lo + width * F.lit(float(i + 1))).alias("bin_end"),
+            (F.col("lo") + F.col("width") * F.lit(float(i))).alias("bin_start"),
+            (F.col("lo") + F.col("width") * F.lit(float(i + 1))).alias("bin_end"),
             F.col(f"bin_{i}").alias("n"),
         )
         for i in range(bins)
     ]
-    return counted.select(*tags, F.inline(F.array(*structs)))
+    return counted.select(*tags, "column", F.inline(F.array(*structs)))
 
 
-def histogram_overlay(original: DataFrame, synthetic: DataFrame, column: str, bins: int = 20) -> DataFrame:
-    """One histogram over two frames on shared bins, with a ``source`` column."""
-    both = original.select(F.lit("original").alias("source"), F.col(column).cast("double").alias("value")).unionByName(
-        synthetic.select(F.lit("synthetic").alias("source"), F.col(column).cast("double").alias("value"))
-    )
-    return histogram(both, "value", bins, by="source")
+def histogram(df: DataFrame, column: str, bins: int = 20, by: str | None = None) -> DataFrame:
+    """:func:`histograms` of one column."""
+    return histograms(df, [column], bins, by).drop("column")
+
+
+def histogram_overlay(
+    original: DataFrame, synthetic: DataFrame, columns: Sequence[str], bins: int = 20
+) -> DataFrame:
+    """Histograms over two frames on shared bins, with a ``source`` column."""
+    both = [
+        df.select(F.lit(name).alias("source"), *[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
+        for name, df in (("original", original), ("synthetic", synthetic))
+    ]
+    return histograms(both[0].unionByName(both[1]), columns, bins, by="source")
 
 
 def class_balance(df: DataFrame, label: str) -> DataFrame:

@@ -8,7 +8,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from deedlens.functions.hashing import poisson, uniform
+from deedlens.functions.hashing import poisson_count, share, uniform
+
+
+def _with_times(df: DataFrame, fraction: float | Column, seed: int, key: str) -> DataFrame:
+    """Add ``_times``, the number of draws of each row."""
+    # Draw and rate are columns of their own so that each is computed once per row.
+    drawn = df.withColumn("_u", uniform(F.col(key), seed))
+    if isinstance(fraction, Column):
+        drawn = drawn.withColumn("_rate", share(fraction))
+        times = poisson_count(F.col("_u"), F.col("_rate"))
+        return drawn.withColumn("_times", times).drop("_u", "_rate")
+    return drawn.withColumn("_times", poisson_count(F.col("_u"), fraction)).drop("_u")
 
 
 def bootstrap(df: DataFrame, fraction: float | Column, seed: int, key: str, copy: str = "copy") -> DataFrame:
@@ -17,13 +28,7 @@ def bootstrap(df: DataFrame, fraction: float | Column, seed: int, key: str, copy
     ``key`` identifies a row; ``copy`` numbers its repeats from one. No shuffle,
     and the draw does not depend on the partitioning.
     """
-    times = poisson(F.col(key), seed, fraction)
-    return (
-        df.withColumn("_times", times)
-        .filter(F.col("_times") > 0)
-        .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col("_times"))))
-        .drop("_times")
-    )
+    return augment(df, fraction, seed, key, copy).filter(F.col(copy) > 0)
 
 
 def augment(df: DataFrame, fraction: float | Column, seed: int, key: str, copy: str = "copy") -> DataFrame:
@@ -31,8 +36,9 @@ def augment(df: DataFrame, fraction: float | Column, seed: int, key: str, copy:
 
     One scan instead of a union of two.
     """
-    times = poisson(F.col(key), seed, fraction)
-    return df.withColumn(copy, F.explode(F.sequence(F.lit(0), times)))
+    # The sequence is never empty; the outer form spares a filter that would repeat the draw.
+    copies = F.explode_outer(F.sequence(F.lit(0), F.col("_times")))
+    return _with_times(df, fraction, seed, key).withColumn(copy, copies).drop("_times")
 
 
 def shuffle_rows(df: DataFrame, seed: int, *key: str) -> DataFrame:

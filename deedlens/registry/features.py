@@ -143,13 +143,7 @@ def q_latent_synthetic(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = price_index(spark, sf_dir).withColumn("key", F.concat_ws("|", "RegionName", "Datetaken"))
     model = latent.fit_latent(index, numbers)
     drawn = latent.draw_latent(index, "key", model)
-    compared = [
-        histogram_overlay(index, drawn, name).select(F.lit(name).alias("feature"), "*") for name in numbers
-    ]
-    report = compared[0]
-    for more in compared[1:]:
-        report = report.unionByName(more)
-    return report
+    return histogram_overlay(index, drawn, numbers)
 
 
 # A small lexicon of words that the texts hold.

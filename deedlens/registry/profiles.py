@@ -146,16 +146,16 @@ SELECT source, bin, {_EDGES}, COALESCE(n, 0) AS n FROM sources CROSS JOIN bins
 def q_histogram_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prices of all titles and of flagged titles over the same bins."""
     flagged = labelled(spark, sf_dir).filter(F.col("is_fraud") == 1)
-    return _rounded_bins(profile.histogram_overlay(titles(spark, sf_dir), flagged, "PricePaid"))
+    overlay = profile.histogram_overlay(titles(spark, sf_dir), flagged, ["PricePaid"])
+    return _rounded_bins(overlay.drop("column"))
 
 
 @query(
-    f"""WITH {INDEX_SQL} SELECT round(MIN("AveragePrice"), 4) AS lo, round(MAX("AveragePrice"), 4) AS hi FROM price_index"""
+    f"""WITH {INDEX_SQL} SELECT MIN("AveragePrice") AS lo, MAX("AveragePrice") AS hi FROM price_index"""
 )
 def q_value_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lowest and highest average price."""
-    extremes = profile.value_range(price_index(spark, sf_dir), "AveragePrice")
-    return extremes.select(F.round("lo", 4).alias("lo"), F.round("hi", 4).alias("hi"))
+    return profile.value_range(price_index(spark, sf_dir), "AveragePrice")
 
 
 @query(f"""WITH {LABELLED_SQL} SELECT COUNT(*) AS row_count, {len(_TITLE_COLUMNS)} AS columns FROM clean""")

@@ -203,16 +203,14 @@ _COMBINED_INDEX = ("Datetaken", "RegionName", "AreaCode", "SalesVolume", "Averag
 WITH {LABELLED_SQL}, {INDEX_SQL}
 SELECT DISTINCT COALESCE(lower(b."District"), lower(g."RegionName")) AS region_name,
   {", ".join(f'b."{c}"' if c not in ("is_fraud", "rule_id") else f"b.{c}" for c in _COMBINED_TITLE)},
-  {", ".join(f'round(g."{c}", 4) AS "gd_{c}"' if c.endswith("Price") else f'g."{c}" AS "gd_{c}"' for c in _COMBINED_INDEX)}
+  {", ".join(f'g."{c}" AS "gd_{c}"' for c in _COMBINED_INDEX)}
 FROM price_index g LEFT JOIN bad b ON lower(g."RegionName") = lower(b."District")
 WHERE upper(b."County") = 'ASIA' AND upper(g."RegionName") = 'NATION_7'
 """
 )
 def q_combine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagged titles of one region with every monthly index row of it."""
-    index = price_index(spark, sf_dir).select(
-        *[F.round(c, 4).alias(c) if c.endswith("Price") else F.col(c) for c in _COMBINED_INDEX]
-    )
+    index = price_index(spark, sf_dir).select(*_COMBINED_INDEX)
     return joins.combine(index, bad(spark, sf_dir).select(*_COMBINED_TITLE), county="Asia", region="Nation_7")
 
 
