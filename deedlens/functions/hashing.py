@@ -51,28 +51,22 @@ def poisson_thresholds(rate: float) -> list[float]:
     return thresholds
 
 
-def poisson_count(u: Column, rate: float | Column) -> Column:
-    """How often a row with uniform draw ``u`` is taken when sampling with replacement at ``rate``.
-
-    A rate given as a Column must not exceed one, see :func:`share`.
-    """
-    if isinstance(rate, Column):
-        first = F.exp(-rate)
-        partial = F.lit(1.0)
-        thresholds = [first]
-        # For a rate of at most one, twelve more terms leave a tail below 2**-32.
-        for k in range(1, 13):
-            partial = partial + F.pow(rate, F.lit(float(k))) / F.lit(float(math.factorial(k)))
-            thresholds.append(first * partial)
-    else:
-        thresholds = [F.lit(t) for t in poisson_thresholds(rate)]
-    return sum(((u >= t).cast("int") for t in thresholds[1:]), (u >= thresholds[0]).cast("int"))
+def poisson_thresholds_of(rate: Column) -> list[Column]:
+    """The same for a rate of at most one that is computed in the plan; above one it fails."""
+    problem = F.raise_error(F.lit("a sampling rate taken from the plan must not exceed 1")).cast("double")
+    first = F.when(rate <= 1, F.exp(-rate)).otherwise(problem)
+    partial = F.lit(1.0)
+    thresholds = [first]
+    # Twelve more terms leave a tail below 2**-32.
+    for k in range(1, 13):
+        partial = partial + F.pow(rate, F.lit(float(k))) / F.lit(float(math.factorial(k)))
+        thresholds.append(first * partial)
+    return thresholds
 
 
-def share(rate: Column) -> Column:
-    """A rate computed in the plan, checked to be at most one."""
-    problem = F.raise_error(F.lit("a sampling rate taken from the plan must not exceed 1")).cast("double")
-    return F.when(rate <= 1, rate).otherwise(problem)
+def poisson_count(u: Column, thresholds: list[Column]) -> Column:
+    """How often a row with uniform draw ``u`` is taken: the thresholds it reaches."""
+    return sum(((u >= t).cast("int") for t in thresholds[1:]), (u >= thresholds[0]).cast("int"))
 
 
 def random_letters(key: Column, seed: int | str, length: int) -> Column:

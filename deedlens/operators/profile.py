@@ -213,12 +213,6 @@ def class_balance(df: DataFrame, label: str) -> DataFrame:
     )
 
 
-def class_share(df: DataFrame, label: str, value: int = 1) -> Column:
-    """Share of one class among all rows, as a scalar usable in another plan."""
-    share = F.count_if(F.col(label) == value) / F.nullif(F.count(F.lit(1)), F.lit(0))
-    return df.agg(share.alias("share")).scalar()
-
-
 def population_stddev(df: DataFrame, by: str, column: str) -> DataFrame:
     """Population standard deviation per group, as a float."""
     return df.groupBy(by).agg(F.stddev_pop(column).cast("float").alias("stddev"))

@@ -4,34 +4,46 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from deedlens.functions.hashing import poisson_count, share, uniform
+from deedlens.functions.hashing import poisson_count, poisson_thresholds, poisson_thresholds_of, uniform
 
 
-def _with_times(df: DataFrame, fraction: float | Column, seed: int, key: str) -> DataFrame:
+def share_of(part: DataFrame, whole: DataFrame) -> DataFrame:
+    """Rows of ``part`` over rows of ``whole`` as a one-row frame with the column ``rate``."""
+    both = part.select(F.lit(1).alias("part"), F.lit(0).alias("whole")).unionByName(
+        whole.select(F.lit(0).alias("part"), F.lit(1).alias("whole"))
+    )
+    return both.agg((F.sum("part") / F.nullif(F.sum("whole"), F.lit(0))).alias("rate"))
+
+
+def _with_times(df: DataFrame, fraction: float | DataFrame, seed: int, key: str) -> DataFrame:
     """Add ``_times``, the number of draws of each row."""
-    # Draw and rate are columns of their own so that each is computed once per row.
+    # The draw is a column of its own so that it is computed once per row; the
+    # thresholds of a computed rate are worked out once, in its one-row frame.
     drawn = df.withColumn("_u", uniform(F.col(key), seed))
-    if isinstance(fraction, Column):
-        drawn = drawn.withColumn("_rate", share(fraction))
-        times = poisson_count(F.col("_u"), F.col("_rate"))
-        return drawn.withColumn("_times", times).drop("_u", "_rate")
-    return drawn.withColumn("_times", poisson_count(F.col("_u"), fraction)).drop("_u")
+    if isinstance(fraction, DataFrame):
+        limits = poisson_thresholds_of(F.col("rate"))
+        drawn = drawn.withColumn("_limits", fraction.select(F.array(*limits).alias("limits")).scalar())
+        thresholds = [F.col("_limits")[i] for i in range(len(limits))]
+    else:
+        thresholds = [F.lit(t) for t in poisson_thresholds(fraction)]
+    return drawn.withColumn("_times", poisson_count(F.col("_u"), thresholds)).drop("_u", "_limits")
 
 
-def bootstrap(df: DataFrame, fraction: float | Column, seed: int, key: str, copy: str = "copy") -> DataFrame:
+def bootstrap(df: DataFrame, fraction: float | DataFrame, seed: int, key: str, copy: str = "copy") -> DataFrame:
     """Sample with replacement at ``fraction``: each row comes out a Poisson number of times.
 
     ``key`` identifies a row; ``copy`` numbers its repeats from one. No shuffle,
-    and the draw does not depend on the partitioning.
+    and the draw does not depend on the partitioning. The fraction is a number,
+    or the frame of :func:`share_of`.
     """
     return augment(df, fraction, seed, key, copy).filter(F.col(copy) > 0)
 
 
-def augment(df: DataFrame, fraction: float | Column, seed: int, key: str, copy: str = "copy") -> DataFrame:
+def augment(df: DataFrame, fraction: float | DataFrame, seed: int, key: str, copy: str = "copy") -> DataFrame:
     """The rows themselves (``copy`` 0) together with a bootstrap of them (1 and up).
 
     One scan instead of a union of two.
@@ -41,10 +53,23 @@ def augment(df: DataFrame, fraction: float | Column, seed: int, key: str, copy:
     return _with_times(df, fraction, seed, key).withColumn(copy, copies).drop("_times")
 
 
-def shuffle_rows(df: DataFrame, seed: int, *key: str) -> DataFrame:
-    """Rows in a random order that a seed reproduces; ``key`` columns identify a row."""
-    parts = [F.col(k).cast("string") for k in key]
-    return df.orderBy(F.md5(F.concat_ws("|", *parts, F.lit(str(seed)))), *key)
+def shuffle_rows(df: DataFrame, seed: int, *key: str, partitions: int | None = None) -> DataFrame:
+    """Rows in a random order that a seed reproduces; ``key`` columns identify a row.
+
+    Rows are ordered by a digest. Digests are uniform, so equal ranges of them
+    are equal parts of the rows: each row goes straight to its range, without
+    the sampling pass that a sort over unknown values needs, and the order is
+    the same for any number of ``partitions``.
+    """
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    digest = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in key], F.lit(str(seed))))
+    part = F.shiftright(F.conv(F.substring("_digest", 1, 8), 16, 10).cast("bigint") * n, 32).cast("int")
+    return (
+        df.withColumn("_digest", digest)
+        .repartitionById(n, part)
+        .sortWithinPartitions("_digest", *key)
+        .drop("_digest")
+    )
 
 
 def split(df: DataFrame, weights: Mapping[str, float], seed: int, key: str, out: str = "part") -> DataFrame:

@@ -108,11 +108,7 @@ def ownership_flow(
         write_table(labelled, db, name)
         labelled = titles.sparkSession.table(f"{db}.{name}")
     flagged, _ = label.class_split(labelled)
-    if fraction is None:
-        rows = titles.agg(F.count(F.lit(1)).alias("n")).scalar()
-        rate = flagged.agg(F.count(F.lit(1)).alias("n")).scalar() / F.nullif(rows, F.lit(0))
-    else:
-        rate = fraction
+    rate = sampling.share_of(flagged, titles) if fraction is None else fraction
     augmented = sampling.augment(flagged, rate, seed, "TitleNumber")
     tagged = augmented.withColumn("is_synthetic", F.col("copy") > 0).drop("copy", "features")
     return OwnershipRun(

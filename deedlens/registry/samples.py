@@ -35,13 +35,9 @@ drawn AS (SELECT b.*, {_poisson_sql('b."TitleNumber"', _SEED, "rate")} AS times
 augmented AS (SELECT * EXCLUDE (times), CAST(unnest(generate_series(0, times)) AS INTEGER) AS copy FROM drawn)"""
 
 
-def _share(spark: SparkSession, sf_dir: str):
-    rows = titles(spark, sf_dir).agg(F.count(F.lit(1)).alias("n")).scalar()
-    return bad(spark, sf_dir).agg(F.count(F.lit(1)).alias("n")).scalar() / rows
-
-
 def augmented(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampling.augment(bad(spark, sf_dir), _share(spark, sf_dir), _SEED, "TitleNumber")
+    flagged = bad(spark, sf_dir)
+    return sampling.augment(flagged, sampling.share_of(flagged, titles(spark, sf_dir)), _SEED, "TitleNumber")
 
 
 @query(f"""WITH {_AUGMENTED_SQL} SELECT "TitleNumber", "PricePaid", copy FROM augmented""")

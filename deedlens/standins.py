@@ -36,11 +36,13 @@ def _null_every(n: int, value: Column) -> Column:
 
 def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One title per order."""
-    areas = table(spark, sf_dir, "nation").join(
-        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+    # Large tables first: the two small ones then join without moving rows.
+    sold = (
+        table(spark, sf_dir, "orders")
+        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     )
-    owners = table(spark, sf_dir, "customer").join(areas, F.col("c_nationkey") == F.col("n_nationkey"))
-    sold = table(spark, sf_dir, "orders").join(owners, F.col("o_custkey") == F.col("c_custkey"))
     k = F.col("o_orderkey")
     return sold.select(
         F.concat(F.lit("T"), k.cast("string")).alias("TitleNumber"),
@@ -127,11 +129,9 @@ def price_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, condition in kinds.items():
         parts += [F.sum(F.when(condition, pence)).alias(f"{name}_sum"), F.count_if(condition).alias(f"{name}_n")]
     by_supplier = lines.agg(*parts)
-    areas = table(spark, sf_dir, "supplier").join(
-        table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
-    )
     monthly = (
-        by_supplier.join(areas, F.col("l_suppkey") == F.col("s_suppkey"))
+        by_supplier.join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
         .groupBy("Datetaken", "n_name", "n_nationkey")
         .agg(*[F.sum(f"{name}_{part}").alias(f"{name}_{part}") for name in kinds for part in ("sum", "n")])
     )
