@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from deedlens.functions.scalars import finite
 from deedlens.operators.profile import null_profile
@@ -60,6 +61,17 @@ def drop_non_finite(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.filter(keep)
 
 
+def lacks_value(df: DataFrame, columns: Sequence[str]) -> Column:
+    """True where one of ``columns`` is NULL or not a number; never NULL itself."""
+    floating = {f.name for f in df.schema if isinstance(f.dataType, (FloatType, DoubleType))}
+    lacking = F.lit(False)
+    for name in columns:
+        lacking = lacking | F.col(name).isNull()
+        if name in floating:
+            lacking = lacking | F.isnan(name)
+    return lacking
+
+
 def complete_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows without a NULL in any of ``columns``."""
-    return df.na.drop(subset=list(columns))
+    """Rows with a value in all of ``columns``; the NULL tests reach the file scan."""
+    return df.filter(~lacks_value(df, columns))

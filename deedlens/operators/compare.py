@@ -14,8 +14,14 @@ def union_all(first: DataFrame, second: DataFrame) -> DataFrame:
 
 
 def except_rows(first: DataFrame, second: DataFrame, duplicates: bool = False) -> DataFrame:
-    """Rows of ``first`` not in ``second``; ``duplicates`` counts equal rows one by one."""
-    return first.exceptAll(second) if duplicates else first.subtract(second)
+    """Rows of ``first`` not in ``second``; ``duplicates`` counts equal rows one by one.
+
+    Either way equal rows are combined before the one shuffle.
+    """
+    if duplicates:
+        return first.exceptAll(second)
+    only_first = (F.col("n_first") > 0) & (F.col("n_second") == 0)
+    return row_differences(first, second).filter(only_first).select(*[F.col(f"`{c}`") for c in first.columns])
 
 
 def row_differences(first: DataFrame, second: DataFrame) -> DataFrame:

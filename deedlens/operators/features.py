@@ -11,9 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deedlens.functions.scalars import finite
-from deedlens.operators.clean import complete_rows
+from deedlens.operators.clean import complete_rows, lacks_value
 from deedlens.operators.joins import missing_from
 from deedlens.operators.ranking import global_position
+from deedlens.sources.scratch import stored
 
 
 def label_index(df: DataFrame, column: str, out: str) -> DataFrame:
@@ -34,7 +35,7 @@ def string_index(df: DataFrame, column: str, out: str, invalid: str = "error") -
     """
     if invalid not in ("skip", "keep", "error"):
         raise ValueError("invalid must be skip, keep or error")
-    index = label_index(df, column, out)
+    index = stored(label_index(df, column, out), "labels")
     joined = df.join(index, on=column, how="inner" if invalid == "skip" else "left")
     if invalid == "skip":
         found: Column = F.col(out)
@@ -116,8 +117,10 @@ def build_features(
     nobody reads afterwards are not built: completeness is all they decide.
     """
     usable = complete_rows(df, categories) if nulls == "skip" else df
-    kept = assemble(usable, numbers)
-    return Features(kept, missing_from(df, complete_rows(usable, numbers), key))
+    needed = [*(categories if nulls == "skip" else ()), *numbers]
+    # A complete row has its own key among the kept ones; only the others need the join.
+    lacking = df.filter(F.col(key).isNull() | lacks_value(df, needed))
+    return Features(assemble(usable, numbers), missing_from(lacking, complete_rows(df, needed), key))
 
 
 def level_count(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:

@@ -7,48 +7,28 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deedlens.functions.hashing import bucket
 from deedlens.functions.scalars import equals_ignore_case
-
-_SALT = "_salt"
-
+from deedlens.sources.scratch import stored
 
 def missing_from(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
     """Rows of ``df`` whose key does not occur in ``other``; a NULL key is kept.
 
-    The other side is reduced to its distinct keys first: its partial aggregate
-    collapses a frequent key before the shuffle, and the join reuses the
-    aggregate's partitioning.
+    The other side is reduced to its distinct keys first, which collapses a
+    frequent key before the shuffle. They are stored, so that the join has a
+    plain shuffle on either side and AQE can split a frequent key of ``df``.
     """
-    return df.join(other.select(key).distinct(), on=key, how="left_anti")
+    keys = stored(other.select(key).filter(F.col(key).isNotNull()).distinct(), "keys")
+    return df.join(keys, on=key, how="left_anti")
 
 
-def ci_join(
-    left: DataFrame,
-    right: DataFrame,
-    left_col: str,
-    right_col: str,
-    salts: int = 1,
-    salt_key: str | None = None,
-) -> DataFrame:
-    """Inner join on text that ignores case.
+def ci_join(left: DataFrame, right: DataFrame, left_col: str, right_col: str) -> DataFrame:
+    """Inner join of many rows on the left with a dimension on the right, ignoring case.
 
-    With ``salts`` above one, ``left`` rows of one key are spread over that many
-    tasks by ``salt_key`` (a column with many values) and ``right`` is repeated
-    once per salt: use it when few keys hold most of ``left`` and ``right`` has
-    few rows per key.
+    The dimension is stored first: below the broadcast threshold the left rows
+    stay where they are, above it AQE splits the left rows of a frequent key.
     """
     matches = F.lower(F.col(f"l.{left_col}")) == F.lower(F.col(f"r.{right_col}"))
-    if salts == 1:
-        return left.alias("l").join(right.alias("r"), matches)
-    if salt_key is None:
-        raise ValueError("salting needs a column to spread rows by")
-    salted_left = left.withColumn(_SALT, (bucket(F.col(salt_key), "salt") % salts).cast("int"))
-    salted_right = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    joined = salted_left.alias("l").join(
-        salted_right.alias("r"), matches & (F.col(f"l.{_SALT}") == F.col(f"r.{_SALT}"))
-    )
-    return joined.drop(F.col(f"l.{_SALT}"), F.col(f"r.{_SALT}"))
+    return left.alias("l").join(stored(right, "dimension").alias("r"), matches)
 
 
 def max_row_join(
@@ -63,8 +43,10 @@ def max_row_join(
     """Base rows that hold their group's maximum; ties give several rows.
 
     The join is on the group name and the value only. ``also_on`` names further
-    columns, for instance to keep equally named groups apart.
+    columns, for instance to keep equally named groups apart. The list of groups
+    is worked out once; while it is small, ``base`` is filtered by it in place.
     """
+    groups = stored(groups, "groups")
     # Join keys are renamed so that either side may use the same names.
     keys = {group: "_group", value: "_value", **{name: f"_also_{name}" for name in also_on}}
     wanted = base.select(
@@ -86,15 +68,13 @@ def combine(
     bad_region: str = "District",
     bad_county: str = "County",
     prefix: str = "gd_",
-    salts: int = 64,
-    salt_key: str = "TitleNumber",
 ) -> DataFrame:
     """Every distinct title of one region beside every distinct index row of that region.
 
     Columns of ``good`` carry ``prefix``. The result pairs both sides by
     definition; duplicates are removed before the join, so the pairs themselves
-    are never shuffled, and the single join key is salted: the index has one row
-    per month and region, which is cheap to repeat, while titles may be many.
+    are never shuffled. The index side has one row per month of the region, see
+    :func:`ci_join` for how the titles, all of one key, meet it.
     """
     picked_good = (
         good.filter(equals_ignore_case(F.col(good_region), region))
@@ -104,7 +84,7 @@ def combine(
     picked_bad = bad.filter(
         equals_ignore_case(F.col(bad_county), county) & equals_ignore_case(F.col(bad_region), region)
     ).distinct()
-    joined = ci_join(picked_bad, picked_good, bad_region, prefix + good_region, salts, salt_key)
+    joined = ci_join(picked_bad, picked_good, bad_region, prefix + good_region)
     return joined.select(
         F.coalesce(F.lower(F.col(bad_region)), F.lower(F.col(prefix + good_region))).alias("region_name"),
         *picked_bad.columns,

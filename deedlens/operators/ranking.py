@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from deedlens.sources.scratch import cut_lineage
+from deedlens.sources.scratch import stored
 
 # monotonically_increasing_id keeps the partition above and the row below this bit.
 _ROW_BITS = 33
@@ -21,7 +21,7 @@ _ROW_BITS = 33
 
 def _sorted_rows(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     numbered = df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id())
-    return cut_lineage(numbered).withColumn("_part", F.shiftright("_id", _ROW_BITS))
+    return stored(numbered, "sorted").withColumn("_part", F.shiftright("_id", _ROW_BITS))
 
 
 def _with_offsets(rows: DataFrame, amount: Column) -> DataFrame:

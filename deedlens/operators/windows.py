@@ -44,9 +44,9 @@ def dense_rank_top(df: DataFrame, column: str, k: int, out: str = "rank") -> Dat
 
     Ties may make that more than ``k`` rows. Only the ``k`` highest distinct
     values are numbered in one task; all rows then join that list, so a long tie
-    stays spread out. The list has at most ``k`` rows, hence the broadcast.
+    stays spread out. The list has at most ``k`` rows, hence the broadcast. The
+    frame is read twice: hand over a stored one if it is costly to compute.
     """
-    # An aggregate over struct values keeps NULL as the lowest value, as a rank would.
     values = df.select(column).distinct().orderBy(F.desc_nulls_last(column)).limit(k)
     ranked = values.select(
         F.col(column).alias("_value"),

@@ -12,6 +12,7 @@ from deedlens.operators import clean, features, joins, label, profile, sampling,
 from deedlens.operators.compare import quality_report
 from deedlens.operators.label import OwnershipRules
 from deedlens.sources.catalog import write_table
+from deedlens.sources.scratch import stored
 
 # Columns of the titles table that the flow works on.
 CATEGORIES = (
@@ -48,7 +49,8 @@ def leftover_titles(cleaned: DataFrame) -> DataFrame:
 
 def ownership_reports(labelled: DataFrame, ranks: int = 10) -> dict[str, DataFrame]:
     """Flagged titles by country, shares per district, and the dearest titles of the top districts."""
-    summary = windows.group_summary(labelled, ["District", "County"], "District", "PricePaid")
+    # Three reports read the summary: it is worked out once.
+    summary = stored(windows.group_summary(labelled, ["District", "County"], "District", "PricePaid"))
     top = windows.dense_rank_top(summary, "n", ranks)
     return {
         "by_country": totals.flagged_counts(labelled, "CountryIncorporated1"),

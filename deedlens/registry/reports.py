@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from deedlens.operators import joins, totals, windows
 from deedlens.plans.ownership import clean_titles, labelled_titles, leftover_titles
 from deedlens.registry.base import query
+from deedlens.sources.scratch import stored
 from deedlens.standins import (
     INDEX_SQL,
     LABELLED_SQL,
@@ -135,7 +136,7 @@ def q_ci_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     regional = price_index(spark, sf_dir).groupBy("RegionName").agg(
         F.round(F.avg("AveragePrice"), 2).alias("region_price")
     )
-    joined = joins.ci_join(bad(spark, sf_dir), regional, "District", "RegionName", salts=8, salt_key="TitleNumber")
+    joined = joins.ci_join(bad(spark, sf_dir), regional, "District", "RegionName")
     return joined.select("TitleNumber", "District", "PricePaid", "RegionName", "region_price")
 
 
@@ -156,7 +157,7 @@ def q_max_row_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The most expensive titles of the districts with most titles."""
     rows = labelled(spark, sf_dir)
     summary = windows.group_summary(rows, ["District", "County"], "District", "PricePaid")
-    top = windows.dense_rank_top(summary, "n", 10)
+    top = windows.dense_rank_top(stored(summary), "n", 10)
     found = joins.max_row_join(
         top,
         rows,
@@ -308,7 +309,7 @@ SELECT * FROM ranked WHERE rank <= 10
 )
 def q_dense_rank_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Districts whose rank by number of titles is at most ten."""
-    return windows.dense_rank_top(_summary(spark, sf_dir), "n", 10)
+    return windows.dense_rank_top(stored(_summary(spark, sf_dir)), "n", 10)
 
 
 @query(

@@ -1,4 +1,4 @@
-"""Shared scratch space: reliable checkpoints and intermediate files."""
+"""Shared scratch space for intermediate files."""
 
 from __future__ import annotations
 
@@ -26,17 +26,21 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the scratch folder."""
-    return f"{scratch_dir(spark).rstrip('/')}/deedlens/{name}-{uuid.uuid4().hex}"
+    """A new path below the scratch folder, under the running application."""
+    run = spark.sparkContext.applicationId
+    return f"{scratch_dir(spark).rstrip('/')}/deedlens/{run}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Store a frame reliably so that later steps see exactly these rows.
+def stored(df: DataFrame, name: str = "step") -> DataFrame:
+    """Write a frame to shared scratch files and read it back.
 
-    Needed where a step relies on how rows lie in partitions (global
-    positions): recomputing a range sort may cut the ranges elsewhere.
+    Three things follow. A frame that is read more than once is computed once,
+    and executor loss costs a re-read. Rows keep the numbers they were given,
+    where a recomputed sort might cut its ranges elsewhere. And Catalyst knows
+    the size from the files: it broadcasts the frame below
+    ``spark.sql.autoBroadcastJoinThreshold`` and shuffles it above, in a form
+    whose skewed partitions AQE can split.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(scratch_dir(df.sparkSession))
-    return df.checkpoint()
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
