@@ -22,6 +22,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(home / "warehouse"))
         .config("spark.checkpoint.dir", str(home / "scratch"))
+        .config("spark.sql.maxMetadataStringLength", "2000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
