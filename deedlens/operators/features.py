@@ -129,12 +129,21 @@ def level_count(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
     return row.asDict()
 
 
-def one_hot(df: DataFrame, columns: Sequence[str], drop_last: bool = True, invalid: str = "error") -> DataFrame:
+def one_hot(
+    df: DataFrame,
+    columns: Sequence[str],
+    drop_last: bool = True,
+    invalid: str = "error",
+    max_levels: int = 10_000,
+) -> DataFrame:
     """Index and one-hot vector per text column: ``<c>_index`` and ``<c>_vec``.
 
-    The fitted levels are held by the driver and by every task, so this suits
-    columns with few levels; see :func:`feature_stages` for the others.
+    The fitted levels are held by the driver and by every task, so a column with
+    more than ``max_levels`` values is refused; :func:`feature_stages` hashes those.
     """
+    many = [c for c, n in level_count(df, columns).items() if n > max_levels]
+    if many:
+        raise ValueError(f"more than {max_levels} values in {many}")
     return Pipeline(stages=one_hot_stages(columns, drop_last, invalid)).fit(df).transform(df)
 
 

@@ -88,33 +88,6 @@ def price_ratio(
     )
 
 
-def price_ratio_by_join(
-    good: DataFrame,
-    bad: DataFrame,
-    good_region: str = "RegionName",
-    good_price: str = "AveragePrice",
-    bad_county: str = "County",
-    bad_district: str = "District",
-    bad_price: str = "PricePaid",
-) -> DataFrame:
-    """:func:`price_ratio` spelt as join, then average. For checking and timing only."""
-    joined = bad.filter(filled_text(F.col(bad_district))).join(
-        good, F.lower(bad_district) == F.lower(good_region)
-    )
-    averaged = joined.groupBy(bad_county, good_region, bad_district).agg(
-        F.round(F.avg(bad_price)).alias("avg_title_price"),
-        F.round(F.avg(good_price)).alias("avg_index_price"),
-    )
-    whole = F.floor(F.round(ratio(F.col("avg_title_price"), F.col("avg_index_price"))))
-    return averaged.select(
-        F.col(bad_county).alias("county"),
-        F.col(bad_district).alias("district"),
-        "avg_title_price",
-        "avg_index_price",
-        whole.cast("bigint").alias("price_ratio"),
-    )
-
-
 def top_price_ratios(ratios: DataFrame, counts: DataFrame, exclude: str, k: int = 15) -> DataFrame:
     """Price ratios with the number of titles per district, the ``k`` largest first.
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -21,14 +21,6 @@ def group_summary(df: DataFrame, by: Sequence[str], count: str, maximum: str) ->
     return df.groupBy(*by).agg(F.count(count).alias("n"), F.max(maximum).alias("max_value"))
 
 
-def group_summary_by_window(df: DataFrame, by: Sequence[str], count: str, maximum: str) -> DataFrame:
-    """:func:`group_summary` spelt as window and DISTINCT. For checking only."""
-    spec = Window.partitionBy(*by)
-    return df.select(
-        *by, F.count(count).over(spec).alias("n"), F.max(maximum).over(spec).alias("max_value")
-    ).distinct()
-
-
 def percent_of_total(df: DataFrame, column: str, out: str = "percentage", digits: int = 2) -> DataFrame:
     """Each row's percentage of the column total.
 
@@ -55,38 +47,10 @@ def dense_rank_top(df: DataFrame, column: str, k: int, out: str = "rank") -> Dat
     return df.join(F.broadcast(ranked), F.col(column).eqNullSafe(F.col("_value"))).drop("_value")
 
 
-def dense_rank_top_by_window(df: DataFrame, column: str, k: int, out: str = "rank") -> DataFrame:
-    """:func:`dense_rank_top` spelt with the window function. For checking only."""
-    rank = F.dense_rank().over(Window.orderBy(F.desc_nulls_last(column)))
-    return df.withColumn(out, rank).filter(F.col(out) <= k)
-
-
-def _yearly(columns: Mapping[str, str], over: Window | None) -> list[Column]:
-    averages = []
-    for source, target in columns.items():
-        average = F.avg(source)
-        averages.append(F.round(average.over(over) if over is not None else average).alias(target))
-    return averages
-
-
 def yearly_average(df: DataFrame, date: str, region: str, columns: Mapping[str, str]) -> DataFrame:
     """Rounded averages per year and region; ``columns`` maps price columns to output names."""
     return (
         df.groupBy(F.year(date).alias("year"), F.col(region).alias("region"))
-        .agg(*_yearly(columns, None))
-        .orderBy("year", "region")
-    )
-
-
-def yearly_average_by_window(df: DataFrame, date: str, region: str, columns: Mapping[str, str]) -> DataFrame:
-    """:func:`yearly_average` spelt as window and DISTINCT. For checking and timing only."""
-    year = F.date_format(date, "yyyy").cast("int")
-    return (
-        df.select(
-            year.alias("year"),
-            F.col(region).alias("region"),
-            *_yearly(columns, Window.partitionBy(year, F.col(region))),
-        )
-        .distinct()
+        .agg(*[F.round(F.avg(source)).alias(target) for source, target in columns.items()])
         .orderBy("year", "region")
     )

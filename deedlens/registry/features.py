@@ -6,11 +6,21 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deedlens.operators import features, label, latent, models, text
+from deedlens.operators import features, generate, label, latent, models, text
 from deedlens.operators.profile import histogram_overlay
-from deedlens.plans.ownership import clean_titles, prepare_titles
+from deedlens.plans.ownership import clean_titles, labelled_titles, prepare_titles
+from deedlens.plans.prices import with_row_key
 from deedlens.registry.base import query
-from deedlens.standins import LABELLED_SQL, TITLES_SQL, price_index, table, titles, transactions
+from deedlens.standins import (
+    INDEX_THRESHOLD,
+    LABELLED_SQL,
+    OWNERSHIP,
+    TITLES_SQL,
+    price_index,
+    table,
+    titles,
+    transactions,
+)
 
 _LEVELS_SQL = """
 levels AS (SELECT "{column}" AS value, row_number() OVER (ORDER BY COUNT(*) DESC, "{column}") - 1 AS position
@@ -136,13 +146,45 @@ def q_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.forest_report(forest, "label")
 
 
+@query()
+def q_forest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same on the price index: date parts, region and area code against a high price."""
+    index = with_row_key(price_index(spark, sf_dir))
+    rows = features.date_parts(label.threshold_label(index, "AveragePrice", INDEX_THRESHOLD, below=0), "Datetaken")
+    forest = models.random_forest(rows, "is_fraud", ["RegionName", "AreaCode"], ["year", "month", "day"], "row_key")
+    return models.forest_report(forest, "is_fraud")
+
+
+@query()
+def q_forest_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same on titles: price and address indicator against the rule label.
+
+    Most stand-in titles are flagged whatever their price, so every leaf predicts
+    the larger class, the trees are pruned to constants and the area is a half.
+    """
+    rows = labelled_titles(clean_titles(titles(spark, sf_dir)), OWNERSHIP).drop("features")
+    forest = models.random_forest(rows, "is_fraud", ["MultipleAddressIndicator"], ["PricePaid"], "TitleNumber")
+    return models.forest_report(forest, "is_fraud")
+
+
+@query()
+def q_latent_people(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Demonstration rows against rows drawn from the latent model: numbers and one-hot columns."""
+    people = generate.demo_people(table(spark, sf_dir, "customer"), "c_custkey")
+    people, genders = latent.one_hot_columns(people, "gender", ["M", "F"])
+    people, districts = latent.one_hot_columns(people, "district", ["A", "B", "C", "D"])
+    model = latent.fit_latent(people, ["age", "price", *genders, *districts])
+    drawn = latent.draw_latent(people, "c_custkey", model)
+    return histogram_overlay(people, drawn, ["age", "price"])
+
+
 @query()
 def q_latent_synthetic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Histograms of index prices and of prices drawn from the latent model fitted to them."""
     numbers = ["AveragePrice", "FlatPrice", "TerracedPrice", "SemiDetachedPrice", "SalesVolume"]
-    index = price_index(spark, sf_dir).withColumn("key", F.concat_ws("|", "RegionName", "Datetaken"))
+    index = with_row_key(price_index(spark, sf_dir))
     model = latent.fit_latent(index, numbers)
-    drawn = latent.draw_latent(index, "key", model)
+    drawn = latent.draw_latent(index, "row_key", model)
     return histogram_overlay(index, drawn, numbers)
 
 

@@ -10,9 +10,19 @@ from pyspark.sql import functions as F
 from deedlens.operators import compare, generate, sampling
 from deedlens.operators.compare import quality_report
 from deedlens.plans.ownership import clean_titles
+from deedlens.plans.prices import index_flow, regional_sample
 from deedlens.registry.base import query
 from deedlens.registry.reports import bad, labelled
-from deedlens.standins import LABELLED_SQL, TITLES_SQL, sql_bucket, table, titles
+from deedlens.standins import (
+    INDEX_SQL,
+    INDEX_THRESHOLD,
+    LABELLED_SQL,
+    TITLES_SQL,
+    price_index,
+    sql_bucket,
+    table,
+    titles,
+)
 
 _SEED = 42
 
@@ -47,6 +57,22 @@ def q_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.shuffle_rows(rows, _SEED, "TitleNumber", "copy")
 
 
+@query(
+    f"""
+WITH {INDEX_SQL},
+good AS (SELECT *, "RegionName" || '|' || CAST("Datetaken" AS VARCHAR) AS row_key
+  FROM price_index WHERE "AveragePrice" < {INDEX_THRESHOLD}),
+share AS (SELECT (SELECT COUNT(*) FROM good) / (SELECT COUNT(*) FROM price_index) AS rate),
+drawn AS (SELECT good.*, {_poisson_sql("row_key", _SEED, "rate")} AS times FROM good, share)
+SELECT "RegionName", "Datetaken", "AveragePrice", CAST(unnest(generate_series(0, times)) AS INTEGER) AS copy FROM drawn
+"""
+)
+def q_bootstrap_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Index rows below the threshold with synthetic copies drawn at their share."""
+    run = index_flow(price_index(spark, sf_dir), INDEX_THRESHOLD, _SEED)
+    return run.augmented.select("RegionName", "Datetaken", "AveragePrice", "copy")
+
+
 @query(
     f"""
 WITH {LABELLED_SQL}
@@ -84,6 +110,20 @@ def q_n_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.rows_per_group(titles(spark, sf_dir).select("TitleNumber", "District"), "District", 5, "TitleNumber")
 
 
+@query(
+    f"""
+WITH {INDEX_SQL},
+numbered AS (SELECT *, row_number() OVER (PARTITION BY "RegionName" ORDER BY "Datetaken") AS n
+  FROM price_index WHERE "RegionName" IN ('nation_3', 'nation_15'))
+SELECT "RegionName", "Datetaken", "AveragePrice" FROM numbered WHERE n <= 12
+"""
+)
+def q_regional_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first twelve months of two regions."""
+    sample = regional_sample(price_index(spark, sf_dir), ["nation_3", "nation_15"], 12)
+    return sample.select("RegionName", "Datetaken", "AveragePrice")
+
+
 _B64 = " || ".join(
     f"substr(base64(unhex(md5(CAST(x AS VARCHAR) || '|{_SEED}|{b}'))), 1, 22)" for b in range(3)
 )

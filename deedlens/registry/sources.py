@@ -10,16 +10,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from deedlens.operators import profile, staging
+from deedlens.operators.windows import yearly_average
 from deedlens.plans.ownership import clean_titles
+from deedlens.plans.prices import round_trip
 from deedlens.registry.base import SQL, query
 from deedlens.registry.reports import bad
 from deedlens.sources import catalog, files
+from deedlens.sources.connectors import SourceSpec
 from deedlens.sources.scratch import scratch_path
 from deedlens.standins import (
+    INDEX_SQL,
     LABELLED_SQL,
+    PRICES,
     TRANSACTIONS_DDL,
     TRANSACTIONS_SQL,
     messages,
+    price_index,
     titles,
     transactions,
 )
@@ -72,3 +78,19 @@ def q_catalog_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = StructType.fromDDL("TitleNumber string, District string, PricePaid int, is_fraud int NOT NULL")
     catalog.write_table(bad(spark, sf_dir), "default", name, schema, path=path)
     return catalog.load_table(spark, "default", name)
+
+
+@query(
+    f"""
+WITH {INDEX_SQL},
+years AS (SELECT DISTINCT year("Datetaken"), "RegionName" FROM price_index)
+SELECT COUNT(*) AS rows_first, COUNT(*) AS rows_second, CAST(0 AS BIGINT) AS only_first, CAST(0 AS BIGINT) AS only_second,
+  TRUE AS matched FROM years
+"""
+)
+def q_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yearly averages computed from a saved index, saved, read back and reconciled."""
+    source = SourceSpec("parquet", {"path": scratch_path(spark, "index")})
+    target = SourceSpec("orc", {"path": scratch_path(spark, "yearly")})
+    source.write(price_index(spark, sf_dir), "overwrite")
+    return round_trip(spark, source, target, lambda index: yearly_average(index, "Datetaken", "RegionName", PRICES))

@@ -29,7 +29,13 @@ def test_matches_sql(spark, duck, name):
 
 def test_sql_only_for_registered_queries():
     assert set(SQL) <= set(QUERIES)
-    assert set(QUERIES) - set(SQL) == {"q_forest", "q_latent_synthetic"}
+    assert set(QUERIES) - set(SQL) == {
+        "q_forest",
+        "q_forest_index",
+        "q_forest_titles",
+        "q_latent_people",
+        "q_latent_synthetic",
+    }
 
 
 def test_entry(spark):
@@ -44,3 +50,22 @@ def test_forest_learns(spark):
     assert report["test"]["auc"] > 0.8
     total = sum(r["positives"] + r["negatives"] for r in report.values())
     assert total == spark.read.parquet(f"{SF_DIR}/events.parquet").count()
+
+
+@pytest.mark.parametrize("name", ["q_forest_index", "q_forest_titles"])
+def test_other_forests_count_every_row(spark, name):
+    report = QUERIES[name](spark, SF_DIR).collect()
+    assert {r["part"] for r in report} == {"train", "test"}
+    assert all(0.4 < r["auc"] <= 1.0 for r in report)
+
+
+@pytest.mark.parametrize("name", ["q_latent_synthetic", "q_latent_people"])
+def test_latent_histograms(spark, name):
+    counts = {}
+    for r in QUERIES[name](spark, SF_DIR).collect():
+        key = (r["column"], r["source"])
+        counts[key] = counts.get(key, 0) + r["n"]
+    # Every row is drawn once, with a value in every column.
+    assert len({n for (_, source), n in counts.items() if source == "synthetic"}) == 1
+    for (column, source), n in counts.items():
+        assert n <= counts[(column, "synthetic")]

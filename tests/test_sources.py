@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from deedlens.operators import generate, staging
-from deedlens.plans.ownership import ownership_flow
+from deedlens.plans.analysis import Area, analysis_reports
+from deedlens.plans.ownership import clean_titles, labelled_titles, ownership_flow
+from deedlens.plans.prices import index_flow, round_trip
 from deedlens.sources import catalog, connectors, files, memory, scratch
-from deedlens.standins import OWNERSHIP, titles
+from deedlens.standins import INDEX_THRESHOLD, OWNERSHIP, price_index, titles
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -159,3 +161,35 @@ def test_ownership_flow(spark):
     assert set(run.reports) == {"by_country", "district_shares", "top_districts", "dearest"}
     assert run.reports["dearest"].count() >= run.reports["top_districts"].count() > 0
     assert {r["section"] for r in run.quality.collect()} == {"shape", "describe", "category"}
+
+
+def test_index_flow(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS flows")
+    run = index_flow(price_index(spark, SF_DIR), INDEX_THRESHOLD)
+    balance = run.balance.first()
+    run.write("flows")
+    assert spark.table("flows.good_data").count() == balance["unflagged"]
+    whole = spark.table("flows.good_fraud_data").count()
+    assert whole == balance["unflagged"] + spark.table("flows.synthetic_good_data").count()
+    assert "copy" not in spark.table("flows.good_fraud_data").columns
+
+
+def test_analysis_reports(spark):
+    raw = titles(spark, SF_DIR)
+    bad = labelled_titles(clean_titles(raw), OWNERSHIP).filter("is_fraud = 1")
+    reports = analysis_reports(price_index(spark, SF_DIR), bad, raw, Area("Europe", "NATION_8"))
+    for name, report in reports.items():
+        assert report.count() > 0, name
+    shares = sum(r["percentage"] for r in reports["district_shares"].collect())
+    assert abs(shares - 100) < 0.5
+
+
+def test_round_trip_sees_a_lossy_target(spark, tmp_path):
+    source = connectors.SourceSpec("parquet", {"path": str(tmp_path / "s")})
+    target = connectors.SourceSpec("json", {"path": str(tmp_path / "t")})
+    source.write(spark.createDataFrame([(1, "a"), (2, None)], "x int, y string"), "overwrite")
+    same = round_trip(spark, source, target, lambda df: df, types={"x": "int"})
+    assert rows(same) == [(2, 2, 0, 0, True)]
+    halved = connectors.SourceSpec("json", {"path": str(tmp_path / "u")})
+    lossy = round_trip(spark, source, halved, lambda df: df.withColumn("x", F.col("x") / 3), types={"x": "decimal(10,2)"})
+    assert lossy.first()["matched"] is False
