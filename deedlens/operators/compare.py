@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from deedlens.functions.text import literal, quoted, rows_of
 from deedlens.operators.profile import numeric_columns, unpivot_strings
 
 
@@ -65,56 +66,28 @@ def quality_report(tagged: DataFrame, synthetic: str, digits: int = 2) -> DataFr
     figure for either kind with the difference. Shape and description come from
     one aggregate, category counts from one unpivot.
     """
-    is_synthetic = F.col(synthetic)
     columns = [c for c in tagged.columns if c != synthetic]
     numbers = [c for c in numeric_columns(tagged) if c != synthetic]
-    statistics = {
-        "count": F.count,
-        "mean": F.avg,
-        "stddev": F.stddev_samp,
-        "min": F.min,
-        "max": F.max,
-    }
-    aggregates = [
-        F.count_if(~is_synthetic).cast("double").alias("rows_0"),
-        F.count_if(is_synthetic).cast("double").alias("rows_1"),
-    ]
+    made = quoted(synthetic)
+    kinds = {"original": f"NOT {made}", "synthetic": made}
+    statistics = {"count": "count", "mean": "avg", "stddev": "stddev_samp", "min": "min", "max": "max"}
+    aggregates = [f"cast(count_if({condition}) AS double) AS rows_{kind}" for kind, condition in kinds.items()]
     structs = [
-        ("shape", None, "rows", F.col("rows_0"), F.col("rows_1")),
-        ("shape", None, "columns", F.lit(float(len(columns))), F.lit(float(len(columns)))),
+        _figures("shape", "cast(NULL AS string)", "rows", "rows_original", "rows_synthetic"),
+        _figures("shape", "cast(NULL AS string)", "columns", f"{len(columns)}D", f"{len(columns)}D"),
     ]
     for i, name in enumerate(numbers):
-        value = F.col(f"`{name}`")
-        for statistic, aggregate in statistics.items():
-            pair = []
-            for kind, condition in enumerate((~is_synthetic, is_synthetic)):
-                alias = f"{statistic}_{i}_{kind}"
-                aggregates.append(aggregate(F.when(condition, value)).cast("double").alias(alias))
-                pair.append(F.round(F.col(alias), digits))
-            structs.append(("describe", name, statistic, *pair))
-    figures = tagged.agg(*aggregates).select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(section).alias("section"),
-                        F.lit(name).cast("string").alias("column"),
-                        F.lit(statistic).cast("string").alias("statistic"),
-                        original.alias("original"),
-                        made.alias("synthetic"),
-                    )
-                    for section, name, statistic, original, made in structs
-                ]
-            )
-        )
-    )
+        for statistic, function in statistics.items():
+            for kind, condition in kinds.items():
+                value = f"{function}(CASE WHEN {condition} THEN {quoted(name)} END)"
+                aggregates.append(f"cast({value} AS double) AS {statistic}_{i}_{kind}")
+            pair = [f"round({statistic}_{i}_{kind}, {digits})" for kind in kinds]
+            structs.append(_figures("describe", literal(name), statistic, *pair))
+    figures = tagged.selectExpr(*aggregates).selectExpr(rows_of(structs))
     categories = (
         unpivot_strings(tagged, keep=[synthetic])
         .groupBy("column", F.col("value").alias("statistic"))
-        .agg(
-            F.count_if(~is_synthetic).cast("double").alias("original"),
-            F.count_if(is_synthetic).cast("double").alias("synthetic"),
-        )
+        .agg(*[F.expr(f"cast(count_if({condition}) AS double) AS {kind}") for kind, condition in kinds.items()])
         .select(F.lit("category").alias("section"), "column", "statistic", "original", "synthetic")
     )
     return figures.unionByName(categories).withColumn(
@@ -122,6 +95,13 @@ def quality_report(tagged: DataFrame, synthetic: str, digits: int = 2) -> DataFr
     )
 
 
+def _figures(section: str, column: str, statistic: str, original: str, synthetic: str) -> str:
+    return (
+        f"named_struct('section', '{section}', 'column', {column}, 'statistic', '{statistic}', "
+        f"'original', {original}, 'synthetic', {synthetic})"
+    )
+
+
 def synthetic_quality(original: DataFrame, synthetic: DataFrame, digits: int = 2) -> DataFrame:
     """:func:`quality_report` for two frames of the same columns."""
     tagged = original.withColumn("is_synthetic", F.lit(False)).unionByName(

@@ -99,8 +99,17 @@ def assemble(df: DataFrame, columns: Sequence[str], out: str = "features", inval
 class Features:
     """Rows with a feature vector, and the rows that were too incomplete to get one."""
 
+    rows: DataFrame
     kept: DataFrame
-    dropped: DataFrame
+    needed: tuple[str, ...]
+    key: str
+
+    @property
+    def dropped(self) -> DataFrame:
+        """Rows whose key occurs nowhere in ``kept``."""
+        # A complete row has its own key among the kept ones; only the others need the join.
+        lacking = self.rows.filter(F.col(self.key).isNull() | lacks_value(self.rows, self.needed))
+        return missing_from(lacking, complete_rows(self.rows, self.needed), self.key)
 
 
 def build_features(
@@ -112,15 +121,11 @@ def build_features(
 ) -> Features:
     """Feature vector of ``numbers`` for rows that are complete in ``categories`` and ``numbers``.
 
-    With ``nulls="keep"`` a NULL category does not drop the row. ``dropped``
-    holds the rows whose key occurs nowhere in ``kept``. Index columns that
-    nobody reads afterwards are not built: completeness is all they decide.
+    With ``nulls="keep"`` a NULL category does not drop the row. Index columns
+    that nobody reads afterwards are not built: completeness is all they decide.
     """
-    usable = complete_rows(df, categories) if nulls == "skip" else df
-    needed = [*(categories if nulls == "skip" else ()), *numbers]
-    # A complete row has its own key among the kept ones; only the others need the join.
-    lacking = df.filter(F.col(key).isNull() | lacks_value(df, needed))
-    return Features(assemble(usable, numbers), missing_from(lacking, complete_rows(df, needed), key))
+    needed = (*(categories if nulls == "skip" else ()), *numbers)
+    return Features(df, assemble(complete_rows(df, needed), numbers), needed, key)
 
 
 def level_count(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:

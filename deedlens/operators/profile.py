@@ -4,16 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
 from deedlens.functions.scalars import ratio
-
-
-def _rows_from_structs(df: DataFrame, structs: Sequence[Column]) -> DataFrame:
-    """One-row frame to one row per struct."""
-    return df.select(F.inline(F.array(*structs)))
+from deedlens.functions.text import literal, quoted, rows_of
 
 
 def null_profile(df: DataFrame) -> DataFrame:
@@ -21,22 +17,17 @@ def null_profile(df: DataFrame) -> DataFrame:
 
     The percentage is NULL for an empty frame. Highest share first.
     """
-    counts = df.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        *[F.count(F.col(f"`{name}`")).alias(f"filled_{i}") for i, name in enumerate(df.columns)],
+    counts = df.selectExpr(
+        "count(1) AS row_count", *[f"count({quoted(c)}) AS filled_{i}" for i, c in enumerate(df.columns)]
     )
     structs = []
     for i, name in enumerate(df.columns):
-        nulls = F.col("row_count") - F.col(f"filled_{i}")
+        nulls = f"row_count - filled_{i}"
         structs.append(
-            F.struct(
-                F.lit(name).alias("column"),
-                F.col("row_count"),
-                nulls.alias("null_count"),
-                F.round(ratio(nulls, F.col("row_count")) * 100, 1).alias("null_pct"),
-            )
+            f"named_struct('column', {literal(name)}, 'row_count', row_count, 'null_count', {nulls}, "
+            f"'null_pct', round(({nulls}) / nullif(row_count, 0) * 100, 1))"
         )
-    return _rows_from_structs(counts, structs).orderBy(F.desc("null_pct"), "column")
+    return counts.selectExpr(rows_of(structs)).orderBy(F.desc("null_pct"), "column")
 
 
 def null_report(profile: DataFrame) -> DataFrame:
@@ -79,30 +70,23 @@ def describe_columns(df: DataFrame, digits: int = 2) -> DataFrame:
     one column holds those of numbers and of words.
     """
     numbers, texts = numeric_columns(df), string_columns(df)
-    aggregates: list[Column] = []
-    structs: list[Column] = []
+    aggregates, structs = [], []
     for i, name in enumerate(numbers + texts):
-        value = F.col(f"`{name}`")
+        value = quoted(name)
         aggregates += [
-            F.count(value).alias(f"n_{i}"),
-            F.min(value).cast("string").alias(f"lo_{i}"),
-            F.max(value).cast("string").alias(f"hi_{i}"),
+            f"count({value}) AS n_{i}",
+            f"cast(min({value}) AS string) AS lo_{i}",
+            f"cast(max({value}) AS string) AS hi_{i}",
         ]
-        mean, deviation = F.lit(None).cast("double"), F.lit(None).cast("double")
+        mean = deviation = "cast(NULL AS double)"
         if name in numbers:
-            aggregates += [F.avg(value).alias(f"m_{i}"), F.stddev_samp(value).alias(f"s_{i}")]
-            mean, deviation = F.round(F.col(f"m_{i}"), digits), F.round(F.col(f"s_{i}"), digits)
+            aggregates += [f"avg({value}) AS m_{i}", f"stddev_samp({value}) AS s_{i}"]
+            mean, deviation = f"round(m_{i}, {digits})", f"round(s_{i}, {digits})"
         structs.append(
-            F.struct(
-                F.lit(name).alias("column"),
-                F.col(f"n_{i}").alias("value_count"),
-                mean.alias("mean"),
-                deviation.alias("stddev"),
-                F.col(f"lo_{i}").alias("min_value"),
-                F.col(f"hi_{i}").alias("max_value"),
-            )
+            f"named_struct('column', {literal(name)}, 'value_count', n_{i}, 'mean', {mean}, "
+            f"'stddev', {deviation}, 'min_value', lo_{i}, 'max_value', hi_{i})"
         )
-    return _rows_from_structs(df.agg(*aggregates), structs)
+    return df.selectExpr(*aggregates).selectExpr(rows_of(structs))
 
 
 def unpivot_strings(df: DataFrame, columns: Sequence[str] | None = None, keep: Sequence[str] = ()) -> DataFrame:
@@ -133,51 +117,37 @@ def histograms(df: DataFrame, columns: Sequence[str], bins: int = 20, by: str |
     name of a source) every tag is counted over the same bins. Two passes: one
     for all ranges, one for all counts.
     """
-    tags = [F.col(by)] if by else []
-    values = {c: F.col(f"`{c}`").cast("double") for c in columns}
+    tags = [quoted(by)] if by else []
+    values = [f"cast({quoted(c)} AS double)" for c in columns]
     bounds = []
-    for i, value in enumerate(values.values()):
-        lo, hi = F.min(value), F.max(value)
-        half = F.when(lo == hi, 0.5).otherwise(0.0)
-        bounds += [(lo - half).alias(f"lo_{i}"), (hi + half).alias(f"hi_{i}")]
-    bounded = df.select(
-        *tags,
-        *[value.alias(f"x_{i}") for i, value in enumerate(values.values())],
-        df.agg(F.struct(*bounds).alias("bounds")).scalar().alias("bounds"),
+    for i, value in enumerate(values):
+        half = f"if(min({value}) = max({value}), 0.5D, 0.0D)"
+        bounds.append(f"'lo_{i}', min({value}) - {half}, 'hi_{i}', max({value}) + {half}")
+    ranges = df.selectExpr(f"named_struct({', '.join(bounds)}) AS bounds")
+    bounded = df.selectExpr(*tags, *[f"{value} AS x_{i}" for i, value in enumerate(values)]).withColumn(
+        "bounds", ranges.scalar()
     )
-    long = bounded.select(
+    long = bounded.selectExpr(
         *tags,
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(name).alias("column"),
-                        F.col(f"x_{i}").alias("x"),
-                        F.col(f"bounds.lo_{i}").alias("lo"),
-                        ((F.col(f"bounds.hi_{i}") - F.col(f"bounds.lo_{i}")) / F.lit(float(bins))).alias("width"),
-                    )
-                    for i, name in enumerate(columns)
-                ]
-            )
+        rows_of(
+            [
+                f"named_struct('column', {literal(name)}, 'x', x_{i}, 'lo', bounds.lo_{i}, "
+                f"'width', (bounds.hi_{i} - bounds.lo_{i}) / {bins}D)"
+                for i, name in enumerate(columns)
+            ]
         ),
     )
-    bin_of = F.least(F.floor((F.col("x") - F.col("lo")) / F.col("width")), F.lit(bins - 1))
     counted = (
-        long.filter(F.col("x").isNotNull())
-        .withColumn("bin", bin_of.cast("int"))
+        long.filter("x IS NOT NULL")
+        .withColumn("bin", F.expr(f"cast(least(floor((x - lo) / width), {bins - 1}) AS int)"))
         .groupBy(*tags, "column", "lo", "width")
-        .agg(*[F.count_if(F.col("bin") == i).alias(f"bin_{i}") for i in range(bins)])
+        .agg(*[F.expr(f"count_if(bin = {i}) AS bin_{i}") for i in range(bins)])
     )
     structs = [
-        F.struct(
-            F.lit(i).alias("bin"),
-            (F.col("lo") + F.col("width") * F.lit(float(i))).alias("bin_start"),
-            (F.col("lo") + F.col("width") * F.lit(float(i + 1))).alias("bin_end"),
-            F.col(f"bin_{i}").alias("n"),
-        )
+        f"named_struct('bin', {i}, 'bin_start', lo + width * {i}D, 'bin_end', lo + width * {i + 1}D, 'n', bin_{i})"
         for i in range(bins)
     ]
-    return counted.select(*tags, "column", F.inline(F.array(*structs)))
+    return counted.selectExpr(*tags, "column", rows_of(structs))
 
 
 def histogram(df: DataFrame, column: str, bins: int = 20, by: str | None = None) -> DataFrame:

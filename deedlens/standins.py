@@ -7,7 +7,7 @@ put in by key arithmetic. ``*_SQL`` says the same in ANSI SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deedlens.functions.hashing import bucket
@@ -26,12 +26,30 @@ PRICES = {
 }
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+# Columns of the star schema, so that opening a table reads no file.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+        "l_shipdate timestamp_ntz"
+    ),
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "labels": "doc_id bigint, quality int, toxic int",
+}
 
 
-def _null_every(n: int, value: Column) -> Column:
-    return F.when(F.col("o_orderkey") % n != 0, value)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,27 +57,26 @@ def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Large tables first: the two small ones then join without moving rows.
     sold = (
         table(spark, sf_dir, "orders")
-        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        .join(table(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey"))
+        .join(table(spark, sf_dir, "nation"), F.expr("c_nationkey = n_nationkey"))
+        .join(table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey"))
     )
-    k = F.col("o_orderkey")
-    return sold.select(
-        F.concat(F.lit("T"), k.cast("string")).alias("TitleNumber"),
-        F.when(k % 97 == 0, "93347").when(F.col("o_orderstatus") == "F", "Freehold").otherwise("Leasehold").alias("Tenure"),
-        F.concat_ws(", ", "c_name", "n_name").alias("PropertyAddress"),
-        _null_every(23, F.col("n_name")).alias("District"),
-        F.col("r_name").alias("County"),
-        _null_every(29, F.col("c_mktsegment")).alias("Region"),
-        F.concat(F.lit("PC"), (F.col("c_custkey") % 100).cast("string")).alias("Postcode"),
-        F.when(k % 5 == 0, "Y").otherwise("N").alias("MultipleAddressIndicator"),
-        _null_every(11, F.round("o_totalprice").cast("int")).alias("PricePaid"),
-        _null_every(31, F.col("c_name")).alias("ProprietorName1"),
-        _null_every(4, F.col("c_mktsegment")).alias("ProprietorName2"),
-        _null_every(41, F.col("c_name")).alias("Proprietor1Address1"),
-        _null_every(37, F.when(k % 3 == 0, "UK").otherwise(F.col("n_name"))).alias("CountryIncorporated1"),
-        F.lit(None).cast("string").alias("Proprietor2Address3"),
-        F.col("o_orderdate").cast("date").alias("DateProprietorAdded"),
+    return sold.selectExpr(
+        "concat('T', o_orderkey) AS TitleNumber",
+        "CASE WHEN o_orderkey % 97 = 0 THEN '93347' WHEN o_orderstatus = 'F' THEN 'Freehold' ELSE 'Leasehold' END AS Tenure",
+        "concat(c_name, ', ', n_name) AS PropertyAddress",
+        "CASE WHEN o_orderkey % 23 <> 0 THEN n_name END AS District",
+        "r_name AS County",
+        "CASE WHEN o_orderkey % 29 <> 0 THEN c_mktsegment END AS Region",
+        "concat('PC', c_custkey % 100) AS Postcode",
+        "CASE WHEN o_orderkey % 5 = 0 THEN 'Y' ELSE 'N' END AS MultipleAddressIndicator",
+        "CASE WHEN o_orderkey % 11 <> 0 THEN cast(round(o_totalprice) AS int) END AS PricePaid",
+        "CASE WHEN o_orderkey % 31 <> 0 THEN c_name END AS ProprietorName1",
+        "CASE WHEN o_orderkey % 4 <> 0 THEN c_mktsegment END AS ProprietorName2",
+        "CASE WHEN o_orderkey % 41 <> 0 THEN c_name END AS Proprietor1Address1",
+        "CASE WHEN o_orderkey % 37 <> 0 THEN if(o_orderkey % 3 = 0, 'UK', n_name) END AS CountryIncorporated1",
+        "cast(NULL AS string) AS Proprietor2Address3",
+        "cast(o_orderdate AS date) AS DateProprietorAdded",
     )
 
 
@@ -114,33 +131,33 @@ def price_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     Lines are summed per supplier and month before they meet the suppliers, so
     a supplier with many lines is one row per task and month in that join.
     """
-    pence = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    pence = "cast(round(l_extendedprice * 100) AS bigint)"
     kinds = {
-        "AveragePrice": F.lit(True),
-        "FlatPrice": F.col("l_returnflag") == "A",
-        "TerracedPrice": F.col("l_returnflag") == "R",
-        "SemiDetachedPrice": F.col("l_returnflag") == "N",
-        "DetachedPrice": F.col("l_linestatus") == "O",
+        "AveragePrice": "true",
+        "FlatPrice": "l_returnflag = 'A'",
+        "TerracedPrice": "l_returnflag = 'R'",
+        "SemiDetachedPrice": "l_returnflag = 'N'",
+        "DetachedPrice": "l_linestatus = 'O'",
     }
-    lines = table(spark, sf_dir, "lineitem").groupBy(
-        "l_suppkey", F.trunc(F.col("l_shipdate").cast("date"), "month").alias("Datetaken")
+    sums = [f"sum(CASE WHEN {condition} THEN {pence} END) AS {name}_sum" for name, condition in kinds.items()]
+    counts = [f"count_if({condition}) AS {name}_n" for name, condition in kinds.items()]
+    by_supplier = (
+        table(spark, sf_dir, "lineitem")
+        .groupBy("l_suppkey", F.expr("trunc(cast(l_shipdate AS date), 'month') AS Datetaken"))
+        .agg(*[F.expr(e) for e in sums + counts])
     )
-    parts = []
-    for name, condition in kinds.items():
-        parts += [F.sum(F.when(condition, pence)).alias(f"{name}_sum"), F.count_if(condition).alias(f"{name}_n")]
-    by_supplier = lines.agg(*parts)
     monthly = (
-        by_supplier.join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+        by_supplier.join(table(spark, sf_dir, "supplier"), F.expr("l_suppkey = s_suppkey"))
+        .join(table(spark, sf_dir, "nation"), F.expr("s_nationkey = n_nationkey"))
         .groupBy("Datetaken", "n_name", "n_nationkey")
-        .agg(*[F.sum(f"{name}_{part}").alias(f"{name}_{part}") for name in kinds for part in ("sum", "n")])
+        .agg(*[F.expr(f"sum({name}_{part}) AS {name}_{part}") for name in kinds for part in ("sum", "n")])
     )
-    return monthly.select(
+    return monthly.selectExpr(
         "Datetaken",
-        F.lower("n_name").alias("RegionName"),
-        F.concat(F.lit("E"), F.col("n_nationkey").cast("string")).alias("AreaCode"),
-        F.col("AveragePrice_n").cast("double").alias("SalesVolume"),
-        *[(F.col(f"{k}_sum") / F.nullif(F.col(f"{k}_n"), F.lit(0)) / 100).alias(k) for k in kinds],
+        "lower(n_name) AS RegionName",
+        "concat('E', n_nationkey) AS AreaCode",
+        "cast(AveragePrice_n AS double) AS SalesVolume",
+        *[f"{name}_sum / nullif({name}_n, 0) / 100 AS {name}" for name in kinds],
     )
 
 
