@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from deedlens.operators.features import feature_stages
 from deedlens.operators.ranking import running_total
 from deedlens.operators.sampling import split
+from deedlens.sources.scratch import stored
 
 
 def auc(df: DataFrame, score: str, label: str) -> DataFrame:
@@ -68,9 +69,11 @@ def random_forest(
     """Split by key, fit the preprocessing and a forest on the training part, score both parts.
 
     ``key`` decides the split and is no feature. Scored rows carry ``score``,
-    the probability of class 1.
+    the probability of class 1. The needed columns are stored once, since every
+    stage and every level of the trees passes over them.
     """
-    parts = split(df, {"train": train_share, "test": 1.0 - train_share}, seed, key)
+    needed = df.select(key, label, *categories, *numbers)
+    parts = stored(split(needed, {"train": train_share, "test": 1.0 - train_share}, seed, key), "training")
     train = parts.filter(F.col("part") == "train")
     test = parts.filter(F.col("part") == "test")
     stages = feature_stages(train, categories, numbers, max_levels)

@@ -7,15 +7,16 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# ASCII punctuation and line characters that separate words.
+# ASCII punctuation and line characters that separate words, beside the blank.
 SEPARATORS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~\t\n\r"
+_BETWEEN_WORDS = r"[!-/:-@\[-`{-~ \t\n\r]+"
 # A lexicon given as a mapping is broadcast up to this many words.
 _BROADCAST_WORDS = 200_000
 
 
 def words(text: Column) -> Column:
     """Lower-case words of a text, split on blanks and ASCII punctuation."""
-    return F.split(F.translate(F.lower(text), SEPARATORS, " " * len(SEPARATORS)), " ")
+    return F.split(F.lower(text), _BETWEEN_WORDS)
 
 
 def polarity(
