@@ -91,6 +91,40 @@ def q_prune_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.prune_null_columns(titles(spark, sf_dir))
 
 
+@query(
+    f"""
+WITH {TITLES_SQL}
+SELECT "TitleNumber", TRY_CAST("Tenure" AS INTEGER) AS "Tenure", CAST("PricePaid" AS DOUBLE) AS "PricePaid",
+  CAST("DateProprietorAdded" AS VARCHAR) AS "DateProprietorAdded" FROM titles
+"""
+)
+def q_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Casts that must fit, and one of text that may not: only a rogue tenure is a number."""
+    columns = ["TitleNumber", "Tenure", "PricePaid", "DateProprietorAdded"]
+    fitting = clean.cast_columns(
+        titles(spark, sf_dir).select(*columns), {"PricePaid": "double", "DateProprietorAdded": "string"}
+    )
+    return clean.cast_columns(fitting, {"Tenure": "int"}, strict=False)
+
+
+@query(
+    f"""
+WITH {TITLES_SQL}
+SELECT "TitleNumber" AS title, "ProprietorName1" AS company, "CountryIncorporated1" AS country_incorporated,
+  "PricePaid" AS value_in_gbp FROM titles
+"""
+)
+def q_renamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report columns under report names."""
+    names = {
+        "TitleNumber": "title",
+        "ProprietorName1": "company",
+        "CountryIncorporated1": "country_incorporated",
+        "PricePaid": "value_in_gbp",
+    }
+    return clean.rename_columns(titles(spark, sf_dir), names)
+
+
 @query(
     f"""
 WITH {LABELLED_SQL}

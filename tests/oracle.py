@@ -53,3 +53,22 @@ def duck_rows(db, sql):
     result = db.execute(sql)
     columns = [d[0] for d in result.description]
     return normal(columns, result.fetchall())
+
+
+TYPES = {
+    "bigint": "BIGINT",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "double": "DOUBLE",
+    "float": "FLOAT",
+    "int": "INTEGER",
+    "string": "VARCHAR",
+}
+
+
+def spark_types(df):
+    return {name: TYPES[kind] for name, kind in df.dtypes}
+
+
+def duck_types(db, sql):
+    return {row[0]: row[1] for row in db.execute(f"DESCRIBE {sql}").fetchall()}

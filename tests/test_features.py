@@ -87,6 +87,12 @@ def test_one_hot_keeps_all_levels(spark):
     assert sorted(tuple(r[0]) for r in dropped.collect()) == [(0.0,), (1.0,), (1.0,)]
 
 
+def test_one_hot_refuses_long_lists(spark):
+    df = spark.range(500).select(F.col("id").cast("string").alias("g"))
+    with pytest.raises(ValueError, match="more than 100 values"):
+        features.one_hot(df, ["g"], max_levels=100)
+
+
 def test_assemble_twice(spark):
     df = spark.createDataFrame([(1.0,), (None,)], "x double")
     once = features.assemble(df, ["x"])

@@ -21,7 +21,9 @@ def duck():
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_matches_sql(spark, duck, name):
-    columns, found = oracle.spark_rows(QUERIES[name](spark, SF_DIR))
+    df = QUERIES[name](spark, SF_DIR)
+    assert oracle.spark_types(df) == oracle.duck_types(duck, SQL[name])
+    columns, found = oracle.spark_rows(df)
     wanted_columns, wanted = oracle.duck_rows(duck, SQL[name])
     assert columns == wanted_columns
     assert found == wanted
