@@ -7,11 +7,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from deedlens.operators import clean, features, joins, label, profile, sampling, totals, windows
 from deedlens.operators.compare import quality_report
 from deedlens.operators.label import OwnershipRules
 from deedlens.sources.catalog import write_table
+from deedlens.sources.schemas import DROPPED_TITLE_COLUMNS
 from deedlens.sources.scratch import stored
 
 # Columns of the titles table that the flow works on.
@@ -25,13 +27,12 @@ CATEGORIES = (
     "MultipleAddressIndicator",
 )
 ROGUE_TENURES = ("93347",)
-SURPLUS_COLUMNS = ("CompanyRegistrationNo3", "Proprietor4Address3")
 
 
 def clean_titles(titles: DataFrame, rogue: Sequence[str] = ROGUE_TENURES) -> DataFrame:
     """Rogue tenures out, tenure as text, surplus columns dropped."""
     kept = clean.drop_rogue(titles, "Tenure", rogue)
-    return clean.cast_columns(kept, {"Tenure": "string"}).drop(*SURPLUS_COLUMNS)
+    return clean.cast_columns(kept, {"Tenure": "string"}).drop(*DROPPED_TITLE_COLUMNS)
 
 
 def prepare_titles(cleaned: DataFrame) -> features.Features:
@@ -79,14 +80,17 @@ class OwnershipRun:
     quality: DataFrame
     reports: dict[str, DataFrame]
 
-    def write(self, db: str) -> None:
-        """Overwrite the flow's tables: flagged rows, synthetic rows, both together, leftovers."""
-        flagged = self.augmented.filter("copy = 0").drop("copy")
-        synthetic = self.augmented.filter("copy > 0").drop("copy")
-        write_table(flagged, db, "bad_data")
-        write_table(synthetic, db, "synthetic_bad_data")
-        write_table(self.augmented.drop("copy"), db, "bad_fraud_data")
-        write_table(self.leftover, db, "good_offshore_data")
+    def write(self, db: str, labelled: StructType | None = None, cleaned: StructType | None = None) -> None:
+        """Overwrite the flow's tables: flagged rows, synthetic rows, both together, leftovers.
+
+        With schemas given, rows are cast to them: ``labelled`` for the first
+        three tables, ``cleaned`` for the leftovers.
+        """
+        both = self.augmented
+        write_table(both.filter("copy = 0").drop("copy"), db, "bad_data", labelled)
+        write_table(both.filter("copy > 0").drop("copy"), db, "synthetic_bad_data", labelled)
+        write_table(both.drop("copy"), db, "bad_fraud_data", labelled)
+        write_table(self.leftover, db, "good_offshore_data", cleaned)
 
 
 def ownership_flow(

@@ -30,6 +30,11 @@ def load_labelled(spark: SparkSession, db: str, good: str, bad: str) -> tuple[Da
     return load_table(spark, db, good), load_table(spark, db, bad)
 
 
+def _own_name(df: DataFrame, name: str) -> str:
+    """The name a frame itself gives to a column, which may differ in case."""
+    return next(c for c in df.columns if c.lower() == name.lower())
+
+
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Select and cast to a declared schema.
 
@@ -41,7 +46,10 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
         raise ValueError(f"columns not in the frame: {lacking}")
     columns = []
     for field in schema:
-        value = F.col(f"`{field.name}`").cast(field.dataType)
+        value = F.col(f"`{field.name}`")
+        # A column that already has the type is left alone; vectors know no cast.
+        if df.schema[_own_name(df, field.name)].dataType != field.dataType:
+            value = value.cast(field.dataType)
         if not field.nullable:
             message = F.lit(f"NULL in required column {field.name}")
             value = F.when(value.isNotNull(), value).otherwise(F.raise_error(message).cast(field.dataType))

@@ -27,6 +27,9 @@ def test_matches_sql(spark, duck, name):
     wanted_columns, wanted = oracle.duck_rows(duck, SQL[name])
     assert columns == wanted_columns
     assert found == wanted
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEvalPython", "BatchEvalPython"):
+        assert unwanted not in plan
 
 
 def test_sql_only_for_registered_queries():

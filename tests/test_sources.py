@@ -9,7 +9,7 @@ from deedlens.operators import generate, staging
 from deedlens.plans.analysis import Area, analysis_reports
 from deedlens.plans.ownership import clean_titles, labelled_titles, ownership_flow
 from deedlens.plans.prices import index_flow, round_trip
-from deedlens.sources import catalog, connectors, files, memory, scratch
+from deedlens.sources import catalog, connectors, files, memory, schemas, scratch
 from deedlens.standins import INDEX_THRESHOLD, OWNERSHIP, price_index, titles
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -87,6 +87,22 @@ def test_partitions_are_overwritten_one_by_one(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(brand" in pruned
 
 
+def test_hot_partition_is_written_by_several_tasks(spark, tmp_path):
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    brand = F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("B"), (F.col("id") % 5).cast("string")))
+    df = spark.range(0, 90_000, numPartitions=8).select(
+        F.md5(F.col("id").cast("string")).alias("partyId"), F.lit("1").alias("broadcastId"), brand.alias("brand")
+    )
+    files.write_partitioned(df, str(tmp_path / "hot"), staging.PARTITIONS)
+    for key, value in before.items():
+        spark.conf.set(key, value)
+    assert len(list((tmp_path / "hot" / "broadcastId=1" / "brand=HOT").glob("*.parquet"))) > 1
+    assert spark.read.parquet(str(tmp_path / "hot")).count() == 90_000
+
+
 def test_csv_report_is_one_file(spark, tmp_path):
     files.write_csv_report(spark.range(50).repartition(5), str(tmp_path / "r"))
     assert len(list((tmp_path / "r").glob("part-*.csv"))) == 1
@@ -193,3 +209,34 @@ def test_round_trip_sees_a_lossy_target(spark, tmp_path):
     halved = connectors.SourceSpec("json", {"path": str(tmp_path / "u")})
     lossy = round_trip(spark, source, halved, lambda df: df.withColumn("x", F.col("x") / 3), types={"x": "decimal(10,2)"})
     assert lossy.first()["matched"] is False
+
+
+def test_declared_schemas():
+    titles_columns = schemas.titles_schema().fieldNames()
+    assert len(titles_columns) == 8 + 1 + 4 * 7 - 2 + 2
+    assert not set(schemas.DROPPED_TITLE_COLUMNS) & set(titles_columns)
+    assert len(schemas.titles_schema(loaded=True)) == len(titles_columns) + 2
+    assert schemas.titles_schema(labelled=True).fieldNames()[-3:] == ["features", "missing_proprietor_name", "is_fraud"]
+    assert len(schemas.price_index_schema()) == 3 + 7 + 40
+    assert schemas.price_index_schema(labelled=True)["is_fraud"].dataType.typeName() == "integer"
+
+
+def test_flow_on_the_full_schema(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS full_titles")
+    loaded = schemas.titles_schema(loaded=True)
+    some = titles(spark, SF_DIR)
+    raw = some.select(
+        *[
+            F.col(f.name) if f.name in some.columns else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in loaded
+        ]
+    )
+    run = ownership_flow(raw, OWNERSHIP)
+    labelled, cleaned = schemas.titles_schema(labelled=True), schemas.titles_schema()
+    run.write("full_titles", labelled, cleaned)
+    written = spark.table("full_titles.bad_fraud_data")
+    assert written.columns == labelled.fieldNames()
+    assert written.filter("is_fraud <> 1").count() == 0
+    assert spark.table("full_titles.good_offshore_data").columns == cleaned.fieldNames()
+    empty = {r["column"] for r in run.null_profile.filter("null_count = row_count").collect()}
+    assert {"ProprietorName4", "Proprietor2Address3"} <= empty
