@@ -22,7 +22,7 @@ def except_rows(first: DataFrame, second: DataFrame, duplicates: bool = False) -
     if duplicates:
         return first.exceptAll(second)
     only_first = (F.col("n_first") > 0) & (F.col("n_second") == 0)
-    return row_differences(first, second).filter(only_first).select(*[F.col(f"`{c}`") for c in first.columns])
+    return row_differences(first, second).filter(only_first).select(*[F.col(quoted(c)) for c in first.columns])
 
 
 def row_differences(first: DataFrame, second: DataFrame) -> DataFrame:
@@ -34,7 +34,7 @@ def row_differences(first: DataFrame, second: DataFrame) -> DataFrame:
     tagged = first.withColumns({"_first": F.lit(1), "_second": F.lit(0)}).unionByName(
         second.withColumns({"_first": F.lit(0), "_second": F.lit(1)})
     )
-    return tagged.groupBy(*[F.col(f"`{c}`") for c in first.columns]).agg(
+    return tagged.groupBy(*[F.col(quoted(c)) for c in first.columns]).agg(
         F.sum("_first").alias("n_first"), F.sum("_second").alias("n_second")
     )
 

@@ -93,8 +93,8 @@ def unpivot_strings(df: DataFrame, columns: Sequence[str] | None = None, keep: S
     """Text columns as (column, value) rows, with ``keep`` columns beside them."""
     names = list(columns) if columns is not None else [c for c in string_columns(df) if c not in keep]
     return df.unpivot(
-        ids=[F.col(f"`{c}`") for c in keep],
-        values=[F.col(f"`{c}`") for c in names],
+        ids=[F.col(quoted(c)) for c in keep],
+        values=[F.col(quoted(c)) for c in names],
         variableColumnName="column",
         valueColumnName="value",
     )
@@ -112,13 +112,17 @@ def value_range(df: DataFrame, column: str) -> DataFrame:
 def histograms(df: DataFrame, columns: Sequence[str], bins: int = 20, by: str | None = None) -> DataFrame:
     """Counts in ``bins`` equal bins from minimum to maximum of each column, the last bin closed.
 
-    Empty bins are listed with 0. A column with a single value has it in the
-    middle of a range of one. With ``by`` (a tag with few values, such as the
-    name of a source) every tag is counted over the same bins. Two passes: one
-    for all ranges, one for all counts.
+    Empty bins are listed with 0; NULL, NaN and infinite values are not counted.
+    A column with a single value has it in the middle of a range of one. With
+    ``by`` (a tag with few values, such as the name of a source) every tag is
+    counted over the same bins. Two passes: one for all ranges, one for all counts.
     """
     tags = [quoted(by)] if by else []
-    values = [f"cast({quoted(c)} AS double)" for c in columns]
+    # NaN sorts above infinity, so this leaves out both.
+    values = [
+        f"CASE WHEN abs(cast({quoted(c)} AS double)) < double('Infinity') THEN cast({quoted(c)} AS double) END"
+        for c in columns
+    ]
     bounds = []
     for i, value in enumerate(values):
         half = f"if(min({value}) = max({value}), 0.5D, 0.0D)"
@@ -160,7 +164,7 @@ def histogram_overlay(
 ) -> DataFrame:
     """Histograms over two frames on shared bins, with a ``source`` column."""
     both = [
-        df.select(F.lit(name).alias("source"), *[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
+        df.select(F.lit(name).alias("source"), *[F.col(quoted(c)).cast("double").alias(c) for c in columns])
         for name, df in (("original", original), ("synthetic", synthetic))
     ]
     return histograms(both[0].unionByName(both[1]), columns, bins, by="source")

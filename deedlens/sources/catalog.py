@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from deedlens.functions.text import quoted
+
 
 def load_table(spark: SparkSession, db: str, name: str) -> DataFrame:
     """Read a catalog table, failing when it is absent, with fresh statistics.
@@ -46,7 +48,7 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
         raise ValueError(f"columns not in the frame: {lacking}")
     columns = []
     for field in schema:
-        value = F.col(f"`{field.name}`")
+        value = F.col(quoted(field.name))
         # A column that already has the type is left alone; vectors know no cast.
         if df.schema[_own_name(df, field.name)].dataType != field.dataType:
             value = value.cast(field.dataType)

@@ -14,7 +14,7 @@ from deedlens.functions.hashing import bucket
 from deedlens.operators.generate import sample_messages
 from deedlens.operators.label import OwnershipRules
 
-# The ninth decile of the order totals; the reference threshold would flag nothing here.
+# The ninth decile of the order totals; a million would flag nothing here.
 OWNERSHIP = OwnershipRules(high_price=450_000)
 INDEX_THRESHOLD = 51_000
 PRICES = {

@@ -108,6 +108,21 @@ def test_histogram_of_one_value(spark):
     assert (found[0]["bin_start"], found[-1]["bin_end"]) == (2.5, 3.5)
 
 
+def test_histogram_leaves_out_what_is_not_finite(spark):
+    data = [(0.0,), (4.0,), (math.nan,), (math.inf,), (-math.inf,), (None,)]
+    found = profile.histogram(spark.createDataFrame(data, "x double"), "x", bins=2).orderBy("bin").collect()
+    assert [(r["n"], r["bin_start"], r["bin_end"]) for r in found] == [(1, 0.0, 2.0), (1, 2.0, 4.0)]
+
+
+def test_odd_column_names(spark):
+    df = spark.createDataFrame([("a", 1), (None, 2)], "`it's``odd.name` string, `a b` int")
+    found = {r["column"]: r["null_count"] for r in profile.null_profile(df).collect()}
+    assert found == {"it's`odd.name": 1, "a b": 0}
+    assert {r["column"] for r in profile.describe_columns(df).collect()} == set(found)
+    assert profile.histogram(df, "a b", bins=2).count() == 2
+    assert profile.category_counts(df).count() == 2
+
+
 def test_histogram_of_nothing(spark):
     assert profile.histogram(spark.createDataFrame([], "x int"), "x").count() == 0
 
