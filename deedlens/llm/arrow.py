@@ -26,16 +26,3 @@ def lists(values: np.ndarray, lengths: list[int], kind: pa.DataType) -> pa.ListA
     offsets = np.zeros(len(lengths) + 1, np.int32)
     np.cumsum(lengths, out=offsets[1:])
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
-
-
-class Bounded(dict):
-    """A dictionary that starts again when it is full: a cache with bounded memory and unchanged answers."""
-
-    def __init__(self, most: int):
-        super().__init__()
-        self.most = most
-
-    def __setitem__(self, key, value):
-        if len(self) >= self.most:
-            self.clear()
-        super().__setitem__(key, value)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deedlens.llm import sharding, simhash
+from deedlens.llm import byte_bpe, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -31,3 +31,14 @@ def op5_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hexadecimal("fp").alias("fingerprint"), "component_id")
+
+
+@query
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = table(spark, sf_dir, "documents").select("doc_id", byte_bpe.encode(F.col("text")).alias("ids"))
+    return ids.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2(byte_bpe.decode(F.col("ids")), 256).alias("decoded_sha256"),
+    )

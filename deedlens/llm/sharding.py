@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from deedlens.llm.ranking import rank_in_group
 from deedlens.sources.scratch import stored
 
 #: Bytes that a row takes besides its text.
@@ -34,33 +35,6 @@ def _earlier(*order: Column) -> Window:
     return Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _rank_in_source(rows: DataFrame, buckets: int) -> DataFrame:
-    """Add ``rank`` (from 0) within the source in the order of ``draw``, and ``in_source``."""
-    width = 2**63 // buckets + 1
-    rows = rows.withColumn("bucket", F.expr(f"draw div {width}"))
-    whole = Window.partitionBy("source")
-    counts = (
-        rows.groupBy("source", "bucket")
-        .agg(F.count("*").alias("n"))
-        .select(
-            F.col("source").alias("of_source"),
-            F.col("bucket").alias("of_bucket"),
-            F.coalesce(
-                F.sum("n").over(whole.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-            ).alias("before"),
-            F.sum("n").over(whole).alias("in_source"),
-        )
-    )
-    within = Window.partitionBy("source", "bucket").orderBy("draw", "doc_id", "text_crc32", "size")
-    same = F.col("source").eqNullSafe(F.col("of_source")) & (F.col("bucket") == F.col("of_bucket"))
-    return (
-        rows.withColumn("number", F.row_number().over(within))
-        .join(counts, same)
-        .withColumn("rank", F.col("before") + F.col("number") - 1)
-        .drop("bucket", "of_bucket", "of_source", "number", "before")
-    )
-
-
 def interleaved_shards(
     df: DataFrame,
     shards: int = 24,
@@ -95,7 +69,9 @@ def interleaved_shards(
         checksum.alias("text_crc32"),
     ).withColumn("draw", F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", "text_crc32", "size", "source"), 1))
     # Both rankings read their rows twice, once to count: narrow rows are stored for that, texts are read once.
-    ranked = _rank_in_source(stored(rows, "shard-rows"), buckets)
+    ranked = rank_in_group(
+        stored(rows, "shard-rows"), "source", "draw", ["doc_id", "text_crc32", "size"], buckets
+    ).withColumnRenamed("in_group", "in_source")
     # floor(buckets * (rank + 1/2) / in_source), in whole numbers
     place = F.expr(f"(2 * rank + 1) * {buckets} div (2 * in_source)")
     ranked = stored(ranked.withColumn("place", place), "shard-ranks")
