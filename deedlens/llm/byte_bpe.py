@@ -26,13 +26,13 @@ import public_tokenizers
 import regex
 from pyspark.sql import Column
 from pyspark.sql.functions import arrow_udf
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
 from deedlens.llm.arrow import lists, raw
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Entries that a cache of a worker holds before a new text; above that it starts again.
-CACHED = 400_000
+CACHED = 200_000
 #: Longer pieces and chunks are not cached.
 CACHED_LENGTH = 64
 
@@ -67,12 +67,14 @@ class Codec:
         self.pattern = regex.compile(pattern)
         self.tokens = dict(zip(ranks.values(), ranks, strict=True))
         # For each entry that merging can make: the two it is merged from (a single byte: itself twice).
-        self.size = {rank: len(token) for token, rank in ranks.items()}
+        self.size = [0] * (max(ranks.values()) + 1)
+        self.shorter: list[int | None] = [None] * len(self.size)
         self.left: dict[int, int] = {}
         self.right: dict[int, int] = {}
         self.pairs: dict[tuple[int, int], int] = {}
-        self.shorter: dict[int, int | None] = {}
         automaton = ahocorasick.Automaton()
+        for token, rank in ranks.items():
+            self.size[rank] = len(token)
         for token, rank in sorted(ranks.items(), key=lambda x: x[1]):
             halves = [token] if len(token) == 1 else merge(token, ranks, 2)
             if len(token) == 1:
@@ -82,14 +84,14 @@ class Codec:
                 self.pairs[self.left[rank], self.right[rank]] = rank
             else:
                 continue  # merging never makes it
-            automaton.add_word(token.decode("latin-1"), (rank, len(token)))
+            automaton.add_word(token.decode("latin-1"), rank)
         for rank in self.left:
             token = self.tokens[rank]
             prefixes = (ranks.get(token[:k]) for k in range(len(token) - 1, 0, -1))
             self.shorter[rank] = next((p for p in prefixes if p in self.left), None)
         automaton.make_automaton()
         self.automaton = automaton
-        self._fit: dict[tuple[int, int], bool] = {}
+        self._fit: dict[int, bool] = {}
         self._pieces: dict[str, list[int]] = {}
         self._inner: dict[str, bytes] = {}
 
@@ -100,7 +102,7 @@ class Codec:
 
     def fits(self, a: int, b: int) -> bool:
         """Whether merging keeps two neighbouring entries apart; it undoes the later merge step by step."""
-        key = (a, b)
+        key = a << 32 | b
         known = self._fit.get(key)
         if known is None:
             known = self._fit[key] = self._fits(a, b)
@@ -137,31 +139,36 @@ class Codec:
             return [whole]
         text = piece.decode("latin-1")
         # Longest entries one after the other; often they fit at once.
-        found = [rank for _, (rank, _) in self.automaton.iter_long(text)]
-        last = -1
-        for token in found:
-            if last >= 0 and not self.fits(last, token):
+        found = [match[1] for match in self.automaton.iter_long(text)]
+        known = self._fit.get
+        last = found[0]
+        for token in found[1:]:
+            if known(last << 32 | token) is not True and not self.fits(last, token):
                 return self._step_back(text)
             last = token
         return found
 
     def _step_back(self, text: str) -> list[int]:
+        size, shorter, fits, known = self.size, self.shorter, self.fits, self._fit.get
         longest: list = [None] * len(text)
-        for end, (rank, length) in self.automaton.iter(text):
-            longest[end - length + 1] = rank  # a later match from the same start is longer
+        for end, token in self.automaton.iter(text):
+            longest[end - size[token] + 1] = token  # a later match from the same start is longer
         open_at = bytearray(b"\x01") * (len(text) + 1)
         found: list[int] = []
         at, token = 0, longest[0]
-        size, shorter, fits = self.size, self.shorter, self.fits
         while True:
             end = at + size[token]
-            if open_at[end] and (not found or fits(found[-1], token)):
-                found.append(token)
-                at = end
-                if at == len(text):
-                    return found
-                token = longest[at]
-                continue
+            if open_at[end]:
+                fit = not found or known(found[-1] << 32 | token)
+                if fit is None:
+                    fit = fits(found[-1], token)
+                if fit:
+                    found.append(token)
+                    at = end
+                    if at == len(text):
+                        return found
+                    token = longest[at]
+                    continue
             token = shorter[token]
             if token is None:
                 open_at[at] = 0
@@ -169,15 +176,16 @@ class Codec:
                 at -= size[token]
 
     def _chunk(self, chunk: str) -> bytes:
-        ids = array("i")
+        ids: list[int] = []
+        pieces = self._pieces
         for piece in self.pattern.findall(chunk):
-            known = self._pieces.get(piece)
+            known = pieces.get(piece)
             if known is None:
                 known = self.encode_piece(piece.encode())
                 if len(piece) <= CACHED_LENGTH:
-                    self._pieces[piece] = known
-            ids.extend(known)
-        return ids.tobytes()
+                    pieces[piece] = known
+            ids += known
+        return array("i", ids).tobytes()
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as native 32-bit integers.
@@ -216,6 +224,18 @@ def codec(path: str) -> Codec:
     return Codec(read_ranks(path))
 
 
+def _ids(column: pa.Array, path: str) -> pa.ListArray:
+    encoder = codec(path)
+    found = [encoder.encode(value.decode()) for value in raw(column)]
+    lengths = [len(f) // 4 for f in found]
+    return lists(np.frombuffer(b"".join(found), np.int32), lengths, pa.int32())
+
+
+def _bytes(column: pa.ListArray, path: str) -> pa.Array:
+    token = entries(path).__getitem__
+    return pa.array([b"".join(map(token, row.as_py() or ())) for row in column], pa.binary())
+
+
 def encode(text: Column, path: str | None = None) -> Column:
     """Array of the ids of a text; NULL and empty texts give an empty array.
 
@@ -227,9 +247,7 @@ def encode(text: Column, path: str | None = None) -> Column:
 
     @arrow_udf(ArrayType(IntegerType()))
     def ids(column: pa.Array) -> pa.Array:
-        encoder = codec(path)
-        found = [encoder.encode(value.decode()) for value in raw(column)]
-        return lists(np.frombuffer(b"".join(found), np.int32), [len(f) // 4 for f in found], pa.int32())
+        return _ids(column, path)
 
     return ids(text)
 
@@ -240,7 +258,19 @@ def decode(ids: Column, path: str | None = None) -> Column:
 
     @arrow_udf(BinaryType())
     def text(column: pa.Array) -> pa.Array:
-        token = entries(path).__getitem__
-        return pa.array([b"".join(map(token, row.as_py() or ())) for row in column], pa.binary())
+        return _bytes(column, path)
 
     return text(ids)
+
+
+def round_trip(text: Column, path: str | None = None) -> Column:
+    """Both in one pass: a struct of ``ids``, as from ``encode``, and ``decoded``, the bytes that ``decode`` makes of them."""
+    path = path or public_tokenizers.path(RANKS)
+    kind = StructType([StructField("ids", ArrayType(IntegerType())), StructField("decoded", BinaryType())])
+
+    @arrow_udf(kind)
+    def both(column: pa.Array) -> pa.Array:
+        ids = _ids(column, path)
+        return pa.StructArray.from_arrays([ids, _bytes(ids, path)], ["ids", "decoded"])
+
+    return both(text)

@@ -35,10 +35,10 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = table(spark, sf_dir, "documents").select("doc_id", byte_bpe.encode(F.col("text")).alias("ids"))
-    return ids.select(
+    coded = table(spark, sf_dir, "documents").select("doc_id", byte_bpe.round_trip(F.col("text")).alias("coded"))
+    return coded.select(
         "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
-        F.sha2(byte_bpe.decode(F.col("ids")), 256).alias("decoded_sha256"),
+        F.size("coded.ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("coded.ids", ","), 256).alias("ids_sha256"),
+        F.sha2("coded.decoded", 256).alias("decoded_sha256"),
     )

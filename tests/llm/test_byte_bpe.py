@@ -75,4 +75,5 @@ def test_nulls_and_empty(spark):
     ids = df.select(byte_bpe.encode(F.col("text")).alias("ids"))
     assert [r.ids for r in ids.collect()] == [[], [], []]
     assert [bytes(r[0]) for r in ids.select(byte_bpe.decode(F.col("ids"))).collect()] == [b"", b"", b""]
+    assert [tuple(r[0]) for r in df.select(byte_bpe.round_trip(F.col("text"))).collect()] == [([], b"")] * 3
     assert df.limit(0).select(byte_bpe.encode(F.col("text"))).count() == 0
