@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deedlens.llm import byte_bpe, sharding, simhash
+from deedlens.llm import byte_bpe, quality, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -42,3 +42,11 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("coded.ids", ","), 256).alias("ids_sha256"),
         F.sha2("coded.decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    forest = quality.fit(documents, table(spark, sf_dir, "labels"))
+    q = quality.judge(documents, forest)
+    return q.select("doc_id", *(f"quality.{n}" for n in [*quality.COUNTS, "base_failed", "kept", "score"]))
