@@ -32,7 +32,7 @@ from deedlens.llm.arrow import lists, raw
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Entries that a cache of a worker holds before a new text; above that it starts again.
-CACHED = 200_000
+CACHED = 400_000
 #: Longer pieces and chunks are not cached.
 CACHED_LENGTH = 64
 
@@ -233,7 +233,9 @@ def _ids(column: pa.Array, path: str) -> pa.ListArray:
 
 def _bytes(column: pa.ListArray, path: str) -> pa.Array:
     token = entries(path).__getitem__
-    return pa.array([b"".join(map(token, row.as_py() or ())) for row in column], pa.binary())
+    flat, ends = column.values.to_numpy(), column.offsets.to_pylist()
+    spans = zip(ends, ends[1:], strict=False)
+    return pa.array([b"".join(map(token, flat[s:e].tolist())) for s, e in spans], pa.binary())
 
 
 def encode(text: Column, path: str | None = None) -> Column:
