@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deedlens.llm import byte_bpe, quality, sharding, simhash
+from deedlens.llm import byte_bpe, packing, quality, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -50,3 +50,8 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     forest = quality.fit(documents, table(spark, sf_dir, "labels"))
     q = quality.judge(documents, forest)
     return q.select("doc_id", *(f"quality.{n}" for n in [*quality.COUNTS, "base_failed", "kept", "score"]))
+
+
+@query
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"))
