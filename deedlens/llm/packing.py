@@ -9,8 +9,10 @@ and sequences of equal length form a bucket from which batches are taken.
 from __future__ import annotations
 
 import functools
+import itertools
 import re
 import struct
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +25,7 @@ from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
-from deedlens.llm.arrow import raw
+from deedlens.llm.arrow import texts
 from deedlens.llm.ranking import rank_in_group
 from deedlens.sources.scratch import stored
 
@@ -34,6 +36,8 @@ END = 2
 #: Words, and twice as many chunks, that a worker keeps before a new text; above that it starts again.
 CACHED = 400_000
 CACHED_LENGTH = 64
+#: Texts that are split at once.
+TOGETHER = 32
 
 # A word of Latin-1 letters and a tail of ASCII signs but the apostrophe: two matches of the
 # tokenizer's own pattern at most, which its normaliser changes in case only.
@@ -72,32 +76,31 @@ class WordEncoder:
             self.words[word] = flat[start:end]
             start = end
 
-    def encode(self, text: str) -> bytes:
-        """Ids of a whole text, as unsigned little-endian 32-bit integers."""
-        if len(self.chunks) > 2 * CACHED:
-            self.chunks.clear()
-        if len(self.words) > CACHED:
-            self.words = {"": b""}
-        split = text.replace("\n", " ").split(" ")
-        chunks = self.chunks
-        new = {c: _PLAIN.match(c) for c in split if c not in chunks}
-        parts = {c: (m[1].lower(), m[2]) for c, m in new.items() if m}
+    def _learn(self, new: set[str]) -> None:
+        """Put the ids of new chunks into the cache."""
         known = self.words
+        parts = {c: (m[1].lower(), m[2]) for c in new if (m := _PLAIN.match(c))}
         if words := list({w for w, _ in parts.values() if w not in known}):
             self._learn_words(words)
         for tail in {t for _, t in parts.values() if t not in known}:
             known[tail] = self._ids(tail).tobytes()
-        long = {}
-        for chunk in new:
-            if chunk in parts:
-                word, tail = parts[chunk]
-                ids = known[word] + known[tail]
-            else:
-                ids = self._ids(chunk).tobytes()
-            (chunks if len(chunk) <= CACHED_LENGTH else long)[chunk] = ids
-        if long:
-            return b"".join(long[c] if c in long else chunks[c] for c in split)
-        return b"".join(map(chunks.__getitem__, split))
+        self.chunks.update((c, known[w] + known[t]) for c, (w, t) in parts.items())
+        self.chunks.update((c, self._ids(c).tobytes()) for c in new if c not in parts)
+
+    def encode_all(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """Ids of whole texts, as unsigned little-endian 32-bit integers; new words of some texts are learnt together."""
+        texts = iter(texts)
+        while splits := [t.replace("\n", " ").split(" ") for t in itertools.islice(texts, TOGETHER)]:
+            if len(self.chunks) > 2 * CACHED:
+                self.chunks = {}
+            if len(self.words) > CACHED:
+                self.words = {"": b""}
+            new = set().union(*splits).difference(self.chunks)
+            self._learn(new)
+            for split in splits:
+                yield b"".join(map(self.chunks.__getitem__, split))
+            for chunk in [c for c in new if len(c) > CACHED_LENGTH]:
+                del self.chunks[chunk]
 
 
 @functools.cache
@@ -112,8 +115,8 @@ def token_bytes(text: Column, path: str | None = None, end: int = END) -> Column
 
     @arrow_udf(BinaryType())
     def ids(column: pa.Array) -> pa.Array:
-        own, last = encoder(path), struct.pack("<I", end)
-        return pa.array([own.encode(value.decode()) + last for value in raw(column)], pa.binary())
+        last = struct.pack("<I", end)
+        return pa.array([ids + last for ids in encoder(path).encode_all(texts(column))], pa.binary())
 
     return ids(text)
 

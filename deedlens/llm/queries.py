@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deedlens.llm import byte_bpe, packing, quality, sharding, simhash
+from deedlens.llm import byte_bpe, language, packing, quality, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -55,3 +55,13 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3 == 1
+    model = language.fit(documents.where(~held_out))
+    return documents.select(
+        "doc_id", held_out.alias("held_out"), language.identify(F.col("text"), model, spark).alias("found")
+    ).select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), "found.score")
