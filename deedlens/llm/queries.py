@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deedlens.llm import byte_bpe, language, packing, quality, sharding, simhash
+from deedlens.llm import byte_bpe, extraction, language, packing, quality, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -65,3 +65,12 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.select(
         "doc_id", held_out.alias("held_out"), language.identify(F.col("text"), model, spark).alias("found")
     ).select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), "found.score")
+
+
+@query
+def op8_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    weights = extraction.fit(pages)
+    return pages.select("page_id", "url", extraction.extract(F.col("html"), weights).alias("text")).select(
+        "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars")
+    )
