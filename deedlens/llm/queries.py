@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deedlens.llm import byte_bpe, extraction, language, packing, quality, sharding, simhash
+from deedlens.llm import byte_bpe, extraction, language, neighbours, packing, quality, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -74,3 +74,8 @@ def op8_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "url", extraction.extract(F.col("html"), weights).alias("text")).select(
         "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars")
     )
+
+
+@query
+def op4_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
