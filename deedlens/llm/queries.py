@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deedlens.llm import byte_bpe, extraction, language, neighbours, packing, quality, sharding, simhash
+from deedlens.llm import byte_bpe, extraction, language, lines, neighbours, packing, quality, secrets, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -79,3 +79,20 @@ def op8_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.line_components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "line_no", "keep_doc_id", "keep_line_no", "kept")
+
+
+@query
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = secrets.fit(documents)
+    found = documents.select("doc_id", F.explode(secrets.scan(F.col("text"), model, spark)).alias("found"))
+    # The value itself is not repeated in the report.
+    return found.select(
+        "doc_id", "found.start", "found.length", F.sha2("found.value", 256).alias("value_sha256"), "found.score", "found.is_secret"
+    )

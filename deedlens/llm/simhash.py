@@ -70,12 +70,18 @@ def _fingerprints(text: pa.Array) -> pa.Array:
 
 
 def fingerprints(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, fp``: the fingerprint's 64 bits as a signed long, one row per row of ``df``.
+    """``doc_id, row, fp``: the fingerprint's 64 bits as a signed long, one row per row of ``df``.
 
     NULL, empty and blank texts have fingerprint 0. A text with fewer words than
     a shingle is one shingle of all its words.
     """
-    return df.select(F.col(f"`{doc_id}`").alias("doc_id"), _fingerprints(F.col(f"`{text}`")).alias("fp"))
+    return df.select(
+        F.col(f"`{doc_id}`").alias("doc_id"), _row_hash(df).alias("row"), _fingerprints(F.col(f"`{text}`")).alias("fp")
+    )
+
+
+def _row_hash(df: DataFrame) -> Column:
+    return F.xxhash64(*(F.col(f"`{c}`") for c in df.columns))
 
 
 def _runs(values: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]], np.ndarray, np.ndarray]:
@@ -164,14 +170,15 @@ def close_links(distinct: DataFrame, radius_bits: int = RADIUS, tile: int = TILE
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, fp, component_id``, one row per row of ``df``.
+    """``doc_id, row, fp, root, component_id``, one row per row of ``df``.
 
     Documents are linked when their fingerprints differ in at most ``RADIUS``
     bits; ``component_id`` is the smallest id that links reach, the own one
-    included. Texts without a word share fingerprint 0 and are linked as any
-    others. Rows with a NULL id take part; a component of such rows alone has
-    a NULL ``component_id``. Repeated rows give repeated rows. An empty table
-    gives an empty frame. Other columns are not looked at. Jobs run while this
+    included, and ``root`` a fingerprint that tells components apart. Texts
+    without a word share fingerprint 0 and are linked as any others. Rows with a
+    NULL id take part; a component of such rows alone has a NULL
+    ``component_id``. Repeated rows give repeated rows; ``row`` is a hash of all
+    columns of ``df``. An empty table gives an empty frame. Jobs run while this
     is called.
     """
     docs = stored(fingerprints(df, doc_id, text), "fingerprints")
@@ -181,8 +188,25 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         classes["fp"], "least", F.coalesce("root", classes["fp"]).alias("root")
     )
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id")).withColumnRenamed("root", "of_root")
-    named = rooted.join(least, F.col("root") == F.col("of_root")).select(F.col("fp").alias("of_fp"), "component_id")
-    return docs.join(stored(named, "fingerprint-components"), F.col("fp") == F.col("of_fp")).drop("of_fp")
+    named = rooted.join(least, F.col("root") == F.col("of_root")).select(F.col("fp").alias("of_fp"), "root", "component_id")
+    return docs.join(stored(named, "fingerprint-components"), F.col("fp") == F.col("of_fp")).select(
+        "doc_id", "row", "fp", "root", "component_id"
+    )
+
+
+def one_of_each(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``df`` without near-duplicates: of each component the row with the smallest id stays.
+
+    Rows without an id come last, ties go to the smaller hash of the row, and of
+    rows that are equal in every column one stays.
+    """
+    units = near_duplicates(df, doc_id, text).groupBy("root", "doc_id", "row").agg(F.count("*").alias("copies"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "copies")).alias("first")
+    chosen = stored(units.groupBy("root").agg(first).select("first.*"), "documents-kept")
+    ids = chosen.select(F.col("doc_id").alias("_of_id"), F.col("row").alias("_of_row"))
+    same = F.col(f"`{doc_id}`").eqNullSafe(F.col("_of_id")) & (_row_hash(df) == F.col("_of_row"))
+    kept = df.join(ids, same, "left_semi")
+    return kept if chosen.where("copies > 1").isEmpty() else kept.dropDuplicates()
 
 
 def hexadecimal(fp: str) -> Column:

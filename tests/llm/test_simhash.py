@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from deedlens.llm.components import connected_components
-from deedlens.llm.simhash import close_forest, close_links, fingerprint, hexadecimal, near_duplicates
+from deedlens.llm.simhash import close_forest, close_links, fingerprint, hexadecimal, near_duplicates, one_of_each
 
 
 def plain_fingerprint(text):
@@ -139,3 +139,16 @@ def test_components(spark, shape):
     expected = groups_of(n + 1, edges)
     touched = {x for a, b in edges if a != b for x in (a, b)}
     assert found == {x: expected[x] for x in touched}
+
+
+def test_one_of_each(spark):
+    text = "a text of some words that stands here more than once"
+    rows = [(3, text, "b"), (2, text, "a"), (2, text, "a"), (2, text.upper(), "c"), (5, "quite another text of its own", None)]
+    rows += [(None, "a third text without any id at all", "d"), (None, "a third text without any id at all", "d"), (9, None, "e"), (8, "", "f")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, row string")
+    kept = one_of_each(df)
+    assert kept.columns == df.columns
+    found = sorted(map(tuple, kept.collect()), key=str)
+    assert len(found) == 4 and (5, "quite another text of its own", None) in found and (8, "", "f") in found
+    assert sum(r[0] == 2 for r in found) == 1 and sum(r[0] is None for r in found) == 1
+    assert one_of_each(df.limit(0)).count() == 0
