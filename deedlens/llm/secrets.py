@@ -160,8 +160,9 @@ def features_of(text: str, start: int, end: int, words: Words) -> list[float]:
         -sum(p * math.log2(p) for p in shares),
         words.transition(lower),
         words.coverage(lower),
-        float(value.count("/") >= 1 or last.endswith(("/", "\\", "~"))),
-        float("@" in last or "://" in last or after.startswith("@") or re.search(r"[a-z]\.[a-z]{2,}", value) is not None),
+        # Base64 has a slash in 64 characters; paths have more.
+        float(value.count("/") >= max(2, n / 16) or last.endswith(("/", "\\", "~"))),
+        float("@" in last or "://" in last + value or after.startswith("@") or re.search(r"[a-z]\.[a-z]{2,}", value) is not None),
         float(_CREDENTIAL.search(before) is not None),
         float(_HARMLESS.search(before) is not None),
         float(_ASSIGNED.search(name if name.endswith(("=", ":")) else before) is not None),
@@ -256,7 +257,9 @@ class Model:
 def made_up_findings(words: list[str], n: int = 1_500, seed: int = SEED) -> list[tuple[str, int, int, int]]:
     """Text, start, end and label of findings as credential scanners meet them, from a seeded generator."""
     rng = random.Random(seed)
-    words = words or ["word", "other", "thing"]
+    # Words of the corpus, and as many that it does not know.
+    known = words or ["word", "other", "thing"]
+    words = known + ["".join(rng.choices("etaoinshrdlucmfwypvbgk", k=rng.randrange(3, 9))) for _ in known]
     names = ["token", "secret", "password", "api_key", "access_key", "auth token", "client_secret"]
 
     def natural(k: int) -> str:
