@@ -13,9 +13,10 @@ is labelled.
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -36,9 +37,11 @@ PENALTY = 12.0
 SCRIPT_SHARE = 0.01
 UNDETERMINED = "und"
 SMOOTHING = 0.5
-#: Chunks that a worker keeps scores of before a new text; above that it starts again.
+#: Chunks that a worker keeps scores of before new texts; above that it starts again, as after a text of LONG characters.
 CACHED = 300_000
-CACHED_LENGTH = 64
+LONG = 10_000_000
+#: Texts whose words are scored at once.
+TOGETHER = 64
 SEED = 42
 
 # First and last code point of the letters of each script; what is in none is a script of its own.
@@ -85,46 +88,76 @@ class Model:
     """Log probabilities of trigrams by language, and the languages that each script leaves."""
 
     languages: list[str]
-    scores: dict[str, np.ndarray]
-    unseen: np.ndarray
-    candidates: dict[str, np.ndarray]
+    #: Row of each trigram in ``table``; its last row is that of trigrams not seen.
+    grams: dict[str, int]
+    table: np.ndarray
+    #: Row of each script in ``allowed``; scripts that were not seen leave nothing to tell languages by.
+    scripts: dict[str, int]
+    allowed: np.ndarray
     penalty: float = PENALTY
     # Scores of chunks seen before: row numbers, and the rows.
     _rows: dict[str, int] = field(default_factory=dict, repr=False)
-    _scores: np.ndarray = field(default_factory=lambda: np.empty((0, 0)), repr=False)
+    _scores: np.ndarray | None = field(default=None, repr=False)
+    _script_of: dict[str, int] = field(default_factory=dict, repr=False)
 
     @classmethod
     def of_counts(cls, counts: list[tuple[str, str, int]], penalty: float = PENALTY) -> Model:
         """From rows of language, trigram and how often it was seen."""
         languages = sorted({c[0] for c in counts})
+        grams = {gram: i for i, gram in enumerate(sorted({c[1] for c in counts}))}
+        seen = np.zeros((len(grams) + 1, len(languages)))
         at = {lang: i for i, lang in enumerate(languages)}
-        table: dict[str, np.ndarray] = {}
-        letters: dict[str, np.ndarray] = {}
         for lang, gram, n in counts:
-            table.setdefault(gram, np.zeros(len(languages)))[at[lang]] += n
-            letters.setdefault(script_of(gram[1]), np.zeros(len(languages)))[at[lang]] += n
-        total = sum(letters.values(), np.zeros(len(languages)))
-        whole = np.log(total + SMOOTHING * (len(table) + 1))
-        scores = {gram: np.log(n + SMOOTHING) - whole for gram, n in table.items()}
-        candidates = {s: n >= SCRIPT_SHARE * np.maximum(total, 1) for s, n in letters.items()}
-        return cls(languages, scores, np.log(SMOOTHING) - whole, candidates, penalty)
-
-    def word_score(self, word: str) -> np.ndarray:
-        """Log score of each language; those that the script rules out get what lies far below the others."""
-        allowed = self.candidates.get(script_of(word[0]))
-        if allowed is None or not allowed.any():
-            return np.zeros(len(self.languages))
-        total = sum((self.scores.get(g, self.unseen) for g in trigrams(word)), np.zeros(len(self.languages)))
-        return np.where(allowed, total, total.min() - 2 * self.penalty)
-
-    def chunk_score(self, chunk: str) -> np.ndarray:
-        """Scores of all words between two blanks, and their letters behind."""
-        words = _WORD.findall(chunk.lower())
-        total = np.zeros(len(self.languages) + 1)
+            seen[grams[gram], at[lang]] += n
+        total = seen.sum(axis=0)
+        letters: dict[str, np.ndarray] = {}
+        for gram, i in grams.items():
+            letters.setdefault(script_of(gram[1]), np.zeros(len(languages)))
+            letters[script_of(gram[1])] += seen[i]
+        scripts = {script: i for i, script in enumerate(sorted(letters))}
+        allowed = np.array([letters[s] >= SCRIPT_SHARE * np.maximum(total, 1) for s in scripts], bool)
+        table = np.log(seen + SMOOTHING) - np.log(total + SMOOTHING * len(seen))
+        return cls(languages, grams, table, scripts, allowed.reshape(len(scripts), len(languages)), penalty)
+
+    def word_scores(self, words: list[str]) -> np.ndarray:
+        """A row of log scores per word; languages that its script rules out lie far below the others."""
+        if not words:
+            return np.zeros((0, len(self.languages)))
+        find, unseen = self.grams.get, len(self.grams)
+        ids: list[int] = []
         for word in words:
-            total[:-1] += self.word_score(word)
-        total[-1] = sum(map(len, words))
-        return total
+            padded = f" {word} "
+            ids += [find(padded[i : i + 3], unseen) for i in range(len(word))]
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        total = np.add.reduceat(self.table[ids], np.cumsum(lengths) - lengths, axis=0)
+        script = np.fromiter(map(self._script, words), np.int64, len(words))
+        allowed = self.allowed[script]
+        lowest = total.min(axis=1, keepdims=True) - 2 * self.penalty
+        scores = np.where(allowed, total, lowest)
+        scores[(script < 0) | ~allowed.any(axis=1)] = 0
+        return scores
+
+    def _script(self, word: str) -> int:
+        letter = word[0]
+        found = self._script_of.get(letter)
+        if found is None:
+            found = self._script_of[letter] = self.scripts.get(script_of(letter), -1)
+        return found
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Keep the scores of all words between two blanks, and their letters behind."""
+        words_of = [_WORD.findall(chunk.lower()) for chunk in chunks]
+        words = [w for ws in words_of for w in ws]
+        scores = np.column_stack([self.word_scores(words), np.fromiter(map(len, words), float, len(words))])
+        # Running sums tell the sum of each chunk, also of those without a word.
+        sums = np.vstack([np.zeros(scores.shape[1]), np.cumsum(scores, axis=0)])
+        ends = np.cumsum([len(ws) for ws in words_of])
+        rows = sums[ends] - sums[np.concatenate([[0], ends[:-1]])]
+        first = len(self._rows)
+        while first + len(chunks) > len(self._scores):
+            self._scores = np.concatenate([self._scores, np.empty_like(self._scores)])
+        self._scores[first : first + len(chunks)] = rows
+        self._rows.update(zip(chunks, range(first, first + len(chunks)), strict=True))
 
     def viterbi(self, scores: np.ndarray) -> np.ndarray:
         """The best language of each row, where each change costs the penalty; ties go to the earlier language.
@@ -137,33 +170,50 @@ class Model:
         floor = np.minimum.accumulate(np.vstack([np.zeros(gain.shape[1]), gain[:-1]]), axis=0)
         if (gain - floor).max() <= self.penalty:
             return np.full(len(scores), best)
-        # Rows with a best language each; what changes on the way there is noted row by row.
-        back = np.empty(scores.shape, np.int64)
-        stay = np.arange(scores.shape[1])
-        value = np.zeros(scores.shape[1])
-        for t, row in enumerate(scores):
-            source = int(value.argmax())
-            changed = value[source] - self.penalty
-            back[t] = np.where(value >= changed, stay, source)
-            value = np.maximum(value, changed) + row
+        # Plain numbers: for a few languages they beat arrays by far. ``back`` notes the rows in which a language
+        # is reached from another.
+        value = [0.0] * scores.shape[1]
+        back: list[tuple[int, list[bool]] | None] = []
+        for row in scores.tolist():
+            top = max(value)
+            changed = top - self.penalty
+            if min(value) >= changed:
+                back.append(None)
+                value = [v + x for v, x in zip(value, row, strict=True)]
+            else:
+                back.append((value.index(top), [v < changed for v in value]))
+                value = [(v if v >= changed else changed) + x for v, x in zip(value, row, strict=True)]
         path = np.empty(len(scores), np.int64)
-        state = int(value.argmax())
+        state = value.index(max(value))
         for t in range(len(scores) - 1, -1, -1):
             path[t] = state
-            state = back[t, state]
+            step = back[t]
+            if step is not None and step[1][state]:
+                state = step[0]
         return path
 
     def label(self, text: str) -> tuple[str, float, list[tuple[int, int, str]]]:
         """Language, its share of the letters, and spans of (start, end, language) in characters."""
-        if not self.languages:
+        return next(self.label_all([text]))
+
+    def label_all(self, all_texts: Iterable[str]) -> Iterator[tuple[str, float, list[tuple[int, int, str]]]]:
+        """``label`` of each text; the words of some texts are scored together."""
+        all_texts = iter(all_texts)
+        while group := list(itertools.islice(all_texts, TOGETHER)):
+            splits = [text.split() for text in group]
+            if len(self._rows) > CACHED or self._scores is None:
+                self._rows, self._scores = {}, np.empty((4096, len(self.languages) + 1))
+            if self.languages and (new := list(set().union(*splits).difference(self._rows))):
+                self._learn(new)
+            for text, chunks in zip(group, splits, strict=True):
+                yield self._label(text, chunks)
+            if len(self._rows) > CACHED or max(map(len, group)) > LONG:
+                self._rows, self._scores = {}, None
+
+    def _label(self, text: str, chunks: list[str]) -> tuple[str, float, list[tuple[int, int, str]]]:
+        if not self.languages or not chunks:
             return UNDETERMINED, 0.0, []
-        if len(self._rows) > CACHED or not self._rows:
-            self._rows, self._scores = {}, np.empty((4096, len(self.languages) + 1))
-        known, rows = self._rows, []
-        for chunk in text.split():
-            row = known.get(chunk)
-            rows.append(self._learn(chunk) if row is None else row)
-        table = self._scores[rows]
+        table = self._scores[np.fromiter(map(self._rows.__getitem__, chunks), np.int64, len(chunks))]
         letters = table[:, -1]
         whole = letters.sum()
         if not whole:
@@ -171,16 +221,7 @@ class Model:
         path = self.viterbi(table[:, :-1])
         share = np.bincount(path, letters, len(self.languages))
         best = int(share.argmax())
-        return self.languages[best], float(share[best] / whole), self._spans(text, path)
-
-    def _learn(self, chunk: str) -> int:
-        row = len(self._rows)
-        if row >= len(self._scores):
-            self._scores = np.concatenate([self._scores, np.empty_like(self._scores)])
-        self._scores[row] = self.chunk_score(chunk)
-        # A long chunk is kept under a stand-in, which no text contains, to hold its row.
-        self._rows[chunk if len(chunk) <= CACHED_LENGTH else f" {row}"] = row
-        return row
+        return self.languages[best], min(1.0, float(share[best] / whole)), self._spans(text, path)
 
     def _spans(self, text: str, path: np.ndarray) -> list[tuple[int, int, str]]:
         cuts = np.flatnonzero(np.diff(path)) + 1
@@ -263,7 +304,7 @@ def identify(text: Column, model: Model, spark) -> Column:
 
     @arrow_udf(_KIND)
     def labelled(column: pa.Array) -> pa.Array:
-        found = [shared.value.label(value) for value in texts(column)]
+        found = list(shared.value.label_all(texts(column)))
         spans = [[{"start": s, "end": e, "lang": lang} for s, e, lang in f[2]] for f in found]
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))
         return pa.StructArray.from_arrays(

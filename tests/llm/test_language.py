@@ -53,7 +53,9 @@ def test_spans(model):
 
 def test_script_narrows(model):
     assert model.label("дом")[0] == "ru" and model.label("中文")[0] in model.languages
-    assert (model.word_score("zzz")[model.languages.index("ru")] < model.word_score("zzz").max() - model.penalty).all()
+    scores = model.word_scores(["zzz", "中文", "дом"])
+    assert scores[0][model.languages.index("ru")] < scores[0].max() - model.penalty
+    assert not scores[1].any() and scores[2].argmax() == model.languages.index("ru")
 
 
 def test_no_letters_and_no_languages(model):
@@ -68,6 +70,9 @@ def test_cache_changes_nothing(model, monkeypatch):
     mixed = [" ".join(rng.choices(words, k=30)) for _ in range(50)]
     expected = [model.label(t) for t in mixed]
     monkeypatch.setattr(language, "CACHED", 5)
+    monkeypatch.setattr(language, "TOGETHER", 3)
+    assert list(model.label_all(mixed)) == expected
+    monkeypatch.setattr(language, "LONG", 1)
     assert [model.label(t) for t in mixed] == expected
 
 
