@@ -103,19 +103,29 @@ def similar_forest(
 ) -> list[tuple[int, int]]:
     """A spanning forest of the links among sorted shingle sets, or between two lists of them.
 
-    Pairs are positions in left + right. The first set of a list comes first,
-    so groups that all resemble it take one comparison each.
+    Pairs are positions in left + right. A set is compared with all others that
+    it is not linked to yet at once; the first set of a list comes first, so a
+    group that resembles it is settled by one comparison.
     """
     sets = left + (right or [])
-    forest, links = Forest(len(sets)), []
-    for i in range(len(left)):
-        for j in range(len(left), len(sets)) if right is not None else range(i + 1, len(sets)):
-            small, large = sorted((len(sets[i]), len(sets[j])))
-            # The smaller set has too few shingles, or they are linked.
-            if small < least * large or forest.root(i) == forest.root(j):
-                continue
-            both = small + large - len(np.union1d(sets[i], sets[j]))
-            if both >= least * (small + large - both) and forest.join(i, j):
+    n, first = len(sets), len(left)
+    sizes = np.fromiter(map(len, sets), np.int64, n)
+    roots = np.arange(n)
+    links = []
+    for i in range(first):
+        others = np.arange(i + 1 if right is None else first, n)
+        low, high = np.minimum(sizes[i], sizes[others]), np.maximum(sizes[i], sizes[others])
+        # Sets of too different sizes are out, linked ones are settled.
+        others = others[(roots[others] != roots[i]) & (low >= least * high)]
+        if not len(others):
+            continue
+        values = np.concatenate([sets[j] for j in others])
+        at = np.minimum(np.searchsorted(sets[i], values), sizes[i] - 1)
+        starts = np.cumsum(sizes[others]) - sizes[others]
+        both = np.add.reduceat(sets[i][at] == values, starts, dtype=np.int64)
+        for j in others[both >= least * (sizes[i] + sizes[others] - both)].tolist():
+            if roots[i] != roots[j]:
+                roots[roots == max(roots[i], roots[j])] = min(roots[i], roots[j])
                 links.append((i, j))
     return links
 
@@ -217,23 +227,26 @@ def line_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text", t
     )
     members = _tiled(edges, tile)
     placed = distinct.select(F.col("h").alias("of_h"), F.col("place").alias("of_place"))
-    wanted = stored(members.join(placed, F.col("h") == F.col("of_h")).drop("of_h"), "line-groups")
+    wanted = members.join(placed, F.col("h") == F.col("of_h")).drop("of_h")
     # Of equal lines, the text of one is enough.
-    texts_of = wanted.join(
-        lines.select(F.col("h").alias("of_h"), "line", place.alias("p")),
-        (F.col("h") == F.col("of_h")) & F.col("of_place").eqNullSafe(F.col("p")),
-    ).select("pivot", "h", "tile", "tiles", "is_pivot", "line")
+    texts_of = stored(
+        wanted.join(
+            lines.select(F.col("h").alias("of_h"), "line", place.alias("p")),
+            (F.col("h") == F.col("of_h")) & F.col("of_place").eqNullSafe(F.col("p")),
+        ).select("pivot", "h", "tile", "tiles", "is_pivot", "line"),
+        "line-texts",
+    )
     found = stored(texts_of.groupBy("pivot", "tile").applyInArrow(_within, _FOUND), "line-links")
     links = found.where("NOT loose").select("a", "b")
     several = F.col("tiles") > 1
     loose = (
         found.where("loose")
         .select(F.col("a").alias("h"), "pivot")
-        .join(wanted.where(several).select(F.col("pivot").alias("p"), F.col("h").alias("m")), (F.col("pivot") == F.col("p")) & (F.col("h") == F.col("m")), "left_semi")
+        .join(texts_of.where(several).select(F.col("pivot").alias("p"), F.col("h").alias("m")), (F.col("pivot") == F.col("p")) & (F.col("h") == F.col("m")), "left_semi")
     )
     loose = stored(loose, "loose-lines")
     if not loose.isEmpty():
-        links = links.union(_loose_links(loose, wanted.where(several), lines, place, tile))
+        links = links.union(_loose_links(loose, texts_of.where(several), tile))
     roots = connected_components(links)
     rooted = distinct.join(roots, F.col("h") == F.col("node"), "left").select(
         "h", "place", F.coalesce("root", "h").alias("root")
@@ -262,32 +275,23 @@ def line_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text", t
     )
 
 
-def _loose_links(loose: DataFrame, wanted: DataFrame, lines: DataFrame, place, tile: int) -> DataFrame:
+def _loose_links(loose: DataFrame, members: DataFrame, tile: int) -> DataFrame:
     """Links between loose lines and the other tiles of their groups."""
     chunks = loose.groupBy("pivot").agg(F.ceil(F.count("*") / tile).cast("long").alias("chunks")).withColumnRenamed("pivot", "p")
-    groups = wanted.join(chunks, F.col("pivot") == F.col("p")).drop("p")
-    others = groups.where("NOT is_pivot").select(
-        "pivot", "h", "of_place", "tile", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(False).alias("loose")
+    groups = members.where("NOT is_pivot").join(chunks, F.col("pivot") == F.col("p")).drop("p")
+    others = groups.select(
+        "pivot", "tile", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "h", F.lit(False).alias("loose"), "line"
     )
     mine = loose.select(F.col("pivot").alias("lp"), F.col("h").alias("lh"))
     apart = groups.join(mine, (F.col("pivot") == F.col("lp")) & (F.col("h") == F.col("lh"))).select(
         "pivot",
-        "h",
-        "of_place",
         F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"),
         F.pmod(F.xxhash64("h"), F.col("chunks")).alias("chunk"),
+        "h",
         F.lit(True).alias("loose"),
+        "line",
     )
-    rows = others.union(apart).join(
-        lines.select(F.col("h").alias("of_h"), "line", place.alias("p")),
-        (F.col("h") == F.col("of_h")) & F.col("of_place").eqNullSafe(F.col("p")),
-    )
-    return (
-        rows.select("pivot", "tile", "chunk", "h", "loose", "line")
-        .groupBy("pivot", "tile", "chunk")
-        .applyInArrow(_across, _FOUND)
-        .select("a", "b")
-    )
+    return others.union(apart).groupBy("pivot", "tile", "chunk").applyInArrow(_across, _FOUND).select("a", "b")
 
 
 @arrow_udf(StringType())
