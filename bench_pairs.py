@@ -75,7 +75,7 @@ def main() -> None:
             lambda: spellings.category_counts_by_column(clean, texts),
         ),
         "polarity": (
-            lambda: noop(text.polarity(documents, "doc_id", "text", LEXICON)),
+            lambda: noop(text.polarity(documents, "text", LEXICON).select("doc_id", "polarity")),
             lambda: noop(spellings.polarity_by_udf(documents, "doc_id", "text", LEXICON)),
         ),
     }

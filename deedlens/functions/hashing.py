@@ -24,6 +24,12 @@ def bucket(key: Column, seed: int | str, part: int = 0) -> Column:
     return F.conv(F.substring(digest, 1 + 8 * part, 8), 16, 10).cast("bigint")
 
 
+def wide_bucket(key: Column, seed: int | str) -> Column:
+    """Integer in [0, 2**52) from a key and a seed, for ranges of more than 32 bits."""
+    digest = F.md5(F.concat(key.cast("string"), F.lit(f"|{seed}")))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint")
+
+
 def uniform(key: Column, seed: int | str, part: int = 0) -> Column:
     """Double in [0, 1)."""
     return bucket(key, seed, part) / F.lit(float(BUCKETS))
@@ -36,9 +42,12 @@ def standard_normal(key: Column, seed: int | str) -> Column:
 
 
 def poisson_thresholds(rate: float) -> list[float]:
-    """Poisson distribution function at 0, 1, 2, … until the rest is below any possible draw."""
+    """Poisson distribution function at 0, 1, 2, … until the rest is below any possible draw; rates up to 100.
+
+    A larger rate is a sum of smaller ones, see ``poisson_sum``.
+    """
     if not 0 <= rate <= 100:
-        raise ValueError("sampling rate must lie between 0 and 100")
+        raise ValueError("one draw takes a rate between 0 and 100")
     term = math.exp(-rate)
     total = term
     thresholds = [total]
@@ -52,9 +61,8 @@ def poisson_thresholds(rate: float) -> list[float]:
 
 
 def poisson_thresholds_of(rate: Column) -> list[Column]:
-    """The same for a rate of at most one that is computed in the plan; above one it fails."""
-    problem = F.raise_error(F.lit("a sampling rate taken from the plan must not exceed 1")).cast("double")
-    first = F.when(rate <= 1, F.exp(-rate)).otherwise(problem)
+    """The same for a rate of at most one that is computed in the plan; ``poisson_sum`` adds such draws for larger ones."""
+    first = F.exp(-rate)
     partial = F.lit(1.0)
     thresholds = [first]
     # Twelve more terms leave a tail below 2**-32.
@@ -69,6 +77,20 @@ def poisson_count(u: Column, thresholds: list[Column]) -> Column:
     return sum(((u >= t).cast("int") for t in thresholds[1:]), (u >= thresholds[0]).cast("int"))
 
 
+def poisson_sum(key: Column, seed: int | str, rate: Column) -> Column:
+    """Poisson count at any rate, fixed by key and seed: the sum of ``ceil(rate)`` counts at equal rates up to 1."""
+    parts = F.greatest(F.ceil(rate), F.lit(1)).cast("int")
+    limits = F.array(*poisson_thresholds_of(rate / parts))
+
+    def count(part: Column) -> Column:
+        # The first part draws as a single count of the same key and seed does.
+        own = F.when(part == 0, key.cast("string")).otherwise(F.concat(key.cast("string"), F.lit("#"), part.cast("string")))
+        u = uniform(own, seed)
+        return F.size(F.filter(limits, lambda t: u >= t))
+
+    return F.aggregate(F.sequence(F.lit(0), parts - 1), F.lit(0), lambda total, part: total + count(part))
+
+
 def random_letters(key: Column, seed: int | str, length: int) -> Column:
     """``length`` ASCII letters of both cases that depend on key and seed only."""
     # 16 digest bytes give 22 base64 characters; the 12 characters that are

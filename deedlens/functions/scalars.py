@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from deedlens.functions.hashing import bucket, random_letters
+from deedlens.functions.hashing import random_letters, wide_bucket
 
 
 def timestamp_text(ts: Column) -> Column:
@@ -61,8 +61,9 @@ def floor_mod(number: Column, n: int | Column) -> Column:
 
 
 def pad_left(value: Column, length: int, char: str) -> Column:
-    """Value as text, padded on the left up to ``length``."""
-    return F.lpad(value.cast("string"), length, char)
+    """Value as text, padded on the left up to ``length``; a longer value is never cut."""
+    text = value.cast("string")
+    return F.lpad(text, F.greatest(F.lit(length), F.char_length(text)), F.lit(char))
 
 
 def pad_by_value(value: Column, length: int, seed: int = 0, offset: int = 0) -> Column:
@@ -102,7 +103,7 @@ def scattered(x: Column, n: Column) -> Column:
 
 def randomised(x: Column, n: Column, seed: int) -> Column:
     """Whole number in [0, n) as a double, fixed by x and the seed."""
-    return floor_mod(bucket(x, seed), n).cast("double")
+    return floor_mod(wide_bucket(x, seed), n).cast("double")
 
 
 def scale_array(values: Column, divisor: float = 255.0) -> Column:

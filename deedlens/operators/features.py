@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline
 from pyspark.ml.feature import FeatureHasher, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -78,7 +77,7 @@ def standardise(df: DataFrame, columns: Sequence[str], stats: DataFrame) -> Data
     values = {}
     for c in columns:
         mean, std = F.col(f"_stats.{c}_mean"), F.col(f"_stats.{c}_std")
-        values[c] = F.when(std == 0, F.when(F.col(c).isNotNull(), F.lit(0.0))).otherwise((F.col(c) - mean) / std)
+        values[c] = F.when(std.isNull() | (std == 0), F.when(F.col(c).isNotNull(), F.lit(0.0))).otherwise((F.col(c) - mean) / std)
     return scaled.withColumns(values).drop("_stats")
 
 
@@ -128,65 +127,51 @@ def build_features(
     return Features(df, assemble(complete_rows(df, needed), numbers), needed, key)
 
 
-def level_count(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
-    """Estimated number of distinct values per column, from one job and in fixed memory."""
-    row = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    return row.asDict()
+def one_hot(df: DataFrame, columns: Sequence[str], drop_last: bool = True, invalid: str = "error") -> DataFrame:
+    """Index and one-hot vector per text column: ``<c>_index`` and ``<c>_vec``, for any number of values.
 
-
-def one_hot(
-    df: DataFrame,
-    columns: Sequence[str],
-    drop_last: bool = True,
-    invalid: str = "error",
-    max_levels: int = 10_000,
-) -> DataFrame:
-    """Index and one-hot vector per text column: ``<c>_index`` and ``<c>_vec``.
-
-    The fitted levels are held by the driver and by every task, so a column with
-    more than ``max_levels`` values is refused; :func:`feature_stages` hashes those.
+    The index is joined from a frame of the values, see :func:`string_index`;
+    the sparse vector needs no more than index and number of values.
     """
-    many = [c for c, n in level_count(df, columns).items() if n > max_levels]
-    if many:
-        raise ValueError(f"more than {max_levels} values in {many}")
-    return Pipeline(stages=one_hot_stages(columns, drop_last, invalid)).fit(df).transform(df)
-
-
-def one_hot_stages(columns: Sequence[str], drop_last: bool = True, invalid: str = "error") -> list:
-    names = list(columns)
-    return [
-        StringIndexer(
-            inputCols=names, outputCols=[f"{c}_index" for c in names], handleInvalid=invalid,
-            stringOrderType="frequencyDesc",
-        ),
-        OneHotEncoder(
-            inputCols=[f"{c}_index" for c in names], outputCols=[f"{c}_vec" for c in names], dropLast=drop_last
-        ),
-    ]
+    for c in columns:
+        df = string_index(df, c, f"{c}_index", invalid)
+    encoder = OneHotEncoder(
+        inputCols=[f"{c}_index" for c in columns], outputCols=[f"{c}_vec" for c in columns], dropLast=drop_last
+    )
+    return encoder.fit(df).transform(df)
 
 
 def feature_stages(
-    df: DataFrame,
-    categories: Sequence[str],
+    encoded: Sequence[str],
+    hashed: Sequence[str],
     numbers: Sequence[str],
-    max_levels: int = 1_000,
     hashed_size: int = 256,
     out: str = "features",
 ) -> list:
     """Pipeline stages from text and number columns to one vector.
 
-    A text column is one-hot encoded while it has at most ``max_levels`` values.
-    Beyond that its values are hashed into ``hashed_size`` slots: no row and no
-    value is lost, and nothing grows with the number of values.
+    The caller says how a text column is encoded. ``encoded`` ones are one-hot
+    encoded: exact, but the fitted values are held by the driver and by every
+    task, which suits columns whose values are known to be few. ``hashed`` ones
+    share ``hashed_size`` slots, whatever the number of values; values that meet
+    in a slot are one feature to the model.
     """
-    levels = level_count(df, categories) if categories else {}
-    few = [c for c in categories if levels[c] <= max_levels]
-    many = [c for c in categories if levels[c] > max_levels]
-    stages = one_hot_stages(few, invalid="keep") if few else []
-    parts = list(numbers) + [f"{c}_vec" for c in few]
-    if many:
+    stages, parts = [], list(numbers)
+    if encoded:
+        names = list(encoded)
+        indexes, vectors = [f"{c}_index" for c in names], [f"{c}_vec" for c in names]
+        stages.append(
+            StringIndexer(
+                inputCols=names, outputCols=indexes, handleInvalid="keep", stringOrderType="frequencyDesc"
+            )
+        )
+        stages.append(OneHotEncoder(inputCols=indexes, outputCols=vectors))
+        parts += vectors
+    if hashed:
         stages.append(
-            FeatureHasher(inputCols=many, outputCol="hashed", numFeatures=hashed_size, categoricalCols=many)
+            FeatureHasher(
+                inputCols=list(hashed), outputCol="hashed", numFeatures=hashed_size, categoricalCols=list(hashed)
+            )
         )
         parts.append("hashed")
     stages.append(VectorAssembler(inputCols=parts, outputCol=out, handleInvalid="skip"))

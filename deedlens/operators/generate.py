@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deedlens.functions.hashing import bucket, random_letters, standard_normal
+from deedlens.functions.hashing import bucket, random_letters, standard_normal, wide_bucket
 from deedlens.functions.scalars import (
     clustered,
     clustered_fraction,
@@ -18,10 +18,10 @@ from deedlens.functions.scalars import (
     scattered,
 )
 
-# Campaigns, templates and brands of a sample message.
-CAMPAIGNS = [f"TRM{i:02d}" for i in range(1, 11)]
-TEMPLATES = [f"C19BCS{letter}" for letter in "BDEFHLMQW"]
-BRANDS = ["MBN", "HAL", "BOS", "LTB"]
+# Invented campaigns, templates and brands of a sample message; nothing depends on their values.
+CAMPAIGNS = ["SPRING", "SUMMER", "AUTUMN", "WINTER"]
+TEMPLATES = ["WELCOME", "REMINDER", "RECEIPT", "NOTICE", "SURVEY"]
+BRANDS = ["NORTH", "SOUTH", "EAST"]
 
 
 def pick(values: Sequence[str], key: Column, seed: int | str, part: int = 0) -> Column:
@@ -85,6 +85,6 @@ def sample_messages(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
         (bucket(k, f"{seed}t") + 100_000_000_000).alias("sms_request_external_txn_ref"),
         F.struct(
             pick(BRANDS, k, f"{seed}b").alias("brand_code"),
-            (bucket(k, f"{seed}p") % 9_000_000_000 + 1_000_000_000).cast("string").alias("ocis_mrg_pty_id"),
+            (wide_bucket(k, f"{seed}p") % 9_000_000_000 + 1_000_000_000).cast("string").alias("ocis_mrg_pty_id"),
         ).alias("sms_template_variables"),
     )

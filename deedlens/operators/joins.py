@@ -8,17 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deedlens.functions.scalars import equals_ignore_case
+from deedlens.functions.text import quoted
 from deedlens.sources.scratch import stored
 
+
 def missing_from(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
     """Rows of ``df`` whose key does not occur in ``other``; a NULL key is kept.
 
-    The other side is reduced to its distinct keys first, which collapses a
-    frequent key before the shuffle. They are stored, so that the join has a
-    plain shuffle on either side and AQE can split a frequent key of ``df``.
+    One shuffle of the key column of ``other``; AQE splits a frequent key of ``df``.
     """
-    keys = stored(other.select(key).filter(F.col(key).isNotNull()).distinct(), "keys")
-    return df.join(keys, on=key, how="left_anti")
+    keys = other.select(F.col(quoted(key)).alias("_key")).filter(F.col("_key").isNotNull())
+    return df.join(keys, F.col(quoted(key)) == F.col("_key"), "left_anti")
 
 
 def ci_join(left: DataFrame, right: DataFrame, left_col: str, right_col: str) -> DataFrame:
@@ -67,26 +67,21 @@ def combine(
     good_region: str = "RegionName",
     bad_region: str = "District",
     bad_county: str = "County",
-    prefix: str = "gd_",
+    out: str = "index_rows",
 ) -> DataFrame:
-    """Every distinct title of one region beside every distinct index row of that region.
+    """Every distinct title of one region with the distinct index rows of that region as a sorted array.
 
-    Columns of ``good`` carry ``prefix``. The result pairs both sides by
-    definition; duplicates are removed before the join, so the pairs themselves
-    are never shuffled. The index side has one row per month of the region, see
-    :func:`ci_join` for how the titles, all of one key, meet it.
+    One row per title: what pairs both sides is the region alone, so the pairs
+    themselves say no more than the two lists. The array holds one index row
+    per month of the region, all columns of ``good``.
     """
-    picked_good = (
+    listed = (
         good.filter(equals_ignore_case(F.col(good_region), region))
-        .distinct()
-        .select(*[F.col(c).alias(prefix + c) for c in good.columns])
+        .groupBy(F.lower(F.col(good_region)).alias("region_name"))
+        .agg(F.array_sort(F.collect_set(F.struct(*[F.col(c) for c in good.columns]))).alias(out))
     )
-    picked_bad = bad.filter(
+    picked = bad.filter(
         equals_ignore_case(F.col(bad_county), county) & equals_ignore_case(F.col(bad_region), region)
     ).distinct()
-    joined = ci_join(picked_bad, picked_good, bad_region, prefix + good_region)
-    return joined.select(
-        F.coalesce(F.lower(F.col(bad_region)), F.lower(F.col(prefix + good_region))).alias("region_name"),
-        *picked_bad.columns,
-        *picked_good.columns,
-    )
+    joined = picked.join(listed, F.lower(F.col(bad_region)) == F.col("region_name"))
+    return joined.select("region_name", *picked.columns, out)

@@ -29,6 +29,8 @@ class LatentModel:
     means: np.ndarray
     deviations: np.ndarray
     weights: np.ndarray
+    #: Variance, in standardised units, that the latent dimensions leave to each column.
+    noise: float = 0.0
 
 
 def one_hot_columns(df: DataFrame, column: str, levels: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -64,11 +66,11 @@ def fit_latent(df: DataFrame, columns: Sequence[str], dimensions: int = 2) -> La
     rest = eigenvalues[dimensions:]
     noise = float(rest.mean()) if rest.size else 0.0
     lengths = np.sqrt(np.clip(eigenvalues[:dimensions] - noise, 0.0, None))
-    return LatentModel(names, means, deviations, model.pc.toArray()[:, :dimensions] * lengths)
+    return LatentModel(names, means, deviations, model.pc.toArray()[:, :dimensions] * lengths, noise)
 
 
 def draw_latent(df: DataFrame, key: str, model: LatentModel, seed: int = 42) -> DataFrame:
-    """One synthetic row per row of ``df``: draw z ~ N(0, 1), decode, undo the scaling.
+    """One synthetic row per row of ``df``: draw z ~ N(0, 1), decode, add the noise, undo the scaling.
 
     Draws depend on key and seed only.
     """
@@ -80,6 +82,9 @@ def draw_latent(df: DataFrame, key: str, model: LatentModel, seed: int = 42) ->
     decoded = []
     for i, name in enumerate(model.columns):
         value = F.lit(float(model.means[i]))
+        if model.noise > 0:
+            spread = float(np.sqrt(model.noise) * model.deviations[i])
+            value = value + standard_normal(F.col(key), f"{seed}.noise.{i}") * F.lit(spread)
         for d in range(dimensions):
             value = value + F.col(f"_z{d}") * F.lit(float(model.weights[i, d] * model.deviations[i]))
         decoded.append(value.alias(name))

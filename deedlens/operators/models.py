@@ -58,25 +58,26 @@ class Forest:
 def random_forest(
     df: DataFrame,
     label: str,
-    categories: Sequence[str],
+    encoded: Sequence[str],
+    hashed: Sequence[str],
     numbers: Sequence[str],
     key: str,
     trees: int = 10,
     train_share: float = 0.8,
     seed: int = 42,
-    max_levels: int = 1_000,
 ) -> Forest:
     """Split by key, fit the preprocessing and a forest on the training part, score both parts.
 
-    ``key`` decides the split and is no feature. Scored rows carry ``score``,
+    ``key`` decides the split and is no feature; see :func:`feature_stages` for
+    ``encoded`` and ``hashed`` text columns. Scored rows carry ``score``,
     the probability of class 1. The needed columns are stored once, since every
     stage and every level of the trees passes over them.
     """
-    needed = df.select(key, label, *categories, *numbers)
+    needed = df.select(key, label, *encoded, *hashed, *numbers)
     parts = stored(split(needed, {"train": train_share, "test": 1.0 - train_share}, seed, key), "training")
     train = parts.filter(F.col("part") == "train")
     test = parts.filter(F.col("part") == "test")
-    stages = feature_stages(train, categories, numbers, max_levels)
+    stages = feature_stages(encoded, hashed, numbers)
     forest = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=trees, seed=seed)
     model = Pipeline(stages=[*stages, forest]).fit(train)
 

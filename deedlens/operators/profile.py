@@ -125,7 +125,8 @@ def histograms(df: DataFrame, columns: Sequence[str], bins: int = 20, by: str |
     ]
     bounds = []
     for i, value in enumerate(values):
-        half = f"if(min({value}) = max({value}), 0.5D, 0.0D)"
+        # Half a unit around a single value, or what still changes a large one.
+        half = f"if(min({value}) = max({value}), greatest(0.5D, abs(max({value})) * 1e-9D), 0.0D)"
         bounds.append(f"'lo_{i}', min({value}) - {half}, 'hi_{i}', max({value}) + {half}")
     ranges = df.selectExpr(f"named_struct({', '.join(bounds)}) AS bounds")
     bounded = df.selectExpr(*tags, *[f"{value} AS x_{i}" for i, value in enumerate(values)]).withColumn(
@@ -136,14 +137,17 @@ def histograms(df: DataFrame, columns: Sequence[str], bins: int = 20, by: str |
         rows_of(
             [
                 f"named_struct('column', {literal(name)}, 'x', x_{i}, 'lo', bounds.lo_{i}, "
-                f"'width', (bounds.hi_{i} - bounds.lo_{i}) / {bins}D)"
+                f"'width', if(bounds.hi_{i} - bounds.lo_{i} < double('Infinity'), (bounds.hi_{i} - bounds.lo_{i}) / {bins}D, "
+                f"bounds.hi_{i} / {bins}D - bounds.lo_{i} / {bins}D))"
                 for i, name in enumerate(columns)
             ]
         ),
     )
+    # Differences beyond the double limit are divided before they are taken.
+    place = "if(x - lo < double('Infinity'), (x - lo) / width, x / width - lo / width)"
     counted = (
         long.filter("x IS NOT NULL")
-        .withColumn("bin", F.expr(f"cast(least(floor((x - lo) / width), {bins - 1}) AS int)"))
+        .withColumn("bin", F.expr(f"cast(least(floor({place}), {bins - 1}) AS int)"))
         .groupBy(*tags, "column", "lo", "width")
         .agg(*[F.expr(f"count_if(bin = {i}) AS bin_{i}") for i in range(bins)])
     )

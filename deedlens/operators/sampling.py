@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from deedlens.functions.hashing import poisson_count, poisson_thresholds, poisson_thresholds_of, uniform
+from deedlens.functions.hashing import poisson_count, poisson_sum, poisson_thresholds, uniform
+from deedlens.functions.text import quoted
 
 
 def share_of(part: DataFrame, whole: DataFrame) -> DataFrame:
@@ -19,18 +22,31 @@ def share_of(part: DataFrame, whole: DataFrame) -> DataFrame:
     return both.agg((F.sum("part") / F.nullif(F.sum("whole"), F.lit(0))).alias("rate"))
 
 
+def row_key(df: DataFrame, *key: str) -> Column:
+    """Text that identifies a row: its key columns, and for a row with a NULL among them a digest of all columns.
+
+    So rows without a key are drawn one by one like others, and do not meet in one task.
+    """
+    parts = [F.coalesce(F.col(quoted(k)).cast("string"), F.lit("\\0")) for k in key]
+    lacking = reduce(or_, [F.col(quoted(k)).isNull() for k in key])
+    whole = F.xxhash64(*[F.col(quoted(c)) for c in df.columns]).cast("string")
+    joined = F.concat_ws("|", *parts) if len(parts) > 1 else parts[0]
+    return F.when(lacking, F.concat(joined, F.lit("\\0"), whole)).otherwise(joined)
+
+
 def _with_times(df: DataFrame, fraction: float | DataFrame, seed: int, key: str) -> DataFrame:
     """Add ``_times``, the number of draws of each row."""
-    # The draw is a column of its own so that it is computed once per row; the
-    # thresholds of a computed rate are worked out once, in its one-row frame.
-    drawn = df.withColumn("_u", uniform(F.col(key), seed))
+    # The key is a column of its own so that it is worked out once per row.
+    drawn = df.withColumn("_key", row_key(df, key))
     if isinstance(fraction, DataFrame):
-        limits = poisson_thresholds_of(F.col("rate"))
-        drawn = drawn.withColumn("_limits", fraction.select(F.array(*limits).alias("limits")).scalar())
-        thresholds = [F.col("_limits")[i] for i in range(len(limits))]
+        drawn = drawn.withColumn("_rate", fraction.select("rate").scalar())
+        times = poisson_sum(F.col("_key"), seed, F.col("_rate"))
+    elif fraction <= 1:
+        times = poisson_count(uniform(F.col("_key"), seed), [F.lit(t) for t in poisson_thresholds(fraction)])
     else:
-        thresholds = [F.lit(t) for t in poisson_thresholds(fraction)]
-    return drawn.withColumn("_times", poisson_count(F.col("_u"), thresholds)).drop("_u", "_limits")
+        times = poisson_sum(F.col("_key"), seed, F.lit(float(fraction)))
+    # Without any rows to take a share of, the rate is NULL and nothing is drawn.
+    return drawn.withColumn("_times", F.coalesce(times, F.lit(0))).drop("_key", "_rate")
 
 
 def bootstrap(df: DataFrame, fraction: float | DataFrame, seed: int, key: str, copy: str = "copy") -> DataFrame:
@@ -62,7 +78,7 @@ def shuffle_rows(df: DataFrame, seed: int, *key: str, partitions: int | None = N
     the same for any number of ``partitions``.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    digest = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in key], F.lit(str(seed))))
+    digest = F.md5(F.concat_ws("|", row_key(df, *key), F.lit(str(seed))))
     part = F.shiftright(F.conv(F.substring("_digest", 1, 8), 16, 10).cast("bigint") * n, 32).cast("int")
     return (
         df.withColumn("_digest", digest)
@@ -78,7 +94,7 @@ def split(df: DataFrame, weights: Mapping[str, float], seed: int, key: str, out:
     A filter on ``out`` gives one part. No sort and no shuffle.
     """
     whole = sum(weights.values())
-    u = uniform(F.col(key), seed)
+    u = uniform(row_key(df, key), seed)
     *names, last = weights
     passed = 0.0
     part = None

@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 # ASCII punctuation and line characters that separate words, beside the blank.
 SEPARATORS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~\t\n\r"
 _BETWEEN_WORDS = r"[!-/:-@\[-`{-~ \t\n\r]+"
-# A lexicon given as a mapping is broadcast up to this many words.
-_BROADCAST_WORDS = 200_000
 
 
 def words(text: Column) -> Column:
@@ -19,28 +17,45 @@ def words(text: Column) -> Column:
     return F.split(F.lower(text), _BETWEEN_WORDS)
 
 
-def polarity(
-    df: DataFrame, key: str, text: str, lexicon: Mapping[str, float] | DataFrame, out: str = "polarity"
-) -> DataFrame:
-    """Mean weight of the lexicon words in each text, as (key, polarity).
+def polarity(df: DataFrame, text: str, lexicon: Mapping[str, float] | DataFrame, out: str = "polarity") -> DataFrame:
+    """Add the mean weight of the lexicon words in each text; every row and column stays.
 
-    A text without such words scores 0, a NULL text NULL. Words are matched as
-    rows against the lexicon and averaged per text in the task that read it
-    before one row per text is shuffled; only key and words leave the scan.
-    A lexicon frame has columns ``word`` and ``weight``.
+    A text without such words scores 0, a NULL text NULL. A lexicon given as a
+    mapping is part of the expression: scored where the text is read, without
+    join or shuffle. It is looked through word by word, so it suits some dozens
+    of words; a longer one is given as a frame with columns ``word`` and
+    ``weight``. Then each distinct text is scored once, known by its digest,
+    and joined back.
     """
     if isinstance(lexicon, DataFrame):
-        weights = lexicon.select("word", F.col("weight").cast("double").alias("weight"))
+        return _polarity_by_join(df, text, lexicon, out)
+    bad = [w for w, weight in lexicon.items() if not -1.0 <= weight <= 1.0]
+    if bad:
+        raise ValueError(f"weights must lie between -1 and 1: {bad[:5]}")
+    if lexicon:
+        known = F.create_map(*[F.lit(x) for pair in lexicon.items() for x in (pair[0], float(pair[1]))])
+        found = F.transform(words(F.col(text)), lambda w: F.try_element_at(known, w))
     else:
-        bad = [w for w, weight in lexicon.items() if not -1.0 <= weight <= 1.0]
-        if bad:
-            raise ValueError(f"weights must lie between -1 and 1: {bad[:5]}")
-        weights = df.sparkSession.createDataFrame(list(lexicon.items()), "word string, weight double")
-        if len(lexicon) <= _BROADCAST_WORDS:
-            weights = F.broadcast(weights)
-    tokens = df.select(F.col(key), F.explode_outer(words(F.col(text))).alias("word"))
-    scored = tokens.join(weights, "word", "left").groupBy(key).agg(
-        F.count("word").alias("_words"), F.avg("weight").alias("_mean")
+        found = F.transform(words(F.col(text)), lambda w: F.lit(None).cast("double"))
+    # The sum and the number of known words in one pass.
+    start = F.struct(F.lit(0.0).alias("total"), F.lit(0).alias("n"))
+    sums = F.aggregate(
+        found,
+        start,
+        lambda s, x: F.struct(
+            (s["total"] + F.coalesce(x, F.lit(0.0))).alias("total"), (s["n"] + x.isNotNull().cast("int")).alias("n")
+        ),
+        lambda s: F.coalesce(s["total"] / F.nullif(s["n"], F.lit(0)), F.lit(0.0)),
     )
-    score = F.when(F.col("_words") > 0, F.coalesce(F.col("_mean"), F.lit(0.0)))
-    return scored.select(key, score.cast("float").alias(out))
+    return df.withColumn(out, F.when(F.col(text).isNotNull(), sums).cast("float"))
+
+
+def _polarity_by_join(df: DataFrame, text: str, lexicon: DataFrame, out: str) -> DataFrame:
+    weights = lexicon.select("word", F.col("weight").cast("double").alias("weight"))
+    digest = F.sha2(F.col(text), 256)
+    distinct = df.select(digest.alias("_digest"), F.col(text).alias("_text")).where("_text IS NOT NULL")
+    tokens = distinct.dropDuplicates(["_digest"]).select("_digest", F.explode(words(F.col("_text"))).alias("word"))
+    means = tokens.join(weights, "word").groupBy("_digest").agg(F.avg("weight").alias("_mean"))
+    scored = df.withColumn("_of", digest).join(means, F.col("_of") == F.col("_digest"), "left")
+    score = F.when(F.col(text).isNotNull(), F.coalesce(F.col("_mean"), F.lit(0.0))).cast("float")
+    return scored.withColumn(out, score).drop("_of", "_digest", "_mean")

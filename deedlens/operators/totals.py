@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from deedlens.functions.scalars import equals_ignore_case, filled_text, in_units, percent, ratio
 
@@ -103,13 +102,9 @@ def top_price_ratios(ratios: DataFrame, counts: DataFrame, exclude: str, k: int
 
 
 def share_of_total(top: DataFrame, column: str, out: str = "percentage") -> DataFrame:
-    """Each row's percentage of the sum over ``top``, a report of a few rows.
-
-    The empty window partition is fine for a top-k list and only for that; see
-    ``percent_of_total`` for frames of any size.
-    """
-    whole = F.sum(column).over(Window.partitionBy())
-    return top.withColumn(out, percent(F.col(column), whole, 1))
+    """Each row's percentage of the sum over ``top``, for a report of any size: no window, no single task."""
+    whole = top.agg(F.sum(column).alias("whole")).scalar()
+    return top.withColumn("_whole", whole).withColumn(out, percent(F.col(column), F.col("_whole"), 1)).drop("_whole")
 
 
 def global_ratio(good: DataFrame, bad: DataFrame, good_price: str, bad_price: str) -> DataFrame:

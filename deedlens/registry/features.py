@@ -12,11 +12,14 @@ from deedlens.plans.ownership import clean_titles, labelled_titles, prepare_titl
 from deedlens.plans.prices import with_row_key
 from deedlens.registry.base import query
 from deedlens.standins import (
+    INDEX_SQL,
     INDEX_THRESHOLD,
     LABELLED_SQL,
     OWNERSHIP,
     TITLES_SQL,
+    TRANSACTIONS_SQL,
     price_index,
+    sql_bucket,
     table,
     titles,
     transactions,
@@ -69,16 +72,16 @@ def q_impute_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""
 WITH {LABELLED_SQL}, {_LEVELS_SQL.format(column="Region", source="complete")}
-SELECT "TitleNumber", {", ".join(f"CAST(position = {i} AS INTEGER) AS hot_{i}" for i in range(5))}
-FROM complete JOIN levels ON "Region" = value
+SELECT "TitleNumber", CAST(slots.position AS INTEGER) AS slot, CAST(slots.position = levels.position AS INTEGER) AS hot
+FROM complete JOIN levels ON "Region" = levels.value CROSS JOIN levels slots
 """
 )
 def q_one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One 0/1 column per region, most frequent first."""
+    """One 0/1 row per title and region, the most frequent region in slot 0."""
     rows = prepare_titles(clean_titles(titles(spark, sf_dir))).kept.select("TitleNumber", "Region")
     hot = features.one_hot(rows, ["Region"], drop_last=False)
-    slots = hot.withColumn("hot", vector_to_array("Region_vec"))
-    return slots.select("TitleNumber", *[F.col("hot")[i].cast("int").alias(f"hot_{i}") for i in range(5)])
+    slots = hot.select("TitleNumber", F.posexplode(vector_to_array("Region_vec")).alias("slot", "hot"))
+    return slots.withColumn("hot", F.col("hot").cast("int"))
 
 
 @query(
@@ -138,33 +141,52 @@ def q_auc_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.auc(coarse, "hundreds", "quality").withColumn("auc", F.round("auc", 9))
 
 
-@query()
+def _parts_sql(source: str, key: str, label: str) -> str:
+    """Rows of both classes on either side of the split, and that the forest has learnt something."""
+    u = f"{sql_bucket(key, 42)} / 4294967296.0::DOUBLE"
+    return f"""
+SELECT CASE WHEN {u} < 0.8::DOUBLE THEN 'train' ELSE 'test' END AS part, COUNT(CASE WHEN {label} THEN 1 END) AS positives,
+  COUNT(CASE WHEN NOT {label} THEN 1 END) AS negatives, TRUE AS learnt FROM {source} GROUP BY 1"""
+
+
+def _learnt(forest: models.Forest, label: str, train: float, test: float) -> DataFrame:
+    """The report with ``learnt`` for an area above each part's floor instead of the area, which depends on the fit."""
+    report = models.forest_report(forest, label)
+    floor = F.when(F.col("part") == "train", train).otherwise(test)
+    return report.select("part", "positives", "negatives", (F.col("auc") > floor).alias("learnt"))
+
+
+@query(f"WITH {TRANSACTIONS_SQL} {_parts_sql('transactions', 'transaction_id', 'is_fraud')}")
 def q_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Random forest on transactions, judged on training and test rows."""
     rows = label.bool_label(transactions(spark, sf_dir), "is_fraud", "label")
-    forest = models.random_forest(rows, "label", ["merchant", "category"], ["amount"], "transaction_id", trees=20)
-    return models.forest_report(forest, "label")
+    forest = models.random_forest(rows, "label", ["category"], ["merchant"], ["amount"], "transaction_id", trees=20)
+    return _learnt(forest, "label", 0.8, 0.8)
 
 
-@query()
+@query(
+    f"""WITH {INDEX_SQL},
+keyed AS (SELECT *, "RegionName" || '|' || CAST("Datetaken" AS VARCHAR) AS row_key FROM price_index)
+{_parts_sql('keyed', 'row_key', f'"AveragePrice" >= {INDEX_THRESHOLD}')}"""
+)
 def q_forest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same on the price index: date parts, region and area code against a high price."""
+    """The same on the price index: date parts, region and area code against a high price.
+
+    Stand-in prices do not depend on date or region, so only the training part is asked to be learnt.
+    """
     index = with_row_key(price_index(spark, sf_dir))
     rows = features.date_parts(label.threshold_label(index, "AveragePrice", INDEX_THRESHOLD, below=0), "Datetaken")
-    forest = models.random_forest(rows, "is_fraud", ["RegionName", "AreaCode"], ["year", "month", "day"], "row_key")
-    return models.forest_report(forest, "is_fraud")
+    forest = models.random_forest(rows, "is_fraud", [], ["RegionName", "AreaCode"], ["year", "month", "day"], "row_key")
+    return _learnt(forest, "is_fraud", 0.6, 0.2)
 
 
-@query()
+@query(f"""WITH {LABELLED_SQL} {_parts_sql('labelled', '"TitleNumber"', 'is_fraud = 1')}""")
 def q_forest_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same on titles: price and address indicator against the rule label.
-
-    Most stand-in titles are flagged whatever their price, so every leaf predicts
-    the larger class, the trees are pruned to constants and the area is a half.
-    """
+    """The same on titles: country, names, address indicator and price against the rule label."""
     rows = labelled_titles(clean_titles(titles(spark, sf_dir)), OWNERSHIP).drop("features")
-    forest = models.random_forest(rows, "is_fraud", ["MultipleAddressIndicator"], ["PricePaid"], "TitleNumber")
-    return models.forest_report(forest, "is_fraud")
+    hashed = ["CountryIncorporated1", "ProprietorName2"]
+    forest = models.random_forest(rows, "is_fraud", ["MultipleAddressIndicator"], hashed, ["PricePaid"], "TitleNumber")
+    return _learnt(forest, "is_fraud", 0.6, 0.6)
 
 
 @query()
@@ -216,4 +238,4 @@ FROM documents LEFT JOIN means USING (doc_id)
 )
 def q_polarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Polarity of every document."""
-    return text.polarity(table(spark, sf_dir, "documents"), "doc_id", "text", LEXICON)
+    return text.polarity(table(spark, sf_dir, "documents"), "text", LEXICON).select("doc_id", "polarity")

@@ -201,18 +201,28 @@ _COMBINED_INDEX = ("Datetaken", "RegionName", "AreaCode", "SalesVolume", "Averag
 
 @query(
     f"""
-WITH {LABELLED_SQL}, {INDEX_SQL}
-SELECT DISTINCT COALESCE(lower(b."District"), lower(g."RegionName")) AS region_name,
+WITH {LABELLED_SQL}, {INDEX_SQL},
+months AS (SELECT DISTINCT {", ".join(f'"{c}"' for c in _COMBINED_INDEX)} FROM price_index WHERE upper("RegionName") = 'NATION_7'),
+listed AS (SELECT lower("RegionName") AS region_name, CAST(COUNT(*) AS INTEGER) AS n_index_rows,
+  string_agg(CAST("Datetaken" AS VARCHAR) || ' ' || "AreaCode" || ' ' || "SalesVolume" || ' '
+    || CAST(round("AveragePrice" * 100) AS BIGINT), ';' ORDER BY "Datetaken") AS index_text FROM months GROUP BY 1)
+SELECT DISTINCT region_name,
   {", ".join(f'b."{c}"' if c not in ("is_fraud", "rule_id") else f"b.{c}" for c in _COMBINED_TITLE)},
-  {", ".join(f'g."{c}" AS "gd_{c}"' for c in _COMBINED_INDEX)}
-FROM price_index g LEFT JOIN bad b ON lower(g."RegionName") = lower(b."District")
-WHERE upper(b."County") = 'ASIA' AND upper(g."RegionName") = 'NATION_7'
+  n_index_rows, index_text
+FROM bad b JOIN listed ON lower(b."District") = region_name WHERE upper(b."County") = 'ASIA'
 """
 )
 def q_combine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flagged titles of one region with every monthly index row of it."""
+    """Flagged titles of one region, each with the monthly index rows of it as text."""
     index = price_index(spark, sf_dir).select(*_COMBINED_INDEX)
-    return joins.combine(index, bad(spark, sf_dir).select(*_COMBINED_TITLE), county="Asia", region="Nation_7")
+    found = joins.combine(index, bad(spark, sf_dir).select(*_COMBINED_TITLE), county="Asia", region="Nation_7")
+    row = "concat_ws(' ', r.Datetaken, r.AreaCode, r.SalesVolume, cast(round(r.AveragePrice * 100) AS bigint))"
+    return found.select(
+        "region_name",
+        *_COMBINED_TITLE,
+        F.size("index_rows").alias("n_index_rows"),
+        F.expr(f"array_join(transform(index_rows, r -> {row}), ';')").alias("index_text"),
+    )
 
 
 _RATIO_SQL = f"""

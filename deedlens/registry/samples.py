@@ -20,6 +20,7 @@ from deedlens.standins import (
     TITLES_SQL,
     price_index,
     sql_bucket,
+    sql_wide_bucket,
     table,
     titles,
 )
@@ -133,11 +134,11 @@ _B64 = " || ".join(
     f"""
 WITH ids AS (SELECT o_orderkey + 1 AS x, (SELECT COUNT(*) FROM orders) AS n FROM orders)
 SELECT x, CAST(floor(x - 1) AS DOUBLE) / n AS clustered, CAST(x - 1 AS DOUBLE) / n AS clustered_fraction,
-  CAST((x - 1) % n AS DOUBLE) AS scattered, CAST({sql_bucket("x", _SEED)} % n AS DOUBLE) AS randomised,
+  CAST((x - 1) % n AS DOUBLE) AS scattered, CAST({sql_wide_bucket("x", _SEED)} % n AS DOUBLE) AS randomised,
   round(abs(sqrt(-2.0::DOUBLE * ln(1.0::DOUBLE - {sql_bucket("x", _SEED, 0)} / 4294967296.0::DOUBLE))
     * cos(2.0::DOUBLE * pi() * ({sql_bucket("x", _SEED, 1)} / 4294967296.0::DOUBLE)) * n), 4) AS spread,
   substr(translate({_B64}, '0123456789+/', 'abcdefghijkl'), 1, 50) AS random_string,
-  lpad(CAST(x AS VARCHAR), 10, ' ') AS small_vc,
+  lpad(CAST(x AS VARCHAR), CAST(greatest(10, length(CAST(x AS VARCHAR))) AS INTEGER), ' ') AS small_vc,
   substr(translate({_B64}, '0123456789+/', 'abcdefghijkl'), 1, GREATEST(20 - x, 0)) || x AS padded,
   repeat('x', 40) AS padding
 FROM ids

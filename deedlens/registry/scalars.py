@@ -21,7 +21,7 @@ SELECT "TitleNumber", substr("PropertyAddress", 1, 50) AS address, substr("Prope
   "PricePaid" / NULLIF(length("Region"), 0) AS price_ratio,
   COALESCE("District", 'NULL') <> 'NULL' AS has_district,
   strftime("DateProprietorAdded", '%Y-%m-%d %H:%M:%S') AS added_text,
-  lpad(CAST("PricePaid" AS VARCHAR), 8, '0') AS padded, '12345' || "Postcode" AS numbered, repeat('!', 5) AS marks
+  lpad(CAST("PricePaid" AS VARCHAR), CAST(greatest(8, length(CAST("PricePaid" AS VARCHAR))) AS INTEGER), '0') AS padded, '12345' || "Postcode" AS numbered, repeat('!', 5) AS marks
 FROM titles
 """
 )

@@ -9,22 +9,22 @@ from pyspark.sql.types import StructType
 from deedlens.functions.text import quoted
 
 
-def load_table(spark: SparkSession, db: str, name: str) -> DataFrame:
-    """Read a catalog table, failing when it is absent, with fresh statistics.
+def load_table(spark: SparkSession, db: str, name: str, analyze: bool = False) -> DataFrame:
+    """Read a catalog table, failing when it is absent.
 
-    The statistics let Catalyst size its joins; the row count they hold comes
-    with :func:`table_rows` without a second scan.
+    ``analyze`` runs a job that refreshes the statistics from which Catalyst sizes its joins.
     """
-    full_name = f"{db}.{name}"
+    full_name = f"{quoted(db)}.{quoted(name)}"
     if not spark.catalog.tableExists(full_name):
-        raise LookupError(f"no such table: {full_name}")
-    spark.sql(f"ANALYZE TABLE {full_name} COMPUTE STATISTICS")
+        raise LookupError(f"no such table: {db}.{name}")
+    if analyze:
+        spark.sql(f"ANALYZE TABLE {full_name} COMPUTE STATISTICS")
     return spark.table(full_name)
 
 
 def table_rows(spark: SparkSession, db: str, name: str) -> int:
-    """Number of rows of a table."""
-    return spark.table(f"{db}.{name}").count()
+    """Number of rows of a table, counted from the files' footers."""
+    return spark.table(f"{quoted(db)}.{quoted(name)}").count()
 
 
 def load_labelled(spark: SparkSession, db: str, good: str, bad: str) -> tuple[DataFrame, DataFrame]:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deedlens.functions.hashing import bucket
-from deedlens.operators.generate import sample_messages
+from deedlens.operators.generate import BRANDS, CAMPAIGNS, TEMPLATES, sample_messages
 from deedlens.operators.label import OwnershipRules
 
 # The ninth decile of the order totals; a million would flag nothing here.
@@ -204,6 +204,11 @@ def sql_bucket(key: str, seed: int | str, part: int = 0) -> str:
     return f"CAST('0x' || substr(md5(CAST({key} AS VARCHAR) || '|{seed}'), {1 + 8 * part}, 8) AS BIGINT)"
 
 
+def sql_wide_bucket(key: str, seed: int | str) -> str:
+    """:func:`deedlens.functions.hashing.wide_bucket` in SQL."""
+    return f"CAST('0x' || substr(md5(CAST({key} AS VARCHAR) || '|{seed}'), 1, 13) AS BIGINT)"
+
+
 TRANSACTIONS_SQL = f"""
 transactions AS (
   SELECT event_id AS transaction_id, value AS amount, 'u' || user_id AS merchant, event_type AS category,
@@ -224,14 +229,14 @@ def _sql_pick(values: list[str], key: str, seed: int | str, part: int = 0) -> st
 _DIGITS = f"lpad(CAST({sql_bucket('event_id', 42)} % 1000000000 AS VARCHAR), 9, '0')"
 MESSAGES_SQL = f"""
 messages AS (
-  SELECT {_sql_pick([f"TRM{i:02d}" for i in range(1, 11)], "event_id", 42, 1)} AS sms_campaign_code,
+  SELECT {_sql_pick(CAMPAIGNS, "event_id", 42, 1)} AS sms_campaign_code,
     CASE WHEN event_id % 7 = 0 THEN '7' || substr({_DIGITS}, 1, 8)
       WHEN event_id % 11 = 0 THEN '9' || {_DIGITS} ELSE '7' || {_DIGITS} END AS target_mobile_no,
-    {_sql_pick([f"C19BCS{c}" for c in "BDEFHLMQW"], "event_id", 42, 2)} AS sms_template_code,
+    {_sql_pick(TEMPLATES, "event_id", 42, 2)} AS sms_template_code,
     {sql_bucket("event_id", 42, 3)} % 90000000 + 10000000 AS sms_request_external_ref,
     {sql_bucket("event_id", "42t")} + 100000000000 AS sms_request_external_txn_ref,
-    {_sql_pick(["MBN", "HAL", "BOS", "LTB"], "event_id", "42b")} AS brand_code,
-    CAST({sql_bucket("event_id", "42p")} % 9000000000 + 1000000000 AS VARCHAR) AS ocis_mrg_pty_id
+    {_sql_pick(BRANDS, "event_id", "42b")} AS brand_code,
+    CAST({sql_wide_bucket("event_id", "42p")} % 9000000000 + 1000000000 AS VARCHAR) AS ocis_mrg_pty_id
   FROM events),
 checked AS (
   SELECT *, CASE WHEN target_mobile_no IS NULL THEN 'missing number'

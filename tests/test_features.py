@@ -87,10 +87,11 @@ def test_one_hot_keeps_all_levels(spark):
     assert sorted(tuple(r[0]) for r in dropped.collect()) == [(0.0,), (1.0,), (1.0,)]
 
 
-def test_one_hot_refuses_long_lists(spark):
-    df = spark.range(500).select(F.col("id").cast("string").alias("g"))
-    with pytest.raises(ValueError, match="more than 100 values"):
-        features.one_hot(df, ["g"], max_levels=100)
+def test_one_hot_of_many_values(spark):
+    df = spark.range(12_000).select(F.col("id").cast("string").alias("g"))
+    hot = features.one_hot(df, ["g"], drop_last=False)
+    sizes = hot.select(F.col("g_vec").cast("string").alias("v"), "g_index").collect()
+    assert {r["v"].split(",")[0] for r in sizes} == {"(12000"} and len({r["g_index"] for r in sizes}) == 12_000
 
 
 def test_assemble_twice(spark):
@@ -116,14 +117,18 @@ def test_build_features_accounts_for_every_row(spark):
     assert rows(kept.dropped.select("k", "p")) == [("T3", None), (None, 3), (None, 4)]
 
 
-def test_many_levels_are_hashed(spark):
-    df = spark.range(3_000).select(F.col("id").cast("string").alias("m"), (F.col("id") % 3).cast("string").alias("g"))
-    kinds = [type(s).__name__ for s in features.feature_stages(df, ["m", "g"], [], max_levels=100)]
+def test_encodings_are_the_callers_choice():
+    kinds = [type(s).__name__ for s in features.feature_stages(["g"], ["m"], [])]
     assert kinds == ["StringIndexer", "OneHotEncoder", "FeatureHasher", "VectorAssembler"]
-    kinds = [type(s).__name__ for s in features.feature_stages(df, ["g"], [], max_levels=100)]
+    kinds = [type(s).__name__ for s in features.feature_stages(["g"], [], [])]
     assert kinds == ["StringIndexer", "OneHotEncoder", "VectorAssembler"]
 
 
+def test_standardise_one_row(spark):
+    df = spark.createDataFrame([(5.0,)], "x double")
+    assert rows(features.standardise(df, ["x"], features.scaling(df, ["x"]))) == [(0.0,)]
+
+
 def brute_auc(pairs):
     positive = [s for s, y in pairs if y == 1]
     negative = [s for s, y in pairs if y != 1]
@@ -154,7 +159,7 @@ def test_forest_on_separable_rows(spark):
         F.concat(F.lit("m"), (F.col("id") % 300).cast("string")).alias("merchant"),
         ((F.col("id") % 100) > 70).cast("int").alias("label"),
     )
-    forest = models.random_forest(df, "label", ["merchant"], ["amount"], "id", trees=5, max_levels=50)
+    forest = models.random_forest(df, "label", [], ["merchant"], ["amount"], "id", trees=5)
     report = {r["part"]: r for r in models.forest_report(forest, "label").collect()}
     assert report["test"]["auc"] > 0.95
     assert report["train"]["positives"] + report["test"]["positives"] == 580

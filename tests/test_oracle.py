@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 import oracle
+from deedlens import registry
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 QUERIES = entry.queries()
@@ -34,13 +35,7 @@ def test_matches_sql(spark, duck, name):
 
 def test_sql_only_for_registered_queries():
     assert set(SQL) <= set(QUERIES)
-    assert set(QUERIES) - set(SQL) == {
-        "q_forest",
-        "q_forest_index",
-        "q_forest_titles",
-        "q_latent_people",
-        "q_latent_synthetic",
-    }
+    assert set(registry.QUERIES) - set(SQL) == {"q_latent_people", "q_latent_synthetic"}
 
 
 def test_entry(spark):
@@ -49,21 +44,6 @@ def test_entry(spark):
     assert 0 < df.count() <= 15
 
 
-def test_forest_learns(spark):
-    report = {r["part"]: r for r in QUERIES["q_forest"](spark, SF_DIR).collect()}
-    assert report["train"]["auc"] > 0.9
-    assert report["test"]["auc"] > 0.8
-    total = sum(r["positives"] + r["negatives"] for r in report.values())
-    assert total == spark.read.parquet(f"{SF_DIR}/events.parquet").count()
-
-
-@pytest.mark.parametrize("name", ["q_forest_index", "q_forest_titles"])
-def test_other_forests_count_every_row(spark, name):
-    report = QUERIES[name](spark, SF_DIR).collect()
-    assert {r["part"] for r in report} == {"train", "test"}
-    assert all(0.4 < r["auc"] <= 1.0 for r in report)
-
-
 @pytest.mark.parametrize("name", ["q_latent_synthetic", "q_latent_people"])
 def test_latent_histograms(spark, name):
     counts = {}

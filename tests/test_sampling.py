@@ -68,10 +68,26 @@ def test_rate_from_the_plan_draws_like_a_number(keyed):
     assert rows(computed) == rows(given)
 
 
-def test_rate_from_the_plan_must_be_a_share(keyed):
-    whole = sampling.share_of(keyed, keyed.filter("id < 10"))
-    with pytest.raises(Exception, match="must not exceed 1"):
-        sampling.bootstrap(keyed, whole, 42, "k").count()
+@pytest.mark.parametrize("rate", [3.0, 2.5])
+def test_rates_above_one(keyed, rate):
+    few = sampling.share_of(keyed, keyed.filter(f"id < {int(20_000 / rate)}"))
+    for fraction in (rate, few):
+        copies = sampling.bootstrap(keyed, fraction, 42, "k").groupBy("id").count()
+        row = copies.agg(F.sum("count").alias("n"), F.sum(F.col("count") * F.col("count")).alias("squares")).first()
+        mean = row["n"] / 20_000
+        assert abs(mean - rate) < 0.05 and abs(row["squares"] / 20_000 - mean**2 - rate) < 0.2
+
+
+def test_rows_without_a_key_are_not_lost(spark):
+    df = spark.range(4_000).select(F.when(F.col("id") % 2 == 0, F.concat(F.lit("T"), "id")).alias("k"), "id")
+    both = sampling.augment(df, 0.5, 7, "k")
+    assert both.filter("copy = 0").count() == 4_000
+    drawn = both.filter("copy > 0 AND k IS NULL").count()
+    assert 850 < drawn < 1150
+    parts = {r["part"]: r["count"] for r in sampling.split(df, {"a": 0.5, "b": 0.5}, 3, "k").filter("k IS NULL").groupBy("part").count().collect()}
+    assert min(parts.values()) > 900
+    spread = sampling.shuffle_rows(df, 3, "k", partitions=8).filter("k IS NULL").groupBy(F.spark_partition_id()).count()
+    assert spread.count() == 8
 
 
 def test_augment_is_originals_and_bootstrap(keyed):

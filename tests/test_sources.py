@@ -9,7 +9,7 @@ from deedlens.operators import generate, staging
 from deedlens.plans.analysis import Area, analysis_reports
 from deedlens.plans.ownership import clean_titles, labelled_titles, ownership_flow
 from deedlens.plans.prices import index_flow, round_trip
-from deedlens.sources import catalog, connectors, files, memory, schemas, scratch
+from deedlens.sources import catalog, connectors, files, schemas, scratch
 from deedlens.standins import INDEX_THRESHOLD, OWNERSHIP, price_index, titles
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -44,7 +44,7 @@ def test_declared_schema_is_enforced(spark):
 
 def test_delimited_round_trip_and_misfit(spark, tmp_path):
     ddl = "id int, amount double, who string, ok boolean"
-    df = memory.rows(spark, [(1, 2.5, "a b", True), (2, None, None, False)], ddl)
+    df = spark.createDataFrame([(1, 2.5, "a b", True), (2, None, None, False)], ddl)
     files.write_delimited(df, str(tmp_path / "t"))
     assert rows(files.read_delimited(spark, str(tmp_path / "t"), ddl)) == rows(df)
     with pytest.raises(Exception, match="MALFORMED_RECORD|CSV"):

@@ -21,19 +21,24 @@ def test_polarity(spark):
         (6, None),
     ]
     df = spark.createDataFrame(data, "id int, t string")
-    found = rows(text.polarity(df, "id", "t", LEXICON))
+    found = rows(text.polarity(df, "t", LEXICON).select("id", "polarity"))
     assert found == [(1, 0.625), (2, -0.5), (3, -0.125), (4, 0.0), (5, 0.0), (6, None)]
     as_frame = spark.createDataFrame(list(LEXICON.items()), "word string, weight double")
-    assert rows(text.polarity(df, "id", "t", as_frame)) == found
+    assert rows(text.polarity(df, "t", as_frame).select("id", "polarity")) == found
+    # Repeated and missing keys: every row keeps its columns and its own score.
+    many = spark.createDataFrame([(1, "great"), (1, "worst"), (None, "needs"), (None, "great")], "id int, t string")
+    expected = [(1, "great", 0.75), (1, "worst", -1.0), (None, "great", 0.75), (None, "needs", -0.5)]
+    assert rows(text.polarity(many, "t", LEXICON)) == rows(text.polarity(many, "t", as_frame)) == expected
+    assert rows(text.polarity(many.limit(1), "t", {})) == [(1, "great", 0.0)]
 
 
 def test_polarity_bounds_and_plan(spark):
     df = spark.createDataFrame([(1, "a")], "id int, t string")
     with pytest.raises(ValueError):
-        text.polarity(df, "id", "t", {"a": 2.0})
-    plan = text.polarity(df, "id", "t", LEXICON)._jdf.queryExecution().executedPlan().toString()
+        text.polarity(df, "t", {"a": 2.0})
+    plan = text.polarity(df, "t", LEXICON)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan
-    assert plan.count("Exchange hashpartitioning") == 1
+    assert "Exchange" not in plan
 
 
 def message(spark, numbers):
