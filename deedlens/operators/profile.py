@@ -151,8 +151,13 @@ def histograms(df: DataFrame, columns: Sequence[str], bins: int = 20, by: str |
         .groupBy(*tags, "column", "lo", "width")
         .agg(*[F.expr(f"count_if(bin = {i}) AS bin_{i}") for i in range(bins)])
     )
+
+    def edge(i: int) -> str:
+        halves = f"lo + width * {i // 2}D + width * {i - i // 2}D"
+        return f"if(width * {bins}D < double('Infinity'), lo + width * {i}D, {halves})"
+
     structs = [
-        f"named_struct('bin', {i}, 'bin_start', lo + width * {i}D, 'bin_end', lo + width * {i + 1}D, 'n', bin_{i})"
+        f"named_struct('bin', {i}, 'bin_start', {edge(i)}, 'bin_end', {edge(i + 1)}, 'n', bin_{i})"
         for i in range(bins)
     ]
     return counted.selectExpr(*tags, "column", rows_of(structs))

@@ -160,9 +160,9 @@ def test_finite_rows(spark):
 def test_histogram_of_large_values(spark):
     for values, n in (([1e17, 1e17], 2), ([-1.7e308, 1.7e308, 0.0], 3), ([0.0, 0.0], 2)):
         df = spark.createDataFrame([(v,) for v in values], "x double")
-        bins = histogram(df, "x", 4).collect()
+        bins = profile.histogram(df, "x", 4).collect()
         assert sum(r["n"] for r in bins) == n and len(bins) == 4
         assert all(abs(r["bin_start"]) < float("inf") for r in bins)
     # The extremes of a wide range lie in different bins.
     wide = spark.createDataFrame([(-1.7e308,), (1.7e308,)], "x double")
-    assert [r["n"] for r in histogram(wide, "x", 4).orderBy("bin").collect()] == [1, 0, 0, 1]
+    assert [r["n"] for r in profile.histogram(wide, "x", 4).orderBy("bin").collect()] == [1, 0, 0, 1]
