@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
@@ -163,7 +164,7 @@ def _across(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
     """Links between loose lines and one tile of their group."""
     table = pa.Table.from_batches(batches).sort_by([("h", "ascending")])
     loose = table.filter(table.column("loose"))
-    others = table.filter(pa.compute.invert(table.column("loose")))
+    others = table.filter(pc.invert(table.column("loose")))
     ids = loose.column("h").to_pylist() + others.column("h").to_pylist()
     rows = [(ids[i], ids[j], None, False) for i, j in similar_forest(_sets(loose), _sets(others)) if ids[i] != ids[j]]
     if rows:

@@ -33,11 +33,11 @@ TOKENIZER = "word_bpe_49k.json"
 LONGEST = 4096
 #: Id that ends every document.
 END = 2
-#: Words, and twice as many chunks, that a worker keeps before a new text; above that it starts again.
-CACHED = 400_000
+#: Words, and twice as many chunks, that a task keeps before new texts; above that it starts again.
+CACHED = 100_000
 CACHED_LENGTH = 64
 #: Texts that are split at once.
-TOGETHER = 32
+TOGETHER = 64
 
 # A word of Latin-1 letters and a tail of ASCII signs but the apostrophe: two matches of the
 # tokenizer's own pattern at most, which its normaliser changes in case only.
@@ -53,13 +53,7 @@ class WordEncoder:
     """
 
     def __init__(self, path: str):
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        # The same merges without the steps that leave plain words as they are.
-        self.merges = Tokenizer(self.tokenizer.model)
-        self.merges.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
-        size = self.tokenizer.get_vocab_size()
-        self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
+        self.tokenizer, self.merges, self.ends = _tokenizers(path)
         self.chunks: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {"": b""}
 
@@ -76,16 +70,20 @@ class WordEncoder:
             self.words[word] = flat[start:end]
             start = end
 
-    def _learn(self, new: set[str]) -> None:
-        """Put the ids of new chunks into the cache."""
+    def _learn(self, new: list[str]) -> dict[str, bytes]:
+        """Ids of chunks that are not in the cache."""
         known = self.words
-        parts = {c: (m[1].lower(), m[2]) for c in new if (m := _PLAIN.match(c))}
-        if words := list({w for w, _ in parts.values() if w not in known}):
+        found = [m for m in map(_PLAIN.match, new) if m]
+        parts = [(m[0], m[1].lower(), m[2]) for m in found]
+        if words := list({w for _, w, _ in parts if w not in known}):
             self._learn_words(words)
-        for tail in {t for _, t in parts.values() if t not in known}:
+        for tail in {t for _, _, t in parts if t not in known}:
             known[tail] = self._ids(tail).tobytes()
-        self.chunks.update((c, known[w] + known[t]) for c, (w, t) in parts.items())
-        self.chunks.update((c, self._ids(c).tobytes()) for c in new if c not in parts)
+        ids = {c: known[w] + known[t] for c, w, t in parts}
+        for chunk in new:
+            if chunk not in ids:
+                ids[chunk] = self._ids(chunk).tobytes()
+        return ids
 
     def encode_all(self, texts: Iterable[str]) -> Iterator[bytes]:
         """Ids of whole texts, as unsigned little-endian 32-bit integers; new words of some texts are learnt together."""
@@ -95,18 +93,26 @@ class WordEncoder:
                 self.chunks = {}
             if len(self.words) > CACHED:
                 self.words = {"": b""}
-            new = set().union(*splits).difference(self.chunks)
-            self._learn(new)
+            # Most chunks stand in these texts more than once: look each up once, then in a small dictionary.
+            chunks = set().union(*splits)
+            local = dict(zip(chunks, map(self.chunks.get, chunks), strict=True))
+            learnt = self._learn([c for c, ids in local.items() if ids is None])
+            local.update(learnt)
             for split in splits:
-                yield b"".join(map(self.chunks.__getitem__, split))
-            for chunk in [c for c in new if len(c) > CACHED_LENGTH]:
-                del self.chunks[chunk]
+                yield b"".join(map(local.__getitem__, split))
+            self.chunks.update((c, ids) for c, ids in learnt.items() if len(c) <= CACHED_LENGTH)
 
 
 @functools.cache
-def encoder(path: str) -> WordEncoder:
-    """The encoder of a tokenizer file, built once in each worker."""
-    return WordEncoder(path)
+def _tokenizers(path: str) -> tuple[Tokenizer, Tokenizer, np.ndarray]:
+    """The tokenizer of a file, its merges alone, and which ids end a word; read once in each worker."""
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    # The same merges without the steps that leave plain words as they are.
+    merges = Tokenizer(tokenizer.model)
+    merges.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
+    size = tokenizer.get_vocab_size()
+    return tokenizer, merges, np.array([(tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
 
 
 def token_bytes(text: Column, path: str | None = None, end: int = END) -> Column:
@@ -114,9 +120,10 @@ def token_bytes(text: Column, path: str | None = None, end: int = END) -> Column
     path = path or public_tokenizers.path(TOKENIZER)
 
     @arrow_udf(BinaryType())
-    def ids(column: pa.Array) -> pa.Array:
-        last = struct.pack("<I", end)
-        return pa.array([ids + last for ids in encoder(path).encode_all(texts(column))], pa.binary())
+    def ids(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own, last = WordEncoder(path), struct.pack("<I", end)
+        for column in columns:
+            yield pa.array([found + last for found in own.encode_all(texts(column))], pa.binary())
 
     return ids(text)
 

@@ -8,7 +8,6 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from deedlens.llm import packing, queries
@@ -34,7 +33,7 @@ def coded(ids):
 @given(st.text(max_size=50) | st.text(alphabet="aAéÉß'st1 .,\n\t\x0b́\xa0İΣ<|#", max_size=60))
 @settings(max_examples=1500, deadline=None)
 def test_encoder(tokenizer, text):
-    own = packing.encoder(public_tokenizers.path(packing.TOKENIZER))
+    own = packing.WordEncoder(public_tokenizers.path(packing.TOKENIZER))
     assert list(own.encode_all([text])) == [coded(plain(tokenizer, text)[:-1])]
 
 
