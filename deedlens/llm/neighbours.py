@@ -116,7 +116,7 @@ def usable(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding") ->
 
 
 def _nearest(dims: int, k: int):
-    """Of one block and one tile of queries: each query's nearest rows."""
+    """Of one block and one tile of queries: each query's nearest ids, each at its nearest row."""
 
     def search(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(batches).combine_chunks()
@@ -127,10 +127,14 @@ def _nearest(dims: int, k: int):
         vectors = _matrix(table.column("vector").combine_chunks(), dims)
         queries, rows = np.flatnonzero(asks), np.flatnonzero(~asks)
         rows = rows[np.argsort(ids[rows], kind="stable")]
-        block, block_ids = vectors[rows], ids[rows]
+        block = vectors[rows]
+        # Rows of one id stand together and count once, so that k of them are k candidates.
+        block_ids, firsts = np.unique(ids[rows], return_index=True)
+        if not len(block_ids):
+            return
         found = []
         for q in queries:
-            score = np.sqrt(np.square(block - vectors[q]).sum(axis=1))
+            score = np.minimum.reduceat(np.sqrt(np.square(block - vectors[q]).sum(axis=1)), firsts)
             score[block_ids == ids[q]] = np.inf
             near = np.argsort(score, kind="stable")[:k] if len(score) <= 4 * k else _smallest(score, k)
             near = near[np.isfinite(score[near])]

@@ -63,6 +63,30 @@ def test_full_windows_are_exact(spark):
     assert found == plain(rows, lambda q: q % 100 == 0)
 
 
+@pytest.mark.parametrize("times", [2, 12])
+def test_repeated_rows_are_one_candidate(spark, times):
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(size=3).round(3).tolist()) for i in range(150)]
+    df = spark.createDataFrame([(i, v, "x", 1) for i, v in rows for _ in range(times)], SCHEMA)
+    found = by_query(nearest(df, F.col("vec_id") % 50 == 0, share=1.0))
+    assert found == plain(rows, lambda q: q % 50 == 0)
+
+
+def test_repeated_ids_across_blocks(spark):
+    # More rows than a block: one id with many near vectors, which must not take the places of the others.
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=3).round(3).tolist()) for i in range(1500)]
+    again = [(7, [x + 0.001 * j for x in rows[0][1]]) for j in range(1500)]
+    df = spark.createDataFrame([(i, v, "x", 1) for i, v in rows + again], SCHEMA)
+    found = by_query(nearest(df, F.col("vec_id") == 0, share=1.0))
+    nearest_of = {}
+    own = np.array(rows[0][1], np.float32).astype(float)
+    for i, v in rows[1:] + again:
+        score = float(np.sqrt(((np.array(v, np.float32).astype(float) - own) ** 2).sum()))
+        nearest_of[i] = min(score, nearest_of.get(i, score))
+    assert found == {0: sorted((s, i) for i, s in nearest_of.items())[:10]}
+
+
 def test_edges(spark):
     nan, inf = float("nan"), float("inf")
     bad = [None, [], [0.0, 0.0], [None, 1.0], [nan, 1.0], [inf, 1.0]]
