@@ -40,14 +40,18 @@ CONTAINER = 1.0
 MOST_ODDS = 6.0
 
 # Elements whose whole content is no text of the page.
-_RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "title", "noembed", "noframes", "xmp"}
-_DROPPED = {"head", "svg", "select", "button", "canvas", "object", "audio", "video", "datalist", "map", "math"}
+_RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "title", "noembed", "noframes"}
+_DROPPED = {"head", "svg", "select", "button", "canvas", "audio", "video", "datalist", "map"}
 _BOILERPLATE = {"nav", "footer", "aside", "form", "menu", "dialog", "fieldset"}
 _CONTENT = {"article", "main"}
 _INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
-    "strike strong sub sup time tt u var wbr img".split()
+    "strike strong sub sup time tt u var wbr img "
+    "math mi mn mo ms mtext mrow mfrac msqrt mroot mstyle msub msup msubsup munder mover munderover mpadded mphantom "
+    "mfenced menclose mmultiscripts mprescripts mspace merror maction semantics annotation annotation-xml".split()
 )
+# Symbols of a formula, which stand apart.
+_SYMBOL = {"mi", "mn", "mo", "ms", "mtext", "annotation", "annotation-xml"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 # An open element of the first kind ends where one of the second begins.
 _ENDED_BY = {
@@ -63,17 +67,27 @@ _CLOSES_P = set(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header "
     "hr main menu nav ol p pre section table ul".split()
 )
-_BAD_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|breadcrumb\w*|footer|sidebar\w*|side|"
-    r"widget\w*|related|recommend\w*|share|sharing|social\w*|comment\w*|disqus\w*|repl(?:y|ies)|respond|cookie\w*|consent|"
-    r"gdpr|notice\w*|alert\w*|popup\w*|modal\w*|overlay|newsletter\w*|subscri\w*|signup|login|search\w*|pagination|pager|"
-    r"copyright|legal|disclaimer|skip\w*|toolbar|masthead|topbar|tags?|meta)(?:$|[\s_-])",
-    re.I,
+# A class, id, role or label says boilerplate if it is one of the first words as a whole, or is joined from words of
+# the first and second kind alone: cookie-notice and site-footer do, has-sidebar and category-legal do not. Names that
+# begin with tag- are topics.
+_BAD = (
+    r"(?:ad|ads|adv|advert[^\W_]*|sponsor[^\W_]*|promo[^\W_]*|banner|nav[^\W_]*|menu[^\W_]*|breadcrumb[^\W_]*|footer|sidebar[^\W_]*|side|"
+    r"widget[^\W_]*|related|recommend[^\W_]*|share|sharing|social[^\W_]*|comment[^\W_]*|disqus[^\W_]*|repl(?:y|ies)|respond|cookie[^\W_]*|consent|"
+    r"gdpr|notice[^\W_]*|alert[^\W_]*|popup[^\W_]*|modal[^\W_]*|overlay|newsletter[^\W_]*|subscri[^\W_]*|signup|login|search[^\W_]*|pagination|pager|"
+    r"copyright|legal|disclaimer|skip[^\W_]*|toolbar|masthead|topbar|tags?|meta)"
 )
+_NEUTRAL = (
+    r"(?:site|page|main|global|primary|secondary|top|bottom|left|right|upper|lower|header|head|foot|body|inner|outer|mobile|"
+    r"desktop|sticky|fixed|post|posts|entry|article|articles|bar|box|block|area|list|item|items|container|wrapper|wrap|"
+    r"section|content|contents|row|col|column|panel|slot|unit|zone|group|holder|module|component|link|links|button|buttons|"
+    r"btn|icon|icons|form|field|input|title|text|message|dialog|to|the|this|by|us|more|and|in|\d+)"
+)
+_BAD_NAME = re.compile(rf"(?!tags?[\s_-])(?:{_NEUTRAL}[\s_-]+)*{_BAD}(?:[\s_-]+(?:{_BAD}|{_NEUTRAL}))*|tags?", re.I)
+_COMMENT = re.compile(r"comment|repl(?:y|ies)\b|disqus", re.I)
 _MARK = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_NAMES = re.compile(r"(?:^|\s)(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _ENDS = re.compile(r"[.!?…:;»”\"')\]]*[.!?…]")
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
 
 
 @dataclass
@@ -94,16 +108,71 @@ class Block:
 class _Open:
     tag: str
     number: int
-    place: int
+    #: Number of the element that holds it, 0 at the top.
+    above: int
     dropped: bool
+    #: A name that says boilerplate, and one that says comment.
+    named: bool = False
+    comment: bool = False
+    #: Whether it holds an article or main element.
+    holds: bool = False
+
+
+def _names(attributes: str) -> tuple[list[str], bool]:
+    """Class tokens, id, role and label of an element, and whether it is hidden."""
+    names: list[str] = []
+    hidden = False
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), "".join(values)
+        if name == "class":
+            names += value.split()
+        elif name in ("id", "role", "aria-label"):
+            names.append(value.strip())
+        elif name == "hidden":
+            hidden = True
+        elif name == "style":
+            hidden = hidden or _NO_DISPLAY.search(value) is not None
+        elif name == "aria-hidden":
+            hidden = hidden or value.strip().lower() == "true"
+    return names, hidden
+
+
+def _places(opened: list[_Open]) -> list[int]:
+    """What markup says of each element: 1 content, -1 boilerplate, 0 nothing.
+
+    The name of an article or main element, or of one that holds such an
+    element, says nothing.
+    """
+    places = [0]
+    for o in opened:
+        place = places[o.above]
+        if place >= 0 and (o.tag in _BOILERPLATE or (o.named and not o.holds and o.tag not in _CONTENT)):
+            place = -1
+        elif place == 0 and o.tag == "header":
+            place = -1
+        elif place == 0 and o.tag in _CONTENT:
+            place = 1
+        places.append(place)
+    return places
+
+
+def _mark_holders(stack: list[_Open], opened: list[_Open], tag: str, comment: bool) -> None:
+    """Note an article or main element that opens; articles within an article, or comments among comments, do not count."""
+    if tag == "article" and any(o.tag == "article" or (comment and o.comment) for o in stack):
+        return
+    above = stack[-1].number if stack else 0
+    while above and not opened[above - 1].holds:
+        opened[above - 1].holds = True
+        above = opened[above - 1].above
 
 
 def blocks(page: str) -> list[Block]:
     """Blocks of a page in its order, character references decoded and white space collapsed."""
     found: list[Block] = []
     stack: list[_Open] = []
+    opened: list[_Open] = []
     parts: list[str] = []
-    linked, links, number, at = 0, 0, 0, 0
+    linked, links, at = 0, 0, 0
 
     def end_block() -> None:
         nonlocal linked
@@ -117,7 +186,8 @@ def blocks(page: str) -> list[Block]:
                     min(linked, len(text)),
                     inner[-1].tag if inner else "",
                     tuple(o.number for o in inner),
-                    stack[-1].place if stack else 0,
+                    # The element's number, until all are known.
+                    stack[-1].number if stack else 0,
                     any(o.tag == "li" for o in inner),
                 )
             )
@@ -169,6 +239,18 @@ def blocks(page: str) -> list[Block]:
         if tag == "br":
             add(" ")
             continue
+        names, hidden = _names(attributes) if attributes else ([], False)
+        if tag == "xmp":
+            end = re.compile(r"</xmp[\s/>]", re.I).search(page, at)
+            stop = len(page) if end is None else end.start()
+            end_block()
+            if not hidden:
+                add(html.escape(page[at:stop]))
+            end_block()
+            at = stop
+            continue
+        if tag in _SYMBOL:
+            add(" ")
         if tag not in _INLINE:
             for depth in range(len(stack) - 1, -1, -1):
                 if (stack[depth].tag == "p" and tag in _CLOSES_P) or tag in _ENDED_BY.get(stack[depth].tag, ()):
@@ -180,22 +262,19 @@ def blocks(page: str) -> list[Block]:
         if tag in _VOID or attributes.rstrip().endswith("/") and tag not in _CLOSES_P:
             continue
         above = stack[-1] if stack else _Open("", 0, 0, False)
-        place = above.place
-        names = " ".join(a or b or c for a, b, c in _NAMES.findall(attributes)) if attributes else ""
-        if place >= 0 and (
-            tag in _BOILERPLATE or (tag not in ("html", "body") and names and _BAD_NAME.search(names) is not None)
-        ):
-            place = -1
-        elif place == 0 and tag == "header":
-            place = -1
-        elif place == 0 and tag in _CONTENT:
-            place = 1
-        number += 1
-        dropped = above.dropped or tag in _DROPPED or bool(attributes and _HIDDEN.search(attributes))
-        stack.append(_Open(tag, number, place, dropped))
+        named = tag not in ("html", "body") and any(map(_BAD_NAME.fullmatch, names))
+        comment = named and any(map(_COMMENT.search, names))
+        if tag in _CONTENT:
+            _mark_holders(stack, opened, tag, comment)
+        dropped = above.dropped or tag in _DROPPED or hidden
+        opened.append(_Open(tag, len(opened) + 1, above.number, dropped, named, comment))
+        stack.append(opened[-1])
         links += tag == "a"
     add(page[at:])
     end_block()
+    places = _places(opened)
+    for block in found:
+        block.place = places[block.place]
     return found
 
 

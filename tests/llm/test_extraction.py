@@ -45,6 +45,50 @@ def test_page():
     )
 
 
+@pytest.mark.parametrize(
+    "before,after",
+    [
+        ('<article class="post-123 post hentry tag-politics category-legal">', "</article>"),
+        ('<article class="post legal" id="comment">', "</article>"),
+        ('<div class="layout has-sidebar"><article>', "</article></div>"),
+        ('<div class="sidebar layout"><div id="search"><main>', "</main></div></div>"),
+        ('<main><div class="sidebar"><article>', "</article></div></main>"),
+        ('<main><div class="post tag-social category-ads no-comments">', "</div></main>"),
+    ],
+)
+def test_names_do_not_lose_the_article(before, after):
+    text = "<h1>A headline</h1><p>Short one</p><p>And a sentence, with more of it.</p>"
+    page = f'<body><nav><a href="/">Home</a></nav>{before}{text}{after}<footer>End</footer></body>'
+    for weights in (UNTRAINED, UNTRAINED * 10):
+        assert main_text(page, weights) == "A headline Short one And a sentence, with more of it."
+
+
+@pytest.mark.parametrize(
+    "name", ["ad", "cookie-notice", "site-footer", "nav-menu", "comment-list", "left-sidebar", "related-posts", "tags", "ad-slot-3"]
+)
+def test_names_of_boilerplate_within_an_article(name):
+    for other in (f'class="{name}"', f"id={name}", f'data-x=1 CLASS="x {name} y"'):
+        page = f"<article><p>One sentence.</p><div {other}><p>A long one of the others, with a comma.</p></div></article>"
+        assert main_text(page, UNTRAINED) == "One sentence."
+
+
+def test_comments_are_no_articles():
+    comment = '<article class="comment-body"><p>A reader wrote this, at some length.</p></article>'
+    comments = f'<div id="comments"><ol class="comment-list"><li>{comment}</li></ol></div>'
+    assert main_text(f"<main><article><p>The text.</p></article>{comments}</main>", UNTRAINED) == "The text."
+    assert main_text(f"<article><p>The text.</p><div class=related>{comment}</div></article>", UNTRAINED) == "The text."
+
+
+def test_hidden_is_an_attribute_and_no_text_is_lost():
+    kept = '<p title="The hidden cost of x" data-a=" hidden " alt="display:none">Cost.</p>'
+    formula = "<p>Then <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></math> holds.</p>"
+    others = "<xmp><b>raw</b> &amp; text</xmp><object data=a.pdf><p>A fallback.</p></object>"
+    gone = '<p hidden>a</p><p HIDDEN="">b</p><p style="color:red; display : none">c</p><p aria-hidden=true>d</p><xmp hidden>e</xmp>'
+    assert main_text(f"<article>{kept}{formula}{others}{gone}<p>End.</p></article>", UNTRAINED) == (
+        "Cost. Then x = 1 2 holds. <b>raw</b> &amp; text A fallback. End."
+    )
+
+
 def test_page_without_content_markup():
     body = "".join(f"<p>This is sentence number {i}, and it goes on for some more words, as texts do.</p>" for i in range(4))
     page = f"<body><ul><li><a>Home</a></li><li><a>News</a></li></ul><div><h2>A heading</h2>{body}</div><footer>(c)</footer>"
