@@ -1,10 +1,11 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest.
 
-A candidate is a run of 16 or more characters of which credentials are made.
-The forest judges it by its length, its character transitions (how likely they
+Candidates are values assigned to a credential name and passwords of addresses,
+whatever their length and characters, and elsewhere runs of 16 or more
+characters of which credentials are made. The forest judges one by its length, its character transitions (how likely they
 are in the words of the corpus, how often the kind of character changes), how
-much of it dictionary words cover, whether it is part of a path, address or
-host name, and by the words next to it.
+much of it dictionary words cover, whether it is part of a path, address, login
+or host name, and by the words next to it.
 
 It is trained from labelled findings: those that the caller has, or by default
 those that ``weak_findings`` labels by plain rules, together with made-up ones
@@ -16,6 +17,7 @@ that hold an assignment to a credential name and as many others, and at most
 from __future__ import annotations
 
 import base64
+import bisect
 import hashlib
 import math
 import random
@@ -61,6 +63,20 @@ _HARMLESS = re.compile(
     r"\b(?:commit|sha(?:1|256)?|md5|checksum|digest|hash|uuid|guid|version|build|rev(?:ision)?|file|path|url|href|example)\b", re.I
 )
 _ASSIGNED = re.compile(r"[=:]\s*[\"']?\Z")
+# A name before an assignment sign, looked for in the NAMED characters before the sign.
+NAMED = 100
+_NAMED = re.compile(
+    r"(?:(?:token|secret|passw(?:or)?d|passphrase|pwd|api[_ -]?key|access[_ -]?key|private[_ -]?key|credential)s?[\w-]{0,40}"
+    r"|(?:auth|authorization|bearer)s?)[\"'`\])]{0,2}\s*\Z",
+    re.I,
+)
+_SIGN = re.compile(r"[=:]+>?\s*")
+_SCHEME = re.compile(r"(?:bearer|basic|token|digest)\s+(?=\S)", re.I)
+_QUOTED = re.compile(r"[bruf]{0,2}([\"'`])((?:\\.|(?!\1)[^\\\n])+)\1", re.I)
+# Four groups of four letters are a password that is shown with blanks.
+_BARE = re.compile(r"[a-z]{4}(?: [a-z]{4}){3}(?![^\s,;.)\]}])|\S+")
+_LOGIN = re.compile(r"://[^\s/:@\"'<>]*:")
+_LOGIN_END = re.compile(r"[\s\"'<>]|://")
 _ASSIGNMENT = r"(?i)(token|secret|passw(or)?d|pwd|api[_ -]?key|access[_ -]?key|private[_ -]?key)\w*['\"]?\s*[=:]"
 
 FEATURES = [
@@ -78,21 +94,95 @@ FEATURES = [
     "harmless",
     "assigned",
     "quoted",
+    "special",
+    "login",
 ]
 
 
-def spans(text: str) -> list[tuple[int, int]]:
-    """Places of candidates; runs of letters alone need 20 of them, and border marks are not part of one."""
+def _assigned(text: str) -> list[tuple[int, int, int]]:
+    """Start of the name, start and end of each value that is assigned to a credential name."""
+    found: list[tuple[int, int, int]] = []
+    closed = 0
+    for sign in _SIGN.finditer(text):
+        if sign.start() < closed:
+            continue  # inside a quoted value
+        low = max(0, sign.start() - NAMED)
+        name = _NAMED.search(text[low : sign.start()])
+        if name is None:
+            continue
+        at = sign.end()
+        scheme = _SCHEME.match(text, at)
+        at = scheme.end() if scheme else at
+        value = _QUOTED.match(text, at)
+        if value is not None:
+            start, end = value.span(2)
+            closed = end
+        else:
+            value = _BARE.match(text, at)
+            if value is None:
+                continue
+            start, end = value.span()
+        begin = low + name.start()
+        if found and found[-1][2] > begin:
+            # A bare value that holds another assignment ends where that begins.
+            found[-1] = (*found[-1][:2], max(found[-1][1], begin))
+        found.append((begin, start, end))
+    return found
+
+
+def _logins(text: str) -> list[tuple[int, int]]:
+    """Passwords of addresses, from the colon behind the user to the last at sign."""
     found = []
-    for match in _CANDIDATE.finditer(text):
-        value = match[0]
-        start = match.start() + len(value) - len(value.lstrip("=.-~"))
-        value = value.strip("=.-~") if not value.rstrip(".-~").endswith("=") else value.lstrip("=.-~").rstrip(".-~")
-        if len(value) >= (20 if value.isalpha() else 16):
-            found.append((start, start + len(value)))
+    for login in _LOGIN.finditer(text):
+        stop = _LOGIN_END.search(text, login.end())
+        at = text.rfind("@", login.end(), stop.start() if stop else len(text))
+        if at > login.end():
+            found.append((login.end(), at))
     return found
 
 
+def _without(start: int, end: int, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What is left of a stretch without those taken, which are in order."""
+    left = []
+    for s, e in taken[bisect.bisect_right(taken, start, key=lambda x: x[1]) :]:
+        if s >= end:
+            break
+        left.append((start, s))
+        start = e
+    return [(s, e) for s, e in [*left, (start, end)] if s < e]
+
+
+def spans(text: str) -> list[tuple[int, int]]:
+    """Places of candidates, in order and apart.
+
+    Passwords of addresses and values assigned to a credential name count at
+    every length. Elsewhere runs of letters alone need 20 of them and others 16,
+    and border marks are not part of one.
+    """
+    logins = _logins(text) if "://" in text else []
+    found = list(logins)
+    taken = list(logins)
+    for begin, start, end in _assigned(text):
+        for s, e in _without(start, end, logins):
+            value = text[s:e]
+            if text[s - 1 : s] not in ("'", '"', "`") or text[e : e + 1] != text[s - 1]:
+                # Not quoted: marks of the sentence or structure around are no part of it.
+                s += len(value) - len(value.lstrip("([{<\"'`"))
+                e -= len(value) - len(value.rstrip(",;.)]}>\"'`"))
+            if s < e and not text[s:e].isspace():
+                found.append((s, e))
+        taken += _without(begin, max(start, end), logins)
+    taken.sort()
+    for low, high in _without(0, len(text), taken) if taken else [(0, len(text))]:
+        for match in _CANDIDATE.finditer(text, low, high):
+            value = match[0]
+            start = match.start() + len(value) - len(value.lstrip("=.-~"))
+            value = value.strip("=.-~") if not value.rstrip(".-~").endswith("=") else value.lstrip("=.-~").rstrip(".-~")
+            if len(value) >= (20 if value.isalpha() else 16):
+                found.append((start, start + len(value)))
+    return sorted(found)
+
+
 @dataclass
 class Words:
     """What the corpus' own words are like: likely transitions between letters, and a dictionary."""
@@ -167,6 +257,8 @@ def features_of(text: str, start: int, end: int, words: Words) -> list[float]:
         float(_HARMLESS.search(before) is not None),
         float(_ASSIGNED.search(name if name.endswith(("=", ":")) else before) is not None),
         float(before.endswith(('"', "'", "`"))),
+        sum(not c.isalnum() for c in value) / n,
+        float(after.startswith("@") and _LOGIN.fullmatch(before[before.rfind("://") :]) is not None),
     ]
 
 
@@ -254,13 +346,13 @@ class Model:
         return [(s, e, p) for (s, e), p in zip(found, self.forest.score(rows).tolist(), strict=True)]
 
 
-def made_up_findings(words: list[str], n: int = 1_500, seed: int = SEED) -> list[tuple[str, int, int, int]]:
+def made_up_findings(words: list[str], n: int = 3_000, seed: int = SEED) -> list[tuple[str, int, int, int]]:
     """Text, start, end and label of findings as credential scanners meet them, from a seeded generator."""
     rng = random.Random(seed)
     # Words of the corpus, and as many that it does not know.
     known = words or ["word", "other", "thing"]
     words = known + ["".join(rng.choices("etaoinshrdlucmfwypvbgk", k=rng.randrange(3, 9))) for _ in known]
-    names = ["token", "secret", "password", "api_key", "access_key", "auth token", "client_secret"]
+    names = ["token", "secret", "password", "pwd", "passwd", "api_key", "access_key", "auth token", "client_secret"]
 
     def natural(k: int) -> str:
         return " ".join(rng.choices(words, k=k))
@@ -277,6 +369,38 @@ def made_up_findings(words: list[str], n: int = 1_500, seed: int = SEED) -> list
             ]
         )
 
+    def short() -> str:
+        word = rng.choice(words)
+        marks = "!@#$%:&*?_-+"
+        return rng.choice(
+            [
+                "".join(rng.choices(string.ascii_letters + string.digits, k=rng.randrange(4, 15))) + str(rng.randrange(10)),
+                "".join(rng.choices(string.ascii_letters + string.digits + marks, k=rng.randrange(6, 18))) + rng.choice(marks),
+                word.capitalize().translate(str.maketrans("aeio", "4310")) + str(rng.randrange(10000)) + rng.choice(["", "!", "x", "dor"]),
+                word + str(rng.randrange(1000)) + rng.choice(["", *string.ascii_lowercase]),
+                word.capitalize() + rng.choice(marks) + rng.choice(words) + str(rng.randrange(100)) + rng.choice(["", *marks]),
+                "".join(rng.choices(string.ascii_lowercase, k=16)),
+                " ".join("".join(rng.choices(string.ascii_lowercase, k=4)) for _ in range(4)),
+            ]
+        )
+
+    def placeholder() -> tuple[str, str]:
+        name = rng.choice(names)
+        before = rng.choice([f"{name}: ", f"{name} = ", f"{name}=", f'"{name}": '])
+        other = rng.choice(words)
+        return rng.choice(
+            [
+                (before, other),
+                (before, other),
+                (before + '"', natural(rng.randrange(2, 6))),
+                (before, rng.choice(["none", "None", "null", "true", "false", "required", "string", "str", "optional", "yes", "no"])),
+                (before, rng.choice([f"<{other}>", f"${{{other.upper()}}}", f"{{{{ {other} }}}}", f"os.environ[{other.upper()}]"])),
+                (before, rng.choice(["*", "x", "."]) * rng.randrange(3, 12)),
+                (before, f"{rng.choice(['self', 'config', 'args'])}.{other}"),
+                (rng.choice(["max_tokens = ", "tokens: ", "token_count="]), str(rng.randrange(100_000))),
+            ]
+        )
+
     def harmless() -> tuple[str, str]:
         joined = rng.choice(["_", "-", "", "."]).join(rng.choices(words, k=rng.randrange(4, 9)))
         camel = "".join(w.capitalize() for w in rng.choices(words, k=rng.randrange(4, 8)))
@@ -303,13 +427,26 @@ def made_up_findings(words: list[str], n: int = 1_500, seed: int = SEED) -> list
     rows = []
     for i in range(n):
         label = i % 2
-        if label:
+        behind = ""
+        # As many short ones, which only their context makes candidates, as others.
+        if i % 4 >= 2:
+            if label and rng.random() < 0.3:
+                before = f"{rng.choice(['https', 'postgres', 'redis', 'ftp'])}://{rng.choice([*words, ''])}:"
+                value, behind = rng.choice([short, secret])().replace(" ", ""), f"@{rng.choice(words)}.example.com/{rng.choice(words)}"
+            elif label:
+                name = rng.choice(names)
+                before = rng.choice([f'{name} = "', f"{name}: ", f"{name}=", f'"{name}": "', f"{name}: '"])
+                value = short()
+            else:
+                before, value = placeholder()
+        elif label:
             before = rng.choice([f'{rng.choice(names)} = "', f"{rng.choice(names)}: ", f"{rng.choice(names)}=", "Bearer ", "", '"'])
             value = secret()
         else:
             before, value = harmless()
         before = natural(4) + " " + before
-        text = before + value + rng.choice(['"', " ", ", "]) + natural(3)
+        close = behind or (before[-1] if before[-1] in "\"'" else rng.choice([" ", ", ", "\n"]))
+        text = before + value + close + " " + natural(3)
         rows += [(text, s, e, label) for s, e in spans(text) if s <= len(before) < e or before.endswith(text[s:e][:1])][:1]
     return rows
 
@@ -317,6 +454,8 @@ def made_up_findings(words: list[str], n: int = 1_500, seed: int = SEED) -> list
 def _weak_label(row: list[float]) -> int | None:
     """1 for a value with digits that is assigned to a credential name; 0 for plain words, numbers and addresses."""
     f = dict(zip(FEATURES, row, strict=True))
+    if f["login"]:
+        return 1 if 0 < f["digits"] < 1 and not f["path"] else None
     if f["assigned"] and f["credential"] and 0 < f["digits"] < 1 and f["dictionary"] < 0.6:
         return 1
     if f["digits"] in (0.0, 1.0) and not f["credential"] or f["address"] or f["path"]:

@@ -28,6 +28,34 @@ def test_spans():
     assert found == ["aaaa1111bbbb2222", HEX, "ABCDEFGHIJKLMNOPQRSTU", "QUJDREVGR0hJSktMTU4=="]
 
 
+def test_spans_of_context():
+    def found(text):
+        return [text[s:e] for s, e in secrets.spans(text)]
+
+    assert found('password = "Tr0ub4dor" pwd: hunter2x, api_key=a!b@c#d$e%f:g.') == ["Tr0ub4dor", "hunter2x", "a!b@c#d$e%f:g"]
+    assert found("Password: abcdefghijklmnop\nmy secret => 'two words' end") == ["abcdefghijklmnop", "two words"]
+    assert found("password: abcd efgh ijkl mnop next") == ["abcd efgh ijkl mnop"]
+    assert found('{"db_password": "p", "user": "bob"} Authorization: Bearer ab12') == ["p", "ab12"]
+    assert found("go postgres://bob:p@ss/w0rd!@db.example.com:5432/x") == ["p@ss/w0rd!"]
+    assert found('secret_url = "redis://:x1@h/0"')[1] == "x1"
+    assert found(f"token={HEX} and token: {{password:abc1}}") == [HEX, "abc1"]
+    assert found("a token and the password of http://localhost:80/x, password: ") == []
+    assert found(f"{HEX}/token=abc") == [HEX + "/", "abc"]
+
+
+def test_spans_take_linear_time():
+    for text in ("token" * 60_000, "password=" * 30_000, "://a:" * 60_000, "=:" * 150_000, 'pwd="' * 50_000, "token " + " " * 300_000):
+        spans = secrets.spans(text)
+        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:], strict=False))
+
+
+def test_short_secrets_are_judged(model):
+    for value in ("Tr0ub4dor", "hunter2x", "qzvkwjxhtpbrmfgd", "aB3!x@9#k$L%2:q"):
+        for text in (f'my password = "{value}" here', f"the pwd: {value}\nand more", f"see https://bob:{value}@example.com/a now"):
+            assert verdicts(model, text).get(value), text
+    assert not any(verdicts(model, "password: required\nmax_tokens = 4096 token: none, secret: ${SECRET} ").values())
+
+
 def test_forest_learns_a_rule():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(800, 6))
