@@ -7,7 +7,8 @@ are in the words of the corpus, how often the kind of character changes), how
 much of it dictionary words cover, whether it is part of a path, address, login
 or host name, and by the words next to it.
 
-It is trained from labelled findings: those that the caller has, or by default
+Words and letter pairs are counted over all documents. The forest is trained from
+labelled findings: those that the caller has, or by default
 those that ``weak_findings`` labels by plain rules, together with made-up ones
 from a seeded generator. The sample is bounded: ``SAMPLE_DOCUMENTS`` documents
 that hold an assignment to a credential name and as many others, and at most
@@ -43,10 +44,14 @@ from pyspark.sql.types import (
 )
 
 from deedlens.llm.arrow import texts
+from deedlens.sources.scratch import stored
 
 SAMPLE_DOCUMENTS = 2_000
 SAMPLE = 5_000
-DICTIONARY = 5_000
+#: A word of the dictionary occurs so often at least, and is one in so many of all words of the documents.
+LEAST, ONE_IN = 3, 2_000_000
+#: Words that made-up findings are put together from, at most.
+MADE_OF = 5_000
 TREES, DEPTH = 50, 8
 SEED = 42
 THRESHOLD = 0.5
@@ -70,6 +75,7 @@ _NAMED = re.compile(
     r"|(?:auth|authorization|bearer)s?)[\"'`\])]{0,2}\s*\Z",
     re.I,
 )
+_PARTS = ("token", "secret", "pass", "pwd", "key", "credential", "auth", "bearer")
 _SIGN = re.compile(r"[=:]+>?\s*")
 _SCHEME = re.compile(r"(?:bearer|basic|token|digest)\s+(?=\S)", re.I)
 _QUOTED = re.compile(r"[bruf]{0,2}([\"'`])((?:\\.|(?!\1)[^\\\n])+)\1", re.I)
@@ -102,12 +108,14 @@ FEATURES = [
 def _assigned(text: str) -> list[tuple[int, int, int]]:
     """Start of the name, start and end of each value that is assigned to a credential name."""
     found: list[tuple[int, int, int]] = []
-    closed = 0
+    closed = run = 0
     for sign in _SIGN.finditer(text):
         if sign.start() < closed:
             continue  # inside a quoted value
         low = max(0, sign.start() - NAMED)
-        name = _NAMED.search(text[low : sign.start()])
+        before = text[low : sign.start()].lower()
+        # Most signs have no such name before them, which plain searches tell soonest.
+        name = _NAMED.search(before) if any(part in before for part in _PARTS) else None
         if name is None:
             continue
         at = sign.end()
@@ -118,11 +126,13 @@ def _assigned(text: str) -> list[tuple[int, int, int]]:
             start, end = value.span(2)
             closed = end
         else:
-            value = _BARE.match(text, at)
-            if value is None:
+            # The end of a run without blanks is looked for once, for all values in it.
+            value = None if at < run else _BARE.match(text, at)
+            if value is None and at >= run:
                 continue
-            start, end = value.span()
-        begin = low + name.start()
+            start, end = (at, run) if value is None else value.span()
+            run = end
+        begin = low + min(name.start(), sign.start() - low)
         if found and found[-1][2] > begin:
             # A bare value that holds another assignment ends where that begins.
             found[-1] = (*found[-1][:2], max(found[-1][1], begin))
@@ -144,7 +154,8 @@ def _logins(text: str) -> list[tuple[int, int]]:
 def _without(start: int, end: int, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """What is left of a stretch without those taken, which are in order."""
     left = []
-    for s, e in taken[bisect.bisect_right(taken, start, key=lambda x: x[1]) :]:
+    for i in range(bisect.bisect_right(taken, start, key=lambda x: x[1]), len(taken)):
+        s, e = taken[i]
         if s >= end:
             break
         left.append((start, s))
@@ -191,15 +202,12 @@ class Words:
     words: list[str]
 
     @classmethod
-    def of_counts(cls, counts: dict[str, int]) -> Words:
-        pairs: Counter = Counter()
+    def of_counts(cls, pairs: dict[str, int], words: list[str]) -> Words:
         firsts: Counter = Counter()
-        for word, n in counts.items():
-            for a, b in zip(word, word[1:], strict=False):
-                pairs[a + b] += n
-                firsts[a] += n
+        for pair, n in pairs.items():
+            firsts[pair[0]] += n
         table = {p: math.log((n + 0.5) / (firsts[p[0]] + 20)) for p, n in pairs.items()}
-        return cls(table, sorted(w for w in counts if len(w) >= 3 and w.isascii()))
+        return cls(table, sorted(w for w in words if len(w) >= 3 and w.isascii()))
 
     def __getstate__(self):
         return self.transitions, self.words
@@ -463,20 +471,26 @@ def _weak_label(row: list[float]) -> int | None:
     return None
 
 
-def fit_words(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Words:
-    """The ``DICTIONARY`` most frequent words of ``SAMPLE_DOCUMENTS`` documents, and their letters."""
-    word = F.explode(F.split(F.lower(F.col("text")), r"[^\p{L}]+")).alias("word")
-    rows = (
-        _sampled(df, doc_id, text)
-        .select(word)
-        .where("length(word) BETWEEN 2 AND 64")
-        .groupBy("word")
-        .agg(F.count("*").alias("n"))
-        .orderBy(F.desc("n"), "word")
-        .limit(DICTIONARY)
-        .collect()
+def fit_words(df: DataFrame, text: str = "text") -> Words:
+    """Words and letter pairs of all documents.
+
+    All words are counted, each once per occurrence. The dictionary are those of
+    at most 64 letters that occur ``LEAST`` times and make up one in ``ONE_IN``
+    of all words at least, so it has no more than ``ONE_IN`` entries. The pairs
+    are those of letters below U+0600, which bounds their table.
+    """
+    word = F.explode(F.split(F.lower(F.col(f"`{text}`")), r"[^\p{L}]+")).alias("word")
+    counts = stored(
+        df.where(F.col(f"`{text}`").isNotNull()).select(word).where("length(word) >= 2").groupBy("word").agg(F.count("*").alias("n")),
+        "words",
     )
-    return Words.of_counts({r["word"]: r["n"] for r in rows})
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    least = max(LEAST, math.ceil(total / ONE_IN))
+    known = counts.where((F.col("n") >= least) & (F.length("word") <= 64)).select("word").collect()
+    # Pairs overlap; the word's count stands for all its occurrences.
+    pair = F.explode(F.regexp_extract_all("word", F.lit(r"(?=([\x{0}-\x{5ff}]{2}))"), F.lit(1))).alias("pair")
+    pairs = counts.select(pair, "n").groupBy("pair").agg(F.sum("n").alias("n")).collect()
+    return Words.of_counts({r["pair"]: r["n"] for r in pairs}, [r["word"] for r in known])
 
 
 def _sampled(df: DataFrame, doc_id: str, text: str, where: Column | None = None) -> DataFrame:
@@ -518,11 +532,11 @@ def fit(
     default they come from ``weak_findings`` and ``made_up_findings``, so an
     empty table gives a model too.
     """
-    words = fit_words(df, doc_id, text)
+    words = fit_words(df, text)
     if findings is None:
-        common = [w for w in words.words if w.isascii()][:DICTIONARY]
+        some = words.words[:: max(1, math.ceil(len(words.words) / MADE_OF))]
         findings = weak_findings(df, words, doc_id, text)
-        findings += [(features_of(t, s, e, words), k) for t, s, e, k in made_up_findings(common)]
+        findings += [(features_of(t, s, e, words), k) for t, s, e, k in made_up_findings(some)]
     x = np.array([f for f, _ in findings], float).reshape(-1, len(FEATURES))
     return Model(words, Forest.fit(x, np.array([k for _, k in findings], float)))
 

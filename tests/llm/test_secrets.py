@@ -91,6 +91,26 @@ def test_query_finds_every_planted_token(spark):
     assert planted and len(secret) <= 1.02 * planted
 
 
+def test_words_of_all_documents(spark):
+    # More documents and words than any sample: a small source's word is among them, and every letter pair counts.
+    names = ["".join(chr(97 + i // 26**k % 26) for k in range(4)) for i in range(7_000)]
+    rows = [(i, " ".join(names[(3 * i + j) % 7_000] for j in range(6))) for i in range(3_500)]
+    rows += [(10_000 + i, "Zebrafish, zebrafish; rare" + "qxj" * i) for i in range(2)] + [(None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    words = secrets.fit_words(df)
+    counts = {}
+    for _, text in rows:
+        for w in re.findall(r"[a-z]+", (text or "").lower()):
+            counts[w] = counts.get(w, 0) + 1
+    assert words.words == sorted(w for w, n in counts.items() if n >= secrets.LEAST and len(w) >= 3)
+    assert "zebrafish" in words.words and "rareqxj" not in words.words
+    pairs = {}
+    for w, n in counts.items():
+        for a, b in zip(w, w[1:], strict=False):
+            pairs[a + b] = pairs.get(a + b, 0) + n
+    assert words.transitions == secrets.Words.of_counts(pairs, []).transitions
+
+
 def test_redact_and_edges(spark, model):
     text = f'a token = "{HEX}", twice "{HEX}" b'
     rows = [(1, text, "x"), (2, None, "x"), (None, "", None), (3, "plain words only", "x"), (3, "plain words only", "x"), (4, "x" * 300_000, "x")]
