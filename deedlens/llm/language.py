@@ -162,13 +162,14 @@ class Model:
     def viterbi(self, scores: np.ndarray) -> np.ndarray:
         """The best language of each row, where each change costs the penalty; ties go to the earlier language.
 
-        If no stretch of rows gains more than the penalty in another language
-        than the one that is best for all, that one is the answer for all.
+        If no stretch of rows gains more than half the penalty in another language
+        than the one that is best for all, that one is the answer for all: a path
+        with m changes has m + 1 stretches, which gain m penalties at most.
         """
         best = int(scores.sum(axis=0).argmax())
         gain = np.cumsum(scores - scores[:, best : best + 1], axis=0)
         floor = np.minimum.accumulate(np.vstack([np.zeros(gain.shape[1]), gain[:-1]]), axis=0)
-        if (gain - floor).max() <= self.penalty:
+        if (gain - floor).max() <= self.penalty / 2:
             return np.full(len(scores), best)
         # Plain numbers: for a few languages they beat arrays by far. ``back`` notes the rows in which a language
         # is reached from another.

@@ -42,6 +42,15 @@ def test_viterbi_against_all_paths(model):
             assert value[tuple(model.viterbi(scores).tolist())] == pytest.approx(best)
 
 
+def test_viterbi_two_gains_for_one_change(model):
+    scores = np.array([[0.0, -5.0, -1.0]] * 10 + [[-5.0, 0.0, -1.0]] * 10)
+    assert model.viterbi(scores).tolist() == [0] * 10 + [1] * 10
+    # The same in few rows, against all paths.
+    scores = np.array([[0.0, -50 / 3, -10 / 3]] * 3 + [[-50 / 3, 0.0, -10 / 3]] * 3)
+    best, value = best_path(model, scores)
+    assert value[tuple(model.viterbi(scores).tolist())] == pytest.approx(best)
+
+
 def test_spans(model):
     text = f"  {TEXTS['en']}\n{TEXTS['ru']} 12 {TEXTS['de']} "
     lang, score, spans = model.label(text)
