@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deedlens.llm import byte_bpe, extraction, language, lines, neighbours, packing, quality, secrets, sharding, simhash
+from deedlens.llm import (
+    byte_bpe,
+    extraction,
+    language,
+    lexical,
+    lines,
+    neighbours,
+    packing,
+    quality,
+    secrets,
+    sharding,
+    simhash,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -96,3 +108,42 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "found.start", "found.length", F.sha2("found.value", 256).alias("value_sha256"), "found.score", "found.is_secret"
     )
+
+
+@query
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
+
+
+_TERMS = r"""regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+SQL["op11_lexical"] = f"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS terms FROM documents
+), totals AS (
+  SELECT count(*) AS docs, sum(len(terms)) AS total FROM texts WHERE len(terms) > 0
+), counts AS (
+  SELECT r, doc_id, n, term, count(*) AS tf
+  FROM (SELECT r, doc_id, len(terms) AS n, unnest(terms) AS term FROM texts)
+  GROUP BY r, doc_id, n, term
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM counts CROSS JOIN totals GROUP BY term, docs
+), items AS (
+  SELECT item_id, term, count(*) AS times
+  FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark)
+  GROUP BY item_id, term
+), scores AS (
+  SELECT item_id, r, doc_id,
+    CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // total)))) AS BIGINT) AS score
+  FROM items JOIN counts USING (term) JOIN weights USING (term) CROSS JOIN totals
+  GROUP BY item_id, r, doc_id
+), ranked AS (
+  SELECT item_id, doc_id, score,
+    CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST) AS INTEGER) AS rank
+  FROM scores WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
