@@ -19,7 +19,9 @@ from deedlens.llm import (
     secrets,
     sharding,
     simhash,
+    trie,
 )
+from deedlens.sources.scratch import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -147,3 +149,54 @@ WITH texts AS (
 )
 SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
 """
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = stored(trie.sequences(table(spark, sf_dir, "conversations")), "paths")
+    starts = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9
+    rebuilt = trie.shared_starts(paths, starts, F.col("conv_id") - F.col("conv_id") % 5)
+    return trie.trie(rebuilt).drop("path")
+
+
+# The CRC-32 of a string of digits, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(
+      list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+      lambda crc, code: list_reduce(range(8), lambda bits, i: CASE WHEN bits % 2 = 1 THEN xor(bits // 2, 3988292384) ELSE bits // 2 END, xor(crc, code)),
+      4294967295))"""
+
+SQL["op12_prefix_trie"] = f"""
+WITH turns AS (
+  SELECT conv_id, turn, strlen(coalesce(text, '')) AS bytes,
+    sha256(CAST(strlen(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, list({{'digest': digest, 'bytes': bytes}} ORDER BY turn NULLS FIRST, digest) AS seq, {_CRC32} % 9 AS h
+  FROM turns GROUP BY conv_id
+), rebuilt AS (
+  SELECT own.conv_id, list_concat(coalesce(base.seq[1:own.h], []), own.seq[own.h + 1:]) AS seq
+  FROM own LEFT JOIN own AS base ON base.conv_id = own.conv_id - own.conv_id % 5
+), prefixes AS (
+  SELECT conv_id, len(seq) AS turns, depth, seq[1:depth] AS prefix
+  FROM (SELECT conv_id, seq, unnest(range(len(seq) + 1)) AS depth FROM rebuilt)
+), nodes AS (
+  SELECT depth, prefix, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE turns = depth), '')) AS ends_sha256,
+    (count(*) - 1) * coalesce(prefix[depth].bytes, 0) AS saved
+  FROM prefixes GROUP BY depth, prefix
+), children AS (
+  SELECT depth - 1 AS depth, prefix[1:depth - 1] AS prefix, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL
+), counted AS (
+  SELECT nodes.*, coalesce(children.n_children, 0) AS n_children
+  FROM nodes LEFT JOIN children ON children.depth = nodes.depth AND children.prefix = nodes.prefix
+), subtrees AS (
+  SELECT above AS depth, prefix[1:above] AS prefix, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+  FROM (SELECT prefix, n_children, saved, unnest(range(depth + 1)) AS above FROM counted)
+  GROUP BY ALL
+)
+SELECT counted.conv_id, counted.depth, parent.conv_id AS parent_conv_id, counted.n_convs, counted.n_children,
+  subtrees.n_leaves, CAST(subtrees.saved_tokens AS BIGINT) AS saved_tokens, counted.ends_sha256
+FROM counted
+JOIN subtrees ON subtrees.depth = counted.depth AND subtrees.prefix = counted.prefix
+LEFT JOIN nodes AS parent ON parent.depth = counted.depth - 1 AND parent.prefix = counted.prefix[1:counted.depth - 1]
+"""
