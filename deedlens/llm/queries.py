@@ -15,6 +15,7 @@ from deedlens.llm import (
     lines,
     neighbours,
     packing,
+    positive,
     quality,
     secrets,
     sharding,
@@ -200,3 +201,12 @@ FROM counted
 JOIN subtrees ON subtrees.depth = counted.depth AND subtrees.prefix = counted.prefix
 LEFT JOIN nodes AS parent ON parent.depth = counted.depth - 1 AND parent.prefix = counted.prefix[1:counted.depth - 1]
 """
+
+
+@query
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 4 == 2
+    model = positive.fit(documents.where(~held_out), table(spark, sf_dir, "labels").where(~held_out))
+    scored = documents.select("doc_id", held_out.alias("held_out"), positive.score(F.col("text"), model, spark).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
