@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import FeatureHasher, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Binarizer, FeatureHasher, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -141,22 +141,30 @@ def one_hot(df: DataFrame, columns: Sequence[str], drop_last: bool = True, inval
     return encoder.fit(df).transform(df)
 
 
-def feature_stages(
+def flag_stages(
     encoded: Sequence[str],
     hashed: Sequence[str],
-    numbers: Sequence[str],
+    borders: Mapping[str, Sequence[float]],
     hashed_size: int = 256,
     out: str = "features",
 ) -> list:
-    """Pipeline stages from text and number columns to one vector.
+    """Pipeline stages from text and number columns to one vector of 0/1 features.
 
     The caller says how a text column is encoded. ``encoded`` ones are one-hot
     encoded: exact, but the fitted values are held by the driver and by every
-    task, which suits columns whose values are known to be few. ``hashed`` ones
-    share ``hashed_size`` slots, whatever the number of values; values that meet
-    in a slot are one feature to the model.
+    task, which suits columns whose values are known to be few. A ``hashed`` one
+    has ``hashed_size`` slots, whatever the number of values; values that meet
+    in a slot are one feature to the model. A number has a feature for each of
+    its ``borders``: whether it lies above. Rows with a NULL number are skipped.
     """
-    stages, parts = [], list(numbers)
+    stages, parts = [], []
+    above = [(column, border, f"{column}_above_{i}") for column, own in borders.items() for i, border in enumerate(own)]
+    if above:
+        columns, thresholds, names = (list(x) for x in zip(*above, strict=True))
+        # A NULL or NaN is neither above nor below: the assembler of the numbers themselves skips the row.
+        stages.append(VectorAssembler(inputCols=list(borders), outputCol=f"{out}_numbers", handleInvalid="skip"))
+        stages.append(Binarizer(inputCols=columns, outputCols=names, thresholds=thresholds))
+        parts += names
     if encoded:
         names = list(encoded)
         indexes, vectors = [f"{c}_index" for c in names], [f"{c}_vec" for c in names]
@@ -167,13 +175,10 @@ def feature_stages(
         )
         stages.append(OneHotEncoder(inputCols=indexes, outputCols=vectors))
         parts += vectors
-    if hashed:
-        stages.append(
-            FeatureHasher(
-                inputCols=list(hashed), outputCol="hashed", numFeatures=hashed_size, categoricalCols=list(hashed)
-            )
-        )
-        parts.append("hashed")
+    for c in hashed:
+        # A hasher of its own for each column: no two columns meet in a slot, so each is 0 or 1.
+        stages.append(FeatureHasher(inputCols=[c], outputCol=f"{c}_slots", numFeatures=hashed_size, categoricalCols=[c]))
+        parts.append(f"{c}_slots")
     stages.append(VectorAssembler(inputCols=parts, outputCol=out, handleInvalid="skip"))
     return stages
 

@@ -3,17 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from multiprocessing.pool import ThreadPool
 
+import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deedlens.operators.features import feature_stages
+from deedlens.functions.hashing import bucket, poisson_count, poisson_thresholds, uniform
+from deedlens.functions.text import quoted
+from deedlens.operators.features import flag_stages
 from deedlens.operators.ranking import running_total
-from deedlens.operators.sampling import split
+from deedlens.operators.sampling import row_key, split
 from deedlens.sources.scratch import stored
 
 
@@ -46,13 +51,67 @@ def auc(df: DataFrame, score: str, label: str) -> DataFrame:
     )
 
 
+#: Rows, taken by key digest, that the split candidates of numbers are read from, as MLlib takes about as many.
+CANDIDATE_ROWS = 10_000
+#: Split candidates of a number, at most.
+CANDIDATES = 31
+#: Trees that are fitted at a time.
+PARALLEL_TREES = 4
+
+
+def split_candidates(
+    df: DataFrame, numbers: Sequence[str], key: str, seed: int = 42, rows: int = CANDIDATE_ROWS, most: int = CANDIDATES
+) -> dict[str, list[float]]:
+    """Values between which trees may split each number: quantiles over ``rows`` rows.
+
+    The rows are those with the smallest digests of key and seed, so the
+    candidates do not depend on the partitioning, and what reaches the driver is
+    bounded by ``rows``. A number with one value has no candidate.
+    """
+    draw = bucket(row_key(df, key), f"{seed}.candidates")
+    values = df.select(draw.alias("_draw"), *[F.col(quoted(c)).cast("double").alias(c) for c in numbers])
+    # All columns decide ties, so that equal draws leave no choice.
+    sample = values.orderBy("_draw", *[quoted(c) for c in numbers]).limit(rows).drop("_draw").collect()
+    found = {}
+    for i, name in enumerate(numbers):
+        own = np.array([r[i] for r in sample if r[i] is not None and np.isfinite(r[i])])
+        if not own.size:
+            found[name] = []
+            continue
+        # The largest value is no border: nothing lies above it.
+        borders = np.quantile(own, np.arange(1, most + 1) / (most + 1), method="lower")
+        found[name] = [float(v) for v in np.unique(borders) if v < own.max()]
+    return found
+
+
+def _flags(vector: str, out: str, size: int) -> Column:
+    """The vector marked as 0/1 features, so that MLlib need not look for split candidates of its own."""
+    flags = [{"idx": i, "vals": ["0", "1"]} for i in range(size)]
+    return F.col(vector).alias(out, metadata={"ml_attr": {"attrs": {"binary": flags}, "num_attrs": size}})
+
+
 @dataclass(frozen=True)
 class Forest:
-    """A fitted pipeline with its scored training and test rows."""
+    """Fitted preprocessing and trees, with scored training and test rows."""
 
-    model: PipelineModel
-    train: DataFrame
-    test: DataFrame
+    preparation: PipelineModel
+    trees: list[RandomForestClassificationModel]
+    size: int
+    train: DataFrame | None = None
+    test: DataFrame | None = None
+
+    def prepared(self, df: DataFrame) -> DataFrame:
+        """Rows with their vector of 0/1 features; rows with a NULL number are left out."""
+        rows = self.preparation.transform(df)
+        return rows.withColumn("features", _flags("features", "features", self.size))
+
+    def scored(self, prepared: DataFrame) -> DataFrame:
+        """Add ``score``, the mean over the trees of the probability of class 1."""
+        names = [f"_tree_{i}" for i in range(len(self.trees))]
+        rows = prepared
+        for name, tree in zip(names, self.trees, strict=True):
+            rows = tree.transform(rows).drop("rawPrediction", "prediction").withColumn(name, vector_to_array("probability")[1]).drop("probability")
+        return rows.withColumn("score", sum((F.col(n) for n in names[1:]), F.col(names[0])) / len(names)).drop(*names)
 
 
 def random_forest(
@@ -65,26 +124,56 @@ def random_forest(
     trees: int = 10,
     train_share: float = 0.8,
     seed: int = 42,
+    depth: int = 5,
 ) -> Forest:
     """Split by key, fit the preprocessing and a forest on the training part, score both parts.
 
-    ``key`` decides the split and is no feature; see :func:`feature_stages` for
-    ``encoded`` and ``hashed`` text columns. Scored rows carry ``score``,
-    the probability of class 1. The needed columns are stored once, since every
-    stage and every level of the trees passes over them.
+    The forest is a function of rows, keys and seed, however the rows lie in
+    partitions: a tree takes each training row as often as a Poisson draw of its
+    key says (as a weight, without copies), and numbers become 0/1 features, one
+    for each of the :func:`split_candidates`. MLlib's own draws, which go by
+    partition, are not used. Counts of such rows are whole numbers, so the order
+    of their sums does not matter either.
+
+    ``key`` decides split and draws and is no feature; see :func:`flag_stages`
+    for ``encoded`` and ``hashed`` text columns. Trees are fitted some at a time,
+    each over prepared rows that are stored once.
     """
-    needed = df.select(key, label, *encoded, *hashed, *numbers)
+    kept = [F.col(quoted(c)) for c in (key, label, *encoded, *hashed)]
+    needed = df.select(*kept, *[F.col(quoted(c)).cast("double").alias(c) for c in numbers])
     parts = stored(split(needed, {"train": train_share, "test": 1.0 - train_share}, seed, key), "training")
     train = parts.filter(F.col("part") == "train")
-    test = parts.filter(F.col("part") == "test")
-    stages = feature_stages(encoded, hashed, numbers)
-    forest = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=trees, seed=seed)
-    model = Pipeline(stages=[*stages, forest]).fit(train)
-
-    def scored(rows: DataFrame) -> DataFrame:
-        return model.transform(rows).withColumn("score", vector_to_array("probability")[1])
-
-    return Forest(model, scored(train), scored(test))
+    borders = split_candidates(train, numbers, key, seed)
+    preparation = Pipeline(stages=flag_stages(encoded, hashed, borders)).fit(train)
+    sizes = preparation.transform(train.limit(1)).schema["features"].metadata["ml_attr"]
+    forest = Forest(preparation, [], sizes["num_attrs"])
+    rows = stored(forest.prepared(parts), "prepared")
+    limits = [F.lit(t) for t in poisson_thresholds(1.0)]
+    own_key = row_key(needed, key)
+
+    def fit(tree: int) -> RandomForestClassificationModel:
+        drawn = poisson_count(uniform(own_key, f"{seed}.tree.{tree}"), limits).cast("double")
+        taken = rows.filter(F.col("part") == "train").withColumn("_weight", drawn).filter("_weight > 0")
+        learner = RandomForestClassifier(
+            labelCol=label,
+            featuresCol="features",
+            weightCol="_weight",
+            numTrees=1,
+            bootstrap=False,
+            featureSubsetStrategy="sqrt" if trees > 1 else "all",
+            maxDepth=depth,
+            seed=seed + tree,
+        )
+        return learner.fit(taken)
+
+    with ThreadPool(min(PARALLEL_TREES, trees)) as pool:
+        fitted = pool.map(inheritable_thread_target(df.sparkSession)(fit), range(trees))
+    forest = replace(forest, trees=fitted)
+    return replace(
+        forest,
+        train=forest.scored(rows.filter(F.col("part") == "train")),
+        test=forest.scored(rows.filter(F.col("part") == "test")),
+    )
 
 
 def forest_report(forest: Forest, label: str) -> DataFrame:

@@ -117,11 +117,11 @@ def test_build_features_accounts_for_every_row(spark):
     assert rows(kept.dropped.select("k", "p")) == [("T3", None), (None, 3), (None, 4)]
 
 
-def test_encodings_are_the_callers_choice():
-    kinds = [type(s).__name__ for s in features.feature_stages(["g"], ["m"], [])]
+def test_encodings_are_the_callers_choice(spark):
+    kinds = [type(s).__name__ for s in features.flag_stages(["g"], ["m"], {})]
     assert kinds == ["StringIndexer", "OneHotEncoder", "FeatureHasher", "VectorAssembler"]
-    kinds = [type(s).__name__ for s in features.feature_stages(["g"], [], [])]
-    assert kinds == ["StringIndexer", "OneHotEncoder", "VectorAssembler"]
+    kinds = [type(s).__name__ for s in features.flag_stages(["g"], [], {"x": [1.0, 2.0]})]
+    assert kinds == ["VectorAssembler", "Binarizer", "StringIndexer", "OneHotEncoder", "VectorAssembler"]
 
 
 def test_standardise_one_row(spark):
@@ -165,6 +165,47 @@ def test_forest_on_separable_rows(spark):
     assert report["train"]["positives"] + report["test"]["positives"] == 580
 
 
+def _mixed_rows(spark, n=15_000):
+    """More rows than MLlib's own candidate sample has, with repeated and missing keys."""
+    k = F.col("id")
+    return spark.range(n).select(
+        F.when(k % 50 != 0, k % (n - 100)).alias("id"),
+        (k * 37 % 1009).cast("double").alias("amount"),
+        F.when(k % 40 != 0, (k % 13).cast("double")).alias("level"),
+        F.concat(F.lit("m"), (k % 300).cast("string")).alias("merchant"),
+        F.concat(F.lit("g"), (k % 3).cast("string")).alias("kind"),
+        ((k * 37 % 1009 + k % 13 * 40 + F.crc32(k.cast("string")) % 300) > 900).cast("int").alias("label"),
+    )
+
+
+def test_forest_does_not_depend_on_partitions(spark):
+    df = _mixed_rows(spark)
+    found = []
+    for n in (1, 7, 64):
+        forest = models.random_forest(df.repartition(n), "label", ["kind"], ["merchant"], ["amount", "level"], "id", trees=4)
+        found.append(rows(models.forest_report(forest, "label").withColumn("auc", F.round("auc", 9))))
+        debug = [t.toDebugString.split("\n", 1)[1] for t in forest.trees]
+        assert len(set(debug)) == 4
+    assert found[0] == found[1] == found[2]
+    assert all(0.9 < auc < 1 for _, _, auc, _ in found[0])
+    # Rows without a number are left out, as the vector assembler does.
+    assert sum(p + n for p, n, _, _ in found[0]) == df.where("level IS NOT NULL").count()
+
+
+def test_forest_on_rows_of_one_value(spark):
+    df = spark.range(40).select("id", F.lit(5.0).alias("x"), (F.col("id") % 4).cast("double").alias("y"), (F.col("id") % 4 > 1).cast("int").alias("label"))
+    forest = models.random_forest(df, "label", [], [], ["x", "y"], "id", trees=3)
+    assert models.split_candidates(df, ["x", "y"], "id") == {"x": [], "y": [0.0, 1.0, 2.0]}
+    assert {r["auc"] for r in models.forest_report(forest, "label").collect()} == {1.0}
+
+
+def test_split_candidates_follow_keys(spark):
+    df = _mixed_rows(spark)
+    a, b = (models.split_candidates(df.repartition(n), ["amount", "level"], "id", rows=500) for n in (1, 9))
+    assert a == b and len(a["amount"]) == 31 and len(a["level"]) == 12
+    assert models.split_candidates(df.limit(0), ["amount"], "id") == {"amount": []}
+
+
 def test_latent_rows_keep_moments_and_direction(spark):
     z = F.col("id")
     df = spark.range(6_000).select(
