@@ -125,6 +125,7 @@ def random_forest(
     train_share: float = 0.8,
     seed: int = 42,
     depth: int = 5,
+    subset: str = "sqrt",
 ) -> Forest:
     """Split by key, fit the preprocessing and a forest on the training part, score both parts.
 
@@ -136,8 +137,10 @@ def random_forest(
     of their sums does not matter either.
 
     ``key`` decides split and draws and is no feature; see :func:`flag_stages`
-    for ``encoded`` and ``hashed`` text columns. Trees are fitted some at a time,
-    each over prepared rows that are stored once.
+    for ``encoded`` and ``hashed`` text columns. ``subset`` is how many features a
+    node chooses from, as MLlib names it; few values in many slots want more
+    than the root of their number. Trees are fitted some at a time, each over
+    prepared rows that are stored once.
     """
     kept = [F.col(quoted(c)) for c in (key, label, *encoded, *hashed)]
     needed = df.select(*kept, *[F.col(quoted(c)).cast("double").alias(c) for c in numbers])
@@ -160,7 +163,7 @@ def random_forest(
             weightCol="_weight",
             numTrees=1,
             bootstrap=False,
-            featureSubsetStrategy="sqrt" if trees > 1 else "all",
+            featureSubsetStrategy=subset if trees > 1 else "all",
             maxDepth=depth,
             seed=seed + tree,
         )

@@ -180,7 +180,8 @@ def q_forest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     season, area = F.month("Datetaken") * F.lit(0.15), F.substring("AreaCode", 2, 9).cast("int") * F.lit(0.1)
     lively = index.withColumn("AveragePrice", F.col("AveragePrice") * (F.lit(1) + season + area))
     rows = features.date_parts(label.threshold_label(lively, "AveragePrice", _LIVELY_THRESHOLD, below=0), "Datetaken")
-    forest = models.random_forest(rows, "is_fraud", [], ["RegionName", "AreaCode"], ["year", "month", "day"], "row_key")
+    hashed, numbers = ["RegionName", "AreaCode"], ["year", "month", "day"]
+    forest = models.random_forest(rows, "is_fraud", [], hashed, numbers, "row_key", subset="onethird")
     return _learnt(forest, "is_fraud", 0.7, 0.7)
 
 
