@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from deedlens.functions.hashing import bucket
 from deedlens.operators import features, generate, label, latent, models, text
 from deedlens.operators.profile import histogram_overlay
 from deedlens.plans.ownership import clean_titles, labelled_titles, prepare_titles
@@ -215,6 +218,46 @@ def q_latent_synthetic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return histogram_overlay(index, drawn, numbers)
 
 
+def _normal_sql(seed: str) -> str:
+    """:func:`deedlens.functions.hashing.standard_normal` of the row key in SQL."""
+    u = [f"({sql_bucket('row_key', seed, part)} / 4294967296.0::DOUBLE)" for part in (0, 1)]
+    return f"(sqrt(-2.0::DOUBLE * ln(1.0::DOUBLE - {u[0]})) * cos({2 * math.pi!r}::DOUBLE * {u[1]}))"
+
+
+# With two columns and one dimension the model is any bivariate normal distribution. Where only the second column
+# has gaps, its likelihood splits: the first column from all rows, the second's regression on it from the complete ones.
+@query(
+    f"""
+WITH {INDEX_SQL},
+pairs AS (SELECT "RegionName" || '|' || CAST("Datetaken" AS VARCHAR) AS row_key, "AveragePrice" AS x,
+  CASE WHEN {sql_bucket("row_key", "gap")} % 4 <> 0 THEN "SemiDetachedPrice" END AS y
+  FROM (SELECT *, "RegionName" || '|' || CAST("Datetaken" AS VARCHAR) AS row_key FROM price_index)),
+scale AS (SELECT avg(x) AS mx, stddev_pop(x) AS dx, avg(y) AS my, stddev_pop(y) AS dy FROM pairs),
+unit AS (SELECT (x - mx) / dx AS x, (y - my) / dy AS y FROM pairs, scale),
+line AS (SELECT avg(x) AS ax, avg(y) AS ay, covar_pop(x, y) / var_pop(x) AS slope,
+  var_pop(y) - covar_pop(x, y) * covar_pop(x, y) / var_pop(x) AS rest FROM unit WHERE y IS NOT NULL),
+moments AS (SELECT avg(x) AS ux, var_pop(x) AS a FROM unit),
+spread AS (SELECT ux, ay + slope * (ux - ax) AS uy, a, slope * a AS b, rest + slope * slope * a AS c FROM line, moments),
+eigen AS (SELECT *, sqrt((a - c) * (a - c) / 4 + b * b) AS half, atan2(2 * b, a - c) / 2 AS turn FROM spread),
+model AS (SELECT ux, uy, (a + c) / 2 - half AS noise, sqrt(2 * half) * cos(turn) AS wx, sqrt(2 * half) * sin(turn) AS wy FROM eigen),
+signed AS (SELECT ux, uy, noise, wx * sign(CASE WHEN abs(wx) >= abs(wy) THEN wx ELSE wy END) AS wx,
+  wy * sign(CASE WHEN abs(wx) >= abs(wy) THEN wx ELSE wy END) AS wy FROM model)
+SELECT row_key,
+  round(mx + dx * (ux + wx * {_normal_sql("42.0")} + sqrt(noise) * {_normal_sql("42.noise.0")}), 0) AS "AveragePrice",
+  round(my + dy * (uy + wy * {_normal_sql("42.0")} + sqrt(noise) * {_normal_sql("42.noise.1")}), 0) AS "SemiDetachedPrice"
+FROM pairs, scale, signed
+"""
+)
+def q_latent_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows drawn from a latent model of two prices, one of which is missing in a fourth of the rows."""
+    index = with_row_key(price_index(spark, sf_dir))
+    gaps = F.when(bucket(F.col("row_key"), "gap") % 4 != 0, F.col("SemiDetachedPrice"))
+    rows = index.select("row_key", "AveragePrice", gaps.alias("SemiDetachedPrice"))
+    prices = ["AveragePrice", "SemiDetachedPrice"]
+    drawn = latent.draw_latent(rows, "row_key", latent.fit_latent(rows, prices, dimensions=1))
+    return drawn.select("row_key", *[F.round(c, 0).alias(c) for c in prices])
+
+
 # A small lexicon of words that the texts hold.
 LEXICON = {
     "best": 1.0,

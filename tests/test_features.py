@@ -230,3 +230,62 @@ def test_one_hot_columns(spark):
     hot, names = latent.one_hot_columns(df, "g", ["a", "b"])
     assert names == ["g_0", "g_1"]
     assert rows(hot.select(names)) == [(0.0, 0.0), (0.0, 1.0), (1.0, 0.0)]
+
+
+def _correlated(spark, n=3_000):
+    """Two latent normals behind four columns; gaps depend on a column that is observed."""
+    z = [latent.standard_normal(F.col("id"), s) for s in "ab"]
+    e = [latent.standard_normal(F.col("id"), f"e{i}") for i in range(4)]
+    full = spark.range(n).select(
+        "id",
+        (z[0] * 3 + e[0] * 0.3 + 10).alias("a"),
+        (z[0] * -2 + z[1] + e[1] * 0.3).alias("b"),
+        (z[1] * 5 + e[2] * 0.3 - 4).alias("c"),
+        (z[0] + z[1] + e[3] * 0.3).alias("d"),
+    )
+    # Mostly where a is large: a mean over what is left would be too small.
+    return full, full.withColumn("d", F.when((F.col("a") < 10) | (F.col("id") % 4 == 0), F.col("d")))
+
+
+def test_latent_fit_is_not_led_astray_by_gaps(spark):
+    full, gaps = _correlated(spark)
+    true = full.agg(F.avg("d"), F.stddev_pop("d")).first()
+    left = gaps.agg(F.avg("d")).first()[0]
+    model = latent.fit_latent(gaps, ["a", "b", "c", "d"])
+    assert abs(left - true[0]) > 0.3 and abs(model.means[3] - true[0]) < 0.06
+    spread = model.deviations[3] * np.sqrt((model.weights[3] ** 2).sum() + model.noise)
+    assert abs(spread - true[1]) < 0.1
+
+
+def test_latent_fit_without_gaps_is_principal_components(spark):
+    full, _ = _correlated(spark)
+    names = ["a", "b", "c", "d"]
+    model = latent.fit_latent(full, names)
+    x = np.array(full.select(names).collect())
+    covariance = np.cov(((x - x.mean(axis=0)) / x.std(axis=0)).T, bias=True)
+    values, vectors = np.linalg.eigh(covariance)
+    noise = values[:2].mean()
+    assert np.isclose(model.noise, noise, rtol=1e-6)
+    assert np.allclose(model.weights @ model.weights.T, vectors[:, 2:] @ np.diag(values[2:] - noise) @ vectors[:, 2:].T, atol=1e-6)
+    assert np.allclose(model.means, x.mean(axis=0))
+
+
+def test_latent_rounds_in_tasks_equal_those_on_the_driver(spark, monkeypatch):
+    _, gaps = _correlated(spark, 400)
+    names = ["a", "b", "c", "d"]
+    monkeypatch.setattr(latent, "ROUNDS", 8)
+    here = latent.fit_latent(gaps, names)
+    monkeypatch.setattr(latent, "PATTERNS", 1)
+    there = latent.fit_latent(gaps.repartition(5), names)
+    assert np.allclose(here.weights, there.weights) and np.isclose(here.noise, there.noise)
+
+
+def test_latent_columns_without_spread_or_values(spark):
+    data = [(i, float(i), None, 5.0, float("nan") if i % 2 else float("inf")) for i in range(20)]
+    df = spark.createDataFrame([*data, (20, None, None, None, None)], "id long, a double, none double, one double, odd double")
+    model = latent.fit_latent(df, ["a", "none", "one", "odd"])
+    drawn = latent.draw_latent(df, "id", model)
+    assert rows(drawn.select("none", "one", "odd").distinct()) == [(None, 5.0, None)]
+    assert drawn.where("a IS NULL").count() == 0
+    empty = latent.fit_latent(df.limit(0), ["a", "one"])
+    assert rows(latent.draw_latent(df, "id", empty).select("a", "one").distinct()) == [(None, None)]
