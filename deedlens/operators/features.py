@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.ml.feature import Binarizer, FeatureHasher, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deedlens.functions.scalars import finite
+from deedlens.functions.text import quoted
 from deedlens.operators.clean import complete_rows, lacks_value
 from deedlens.operators.joins import missing_from
 from deedlens.operators.ranking import global_position
@@ -55,6 +58,59 @@ def impute_mean(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     ).drop("_means")
 
 
+def impute_by_group(df: DataFrame, columns: Sequence[str], levels: Sequence[Sequence[str]]) -> DataFrame:
+    """Fill NULL, NaN and infinite numbers with the mean of the row's group, or of a wider one that has a mean.
+
+    ``levels`` go from narrow to wide, each within the one before, as
+    ``[["County", "District"], ["County"]]``; the mean over all rows comes last.
+    All levels are one pass of grouping sets. A row with a NULL in a level's
+    columns belongs to no group of that level. The means of all groups are a
+    stored table with one row per narrowest group, in which what is missing is
+    taken from the wider ones; the rows meet it in one join, whose side of means
+    Catalyst broadcasts if it is small. A column without any number stays as it
+    is, NaN and infinity becoming NULL. Filled columns are doubles.
+    """
+    narrow = list(levels[0])
+    if any(not set(wide) <= set(before) for before, wide in zip(levels, levels[1:])):
+        raise ValueError("each level must lie within the one before")
+    sets = [list(level) for level in levels] + [[]]
+    means = {f"_mean_{i}": F.avg(finite(F.col(quoted(c)).cast("double"))) for i, c in enumerate(columns)}
+    known = {f"_is_{j}": F.col(quoted(g)).isNotNull().cast("int") for j, g in enumerate(narrow)}
+    # Which of the group columns a row of means is about; without one, NULL is a value.
+    grouped = [F.grouping(quoted(g)).alias(f"_over_{j}") for j, g in enumerate(narrow)]
+    found = stored(
+        df.groupingSets([[F.col(quoted(g)) for g in level] for level in sets], *[F.col(quoted(g)) for g in narrow])
+        .agg(*[m.alias(name) for name, m in means.items()], *grouped)
+        .withColumns(known),
+        "group-means",
+    )
+
+    def level_rows(level: Sequence[str]) -> DataFrame:
+        rows = found
+        for j, g in enumerate(narrow):
+            rows = rows.filter(F.col(f"_over_{j}") == (0 if g in level else 1))
+        return rows
+
+    def renamed(level: Sequence[str], n: int) -> DataFrame:
+        whole = level_rows(level).filter(" AND ".join(f"_is_{narrow.index(g)} = 1" for g in level) or "true")
+        own = [F.col(quoted(g)).alias(f"_g{n}_{narrow.index(g)}") for g in level]
+        return whole.select(*own, *[F.col(m).alias(f"{m}_{n}") for m in means])
+
+    filled = level_rows(narrow).select(*[F.col(quoted(g)).alias(f"_n{j}") for j, g in enumerate(narrow)])
+    for n, level in enumerate(levels):
+        same = reduce(and_, [F.col(f"_n{narrow.index(g)}") == F.col(f"_g{n}_{narrow.index(g)}") for g in level])
+        filled = filled.join(renamed(level, n), same, "left")
+    overall = level_rows([]).select(F.struct(*means).alias("overall")).scalar()
+    filled = filled.withColumn("_overall", overall).select(
+        *[f"_n{j}" for j in range(len(narrow))],
+        *[F.coalesce(*[F.col(f"{m}_{n}") for n in range(len(levels))], F.col(f"_overall.{m}")).alias(m) for m in means],
+    )
+    at = reduce(and_, [F.col(quoted(g)).eqNullSafe(F.col(f"_n{j}")) for j, g in enumerate(narrow)])
+    number = {c: F.coalesce(finite(F.col(quoted(c)).cast("double")), F.col(f"_mean_{i}")) for i, c in enumerate(columns)}
+    joined = df.join(stored(filled, "filled-means"), at, "left")
+    return joined.select(*[number[c].alias(c) if c in number else F.col(quoted(c)) for c in df.columns])
+
+
 def scaling(df: DataFrame, columns: Sequence[str], sample: bool = True) -> DataFrame:
     """One row of means and standard deviations, columns ``<c>_mean`` and ``<c>_std``.
 

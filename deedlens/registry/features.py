@@ -72,6 +72,42 @@ def q_impute_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filled.withColumn("PricePaid", F.round("PricePaid", 6))
 
 
+# A district without prices, a county without prices, NULL districts, and numbers that are none.
+_GAPS_SQL = """
+gaps AS (SELECT "TitleNumber", "County", "District",
+    CASE WHEN "District" IN ('NATION_1', 'NATION_2') OR "County" = 'ASIA' THEN NULL
+      WHEN k % 19 = 0 THEN 'NaN'::DOUBLE WHEN k % 17 = 0 THEN 'Infinity'::DOUBLE ELSE CAST("PricePaid" AS DOUBLE) END AS price,
+    CASE WHEN k % 13 <> 0 THEN CAST(k % 1000 AS DOUBLE) END AS points
+  FROM (SELECT *, CAST(substr("TitleNumber", 2) AS BIGINT) AS k FROM titles))"""
+
+
+def _first_mean_sql(column: str) -> str:
+    finite = f"CASE WHEN isfinite({column}) THEN {column} END"
+    return f"""round(COALESCE({finite},
+    CASE WHEN "District" IS NOT NULL AND "County" IS NOT NULL THEN avg({finite}) OVER (PARTITION BY "County", "District") END,
+    CASE WHEN "County" IS NOT NULL THEN avg({finite}) OVER (PARTITION BY "County") END, avg({finite}) OVER ()), 5) AS {column}"""
+
+
+@query(
+    f"""WITH {TITLES_SQL}, {_GAPS_SQL}
+SELECT "TitleNumber", "County", "District", {_first_mean_sql("price")}, {_first_mean_sql("points")} FROM gaps"""
+)
+def q_impute_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two columns filled with the mean of the district, of the county or of all."""
+    k = F.substring("TitleNumber", 2, 20).cast("bigint")
+    gone = F.coalesce(F.col("District").isin("NATION_1", "NATION_2"), F.lit(False)) | (F.col("County") == "ASIA")
+    price = F.when(gone, None).when(k % 19 == 0, F.lit(float("nan"))).when(k % 17 == 0, F.lit(float("inf")))
+    rows = titles(spark, sf_dir).select(
+        "TitleNumber",
+        "County",
+        "District",
+        price.otherwise(F.col("PricePaid").cast("double")).alias("price"),
+        F.when(k % 13 != 0, (k % 1000).cast("double")).alias("points"),
+    )
+    filled = features.impute_by_group(rows, ["price", "points"], [["County", "District"], ["County"]])
+    return filled.withColumns({c: F.round(c, 5) for c in ("price", "points")})
+
+
 @query(
     f"""
 WITH {LABELLED_SQL}, {_LEVELS_SQL.format(column="Region", source="complete")}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from math import factorial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -263,3 +264,60 @@ def q_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare.reconcile(
         clean_titles(titles(spark, sf_dir)).select(*places), augmented(spark, sf_dir).select(*places)
     )
+
+
+def _altered_titles(cleaned: DataFrame) -> DataFrame:
+    """Clean titles as they might come back: some gone, some twice, some with other values."""
+    k = F.substring("TitleNumber", 2, 20).cast("bigint")
+    times = F.when(k % 70 == 0, 0).when(k % 80 == 1, 2).otherwise(1)
+    return (
+        cleaned.withColumn("_k", k)
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.greatest(times, F.lit(1)))))
+        .where(F.col("_k") % 70 != 0)
+        .withColumn("PricePaid", F.when(F.col("_k") % 50 == 2, F.col("PricePaid") + 1).otherwise(F.col("PricePaid")))
+        .withColumn("District", F.when(F.col("_k") % 60 != 3, F.col("District")))
+        .withColumn("Postcode", F.when((F.col("_copy") == 2) & (F.col("_k") % 3 == 0), "none").otherwise(F.col("Postcode")))
+        .drop("_k", "_copy")
+    )
+
+
+_TITLE_COLUMNS = re.findall(r'AS "(\w+)"', TITLES_SQL)
+_OTHERS = [c for c in _TITLE_COLUMNS if c != "TitleNumber"]
+
+
+def _reconcile_keys_sql() -> str:
+    """Every measure from the rows that the frames do not share, counted by key and value."""
+    listed = ", ".join(f'"{c}"' for c in _TITLE_COLUMNS)
+
+    def pairs(value: str, figure: str) -> str:
+        return f"""(SELECT CAST(COALESCE(SUM({figure}), 0) AS BIGINT) FROM (
+  SELECT "TitleNumber", SUM(greatest(d, 0)) AS f, SUM(greatest(-d, 0)) AS s FROM (
+    SELECT "TitleNumber", {value}, SUM(d) AS d FROM surplus GROUP BY ALL) GROUP BY "TitleNumber"))"""
+
+    whole = ", ".join(f'"{c}"' for c in _OTHERS)
+    figures = {"changed rows": "least(f, s)", "only first": "f - least(f, s)", "only second": "s - least(f, s)"}
+    parts = [f"SELECT '{m}' AS measure, NULL AS \"column\", {pairs(whole, figure)} AS n" for m, figure in figures.items()]
+    parts += [f"SELECT 'changed', '{c}', {pairs(chr(34) + c + chr(34), 'least(f, s)')}" for c in _OTHERS]
+    return f"""
+WITH {LABELLED_SQL},
+altered AS (
+  SELECT * REPLACE (
+    CASE WHEN k % 50 = 2 THEN "PricePaid" + 1 ELSE "PricePaid" END AS "PricePaid",
+    CASE WHEN k % 60 <> 3 THEN "District" END AS "District",
+    CASE WHEN copy = 2 AND k % 3 = 0 THEN 'none' ELSE "Postcode" END AS "Postcode")
+  FROM (SELECT *, CAST(substr("TitleNumber", 2) AS BIGINT) AS k FROM clean)
+  JOIN (VALUES (1), (2)) copies(copy) ON copy = 1 OR k % 80 = 1
+  WHERE k % 70 <> 0),
+both_sides AS (SELECT {listed}, 1 AS a, 0 AS b FROM clean UNION ALL SELECT {listed}, 0, 1 FROM altered),
+counted AS (SELECT {listed}, SUM(a) AS a, SUM(b) AS b FROM both_sides GROUP BY {listed}),
+surplus AS (SELECT *, a - b AS d FROM counted WHERE a <> b)
+SELECT 'equal rows' AS measure, NULL AS "column", CAST(SUM(least(a, b)) AS BIGINT) AS n FROM counted
+UNION ALL {" UNION ALL ".join(parts)}
+"""
+
+
+@query(_reconcile_keys_sql())
+def q_reconcile_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean titles against an altered copy of them, title by title, over all columns."""
+    cleaned = clean_titles(titles(spark, sf_dir))
+    return compare.reconcile_keys(cleaned, _altered_titles(cleaned), ["TitleNumber"])

@@ -289,3 +289,51 @@ def test_latent_columns_without_spread_or_values(spark):
     assert drawn.where("a IS NULL").count() == 0
     empty = latent.fit_latent(df.limit(0), ["a", "one"])
     assert rows(latent.draw_latent(df, "id", empty).select("a", "one").distinct()) == [(None, None)]
+
+
+def brute_group_means(data, levels):
+    """The first mean over finite values of the groups of a row, from narrow to wide."""
+    out = []
+    for row in data:
+        k, v = row[0], row[-1]
+        if v is None or not math.isfinite(v):
+            v = None
+            for level in [*levels, ()]:
+                if any(row[i] is None for i in level):
+                    continue
+                own = [r[-1] for r in data if all(r[i] == row[i] for i in level) and r[-1] is not None and math.isfinite(r[-1])]
+                if own:
+                    v = sum(own) / len(own)
+                    break
+        out.append((k, v))
+    return sorted(out)
+
+
+def test_impute_by_group(spark):
+    rng = random.Random(2)
+    places = [("c1", "d1"), ("c1", "d2"), ("c2", "d1"), ("c1", None), (None, "d1"), (None, None), ("c3", "d3")]
+    data = []
+    for i in range(300):
+        c, d = rng.choice(places)
+        v = rng.choice([None, float("nan"), float("-inf"), float(i)])
+        # No value in d2 of c1, none in c3 at all.
+        data.append((i, c, d, None if d == "d2" or c == "c3" else v))
+    df = spark.createDataFrame(data, "id int, c string, d string, v double").withColumn("w", F.lit(None).cast("double"))
+    filled = features.impute_by_group(df, ["v", "w"], [["c", "d"], ["c"]])
+    assert filled.columns == df.columns
+    got = sorted((r["id"], r["v"]) for r in filled.collect())
+    expected = brute_group_means(data, [(1, 2), (1,)])
+    assert [g[0] for g in got] == [e[0] for e in expected]
+    assert all(math.isclose(g[1], e[1]) for g, e in zip(got, expected, strict=True))
+    assert filled.where("w IS NOT NULL").count() == 0
+    one = features.impute_by_group(df.select("id", "d", "v"), ["v"], [["d"]])
+    assert all(
+        math.isclose(g[1], e[1])
+        for g, e in zip(sorted(tuple(r)[::2] for r in one.collect()), brute_group_means([(i, d, v) for i, _, d, v in data], [(1,)]), strict=True)
+    )
+    assert features.impute_by_group(df.limit(0), ["v"], [["c", "d"]]).collect() == []
+
+
+def test_impute_by_group_is_one_grouping(spark):
+    with pytest.raises(ValueError):
+        features.impute_by_group(spark.range(3).withColumn("a", F.lit(1)), ["id"], [["a"], ["id"]])
