@@ -13,6 +13,7 @@ from pyspark.ml.classification import RandomForestClassificationModel, RandomFor
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from deedlens.functions.hashing import bucket, poisson_count, poisson_thresholds, uniform
 from deedlens.functions.text import quoted
@@ -51,6 +52,74 @@ def auc(df: DataFrame, score: str, label: str) -> DataFrame:
     )
 
 
+def roc_points(df: DataFrame, score: str, label: str, bins: int = 1000, low: float | None = None, high: float | None = None) -> DataFrame:
+    """The curve as at most ``bins`` points: ``bin, threshold, tp, fp, tpr, fpr``, highest scores first.
+
+    Scores are counted in bins of equal width from ``low`` to ``high``, by
+    default the smallest and largest score, so what is held is one row per bin
+    whatever the number of scores, and counts of parts can be added. ``tp`` and
+    ``fp`` count the positives and negatives in this and all higher bins;
+    ``threshold`` is the bin's lower edge. Scores beyond an end count in the bin
+    at that end; NULL and NaN scores and NULL labels are left out.
+    """
+    rows = df.select(F.col(quoted(score)).cast("double").alias("score"), (F.col(quoted(label)) == 1).alias("positive")).where(
+        "score IS NOT NULL AND NOT isnan(score) AND positive IS NOT NULL"
+    )
+    if low is None or high is None:
+        ends = rows.agg(F.struct(F.min("score").alias("low"), F.max("score").alias("high")).alias("ends")).scalar()
+        rows = rows.withColumn("_ends", ends)
+        first, last = F.col("_ends.low"), F.col("_ends.high")
+    else:
+        first, last = F.lit(float(low)), F.lit(float(high))
+    at = F.floor((F.col("score") - first) * F.lit(bins) / F.nullif(last - first, F.lit(0.0)))
+    counted = (
+        rows.select(
+            F.greatest(F.least(F.coalesce(at, F.lit(0)), F.lit(bins - 1)), F.lit(0)).cast("int").alias("bin"),
+            "positive",
+            first.alias("first"),
+            last.alias("last"),
+        )
+        .groupBy("bin", "first", "last")
+        .agg(F.count_if("positive").alias("pos"), F.count_if(~F.col("positive")).alias("neg"))
+    )
+    # No more rows than bins: one task sums them up.
+    higher = Window.orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, 0)
+    everything = Window.partitionBy()
+    sums = counted.select(
+        "bin",
+        (F.col("first") + F.col("bin") * (F.col("last") - F.col("first")) / F.lit(bins)).alias("threshold"),
+        F.sum("pos").over(higher).alias("tp"),
+        F.sum("neg").over(higher).alias("fp"),
+        F.sum("pos").over(everything).alias("_p"),
+        F.sum("neg").over(everything).alias("_n"),
+    )
+    rates = {"tpr": F.col("tp") / F.nullif("_p", F.lit(0)), "fpr": F.col("fp") / F.nullif("_n", F.lit(0))}
+    return sums.withColumns(rates).drop("_p", "_n").orderBy(F.desc("bin"))
+
+
+def curve_area(points: DataFrame) -> DataFrame:
+    """Area under :func:`roc_points` by trapezoids, and how far the exact area may be from it.
+
+    Only pairs within a bin are not ordered by their bins. They count half, so
+    the exact area lies within half their share of all pairs: ``bound``.
+    """
+    before = Window.orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, -1)
+    steps = points.select(
+        "tp", "fp", F.coalesce(F.max("tp").over(before), F.lit(0)).alias("tp0"), F.coalesce(F.max("fp").over(before), F.lit(0)).alias("fp0")
+    )
+    wide = "decimal(19,0)"
+    pos, neg = (F.col("tp") - F.col("tp0")).cast(wide), (F.col("fp") - F.col("fp0")).cast(wide)
+    pairs = F.sum((neg * (F.col("tp") + F.col("tp0")).cast(wide)).cast("decimal(38,0)")).cast("double")
+    within = F.sum((pos * neg).cast("decimal(38,0)")).cast("double")
+    total = F.nullif(F.max("tp").cast("double") * F.max("fp").cast("double"), F.lit(0.0))
+    return steps.agg(
+        F.coalesce(F.max("tp"), F.lit(0)).alias("positives"),
+        F.coalesce(F.max("fp"), F.lit(0)).alias("negatives"),
+        (pairs / total / 2).alias("area"),
+        (within / total / 2).alias("bound"),
+    )
+
+
 #: Rows, taken by key digest, that the split candidates of numbers are read from, as MLlib takes about as many.
 CANDIDATE_ROWS = 10_000
 #: Split candidates of a number, at most.

@@ -30,6 +30,12 @@ def null_profile(df: DataFrame) -> DataFrame:
     return counts.selectExpr(rows_of(structs)).orderBy(F.desc("null_pct"), "column")
 
 
+def null_profile_of(statistics: DataFrame) -> DataFrame:
+    """The same profile from column statistics of the catalog; rows are not read."""
+    share = F.round(F.col("null_count") / F.nullif("row_count", F.lit(0)) * 100, 1)
+    return statistics.select("column", "row_count", "null_count", share.alias("null_pct")).orderBy(F.desc("null_pct"), "column")
+
+
 def null_report(profile: DataFrame) -> DataFrame:
     """The profile as text lines: column, tab, percentage."""
     line = F.concat(F.col("column"), F.lit("\t"), F.col("null_pct").cast("string"), F.lit("%"))

@@ -78,6 +78,22 @@ def stage_messages(
     return accepted, rejected
 
 
+def stage_records(
+    records: DataFrame, rejected_on: Column, rules: StagingRules = StagingRules(), raw: str = "_raw"
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Accepted, rejected and broken records; together they are all records.
+
+    ``records`` come from a read that keeps the text of a broken element in
+    ``raw``. Broken ones are neither accepted nor rejected, whatever could be
+    read of them: they come out as ``record``, the element itself, and
+    ``whenRejected``, to be mended and read again.
+    """
+    whole = records.filter(F.col(raw).isNull()).drop(raw)
+    accepted, rejected = stage_messages(whole, rejected_on, rules)
+    broken = records.filter(F.col(raw).isNotNull())
+    return accepted, rejected, broken.select(F.col(raw).alias("record"), rejected_on.cast("date").alias("whenRejected"))
+
+
 # Blocked account codes and accepted statuses.
 BLOCKED_CODES = ("I", "B", "D", "F", "Y", "N", "P", "Q", "Z", "R", "W")
 ACCEPTED_STATUSES = ("A", "D")

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from deedlens.functions.text import quoted
 from deedlens.operators import clean, features, joins, label, profile, sampling, totals, windows
 from deedlens.operators.compare import quality_report
 from deedlens.operators.label import OwnershipRules
@@ -70,7 +72,7 @@ def ownership_reports(labelled: DataFrame, ranks: int = 10) -> dict[str, DataFra
 
 @dataclass(frozen=True)
 class OwnershipRun:
-    """Lazy results of the flow."""
+    """Results of the flow. What is read more than once, the reports' summary, is stored when the flow is built."""
 
     null_profile: DataFrame
     labelled: DataFrame
@@ -86,7 +88,8 @@ class OwnershipRun:
         With schemas given, rows are cast to them: ``labelled`` for the first
         three tables, ``cleaned`` for the leftovers.
         """
-        both = self.augmented
+        # Drawn and labelled once; three tables read it.
+        both = stored(self.augmented, "augmented")
         write_table(both.filter("copy = 0").drop("copy"), db, "bad_data", labelled)
         write_table(both.filter("copy > 0").drop("copy"), db, "synthetic_bad_data", labelled)
         write_table(both.drop("copy"), db, "bad_fraud_data", labelled)
@@ -126,3 +129,75 @@ def ownership_flow(
         quality=quality_report(tagged, "is_synthetic"),
         reports=ownership_reports(labelled),
     )
+
+
+#: Parts of the table of all titles, each a partition of it.
+BAD, GOOD, INCOMPLETE, ROGUE, SYNTHETIC = "bad", "good", "incomplete", "rogue", "synthetic"
+
+
+def mark_titles(titles: DataFrame, rules: OwnershipRules = OwnershipRules()) -> DataFrame:
+    """All titles in one pass, with features, labels and the ``part`` each belongs to.
+
+    Rogue tenures and incomplete titles have no features and no labels.
+    """
+    needed = [*CATEGORIES, "PricePaid"]
+    rows = clean.cast_columns(titles, {"Tenure": "string"}).drop(*DROPPED_TITLE_COLUMNS)
+    labelled = label.label_ownership(rows, rules).drop("rule_id")
+    rogue = F.col("Tenure").isNull() | F.col("Tenure").isin(*ROGUE_TENURES)
+    part = (
+        F.when(rogue, ROGUE).when(clean.lacks_value(rows, needed), INCOMPLETE).when(F.col("is_fraud") == 1, BAD).otherwise(GOOD)
+    )
+    known = F.col("part").isin(BAD, GOOD)
+    vector = array_to_vector(F.array(F.col("PricePaid").cast("double")))
+    return (
+        labelled.withColumn("part", part)
+        .withColumns({c: F.when(known, F.col(c)) for c in (rules.missing_flag, "is_fraud")})
+        .withColumn("features", F.when(known, vector))
+        .select(*rows.columns, "features", rules.missing_flag, "is_fraud", "part")
+    )
+
+
+def write_ownership_tables(
+    titles: DataFrame,
+    db: str,
+    rules: OwnershipRules = OwnershipRules(),
+    seed: int = 42,
+    name: str = "all_titles",
+    path: str | None = None,
+    prefix: str = "",
+) -> None:
+    """One table of all titles, and the flow's four tables as views of its partitions.
+
+    Titles are read once: cleaned, labelled and written with the ``part`` they
+    belong to. The rate of synthetic rows and the rows they are drawn from come
+    from that table, and the draws are appended to it as a part of their own, so
+    nothing is evaluated twice. The views are ``bad_data``, ``synthetic_bad_data``,
+    ``bad_fraud_data`` (both) and ``good_offshore_data`` (incomplete titles whose
+    number occurs among no complete ones), each after ``prefix``; a view of that
+    name is replaced. A column that the titles lack is not in the tables.
+    """
+    spark = titles.sparkSession
+    table = f"{quoted(db)}.{quoted(name)}"
+
+    def write(rows: DataFrame, mode: str) -> None:
+        # A part that holds most rows is written by several tasks.
+        writer = rows.hint("rebalance", "part").write.mode(mode).partitionBy("part")
+        (writer if path is None else writer.option("path", path)).saveAsTable(f"{db}.{name}")
+
+    write(mark_titles(titles, rules), "overwrite")
+    rows = spark.table(table)
+    bad = rows.filter(F.col("part") == BAD)
+    rate = rows.agg((F.count_if(F.col("part") == BAD) / F.nullif(F.count("*"), F.lit(0))).alias("rate"))
+    drawn = sampling.bootstrap(bad, rate, seed, "TitleNumber").drop("copy")
+    write(drawn.withColumn("part", F.lit(SYNTHETIC)).select(*rows.columns), "append")
+    labelled = ", ".join(quoted(c) for c in rows.columns if c != "part")
+    cleaned = ", ".join(quoted(c) for c in rows.columns if c not in ("part", "features", "is_fraud", rules.missing_flag))
+    views = {
+        "bad_data": f"SELECT {labelled} FROM {table} WHERE part = '{BAD}'",
+        "synthetic_bad_data": f"SELECT {labelled} FROM {table} WHERE part = '{SYNTHETIC}'",
+        "bad_fraud_data": f"SELECT {labelled} FROM {table} WHERE part IN ('{BAD}', '{SYNTHETIC}')",
+        "good_offshore_data": f"SELECT {cleaned} FROM {table} t WHERE part = '{INCOMPLETE}' AND NOT EXISTS ("
+        f"SELECT 1 FROM {table} k WHERE k.part IN ('{BAD}', '{GOOD}') AND k.TitleNumber = t.TitleNumber)",
+    }
+    for view, sql in views.items():
+        spark.sql(f"CREATE OR REPLACE VIEW {quoted(db)}.{quoted(prefix + view)} AS {sql}")

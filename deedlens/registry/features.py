@@ -13,7 +13,7 @@ from deedlens.operators import features, generate, label, latent, models, text
 from deedlens.operators.profile import histogram_overlay
 from deedlens.plans.ownership import clean_titles, labelled_titles, prepare_titles
 from deedlens.plans.prices import with_row_key
-from deedlens.registry.base import query
+from deedlens.registry.base import SQL, query
 from deedlens.standins import (
     INDEX_SQL,
     INDEX_THRESHOLD,
@@ -180,6 +180,46 @@ def q_auc_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.auc(coarse, "hundreds", "quality").withColumn("auc", F.round("auc", 9))
 
 
+_BINS = 40
+_POINTS_SQL = f"""
+scored AS (SELECT CAST(n_chars AS DOUBLE) AS score, quality = 1 AS positive FROM documents JOIN labels USING (doc_id)
+  WHERE n_chars IS NOT NULL AND quality IS NOT NULL),
+ends AS (SELECT min(score) AS low, max(score) AS high FROM scored),
+binned AS (SELECT CAST(least(floor((score - low) * {_BINS} / (high - low)), {_BINS - 1}) AS INTEGER) AS bin, low, high,
+  COUNT(*) FILTER (WHERE positive) AS pos, COUNT(*) FILTER (WHERE NOT positive) AS neg
+  FROM scored, ends GROUP BY ALL),
+points AS (SELECT bin, low + bin * (high - low) / {_BINS} AS threshold, pos, neg,
+  CAST(SUM(pos) OVER (ORDER BY bin DESC) AS BIGINT) AS tp, CAST(SUM(neg) OVER (ORDER BY bin DESC) AS BIGINT) AS fp,
+  CAST(SUM(pos) OVER () AS BIGINT) AS p, CAST(SUM(neg) OVER () AS BIGINT) AS n FROM binned)"""
+
+
+@query(
+    f"""WITH {_POINTS_SQL}
+SELECT bin, round(threshold, 6) AS threshold, tp, fp, round(tp / p, 9) AS tpr, round(fp / n, 9) AS fpr FROM points"""
+)
+def q_roc_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The curve of document lengths against quality as forty points."""
+    points = models.roc_points(_scored(spark, sf_dir), "n_chars", "quality", bins=_BINS)
+    digits = {"threshold": 6, "tpr": 9, "fpr": 9}
+    return points.withColumns({c: F.round(c, n) for c, n in digits.items()})
+
+
+@query(
+    f"""WITH {_POINTS_SQL},
+exact AS (SELECT SUM(a.pos * b.neg) AS x FROM binned a, binned b WHERE a.bin > b.bin),
+tied AS (SELECT SUM(pos * neg) AS x FROM binned)
+SELECT max(p) AS positives, max(n) AS negatives, round(((SELECT x FROM exact) + (SELECT x FROM tied) / 2) / (max(p) * max(n)), 9) AS area,
+  round((SELECT x FROM tied) / 2 / (max(p) * max(n)), 9) AS bound, TRUE AS holds FROM points"""
+)
+def q_curve_area(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The area under those points, its bound, and that the exact area lies within it."""
+    rows = _scored(spark, sf_dir)
+    exact = models.auc(rows, "n_chars", "quality").select("auc").scalar()
+    found = models.curve_area(models.roc_points(rows, "n_chars", "quality", bins=_BINS)).withColumn("exact", exact)
+    holds = F.abs(F.col("exact") - F.col("area")) <= F.col("bound") + F.lit(1e-12)
+    return found.select("positives", "negatives", F.round("area", 9).alias("area"), F.round("bound", 9).alias("bound"), holds.alias("holds"))
+
+
 def _parts_sql(source: str, key: str, label: str) -> str:
     """Rows of both classes on either side of the split, and that the forest has learnt something."""
     u = f"{sql_bucket(key, 42)} / 4294967296.0::DOUBLE"
@@ -323,3 +363,14 @@ FROM documents LEFT JOIN means USING (doc_id)
 def q_polarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Polarity of every document."""
     return text.polarity(table(spark, sf_dir, "documents"), "text", LEXICON).select("doc_id", "polarity")
+
+
+@query(SQL["q_polarity"])
+def q_polarity_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a lexicon of words that no text holds beside those that do, looked up by hash."""
+    documents = table(spark, sf_dir, "documents")
+    rows = [(word, weight) for word, weight in LEXICON.items()]
+    own = spark.createDataFrame(rows, "word string, weight double")
+    # As many words more as there are documents.
+    others = documents.select(F.concat(F.lit("zz9"), F.col("doc_id").cast("string")).alias("word"), F.lit(1.0).alias("weight"))
+    return text.polarity(documents, "text", own.union(others)).select("doc_id", "polarity")

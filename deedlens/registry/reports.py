@@ -254,6 +254,12 @@ def q_price_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ratios(spark, sf_dir)
 
 
+@query(f"WITH {_RATIO_SQL} SELECT * FROM ratios WHERE lower(county) = 'europe'")
+def q_price_ratio_county(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same within one county, whatever the case it is written in."""
+    return totals.price_ratio(price_index(spark, sf_dir), bad(spark, sf_dir), county="Europe")
+
+
 @query(f"WITH {_RATIO_SQL} SELECT * FROM top")
 def q_top_price_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fifteen districts with most titles and their price ratios."""

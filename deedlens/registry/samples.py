@@ -40,13 +40,18 @@ def _poisson_sql(key: str, seed: int, rate: str) -> str:
     return " + ".join(steps)
 
 
-_AUGMENTED_SQL = f"""
-{LABELLED_SQL},
+def augmented_sql(labelled_sql: str) -> str:
+    """Flagged titles and their draws, after the labelled titles of any stand-in."""
+    return f"""
+{labelled_sql},
 share AS (SELECT (SELECT COUNT(*) FROM bad) / (SELECT COUNT(*) FROM titles) AS rate),
 drawn AS (SELECT b.*, {_poisson_sql('b."TitleNumber"', _SEED, "rate")} AS times FROM bad b, share),
 augmented AS (SELECT * EXCLUDE (times), CAST(unnest(generate_series(0, times)) AS INTEGER) AS copy FROM drawn)"""
 
 
+_AUGMENTED_SQL = augmented_sql(LABELLED_SQL)
+
+
 def augmented(spark: SparkSession, sf_dir: str) -> DataFrame:
     flagged = bad(spark, sf_dir)
     return sampling.augment(flagged, sampling.share_of(flagged, titles(spark, sf_dir)), _SEED, "TitleNumber")

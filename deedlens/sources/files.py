@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def read_delimited(
@@ -33,6 +35,35 @@ def read_xml(spark: SparkSession, path: str, row_tag: str, schema: str | StructT
     return spark.read.format("xml").option("rowTag", row_tag).option("mode", "FAILFAST").schema(schema).load(path)
 
 
+def read_xml_or_raw(
+    spark: SparkSession, path: str, row_tag: str, schema: str | StructType, raw: str = "_raw"
+) -> DataFrame:
+    """One row per ``row_tag`` element, a broken one with its text in ``raw`` and whatever could be read beside it.
+
+    Broken are elements that are no well-formed XML and values that do not fit
+    the declared type. ``raw`` is NULL for all others.
+
+    The XML reader gives up a file at the first broken element. So the text is
+    cut into elements first: behind each closing tag, which is how the text
+    reader splits files over tasks, and before each opening tag, so that an
+    element without an end does not take the next one along. Each is then parsed
+    by itself, which keeps its neighbours. Row elements that are nested, empty
+    (``<tag/>``) or quoted in a comment are not told apart from others.
+    """
+    declared = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    whole = StructType([*declared, StructField(raw, StringType())])
+    chunks = spark.read.option("lineSep", f"</{row_tag}>").text(path)
+    opening = rf"<{re.escape(row_tag)}(?=[\s>])"
+    parts = F.split("value", f"(?={opening})")
+    # Only the last part of a chunk was followed by a closing tag.
+    elements = chunks.select(F.size(parts).alias("n"), F.posexplode(parts).alias("at", "element")).where(
+        F.col("element").rlike(f"^{opening}")
+    )
+    closed = F.when(F.col("at") == F.col("n") - 1, F.concat("element", F.lit(f"</{row_tag}>"))).otherwise(F.col("element"))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": raw, "rowTag": row_tag}
+    return elements.select(F.from_xml(closed, whole, options).alias("row")).select("row.*")
+
+
 def write_xml(df: DataFrame, path: str, row_tag: str, root_tag: str) -> None:
     (
         df.write.format("xml")

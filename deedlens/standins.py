@@ -7,12 +7,15 @@ put in by key arithmetic. ``*_SQL`` says the same in ANSI SQL.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deedlens.functions.hashing import bucket
 from deedlens.operators.generate import BRANDS, CAMPAIGNS, TEMPLATES, sample_messages
 from deedlens.operators.label import OwnershipRules
+from deedlens.sources.schemas import titles_schema
 
 # The ninth decile of the order totals; a million would flag nothing here.
 OWNERSHIP = OwnershipRules(high_price=450_000)
@@ -125,6 +128,38 @@ bad AS (SELECT * FROM labelled WHERE is_fraud = 1)"""
 )
 
 
+# Position among the columns decides how often one that the star schema knows nothing about is NULL.
+_FULL_COLUMNS = [f.name for f in titles_schema(loaded=True)]
+_SHORT_COLUMNS = re.findall(r'AS "(\w+)"', TITLES_SQL)
+
+
+def full_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles with all columns of the declared schema, also those that cleaning drops."""
+    k = F.substring("TitleNumber", 2, 20).cast("bigint")
+    made = {
+        name: F.when(k % (n + 3) != 0, F.concat(F.lit(f"{name}-"), (k % (n + 5)).cast("string")))
+        for n, name in enumerate(_FULL_COLUMNS)
+        if name not in _SHORT_COLUMNS
+    }
+    return titles(spark, sf_dir).withColumns(made).select(*_FULL_COLUMNS)
+
+
+def _full_column_sql(n: int, name: str) -> str:
+    if name in _SHORT_COLUMNS:
+        return f'"{name}"'
+    return f"""CASE WHEN k % {n + 3} <> 0 THEN '{name}-' || (k % {n + 5}) END AS "{name}\""""
+
+
+# The same as TITLES_SQL and LABELLED_SQL, on titles with all columns.
+FULL_TITLES_SQL = (
+    TITLES_SQL.replace("titles AS (", "short_titles AS (", 1)
+    + f"""
+, titles AS (SELECT {", ".join(_full_column_sql(n, name) for n, name in enumerate(_FULL_COLUMNS))}
+  FROM (SELECT *, CAST(substr("TitleNumber", 2) AS BIGINT) AS k FROM short_titles))"""
+)
+FULL_LABELLED_SQL = FULL_TITLES_SQL + LABELLED_SQL.removeprefix(TITLES_SQL)
+
+
 def price_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly average prices per nation.
 

@@ -337,3 +337,43 @@ def test_impute_by_group(spark):
 def test_impute_by_group_is_one_grouping(spark):
     with pytest.raises(ValueError):
         features.impute_by_group(spark.range(3).withColumn("a", F.lit(1)), ["id"], [["a"], ["id"]])
+
+
+def plain_points(pairs, bins, low, high):
+    counts = {}
+    for s, y in pairs:
+        b = min(max(math.floor((s - low) * bins / (high - low)) if high > low else 0, 0), bins - 1)
+        p, n = counts.get(b, (0, 0))
+        counts[b] = (p + (y == 1), n + (y != 1))
+    out, tp, fp = [], 0, 0
+    for b in sorted(counts, reverse=True):
+        tp, fp = tp + counts[b][0], fp + counts[b][1]
+        out.append((b, tp, fp))
+    return out
+
+
+@pytest.mark.parametrize("bins", [1, 7, 1000])
+def test_roc_points_and_area(spark, bins):
+    random.seed(bins)
+    pairs = [(random.gauss(0.2, 1) if y else random.gauss(-0.2, 1), y) for y in random.choices([0, 1], k=500)]
+    df = spark.createDataFrame([*pairs, (None, 1), (float("nan"), 0), (0.5, None)], "score double, label int")
+    low, high = min(s for s, _ in pairs), max(s for s, _ in pairs)
+    points = models.roc_points(df, "score", "label", bins)
+    assert [(r["bin"], r["tp"], r["fp"]) for r in points.collect()] == plain_points(pairs, bins, low, high)
+    found = models.curve_area(points).first()
+    exact = brute_auc(pairs)
+    assert abs(found["area"] - exact) <= found["bound"] + 1e-12
+    # One bin says nothing; seven leave about a fourth of all pairs open, which count half.
+    assert found["bound"] == pytest.approx(0.5) if bins == 1 else found["bound"] < (0.2 if bins == 7 else 0.01)
+    assert (found["positives"], found["negatives"]) == (sum(y for _, y in pairs), sum(1 - y for _, y in pairs))
+    outside = models.roc_points(df, "score", "label", bins, low=-0.5, high=0.5)
+    assert [(r["bin"], r["tp"], r["fp"]) for r in outside.collect()] == plain_points(pairs, bins, -0.5, 0.5)
+
+
+def test_roc_points_of_one_score_one_class_and_nothing(spark):
+    one = spark.createDataFrame([(0.5, 1), (0.5, 0), (0.5, 0)], "score double, label int")
+    assert models.curve_area(models.roc_points(one, "score", "label")).first()["area"] == 0.5
+    positives = one.where("label = 1")
+    assert rows(models.curve_area(models.roc_points(positives, "score", "label"))) == [(1, 0, None, None)]
+    assert rows(models.curve_area(models.roc_points(one.limit(0), "score", "label"))) == [(0, 0, None, None)]
+    assert models.roc_points(one.limit(0), "score", "label").collect() == []

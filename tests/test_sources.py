@@ -5,12 +5,12 @@ from conftest import rows
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from deedlens.operators import generate, staging
+from deedlens.operators import generate, profile, staging
 from deedlens.plans.analysis import Area, analysis_reports
-from deedlens.plans.ownership import clean_titles, labelled_titles, ownership_flow
+from deedlens.plans.ownership import clean_titles, labelled_titles, mark_titles, ownership_flow, write_ownership_tables
 from deedlens.plans.prices import index_flow, round_trip
 from deedlens.sources import catalog, connectors, files, schemas, scratch
-from deedlens.standins import INDEX_THRESHOLD, OWNERSHIP, price_index, titles
+from deedlens.standins import INDEX_THRESHOLD, OWNERSHIP, full_titles, price_index, titles
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -240,3 +240,100 @@ def test_flow_on_the_full_schema(spark):
     assert spark.table("full_titles.good_offshore_data").columns == cleaned.fieldNames()
     empty = {r["column"] for r in run.null_profile.filter("null_count = row_count").collect()}
     assert {"ProprietorName4", "Proprietor2Address3"} <= empty
+
+
+def test_ownership_tables_from_one_reading(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS parts")
+    raw = full_titles(spark, SF_DIR)
+    # A number that stands twice, once incomplete; and titles without a number.
+    twice = raw.limit(1).withColumns({"TitleNumber": F.lit("T4"), "County": F.lit(None).cast("string"), "Tenure": F.lit("Freehold")})
+    nameless = raw.limit(1).withColumns({"TitleNumber": F.lit(None).cast("string"), "Region": F.lit(None).cast("string"), "Tenure": F.lit("Freehold")})
+    raw = raw.unionByName(twice).unionByName(nameless)
+    flow = ownership_flow(raw, OWNERSHIP)
+    for _ in range(2):
+        # The second time replaces the first.
+        write_ownership_tables(raw, "parts", OWNERSHIP, path=str(tmp_path / "all"))
+        parts = {r["part"]: r["count"] for r in spark.table("parts.all_titles").groupBy("part").count().collect()}
+        assert sum(n for p, n in parts.items() if p != "synthetic") == raw.count()
+        bad, synthetic = spark.table("parts.bad_data"), spark.table("parts.synthetic_bad_data")
+        assert bad.count() == parts["bad"] and synthetic.count() == parts["synthetic"]
+        assert spark.table("parts.bad_fraud_data").count() == parts["bad"] + parts["synthetic"]
+    leftover = spark.table("parts.good_offshore_data")
+    assert leftover.columns == schemas.titles_schema().fieldNames()
+    assert rows(leftover.select("TitleNumber")) == rows(flow.leftover.select("TitleNumber"))
+    assert leftover.where("TitleNumber IS NULL").count() == 1
+    drawn = flow.augmented.filter("copy > 0").select("TitleNumber", "is_fraud")
+    assert rows(synthetic.select("TitleNumber", "is_fraud")) == rows(drawn)
+    assert bad.schema["features"].dataType == schemas.titles_schema(labelled=True)["features"].dataType
+
+
+def test_marked_titles_read_their_source_once(spark):
+    plan = mark_titles(full_titles(spark, SF_DIR), OWNERSHIP)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("orders.parquet") == 1 and "Python" not in plan
+
+
+def test_ownership_tables_of_no_titles(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS parts")
+    write_ownership_tables(full_titles(spark, SF_DIR).limit(0), "parts", OWNERSHIP, name="none", path=str(tmp_path / "n"), prefix="none_")
+    assert spark.table("parts.none_bad_fraud_data").count() == spark.table("parts.none_good_offshore_data").count() == 0
+
+
+def test_load_labelled_refuses_when_one_is_absent(spark):
+    catalog.write_table(spark.range(3), "default", "only_good")
+    for pair in (("only_good", "no_bad"), ("no_good", "only_good")):
+        with pytest.raises(LookupError):
+            catalog.load_labelled(spark, "default", *pair)
+
+
+def test_broken_records_do_not_take_their_neighbours(spark, tmp_path):
+    def record(n, inner="", end="</sms_request>"):
+        return f'<sms_request id="x"><target_mobile_no>{n}</target_mobile_no>{inner}{end}'
+
+    texts = [
+        "<?xml version='1.0'?><sms_requests>",
+        record(1),
+        record(2, end=""),
+        record(3) + record(4, "<open>"),
+        record(5, "<sms_request_external_ref>x1</sms_request_external_ref>"),
+        "  " + record(6, "<sms_request_external_ref>7</sms_request_external_ref>").replace("><", ">\n<"),
+        record("7 & 8"),
+        record("ä" * 100_000),
+        "</sms_requests>",
+    ]
+    path = str(tmp_path / "records")
+    spark.createDataFrame([("\n".join(texts),)], "value string").write.text(path)
+    read = files.read_xml_or_raw(spark, path, staging.ROW_TAG, staging.MESSAGE_DDL).cache()
+    whole = rows(read.where("_raw IS NULL").select("target_mobile_no"))
+    assert whole == rows(spark.createDataFrame([("1",), ("3",), ("6",), ("ä" * 100_000,)], "x string"))
+    broken = sorted(r["_raw"] for r in read.where("_raw IS NOT NULL").collect())
+    assert len(broken) == 4 and broken[0].startswith('<sms_request id="x"><target_mobile_no>2')
+    accepted, rejected, bad = staging.stage_records(read, F.lit("2024-02-01"))
+    assert accepted.count() + rejected.count() + bad.count() == read.count() == 8
+    assert {r["reason"] for r in rejected.collect()} == {"wrong length", "not a number"}
+    spark.createDataFrame([], "value string").write.text(str(tmp_path / "none"))
+    assert files.read_xml_or_raw(spark, str(tmp_path / "none"), staging.ROW_TAG, staging.MESSAGE_DDL).count() == 0
+
+
+def test_column_statistics_are_refused_when_stale(spark, tmp_path):
+    df = spark.createDataFrame([(1, None, 2.5), (2, "a", None), (None, None, float("nan"))], "x int, s string, d double")
+    with pytest.raises(LookupError):
+        catalog.column_statistics(spark, "default", "no_such_table")
+    catalog.write_table(df, "default", "measured", path=str(tmp_path / "m"))
+    with pytest.raises(LookupError):
+        catalog.column_statistics(spark, "default", "measured")
+    catalog.analyze_columns(spark, "default", "measured")
+    found = catalog.column_statistics(spark, "default", "measured")
+    assert rows(found.select("column", "row_count", "null_count")) == [("d", 3, 1), ("s", 3, 2), ("x", 3, 1)]
+    assert rows(found.where("column = 'x'").select("minimum", "maximum")) == [("1", "2")]
+    same = profile.null_profile_of(found)
+    assert rows(same) == rows(profile.null_profile(df)) and same.dtypes == profile.null_profile(df).dtypes
+    assert "parquet" not in same._jdf.queryExecution().executedPlan().toString().lower()
+    # Files that came by another way than the catalog.
+    df.write.mode("append").parquet(str(tmp_path / "m"))
+    with pytest.raises(LookupError):
+        catalog.column_statistics(spark, "default", "measured")
+    catalog.analyze_columns(spark, "default", "measured")
+    assert catalog.column_statistics(spark, "default", "measured").first()["row_count"] == 6
+    df.limit(1).write.insertInto("default.measured")
+    with pytest.raises(LookupError):
+        catalog.column_statistics(spark, "default", "measured")

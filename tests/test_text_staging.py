@@ -90,3 +90,38 @@ def test_eligible_date_reaches_the_scan(spark, tmp_path):
     found = staging.eligible(spark.read.parquet(path), F.to_date(F.lit("2024-01-10")))
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(due,2024-01-09)" in plan
+
+
+def test_polarity_by_every_way(spark, monkeypatch):
+    data = [(1, "Great x great, worst"), (2, "needs-needs ümläut ÜMLÄUT"), (3, ""), (4, None), (5, "none of them"), (6, "a.b great's")]
+    df = spark.createDataFrame(data, "id int, `the text` string").withColumn("word", F.lit("great"))
+    lexicon = {**LEXICON, "ümläut": 0.25, "a": -0.5, "b": 0.5, "s": 0.125, "not one": 1.0, "": 1.0, "Great": -1.0}
+    by_pattern = rows(text.polarity(df, "the text", lexicon).select("id", "polarity"))
+    expected = [(1, 0.5 / 3), (2, -0.125), (3, 0.0), (4, None), (5, 0.0), (6, 0.21875)]
+    assert by_pattern == [(i, v if v is None else pytest.approx(v)) for i, v in expected]
+    frame = spark.createDataFrame(list(lexicon.items()), "word string, weight double")
+    many = frame.union(spark.range(500).selectExpr("concat('w', id)", "1.0D"))
+    by_hash = rows(text.polarity(df, "the text", many).select("id", "polarity"))
+    assert by_hash == by_pattern
+    plan = text.polarity(df, "the text", many)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan and "Python" not in plan
+    # Too large to send: cut to the words that occur, then sent.
+    monkeypatch.setattr(text, "LEXICON_WORDS", 50)
+    assert rows(text.polarity(df, "the text", many).select("id", "polarity")) == by_pattern
+    # Too large even then: joined.
+    monkeypatch.setattr(text, "LEXICON_WORDS", 2)
+    assert rows(text.polarity(df, "the text", many).select("id", "polarity")) == by_pattern
+    assert text.polarity(df, "the text", many).columns == [*df.columns, "polarity"]
+
+
+def test_polarity_with_a_million_words(spark):
+    df = spark.createDataFrame([(i, f"w{i} w{i + 1} zz great") for i in range(50)], "id int, t string")
+    huge = spark.range(1_000_000).selectExpr("concat('w', id) AS word", "(id % 5) / 8.0D AS weight")
+    found = rows(text.polarity(df, "t", huge).select("id", "polarity"))
+    assert sorted(found) == [(i, ((i % 5) / 8 + ((i + 1) % 5) / 8) / 2) for i in range(50)]
+
+
+def test_polarity_words_given_twice(spark):
+    df = spark.createDataFrame([(1, "great worst"), (2, "great")], "id int, t string")
+    twice = spark.createDataFrame([("great", 0.5), ("great", 1.0), ("worst", -1.0), (None, 1.0), ("great", None)], "word string, weight double")
+    assert rows(text.polarity(df, "t", twice).select("id", "polarity")) == [(1, pytest.approx(0.5 / 3)), (2, 0.75)]
