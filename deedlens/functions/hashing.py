@@ -44,7 +44,7 @@ def standard_normal(key: Column, seed: int | str) -> Column:
 def poisson_thresholds(rate: float) -> list[float]:
     """Poisson distribution function at 0, 1, 2, … until the rest is below any possible draw; rates up to 100.
 
-    A larger rate is a sum of smaller ones, see ``poisson_sum``.
+    A larger rate is a sum of smaller ones, see ``poisson_times``.
     """
     if not 0 <= rate <= 100:
         raise ValueError("one draw takes a rate between 0 and 100")
@@ -61,7 +61,7 @@ def poisson_thresholds(rate: float) -> list[float]:
 
 
 def poisson_thresholds_of(rate: Column) -> list[Column]:
-    """The same for a rate of at most one that is computed in the plan; ``poisson_sum`` adds such draws for larger ones."""
+    """The same for a rate of at most one that is computed in the plan; ``poisson_times`` adds such draws for larger ones."""
     first = F.exp(-rate)
     partial = F.lit(1.0)
     thresholds = [first]
@@ -77,31 +77,43 @@ def poisson_count(u: Column, thresholds: list[Column]) -> Column:
     return sum(((u >= t).cast("int") for t in thresholds[1:]), (u >= thresholds[0]).cast("int"))
 
 
-def poisson_sum(key: Column, seed: int | str, rate: Column) -> Column:
-    """Poisson count at any rate, fixed by key and seed: the sum of ``ceil(rate)`` counts at equal rates up to 1."""
+def poisson_limits(rate: Column) -> Column:
+    """What :func:`poisson_times` needs of a rate, to be worked out once per rate, not per row: ``parts`` and ``limits``.
+
+    Any rate is the sum of ``parts`` equal ones of at most 1.
+    """
     parts = F.greatest(F.ceil(rate), F.lit(1)).cast("int")
-    limits = F.array(*poisson_thresholds_of(rate / parts))
+    return F.struct(parts.alias("parts"), F.array(*poisson_thresholds_of(rate / parts)).alias("limits"))
+
+
+def poisson_times(u: Column, key: Column, seed: int | str, limits: Column) -> Column:
+    """Poisson count at any rate, fixed by key and seed; ``u`` is ``uniform(key, seed)`` and ``limits`` of :func:`poisson_limits`.
+
+    The first part draws as a single count of the same key and seed does; only
+    rates above 1 have further ones.
+    """
+    first = poisson_count(u, [F.element_at(limits["limits"], k) for k in range(1, 14)])
 
     def count(part: Column) -> Column:
-        # The first part draws as a single count of the same key and seed does.
-        own = F.when(part == 0, key.cast("string")).otherwise(F.concat(key.cast("string"), F.lit("#"), part.cast("string")))
-        u = uniform(own, seed)
-        return F.size(F.filter(limits, lambda t: u >= t))
+        own = uniform(F.concat(key.cast("string"), F.lit("#"), part.cast("string")), seed)
+        return F.size(F.filter(limits["limits"], lambda t: own >= t))
 
-    return F.aggregate(F.sequence(F.lit(0), parts - 1), F.lit(0), lambda total, part: total + count(part))
+    more = F.aggregate(F.sequence(F.lit(1), limits["parts"] - 1), F.lit(0), lambda total, part: total + count(part))
+    return F.when(limits["parts"] > 1, first + more).otherwise(first)
 
 
 def random_letters(key: Column, seed: int | str, length: int) -> Column:
-    """``length`` ASCII letters of both cases that depend on key and seed only."""
-    # 16 digest bytes give 22 base64 characters; the 12 characters that are
-    # not letters are mapped onto letters.
-    blocks = [
-        F.substring(
-            F.base64(F.unhex(F.md5(F.concat(key.cast("string"), F.lit(f"|{seed}|{block}"))))),
-            1,
-            22,
-        )
-        for block in range(math.ceil(length / 22))
-    ]
-    letters = F.translate(F.concat(*blocks), "0123456789+/", "abcdefghijkl")
-    return F.substring(letters, 1, length)
+    """``length`` ASCII letters of both cases, all equally likely, that depend on key and seed only.
+
+    A digest gives four draws of 32 bits, a draw four letters: its remainder by
+    52, and so on with what is left. 52 cubed goes 30,545 times into the range of a
+    draw, so the last of the four is one of 30,545 numbers by 52, and no letter is
+    likelier than another by more than 1 in 587.
+    """
+    alphabet = F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
+    letters = []
+    for n in range(length):
+        block, place = divmod(n, 16)
+        draw = bucket(key, f"{seed}|{block}", place // 4)
+        letters.append(F.substr(alphabet, (F.floor(draw / F.lit(52 ** (place % 4))) % 52 + 1).cast("int"), F.lit(1)))
+    return F.concat(*letters) if letters else F.lit("")

@@ -75,13 +75,11 @@ def combine(
     themselves say no more than the two lists. The array holds one index row
     per month of the region, all columns of ``good``.
     """
-    listed = (
-        good.filter(equals_ignore_case(F.col(good_region), region))
-        .groupBy(F.lower(F.col(good_region)).alias("region_name"))
-        .agg(F.array_sort(F.collect_set(F.struct(*[F.col(c) for c in good.columns]))).alias(out))
-    )
+    rows = F.array_sort(F.collect_set(F.struct(*[F.col(quoted(c)) for c in good.columns])))
+    # The list is one value, not a side of a join: nothing is shuffled on the one region.
+    listed = good.filter(equals_ignore_case(F.col(good_region), region)).agg(rows.alias(out)).scalar()
     picked = bad.filter(
         equals_ignore_case(F.col(bad_county), county) & equals_ignore_case(F.col(bad_region), region)
     ).distinct()
-    joined = picked.join(listed, F.lower(F.col(bad_region)) == F.col("region_name"))
+    joined = picked.withColumns({"region_name": F.lower(F.lit(region)), out: listed}).filter(F.size(out) > 0)
     return joined.select("region_name", *picked.columns, out)

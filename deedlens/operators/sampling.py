@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from deedlens.functions.hashing import poisson_count, poisson_sum, poisson_thresholds, uniform
+from deedlens.functions.hashing import poisson_count, poisson_limits, poisson_thresholds, poisson_times, uniform
 from deedlens.functions.text import quoted
 
 
@@ -22,6 +22,11 @@ def share_of(part: DataFrame, whole: DataFrame) -> DataFrame:
     return both.agg((F.sum("part") / F.nullif(F.sum("whole"), F.lit(0))).alias("rate"))
 
 
+def share_where(df: DataFrame, condition: Column) -> DataFrame:
+    """Rows that meet a condition over all rows, as a one-row frame with the column ``rate``: one aggregate."""
+    return df.agg((F.count_if(condition) / F.nullif(F.count("*"), F.lit(0))).alias("rate"))
+
+
 def row_key(df: DataFrame, *key: str) -> Column:
     """Text that identifies a row: its key columns, and for a row with a NULL among them a digest of all columns.
 
@@ -36,17 +41,17 @@ def row_key(df: DataFrame, *key: str) -> Column:
 
 def _with_times(df: DataFrame, fraction: float | DataFrame, seed: int, key: str) -> DataFrame:
     """Add ``_times``, the number of draws of each row."""
-    # The key is a column of its own so that it is worked out once per row.
-    drawn = df.withColumn("_key", row_key(df, key))
+    # Key and draw are columns of their own so that they are worked out once per row.
+    drawn = df.withColumn("_key", row_key(df, key)).withColumn("_u", uniform(F.col("_key"), seed))
     if isinstance(fraction, DataFrame):
-        drawn = drawn.withColumn("_rate", fraction.select("rate").scalar())
-        times = poisson_sum(F.col("_key"), seed, F.col("_rate"))
+        drawn = drawn.withColumn("_limits", fraction.select(poisson_limits(F.col("rate"))).scalar())
+        times = poisson_times(F.col("_u"), F.col("_key"), seed, F.col("_limits"))
     elif fraction <= 1:
-        times = poisson_count(uniform(F.col("_key"), seed), [F.lit(t) for t in poisson_thresholds(fraction)])
+        times = poisson_count(F.col("_u"), [F.lit(t) for t in poisson_thresholds(fraction)])
     else:
-        times = poisson_sum(F.col("_key"), seed, F.lit(float(fraction)))
+        times = poisson_times(F.col("_u"), F.col("_key"), seed, poisson_limits(F.lit(float(fraction))))
     # Without any rows to take a share of, the rate is NULL and nothing is drawn.
-    return drawn.withColumn("_times", F.coalesce(times, F.lit(0))).drop("_key", "_rate")
+    return drawn.withColumn("_times", F.coalesce(times, F.lit(0))).drop("_key", "_u", "_limits")
 
 
 def bootstrap(df: DataFrame, fraction: float | DataFrame, seed: int, key: str, copy: str = "copy") -> DataFrame:

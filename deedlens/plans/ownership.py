@@ -117,7 +117,7 @@ def ownership_flow(
         write_table(labelled, db, name)
         labelled = titles.sparkSession.table(f"{db}.{name}")
     flagged, _ = label.class_split(labelled)
-    rate = sampling.share_of(flagged, titles) if fraction is None else fraction
+    rate = sampling.share_where(mark_titles(titles, rules), F.col("part") == BAD) if fraction is None else fraction
     augmented = sampling.augment(flagged, rate, seed, "TitleNumber")
     tagged = augmented.withColumn("is_synthetic", F.col("copy") > 0).drop("copy", "features")
     return OwnershipRun(
@@ -187,7 +187,7 @@ def write_ownership_tables(
     write(mark_titles(titles, rules), "overwrite")
     rows = spark.table(table)
     bad = rows.filter(F.col("part") == BAD)
-    rate = rows.agg((F.count_if(F.col("part") == BAD) / F.nullif(F.count("*"), F.lit(0))).alias("rate"))
+    rate = sampling.share_where(rows, F.col("part") == BAD)
     drawn = sampling.bootstrap(bad, rate, seed, "TitleNumber").drop("copy")
     write(drawn.withColumn("part", F.lit(SYNTHETIC)).select(*rows.columns), "append")
     labelled = ", ".join(quoted(c) for c in rows.columns if c != "part")

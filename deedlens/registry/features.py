@@ -287,7 +287,7 @@ def q_latent_people(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def q_latent_synthetic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Histograms of index prices and of prices drawn from the latent model fitted to them."""
-    numbers = ["AveragePrice", "FlatPrice", "TerracedPrice", "SemiDetachedPrice", "SalesVolume"]
+    numbers = ["AveragePrice", "FlatPrice", "TerracedPrice", "SemiDetachedPrice", "DetachedPrice", "SalesVolume"]
     index = with_row_key(price_index(spark, sf_dir))
     model = latent.fit_latent(index, numbers)
     drawn = latent.draw_latent(index, "row_key", model)

@@ -74,9 +74,6 @@ def q_class_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return balance.withColumn("flagged_fraction", F.round("flagged_fraction", 6))
 
 
-_DESCRIBED_TEXT = ("Tenure", "District", "Region", "CountryIncorporated1", "Proprietor2Address3")
-
-
 @query(
     f"""
 WITH {LABELLED_SQL}
@@ -87,12 +84,12 @@ SELECT 'PricePaid' AS "column", COUNT("PricePaid") AS value_count, round(AVG("Pr
     + "".join(
         f"""  UNION ALL SELECT '{c}', COUNT("{c}"), NULL, NULL, MIN("{c}"), MAX("{c}") FROM clean
 """
-        for c in _DESCRIBED_TEXT
+        for c in _TEXT_COLUMNS
     )
 )
 def q_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Count, mean, deviation and extremes of title columns."""
-    return profile.describe_columns(clean_titles(titles(spark, sf_dir)).select("PricePaid", *_DESCRIBED_TEXT))
+    """Count, mean, deviation and extremes of all number and text columns of titles."""
+    return profile.describe_columns(clean_titles(titles(spark, sf_dir)))
 
 
 @query(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from itertools import product
 from math import factorial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from deedlens.operators import compare, generate, sampling
 from deedlens.operators.compare import quality_report
-from deedlens.plans.ownership import clean_titles
+from deedlens.plans.ownership import BAD, clean_titles, mark_titles
 from deedlens.plans.prices import index_flow, regional_sample
 from deedlens.registry.base import query
 from deedlens.registry.reports import bad, labelled
@@ -18,6 +19,7 @@ from deedlens.standins import (
     INDEX_SQL,
     INDEX_THRESHOLD,
     LABELLED_SQL,
+    OWNERSHIP,
     TITLES_SQL,
     price_index,
     sql_bucket,
@@ -54,7 +56,8 @@ _AUGMENTED_SQL = augmented_sql(LABELLED_SQL)
 
 def augmented(spark: SparkSession, sf_dir: str) -> DataFrame:
     flagged = bad(spark, sf_dir)
-    return sampling.augment(flagged, sampling.share_of(flagged, titles(spark, sf_dir)), _SEED, "TitleNumber")
+    rate = sampling.share_where(mark_titles(titles(spark, sf_dir), OWNERSHIP), F.col("part") == BAD)
+    return sampling.augment(flagged, rate, _SEED, "TitleNumber")
 
 
 @query(f"""WITH {_AUGMENTED_SQL} SELECT "TitleNumber", "PricePaid", copy FROM augmented""")
@@ -131,8 +134,10 @@ def q_regional_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample.select("RegionName", "Datetaken", "AveragePrice")
 
 
-_B64 = " || ".join(
-    f"substr(base64(unhex(md5(CAST(x AS VARCHAR) || '|{_SEED}|{b}'))), 1, 22)" for b in range(3)
+_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+_RANDOM_SQL = " || ".join(
+    f"substr('{_LETTERS}', CAST({sql_bucket('x', f'{_SEED}|{n // 16}', n % 16 // 4)} // {52 ** (n % 4)} % 52 AS INTEGER) + 1, 1)"
+    for n in range(50)
 )
 
 
@@ -143,9 +148,9 @@ SELECT x, CAST(floor(x - 1) AS DOUBLE) / n AS clustered, CAST(x - 1 AS DOUBLE) /
   CAST((x - 1) % n AS DOUBLE) AS scattered, CAST({sql_wide_bucket("x", _SEED)} % n AS DOUBLE) AS randomised,
   round(abs(sqrt(-2.0::DOUBLE * ln(1.0::DOUBLE - {sql_bucket("x", _SEED, 0)} / 4294967296.0::DOUBLE))
     * cos(2.0::DOUBLE * pi() * ({sql_bucket("x", _SEED, 1)} / 4294967296.0::DOUBLE)) * n), 4) AS spread,
-  substr(translate({_B64}, '0123456789+/', 'abcdefghijkl'), 1, 50) AS random_string,
+  {_RANDOM_SQL} AS random_string,
   lpad(CAST(x AS VARCHAR), CAST(greatest(10, length(CAST(x AS VARCHAR))) AS INTEGER), ' ') AS small_vc,
-  substr(translate({_B64}, '0123456789+/', 'abcdefghijkl'), 1, GREATEST(20 - x, 0)) || x AS padded,
+  substr({_RANDOM_SQL}, 1, GREATEST(20 - x, 0)) || x AS padded,
   repeat('x', 40) AS padding
 FROM ids
 """
@@ -174,7 +179,9 @@ def q_demo_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return generate.demo_people(table(spark, sf_dir, "customer"), "c_custkey")
 
 
-_QUALITY_TEXT = ("Tenure", "District", "County", "Region", "Postcode", "CountryIncorporated1", "rule_id")
+_TITLE_COLUMNS = re.findall(r'AS "(\w+)"', TITLES_SQL)
+_QUALITY_TEXT = [*(c for c in _TITLE_COLUMNS if c not in ("PricePaid", "DateProprietorAdded")), "rule_id"]
+_QUALITY_NUMBERS = ["PricePaid", "missing_proprietor_name", "is_fraud"]
 _FIGURES = {
     "count": "COUNT",
     "mean": "AVG",
@@ -189,15 +196,15 @@ def _quality_sql() -> str:
         """SELECT 'shape' AS section, CAST(NULL AS VARCHAR) AS "column", 'rows' AS statistic,
   CAST(COUNT(CASE WHEN copy = 0 THEN 1 END) AS DOUBLE) AS original,
   CAST(COUNT(CASE WHEN copy > 0 THEN 1 END) AS DOUBLE) AS synthetic FROM augmented""",
-        f"SELECT 'shape', NULL, 'columns', {len(_QUALITY_TEXT) + 1}, {len(_QUALITY_TEXT) + 1}",
+        f"SELECT 'shape', NULL, 'columns', {len(_QUALITY_TEXT) + 4}, {len(_QUALITY_TEXT) + 4}",
     ]
-    for statistic, function in _FIGURES.items():
+    for c, (statistic, function) in product(_QUALITY_NUMBERS, _FIGURES.items()):
         pair = ", ".join(
-            f'round(CAST({function}(CASE WHEN copy {test} THEN "PricePaid" END) AS DOUBLE), 2)' for test in ("= 0", "> 0")
+            f'round(CAST({function}(CASE WHEN copy {test} THEN "{c}" END) AS DOUBLE), 2)' for test in ("= 0", "> 0")
         )
-        parts.append(f"SELECT 'describe', 'PricePaid', '{statistic}', {pair} FROM augmented")
+        parts.append(f"SELECT 'describe', '{c}', '{statistic}', {pair} FROM augmented")
     for c in _QUALITY_TEXT:
-        name = c if c == "rule_id" else f'"{c}"'
+        name = f'"{c}"'
         parts.append(
             f"""SELECT 'category', '{c}', {name}, CAST(COUNT(CASE WHEN copy = 0 THEN 1 END) AS DOUBLE),
   CAST(COUNT(CASE WHEN copy > 0 THEN 1 END) AS DOUBLE) FROM augmented GROUP BY {name}"""
@@ -214,8 +221,7 @@ SELECT *, round(synthetic - original, 2) AS difference FROM report
 )
 def q_synth_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Synthetic against original flagged titles."""
-    rows = augmented(spark, sf_dir)
-    tagged = rows.select("PricePaid", *_QUALITY_TEXT, (F.col("copy") > 0).alias("is_synthetic"))
+    tagged = augmented(spark, sf_dir).withColumn("is_synthetic", F.col("copy") > 0).drop("copy", "features")
     return quality_report(tagged, "is_synthetic")
 
 
@@ -232,43 +238,36 @@ def q_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare.union_all(rows.filter("is_fraud = 1"), rows.filter("is_fraud = 0"))
 
 
-_PLACES = '"District", "Postcode", "CountryIncorporated1"'
+_WHOLE = ", ".join(f'"{c}"' for c in _TITLE_COLUMNS)
 
 
-@query(f"WITH {LABELLED_SQL} SELECT {_PLACES} FROM clean EXCEPT SELECT {_PLACES} FROM bad")
+@query(f"WITH {LABELLED_SQL} SELECT {_WHOLE} FROM clean EXCEPT SELECT {_WHOLE} FROM bad")
 def q_except(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Places that clean titles have and flagged titles lack."""
-    places = ["District", "Postcode", "CountryIncorporated1"]
-    return compare.except_rows(
-        clean_titles(titles(spark, sf_dir)).select(*places), bad(spark, sf_dir).select(*places)
-    )
+    """Clean titles that are not flagged, by all their columns."""
+    return compare.except_rows(clean_titles(titles(spark, sf_dir)), bad(spark, sf_dir).select(*_TITLE_COLUMNS))
 
 
-@query(f"WITH {LABELLED_SQL} SELECT {_PLACES} FROM clean EXCEPT ALL SELECT {_PLACES} FROM bad")
+@query(f"WITH {_AUGMENTED_SQL} SELECT {_WHOLE} FROM augmented EXCEPT ALL SELECT {_WHOLE} FROM clean")
 def q_except_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same, counting equal rows one by one."""
-    places = ["District", "Postcode", "CountryIncorporated1"]
-    return compare.except_rows(
-        clean_titles(titles(spark, sf_dir)).select(*places), bad(spark, sf_dir).select(*places), duplicates=True
-    )
+    """Augmented flagged titles without the clean ones, equal rows counted one by one: the synthetic copies."""
+    rows = augmented(spark, sf_dir).select(*_TITLE_COLUMNS)
+    return compare.except_rows(rows, clean_titles(titles(spark, sf_dir)), duplicates=True)
 
 
 @query(
     f"""
 WITH {_AUGMENTED_SQL},
-a AS (SELECT {_PLACES} FROM clean),
-b AS (SELECT {_PLACES} FROM augmented)
+a AS (SELECT {_WHOLE} FROM clean),
+b AS (SELECT {_WHOLE} FROM augmented)
 SELECT (SELECT COUNT(*) FROM a) AS rows_first, (SELECT COUNT(*) FROM b) AS rows_second,
   (SELECT COUNT(*) FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)) AS only_first,
   (SELECT COUNT(*) FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)) AS only_second, FALSE AS matched
 """
 )
 def q_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean titles against augmented flagged titles."""
-    places = ["District", "Postcode", "CountryIncorporated1"]
-    return compare.reconcile(
-        clean_titles(titles(spark, sf_dir)).select(*places), augmented(spark, sf_dir).select(*places)
-    )
+    """Clean titles against augmented flagged titles, by all columns."""
+    rows = augmented(spark, sf_dir).select(*_TITLE_COLUMNS)
+    return compare.reconcile(clean_titles(titles(spark, sf_dir)), rows)
 
 
 def _altered_titles(cleaned: DataFrame) -> DataFrame:
@@ -286,7 +285,6 @@ def _altered_titles(cleaned: DataFrame) -> DataFrame:
     )
 
 
-_TITLE_COLUMNS = re.findall(r'AS "(\w+)"', TITLES_SQL)
 _OTHERS = [c for c in _TITLE_COLUMNS if c != "TitleNumber"]
 
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructType
 
 from deedlens.operators import profile, staging
 from deedlens.operators.windows import yearly_average
@@ -75,12 +75,14 @@ def q_csv_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("column_null_percentage string").csv(path, header=True)
 
 
-@query(f"""WITH {LABELLED_SQL} SELECT "TitleNumber", "District", "PricePaid", is_fraud FROM bad""")
+@query(f"""WITH {LABELLED_SQL} SELECT * EXCLUDE (rule_id) FROM bad""")
 def q_catalog_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagged titles as a catalog table with a declared schema."""
     path = scratch_path(spark, "flagged-table")
     name = "deedlens_" + path.rsplit("-", 1)[1]
-    schema = StructType.fromDDL("TitleNumber string, District string, PricePaid int, is_fraud int NOT NULL")
+    schema = StructType(titles(spark, sf_dir).schema.fields)
+    for flag in ("missing_proprietor_name", "is_fraud"):
+        schema = schema.add(flag, IntegerType(), False)
     catalog.write_table(bad(spark, sf_dir), "default", name, schema, path=path)
     return catalog.load_table(spark, "default", name)
 
