@@ -49,8 +49,8 @@ def _by_pattern(text: Column, lexicon: Mapping[str, float]) -> Column:
     if not able:
         return F.lit(0.0)
     listed = "|".join(re.escape(w) for w in able)
-    # A separator or an end on either side, neither of which is taken.
-    pattern = f"(?<![^{_CLASS}])({listed})(?![^{_CLASS}])"
+    # Behind a word stands a separator that is not taken, for it may be the one before the next word.
+    pattern = rf"(?:^|[{_CLASS}])({listed})(?=[{_CLASS}]|\z)"
     known = F.create_map(*[F.lit(x) for pair in able.items() for x in pair])
     hits = F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(1))
     return _mean_of(F.transform(hits, lambda w: F.struct(F.try_element_at(known, w).alias("total"), F.lit(1).cast("long").alias("n"))))
