@@ -107,7 +107,6 @@ class WordEncoder:
 def _tokenizers(path: str) -> tuple[Tokenizer, Tokenizer, np.ndarray]:
     """The tokenizer of a file, its merges alone, and which ids end a word; read once in each worker."""
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     # The same merges without the steps that leave plain words as they are.
     merges = Tokenizer(tokenizer.model)
     merges.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])

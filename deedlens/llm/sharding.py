@@ -46,7 +46,7 @@ def interleaved_shards(
 ) -> DataFrame:
     """Deal rows into shards whose counts differ by at most one and which all match the source mixture.
 
-    Returns ``doc_id, source, size, text_crc32, law, shard, slot, grown_shard``:
+    Returns ``doc_id, size, text_crc32, law, shard, slot, grown_shard, source``:
     ``size`` is the UTF-8 length of the text plus ``ROW_OVERHEAD``, ``law`` is
     always ``rows``, ``slot`` numbers the rows of a shard from 0 without gaps,
     and ``grown_shard`` is NULL, for the law makes no promise about another
@@ -95,12 +95,12 @@ def interleaved_shards(
         .withColumn("shard", F.expr(f"position * {shards} div total"))
         .select(
             "doc_id",
-            "source",
             "size",
             "text_crc32",
             F.lit("rows").alias("law"),
             F.col("shard").cast("int").alias("shard"),
             F.expr(f"position - (shard * total + {shards - 1}) div {shards}").cast("long").alias("slot"),
             F.lit(None).cast("int").alias("grown_shard"),
+            "source",
         )
     )

@@ -17,9 +17,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
 
 
 def plain(tokenizer, text):
@@ -37,6 +35,13 @@ def test_encoder(tokenizer, text):
     assert list(own.encode_all([text])) == [coded(plain(tokenizer, text)[:-1])]
 
 
+def test_special_tokens_in_a_text(tokenizer):
+    own = packing.WordEncoder(public_tokenizers.path(packing.TOKENIZER))
+    for text in ("hello <|endoftext|> world", "a<|endoftext|>b <|startoftext|>", "<|endoftext|>", "<|ENDOFTEXT|> <| endoftext |>"):
+        assert list(own.encode_all([text])) == [coded(plain(tokenizer, text)[:-1])]
+    assert list(own.encode_all(["hello <|endoftext|> world"])) == [coded([3306, 49407, 1002])]
+
+
 def check(rows, texts, tokenizer):
     """Pieces per document and sequence, against plain encoding."""
     cuts = defaultdict(list)
