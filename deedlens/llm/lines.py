@@ -37,28 +37,49 @@ BANDS, ROWS = 10, 4
 SIMILARITY = 0.8
 #: Lines of a group that one task compares.
 TILE = 512
-#: Characters whose shingles a worker holds at once, one longer line excepted.
-_AT_ONCE = 1 << 19
+#: Characters whose shingles a worker holds at once, one longer line excepted; few enough for the processor's cache.
+_AT_ONCE = 1 << 16
 _SEED = 42
 
 
-def _codes(line: str) -> np.ndarray:
-    codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32)
-    return np.where((codes >= 65) & (codes <= 90), codes + 32, codes)
+def shingle_values(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit value for each run of ``SHINGLE`` characters of each line, and where each line's values begin.
 
-
-def shingle_values(codes: np.ndarray) -> np.ndarray:
-    """A 64-bit value for each run of ``SHINGLE`` characters; a shorter line is one run."""
-    codes = codes.astype(np.uint64)
-    if len(codes) < SHINGLE:
-        codes = np.concatenate([codes, np.full(SHINGLE - len(codes), 0x110000, np.uint64)])
-    n = len(codes) - SHINGLE + 1
+    A shorter line is one run, filled up with a number that is no character.
+    All lines are worked on as one row of characters; runs across two lines are left out.
+    """
+    lengths = np.fromiter(map(len, lines), np.int64, len(lines))
+    padded = np.maximum(lengths, SHINGLE)
+    starts = np.cumsum(padded) - padded
+    codes = np.full(int(padded.sum()), 0x110000, np.uint64)
+    read = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
+    codes[np.repeat(starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(len(read))] = np.where(
+        (read >= 65) & (read <= 90), read + 32, read
+    )
+    n = max(len(codes) - SHINGLE + 1, 0)
     value = np.zeros(n, np.uint64)
     for i in range(SHINGLE):
-        value = value * np.uint64(0x9E3779B97F4A7C15) + codes[i : i + n]
+        value *= np.uint64(0x9E3779B97F4A7C15)
+        value += codes[i : i + n]
         value ^= value >> np.uint64(29)
     value *= np.uint64(0xBF58476D1CE4E5B9)
-    return value ^ (value >> np.uint64(32))
+    value ^= value >> np.uint64(32)
+    within = np.ones(len(codes), bool)
+    within[((starts + padded)[:, None] - np.arange(1, SHINGLE)).reshape(-1)] = False
+    counts = padded - SHINGLE + 1
+    return value[within[:n]], np.cumsum(counts) - counts
+
+
+def _portions(lines: list[str]) -> Iterator[list[str]]:
+    """Lines of ``_AT_ONCE`` characters together, one longer line excepted."""
+    start = 0
+    while start < len(lines):
+        end, size = start, 0
+        while end < len(lines) and (end == start or size + len(lines[end]) <= _AT_ONCE):
+            size += max(len(lines[end]), SHINGLE)
+            end += 1
+        yield lines[start:end]
+        start = end
 
 
 def _multipliers() -> tuple[np.ndarray, np.ndarray]:
@@ -70,26 +91,20 @@ def _multipliers() -> tuple[np.ndarray, np.ndarray]:
 def band_keys(lines: list[str]) -> np.ndarray:
     """One row of ``BANDS`` keys per line."""
     factors, offsets = _multipliers()
-    keys = np.empty((len(lines), BANDS), np.int64)
-    start = 0
-    while start < len(lines):
-        end, size, parts = start, 0, []
-        while end < len(lines) and (not parts or size + len(lines[end]) <= _AT_ONCE):
-            parts.append((shingle_values(_codes(lines[end])) >> np.uint64(32)).astype(np.uint32))
-            size += len(lines[end])
-            end += 1
-        values = np.concatenate(parts)
-        firsts = np.cumsum([0, *map(len, parts[:-1])])
+    keys, start = np.empty((len(lines), BANDS), np.int64), 0
+    for own in _portions(lines):
+        values, firsts = shingle_values(own)
+        values = (values >> np.uint64(32)).astype(np.uint32)
         minima = np.column_stack(
             [np.minimum.reduceat(values * a + b, firsts) for a, b in zip(factors, offsets, strict=True)]
         ).astype(np.uint64)
         for band in range(BANDS):
-            key = np.full(len(parts), band + 1, np.uint64)
+            key = np.full(len(own), band + 1, np.uint64)
             for column in minima[:, band * ROWS : (band + 1) * ROWS].T:
                 key = (key ^ column) * np.uint64(0x9E3779B97F4A7C15)
                 key ^= key >> np.uint64(31)
-            keys[start:end, band] = key.view(np.int64)
-        start = end
+            keys[start : start + len(own), band] = key.view(np.int64)
+        start += len(own)
     return keys
 
 
@@ -131,8 +146,24 @@ def similar_forest(
     return links
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    ordered = np.sort(values)
+    first = np.ones(len(ordered), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=first[1:])
+    return ordered[first]
+
+
+def shingle_sets(lines: list[str]) -> list[np.ndarray]:
+    """The different values of each line, sorted."""
+    sets = []
+    for own in _portions(lines):
+        values, firsts = shingle_values(own)
+        sets += map(_distinct, np.split(values, firsts[1:]))
+    return sets
+
+
 def _sets(table: pa.Table) -> list[np.ndarray]:
-    return [np.unique(shingle_values(_codes(line))) for line in table.column("line").to_pylist()]
+    return shingle_sets(table.column("line").to_pylist())
 
 
 _FOUND = "a long, b long, pivot long, loose boolean"
