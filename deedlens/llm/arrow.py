@@ -6,6 +6,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
+
+
+#: Texts that Spark hands to Python at once. Its default of 10,000 holds some 100 MB in each of several buffers.
+TEXTS_AT_ONCE = 512
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound what a task holds of texts on the way to Python and back; a smaller setting of the session stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= TEXTS_AT_ONCE:
+        spark.conf.set(name, str(TEXTS_AT_ONCE))
 
 
 def texts(column: pa.Array) -> Iterator[str]:

@@ -25,7 +25,7 @@ from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
-from deedlens.llm.arrow import texts
+from deedlens.llm.arrow import small_batches, texts
 from deedlens.llm.ranking import rank_in_group
 from deedlens.sources.scratch import stored
 
@@ -34,7 +34,7 @@ LONGEST = 4096
 #: Id that ends every document.
 END = 2
 #: Words, and twice as many chunks, that a task keeps before new texts; above that it starts again.
-CACHED = 100_000
+CACHED = 300_000
 CACHED_LENGTH = 64
 #: Texts that are split at once.
 TOGETHER = 64
@@ -202,6 +202,7 @@ def packed(df: DataFrame, keep_ids: bool = False, **options) -> DataFrame:
     One row per piece; an empty table gives an empty frame. See ``pieces`` and
     ``number_sequences``.
     """
+    small_batches(df.sparkSession)
     cut = pieces(df, **options).withColumn("ids_crc32", F.crc32("ids"))
     numbered = number_sequences(cut if keep_ids else cut.drop("ids"))
     columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
