@@ -15,21 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deedlens.llm import lines, packing, quality, secrets, simhash
+from deedlens.llm.arrow import small_batches
 from deedlens.sources.scratch import stored
 
-#: Texts that Spark hands to Python at once. Its default of 10,000 holds some 100 MB in each of several buffers.
-TEXTS_AT_ONCE = 512
-
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def _small_batches(spark: SparkSession) -> None:
-    """Bound what a task holds of texts on the way to Python and back; a smaller setting of the session stays."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= TEXTS_AT_ONCE:
-        spark.conf.set(name, str(TEXTS_AT_ONCE))
-
-
 def _counted(docs: DataFrame) -> DataFrame:
     """The columns of documents, with the length of the text as it is now."""
     length = F.char_length("text").cast("long")
@@ -38,7 +29,7 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules and the forest keep; the forest is calibrated on the labels of ``sf_dir``."""
-    _small_batches(spark)
+    small_batches(spark)
     docs = docs.select(*COLUMNS)
     forest = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.judge(docs, forest).where("quality.kept").select(*COLUMNS)
@@ -46,19 +37,19 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents; of equal and nearly equal lines one is left in the corpus."""
-    _small_batches(spark)
+    small_batches(spark)
     return _counted(lines.dedup_lines(docs.select(*COLUMNS)))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: that with the smallest id."""
-    _small_batches(spark)
+    small_batches(spark)
     return simhash.one_of_each(docs.select(*COLUMNS))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets in their texts masked."""
-    _small_batches(spark)
+    small_batches(spark)
     docs = docs.select(*COLUMNS)
     model = secrets.fit(docs)
     return _counted(docs.withColumn("text", secrets.redact(F.col("text"), model, spark)))
@@ -66,7 +57,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents, each a sequence."""
-    _small_batches(spark)
+    small_batches(spark)
     return packing.packed(docs)
 
 
