@@ -157,7 +157,7 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = stored(trie.sequences(table(spark, sf_dir, "conversations")), "paths")
     starts = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9
     rebuilt = trie.shared_starts(paths, starts, F.col("conv_id") - F.col("conv_id") % 5)
-    return trie.trie(rebuilt).drop("path")
+    return trie.trie(rebuilt).drop("node")
 
 
 # The CRC-32 of a string of digits, bit by bit.

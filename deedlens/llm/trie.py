@@ -4,7 +4,8 @@ A conversation is the row of its turns, and a node of depth d is a distinct row
 of first d turns. Depths are peeled from the deepest up: the nodes of depth
 d + 1 lose their last turn, conversations of exactly d turns join them, and one
 group-by makes both the nodes of depth d. Whatever is summed over a subtree is
-summed on the way, so no prefix is ever written out for each conversation.
+summed on the way, so no prefix is ever written out for each conversation. The
+end of a conversation that no different one shares is peeled at once.
 
 A turn is stood for by ``RECORD`` bytes: the SHA-256 of role and text, and the
 text's length in bytes. A ``path`` is the records of a row of turns one after
@@ -21,6 +22,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from deedlens.sources.scratch import scratch_path, stored, stored_at
 
@@ -110,10 +112,63 @@ def _ended(paths: DataFrame) -> DataFrame:
     return runs.mapInArrow(_digests, _ENDED).withColumn("depth", depth_of(F.col("path")))
 
 
+def _bytes_of_turn(path: Column, n: Column) -> Column:
+    """Length in bytes of the ``n``-th turn's text."""
+    return F.conv(F.hex(F.substr(path, ((n - 1) * RECORD + 33).cast("int"), F.lit(8))), 16, 10).cast("long")
+
+
+def _name(path: Column) -> Column:
+    """What stands for a node in the result and in the join with its parent."""
+    return F.unhex(F.sha2(path, 256))
+
+
+def _with_shared_depth(ended: DataFrame) -> DataFrame:
+    """Add ``start``: a depth behind which a conversation shares no turn with a different one.
+
+    It is the smallest power of two at which its node belongs to it alone, or
+    its own depth. Whatever lies deeper need not be peeled turn by turn.
+    """
+    powers = F.array(*(F.lit(2**i).cast("long") for i in range(31)))
+    marks = ended.select("path", F.explode(F.filter(powers, lambda p: p <= F.col("depth"))).alias("mark"))
+    prefix = first_turns(F.col("path"), F.col("mark"))
+    alone = marks.groupBy(prefix.alias("prefix"), "mark").agg(F.count("*").alias("n"), F.min("path").alias("of_path")).where("n = 1")
+    first = alone.groupBy("of_path").agg(F.min("mark").alias("mark"))
+    joined = ended.join(first, F.col("path") == F.col("of_path"), "left")
+    return joined.withColumn("start", F.coalesce("mark", "depth")).drop("of_path", "mark")
+
+
+def _unshared(ended: DataFrame) -> DataFrame:
+    """Nodes that lie deeper than ``start``: each has the members of one distinct conversation."""
+    deep = ended.where("depth > start").withColumn("d", F.explode(F.sequence(F.col("start") + 1, F.col("depth"))))
+    last = F.col("d") == F.col("depth")
+    rows = deep.select(
+        _name(F.col("path")).alias("whole"),
+        _name(first_turns(F.col("path"), F.col("d"))).alias("node"),
+        _name(first_turns(F.col("path"), F.col("d") - 1)).alias("parent"),
+        F.col("d").alias("depth"),
+        "conv_id",
+        "n_convs",
+        F.when(last, 0).otherwise(1).cast("long").alias("n_children"),
+        F.lit(1).cast("long").alias("n_leaves"),
+        ((F.col("n_convs") - 1) * _bytes_of_turn(F.col("path"), F.col("d"))).alias("own"),
+        F.when(last, F.col("ends_sha256")).otherwise(F.sha2(F.lit(""), 256)).alias("ends_sha256"),
+    )
+    # One conversation's turns, from the last up.
+    below = Window.partitionBy("whole").orderBy(F.desc("depth")).rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumn("saved_tokens", F.sum("own").over(below)).select(*_NODE)
+
+
+_NODE = ["node", "parent", "depth", "conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+_NODE_TYPE = (
+    "node binary, parent binary, depth long, conv_id long, n_convs long, n_children long, n_leaves long, "
+    "saved_tokens long, ends_sha256 string"
+)
+
+
 def trie(paths: DataFrame) -> DataFrame:
     """The nodes of a trie over ``conv_id, path``, one row per conversation; an empty path ends at the root.
 
-    ``path`` names a node, ``depth`` its turns, ``conv_id`` its smallest member
+    ``node`` names a node, ``depth`` its turns, ``conv_id`` its smallest member
     and ``parent_conv_id`` its parent's (NULL at the root). ``n_convs`` counts
     members, ``n_children`` children, ``n_leaves`` the childless nodes of the
     subtree. ``saved_tokens`` sums, over the subtree, the bytes of a node's last
@@ -121,20 +176,36 @@ def trie(paths: DataFrame) -> DataFrame:
     that end here, ascending and joined by commas. Without conversations there
     is no node, not even a root.
 
-    One round per turn of the longest conversation; jobs run while this is
-    called, and each round is a stored table.
+    The turns at the end of a conversation that it shares with no different one
+    are peeled in one step. The others take one round per depth, so rounds follow
+    the longest shared start (up to the next power of two), not the longest
+    conversation. Jobs run while this is called; each round is a stored table.
     """
     spark = paths.sparkSession
     ended_path, nodes_path = scratch_path(spark, "ended"), scratch_path(spark, "trie")
-    _ended(paths).write.partitionBy("depth").parquet(ended_path)
-    ended = spark.read.schema(f"{_ENDED}, depth long").parquet(ended_path)
-    deepest = ended.agg(F.max("depth")).first()[0]
-    none = F.lit(0).cast("long")
-    level = None
+    kind = f"{_ENDED}, depth long, start long"
+    whole = stored(_ended(paths), "conversations")
+    _with_shared_depth(whole).write.partitionBy("start").parquet(ended_path)
+    ended = spark.read.schema(kind).parquet(ended_path)
+    stored_at(_unshared(ended), f"{nodes_path}/unshared")
+    deepest = ended.agg(F.max("start")).first()[0]
+    level, levels = None, [f"{nodes_path}/unshared"]
     for depth in range(-1 if deepest is None else deepest, -1, -1):
-        rows = ended.where(F.col("depth") == depth).select(
-            "path", "conv_id", "n_convs", none.alias("n_children"), none.alias("n_leaves"), none.alias("saved_tokens"), "ends_sha256"
+        cut = F.col("depth") > F.col("start")
+        tail = F.aggregate(
+            F.sequence(F.col("start") + 1, F.col("depth")),
+            F.lit(0).cast("long"),
+            lambda total, d: total + (F.col("n_convs") - 1) * _bytes_of_turn(F.col("path"), d),
         )
+        rows = ended.where(F.col("start") == depth).select(
+            first_turns(F.col("path"), depth).alias("first_turns"),
+            "conv_id",
+            "n_convs",
+            F.when(cut, 1).otherwise(0).cast("long").alias("n_children"),
+            F.when(cut, 1).otherwise(0).cast("long").alias("n_leaves"),
+            F.when(cut, tail).otherwise(0).alias("saved_tokens"),
+            F.when(~cut, F.col("ends_sha256")).alias("ends_sha256"),
+        ).withColumnRenamed("first_turns", "path")
         if level is not None:
             stripped = level.select(
                 first_turns(F.col("path"), depth).alias("path"),
@@ -146,7 +217,9 @@ def trie(paths: DataFrame) -> DataFrame:
                 F.lit(None).cast("string").alias("ends_sha256"),
             )
             rows = rows.union(stripped)
-        own = F.conv(F.hex(F.substr("path", F.lit((depth - 1) * RECORD + 33))), 16, 10).cast("long") if depth else none
+        own = _bytes_of_turn(F.col("path"), F.lit(depth)) if depth else F.lit(0).cast("long")
+        parent = _name(first_turns(F.col("path"), depth - 1)) if depth else F.lit(None).cast("binary")
+        levels.append(f"{nodes_path}/{depth}")
         level = stored_at(
             rows.groupBy("path")
             .agg(
@@ -156,15 +229,14 @@ def trie(paths: DataFrame) -> DataFrame:
             )
             .withColumn("n_leaves", F.greatest("n_leaves", F.lit(1)))
             .withColumn("saved_tokens", F.col("saved_tokens") + (F.col("n_convs") - 1) * own)
-            .withColumn("ends_sha256", F.coalesce("ends_sha256", F.sha2(F.lit(""), 256))),
-            f"{nodes_path}/depth={depth}",
+            .withColumn("ends_sha256", F.coalesce("ends_sha256", F.sha2(F.lit(""), 256)))
+            .withColumns({"node": _name(F.col("path")), "parent": parent, "depth": F.lit(depth).cast("long")}),
+            levels[-1],
         )
-    kind = f"{_ENDED}, n_children long, n_leaves long, saved_tokens long, depth long"
-    nodes = spark.createDataFrame([], kind) if level is None else spark.read.schema(kind).parquet(nodes_path)
-    parents = nodes.select(F.col("path").alias("of_path"), F.col("conv_id").alias("parent_conv_id"))
-    above = F.when(F.col("depth") > 0, first_turns(F.col("path"), F.col("depth") - 1))
-    return nodes.join(parents, above == F.col("of_path"), "left").select(
-        "path", "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"
+    nodes = spark.read.schema(_NODE_TYPE).parquet(*levels)
+    parents = nodes.select(F.col("node").alias("of_node"), F.col("conv_id").alias("parent_conv_id"))
+    return nodes.join(parents, F.col("parent") == F.col("of_node"), "left").select(
+        "node", "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"
     )
 
 

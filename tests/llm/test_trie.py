@@ -111,6 +111,17 @@ def test_long_and_deep(spark):
     assert found(trie.prefix_trie(spark.createDataFrame(rows, TURNS))) == brute(sequences(rows))
 
 
+def test_long_shared_starts_and_copies(spark):
+    rows = []
+    for c, turns in ((1, 37), (2, 37), (3, 19), (4, 20), (5, 16), (6, 1), (7, 64)):
+        # 1 and 2 are equal; 3 and 4 share 18 turns with them; 7 shares two, then repeats one turn.
+        rows += [(c, t, "user", f"{'x' * (t % 5)}{t}" if c != 7 or t < 2 else "again") for t in range(turns)]
+    rows = [(c, t, r, "other" if (c, t) in ((3, 18), (4, 19)) else x) for c, t, r, x in rows]
+    nodes = trie.prefix_trie(spark.createDataFrame(rows, TURNS))
+    assert found(nodes) == brute(sequences(rows))
+    assert nodes.select("node").distinct().count() == nodes.count()
+
+
 def test_empty(spark):
     nodes = trie.prefix_trie(spark.createDataFrame([], TURNS))
     assert nodes.select(*NAMES).collect() == []
