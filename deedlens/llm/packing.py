@@ -9,6 +9,7 @@ and sequences of equal length form a bucket from which batches are taken.
 from __future__ import annotations
 
 import functools
+import gc
 import itertools
 import re
 import struct
@@ -41,7 +42,7 @@ TOGETHER = 64
 
 # A word of Latin-1 letters and a tail of ASCII signs but the apostrophe: two matches of the
 # tokenizer's own pattern at most, which its normaliser changes in case only.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)\Z")
+_PLAIN = re.compile(r"^(([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*))$", re.MULTILINE)
 
 
 class WordEncoder:
@@ -73,16 +74,15 @@ class WordEncoder:
     def _learn(self, new: list[str]) -> dict[str, bytes]:
         """Ids of chunks that are not in the cache."""
         known = self.words
-        found = [m for m in map(_PLAIN.match, new) if m]
-        parts = [(m[0], m[1].lower(), m[2]) for m in found]
+        # No chunk holds a line end: one search finds all plain ones.
+        parts = [(c, w.lower(), t) for c, w, t in _PLAIN.findall("\n".join(new))]
         if words := list({w for _, w, _ in parts if w not in known}):
             self._learn_words(words)
         for tail in {t for _, _, t in parts if t not in known}:
             known[tail] = self._ids(tail).tobytes()
-        ids = {c: known[w] + known[t] for c, w, t in parts}
-        for chunk in new:
-            if chunk not in ids:
-                ids[chunk] = self._ids(chunk).tobytes()
+        ids = {c: known[w] + known[t] if t else known[w] for c, w, t in parts}
+        for chunk in set(new).difference(ids):
+            ids[chunk] = self._ids(chunk).tobytes()
         return ids
 
     def encode_all(self, texts: Iterable[str]) -> Iterator[bytes]:
@@ -100,7 +100,9 @@ class WordEncoder:
             local.update(learnt)
             for split in splits:
                 yield b"".join(map(local.__getitem__, split))
-            self.chunks.update((c, ids) for c, ids in learnt.items() if len(c) <= CACHED_LENGTH)
+            for chunk in [c for c in learnt if len(c) > CACHED_LENGTH]:
+                del learnt[chunk]
+            self.chunks.update(learnt)
 
 
 @functools.cache
@@ -121,8 +123,13 @@ def token_bytes(text: Column, path: str | None = None, end: int = END) -> Column
     @arrow_udf(BinaryType())
     def ids(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own, last = WordEncoder(path), struct.pack("<I", end)
-        for column in columns:
-            yield pa.array([found + last for found in own.encode_all(texts(column))], pa.binary())
+        # Nothing here refers to itself: searching the caches for cycles again and again would be in vain.
+        gc.disable()
+        try:
+            for column in columns:
+                yield pa.array([found + last for found in own.encode_all(texts(column))], pa.binary())
+        finally:
+            gc.enable()
 
     return ids(text)
 
