@@ -198,7 +198,7 @@ def test_demo_people(spark):
 KEYED = "k int, v double, g string"
 
 
-def keyed(spark, a, b, keys=("k",)):
+def key_measures(spark, a, b, keys=("k",)):
     found = compare.reconcile_keys(spark.createDataFrame(a, KEYED), spark.createDataFrame(b, KEYED), list(keys))
     return {(r["measure"], r["column"]): r["n"] for r in found.collect()}
 
@@ -206,7 +206,7 @@ def keyed(spark, a, b, keys=("k",)):
 def test_reconcile_keys(spark):
     a = [(1, 1.0, "x"), (2, 2.0, "x"), (3, 3.0, None), (4, 0.0, "x"), (5, 5.0, "x"), (None, 1.0, "n")]
     b = [(1, 1.0, "x"), (2, 2.5, "y"), (3, 3.0, ""), (4, -0.0, "x"), (6, 6.0, "x"), (None, 1.0, "m")]
-    assert keyed(spark, a, b) == {
+    assert key_measures(spark, a, b) == {
         ("equal rows", None): 2,
         ("changed rows", None): 3,
         ("only first", None): 1,
@@ -220,23 +220,23 @@ def test_reconcile_keys_with_repeated_keys(spark):
     # Three rows against two of one key: one is equal, one pair differs in v alone, one row has no partner.
     a = [(1, 1.0, "x"), (1, 2.0, "x"), (1, 3.0, "x")]
     b = [(1, 1.0, "x"), (1, 9.0, "x")]
-    found = keyed(spark, a, b)
+    found = key_measures(spark, a, b)
     assert (found[("equal rows", None)], found[("changed rows", None)], found[("only first", None)]) == (1, 1, 1)
     assert (found[("changed", "v")], found[("changed", "g")]) == (1, 0)
     # However the rows are paired, the same values stand on both sides of g.
     a, b = [(1, 1.0, "x"), (1, 2.0, "y")], [(1, 3.0, "y"), (1, 4.0, "x")]
-    found = keyed(spark, a, b)
+    found = key_measures(spark, a, b)
     assert (found[("changed", "v")], found[("changed", "g")], found[("changed rows", None)]) == (2, 0, 2)
 
 
 def test_reconcile_keys_of_doubled_and_empty_frames(spark):
     a = [(i, float(i), None) for i in range(5)]
-    found = keyed(spark, a, a + a)
+    found = key_measures(spark, a, a + a)
     assert (found[("equal rows", None)], found[("only second", None)], found[("changed rows", None)]) == (5, 5, 0)
-    found = keyed(spark, a, [])
+    found = key_measures(spark, a, [])
     assert (found[("only first", None)], found[("equal rows", None)]) == (5, 0)
-    assert set(keyed(spark, [], []).values()) == {0}
-    assert keyed(spark, a, [(0, float("nan"), None), *a[1:]], keys=("k", "g"))[("changed", "v")] == 1
+    assert set(key_measures(spark, [], []).values()) == {0}
+    assert key_measures(spark, a, [(0, float("nan"), None), *a[1:]], keys=("k", "g"))[("changed", "v")] == 1
 
 
 def test_reconcile_keys_refuses_other_columns(spark):
