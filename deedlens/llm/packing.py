@@ -52,7 +52,8 @@ class WordEncoder:
     and the end-of-word mark tells where each ends.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached: int = CACHED):
+        self.cached = cached
         self.tokenizer, self.merges, self.ends = _tokenizers(path)
         self.chunks: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {"": b""}
@@ -88,9 +89,9 @@ class WordEncoder:
         """Ids of whole texts, as unsigned little-endian 32-bit integers; new words of some texts are learnt together."""
         texts = iter(texts)
         while splits := [t.replace("\n", " ").split(" ") for t in itertools.islice(texts, TOGETHER)]:
-            if len(self.chunks) > 2 * CACHED:
+            if len(self.chunks) > 2 * self.cached:
                 self.chunks = {}
-            if len(self.words) > CACHED:
+            if len(self.words) > self.cached:
                 self.words = {"": b""}
             # Most chunks stand in these texts more than once: look each up once, then in a small dictionary.
             chunks = set().union(*splits)
@@ -115,13 +116,13 @@ def _tokenizers(path: str) -> tuple[Tokenizer, Tokenizer, np.ndarray]:
     return tokenizer, merges, np.array([(tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
 
 
-def token_bytes(text: Column, path: str | None = None, end: int = END) -> Column:
+def token_bytes(text: Column, path: str | None = None, end: int = END, cached: int = CACHED) -> Column:
     """Ids of a text and the end id behind them, as unsigned little-endian 32-bit integers in one binary value."""
     path = path or public_tokenizers.path(TOKENIZER)
 
     @arrow_udf(BinaryType())
     def ids(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        own, last = WordEncoder(path), struct.pack("<I", end)
+        own, last = WordEncoder(path, cached), struct.pack("<I", end)
         for column in columns:
             yield pa.array([found + last for found in own.encode_all(texts(column))], pa.binary())
 
@@ -135,18 +136,20 @@ def pieces(
     end: int = END,
     doc_id: str = "doc_id",
     text: str = "text",
+    cached: int = CACHED,
 ) -> DataFrame:
     """``doc_id, doc_tokens, start, length, ids``: the pieces of every document, long ones first.
 
     ``longest`` is a power of two. ``ids`` holds a piece's token ids as unsigned
     little-endian 32-bit integers; every id of a document lies in one piece. A
-    NULL or empty text has the end id alone. Repeated rows are cut each by
+    NULL or empty text has the end id alone. ``cached`` is how many words a task
+    keeps; it changes memory and speed, not the ids. Repeated rows are cut each by
     itself; other columns are not looked at.
     """
     if longest < 1 or longest & (longest - 1):
         raise ValueError("the longest length must be a power of two")
     tokens = df.select(
-        F.col(f"`{doc_id}`").alias("doc_id"), token_bytes(F.col(f"`{text}`"), path, end).alias("tokens")
+        F.col(f"`{doc_id}`").alias("doc_id"), token_bytes(F.col(f"`{text}`"), path, end, cached).alias("tokens")
     ).withColumn("doc_tokens", (F.octet_length("tokens") / 4).cast("long"))
     whole = f"transform(sequence(1, doc_tokens div {longest}), k -> (k - 1) * {longest})"
     bits = [1 << k for k in reversed(range(longest.bit_length() - 1))]
