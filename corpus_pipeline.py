@@ -58,7 +58,8 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents, each a sequence."""
     small_batches(spark)
-    return packing.packed(docs)
+    # Python workers of earlier stages still hold memory: fewer words are kept.
+    return packing.packed(docs, cached=100_000)
 
 
 STAGES = [
