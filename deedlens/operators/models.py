@@ -126,6 +126,8 @@ CANDIDATE_ROWS = 10_000
 CANDIDATES = 31
 #: Trees that are fitted at a time.
 PARALLEL_TREES = 4
+#: With fewer kinds of rows than these, a tree may draw one kind alone.
+FEW_KINDS = 100
 
 
 def split_candidates(
@@ -203,13 +205,16 @@ def random_forest(
     key says (as a weight, without copies), and numbers become 0/1 features, one
     for each of the :func:`split_candidates`. MLlib's own draws, which go by
     partition, are not used. Counts of such rows are whole numbers, so the order
-    of their sums does not matter either.
+    of their sums does not matter either. So rows of equal features and label are
+    drawn one by one, but fitted and scored as one row with their summed weight:
+    what a tree passes over are the kinds of rows, and the rows themselves are
+    read three times, whatever the number of trees.
 
     ``key`` decides split and draws and is no feature; see :func:`flag_stages`
     for ``encoded`` and ``hashed`` text columns. ``subset`` is how many features a
     node chooses from, as MLlib names it; few values in many slots want more
     than the root of their number. Trees are fitted some at a time, each over
-    prepared rows that are stored once.
+    the same stored kinds of rows.
     """
     kept = [F.col(quoted(c)) for c in (key, label, *encoded, *hashed)]
     needed = df.select(*kept, *[F.col(quoted(c)).cast("double").alias(c) for c in numbers])
@@ -219,33 +224,62 @@ def random_forest(
     preparation = Pipeline(stages=flag_stages(encoded, hashed, borders)).fit(train)
     sizes = preparation.transform(train.limit(1)).schema["features"].metadata["ml_attr"]
     forest = Forest(preparation, [], sizes["num_attrs"])
-    rows = stored(forest.prepared(parts), "prepared")
-    limits = [F.lit(t) for t in poisson_thresholds(1.0)]
-    own_key = row_key(needed, key)
+    prepared = forest.prepared(parts).select(*parts.columns, "features")
+    # The text of a vector is the vector, in a form that rows can be grouped and joined by.
+    marked = prepared.withColumns({"_vector": F.col("features").cast("string"), "_row": F.monotonically_increasing_id()})
+    rows = stored(marked, "prepared")
+    kinds = stored(_kinds(rows, row_key(needed, key), label, [f"{seed}.tree.{t}" for t in range(trees)]), "kinds")
+    training = kinds.filter(F.col("part") == "train")
+    if training.limit(FEW_KINDS).count() < FEW_KINDS:
+        # MLlib wants two rows at least: where a tree may draw a single kind, each is two rows of half the weight.
+        training = training.withColumns({f"_weight_{t}": F.col(f"_weight_{t}") / 2 for t in range(trees)}).withColumn(
+            "_half", F.explode(F.array(F.lit(0), F.lit(1)))
+        )
 
     def fit(tree: int) -> RandomForestClassificationModel:
-        drawn = poisson_count(uniform(own_key, f"{seed}.tree.{tree}"), limits).cast("double")
-        taken = rows.filter(F.col("part") == "train").withColumn("_weight", drawn).filter("_weight > 0")
+        weight = f"_weight_{tree}"
         learner = RandomForestClassifier(
             labelCol=label,
             featuresCol="features",
-            weightCol="_weight",
+            weightCol=weight,
             numTrees=1,
             bootstrap=False,
             featureSubsetStrategy=subset if trees > 1 else "all",
             maxDepth=depth,
             seed=seed + tree,
         )
-        return learner.fit(taken)
+        return learner.fit(training.filter(F.col(weight) > 0).select(label, "features", weight))
 
     with ThreadPool(min(PARALLEL_TREES, trees)) as pool:
         fitted = pool.map(inheritable_thread_target(df.sparkSession)(fit), range(trees))
     forest = replace(forest, trees=fitted)
-    return replace(
-        forest,
-        train=forest.scored(rows.filter(F.col("part") == "train")),
-        test=forest.scored(rows.filter(F.col("part") == "test")),
+    vectors = kinds.filter("_first").select("_vector", "features")
+    scores = stored(forest.scored(vectors).select("_vector", "score"), "scores")
+    scored = rows.join(scores, "_vector").drop("_vector", "_row")
+    return replace(forest, train=scored.filter(F.col("part") == "train"), test=scored.filter(F.col("part") == "test"))
+
+
+def _kinds(rows: DataFrame, key: Column, label: str, seeds: Sequence[str]) -> DataFrame:
+    """Prepared rows of equal vector, label and part as one row: what a tree needs of them, once for all trees.
+
+    ``_weight_<i>`` is how often the tree of ``seeds[i]`` draws these rows, added
+    up over them, so a fit sees the same sums as over single rows. ``_first``
+    marks one row of each vector.
+    """
+    draws = [F.when(F.col("part") == "train", uniform(key, s)).alias(f"_u_{i}") for i, s in enumerate(seeds)]
+    limits = [F.lit(t) for t in poisson_thresholds(1.0)]
+    weights = [
+        F.sum(F.coalesce(poisson_count(F.col(f"_u_{i}"), limits), F.lit(0))).cast("double").alias(f"_weight_{i}")
+        for i in range(len(seeds))
+    ]
+    grouped = (
+        rows.select("_vector", F.col(quoted(label)), "part", "_row", *draws)
+        .groupBy("_vector", quoted(label), "part")
+        .agg(F.min("_row").alias("_row"), *weights)
     )
+    first = F.col("_row") == F.min("_row").over(Window.partitionBy("_vector"))
+    # A number stands for the vector until the rows are few: aggregates of vectors would have to sort all rows.
+    return grouped.withColumn("_first", first).drop("_vector").join(rows.select("_row", "_vector", "features"), "_row").drop("_row")
 
 
 def forest_report(forest: Forest, label: str) -> DataFrame:

@@ -9,6 +9,7 @@ from conftest import rows
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import functions as F
 
 from deedlens.operators import features, latent, models, ranking
@@ -192,6 +193,40 @@ def test_forest_does_not_depend_on_partitions(spark):
     assert sum(p + n for p, n, _, _ in found[0]) == df.where("level IS NOT NULL").count()
 
 
+def test_forest_fits_kinds_of_rows_as_the_rows(spark, monkeypatch):
+    k = F.col("id")
+    df = spark.range(4_000).select(
+        "id", (k % 20).cast("double").alias("x"), F.concat(F.lit("g"), (k % 3).cast("string")).alias("g"), ((k % 20 + k % 7) > 14).cast("int").alias("label")
+    )
+    fitted = []
+
+    class Learner(models.RandomForestClassifier):
+        def fit(self, rows):
+            fitted.append(rows.count())
+            return super().fit(rows)
+
+    monkeypatch.setattr(models, "RandomForestClassifier", Learner)
+    forest = models.random_forest(df, "label", ["g"], [], ["x"], "id", trees=3)
+    # 20 values of x, 3 of g and 2 of the label, each kind two rows at most, whatever the number of rows.
+    assert len(fitted) == 3 and max(fitted) <= 240
+    assert sorted(forest.train.union(forest.test).columns) == sorted(["id", "label", "g", "x", "part", "features", "score"])
+    assert forest.train.count() + forest.test.count() == 4_000
+    limits = [F.lit(t) for t in models.poisson_thresholds(1.0)]
+    for i, tree in enumerate(forest.trees):
+        drawn = models.poisson_count(models.uniform(models.row_key(df, "id"), f"42.tree.{i}"), limits).cast("double")
+        single = forest.train.drop("score").withColumn("w", drawn).filter("w > 0")
+        learner = RandomForestClassifier(
+            labelCol="label", weightCol="w", numTrees=1, bootstrap=False, featureSubsetStrategy="sqrt", maxDepth=5, seed=42 + i
+        )
+        assert learner.fit(single).toDebugString.split("\n", 1)[1] == tree.toDebugString.split("\n", 1)[1]
+
+
+def test_forest_on_rows_that_are_all_alike(spark):
+    df = spark.range(60).select("id", F.lit("a").alias("g"), F.lit(1).alias("label"))
+    forest = models.random_forest(df, "label", [], ["g"], [], "id", trees=2)
+    assert {r.score for r in forest.train.union(forest.test).collect()} == {1.0}
+
+
 def test_forest_on_rows_of_one_value(spark):
     df = spark.range(40).select("id", F.lit(5.0).alias("x"), (F.col("id") % 4).cast("double").alias("y"), (F.col("id") % 4 > 1).cast("int").alias("label"))
     forest = models.random_forest(df, "label", [], [], ["x", "y"], "id", trees=3)
