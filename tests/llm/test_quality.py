@@ -2,13 +2,14 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from dataclasses import replace
 
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from deedlens.llm import queries
+from deedlens.llm import quality, queries
 from deedlens.llm.quality import IsolationForest, counts_of, fit, judge
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -77,6 +78,32 @@ def test_verdicts_agree_with_labels(spark, whole):
     assert np.mean(good) > 0.97 and np.mean(bad) < 0.1
 
 
+def test_border_and_trees_come_from_all_labels(spark, monkeypatch):
+    monkeypatch.setattr(quality, "SAMPLE", 50)
+    monkeypatch.setattr(quality, "TREE_SAMPLE", 64)
+    rng = np.random.default_rng(3)
+    texts, marks = [], []
+    for i in range(700):
+        bad = i % 9 == 0
+        words = ["".join(rng.choice(list("abcde"), rng.integers(2, 9))) for _ in range(40)]
+        texts.append(" ".join(w + ("#$" if rng.random() < (0.12 if bad else 0.05) else "") for w in words))
+        marks.append(int(not bad))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    forest = fit(df, spark.createDataFrame(list(enumerate(marks)), "doc_id long, quality int"))
+    rows = np.array([counts_of(t.encode()) for t in texts])
+    passes = (rows[:, 0] >= 10) & (100 * rows[:, 4] <= 20 * rows[:, 0])
+    rows, good = quality.features(rows[passes]), np.array(marks)[passes] == 1
+    assert len(rows) > 600
+    plain_border = replace(forest)
+    plain_border.calibrate(rows, good)
+    assert forest.threshold == plain_border.threshold < 1.0
+    drawn = [np.random.default_rng(42)]
+    drawn = [drawn[0].choice(len(rows), 64, replace=False) for _ in range(quality.TREES)]
+    same = IsolationForest.fit(rows, good, draws=drawn)
+    # Paths end by the rows of a tree, not by those that reach the driver.
+    assert (same.length == forest.length).all() and (same.border == forest.border).all()
+
+
 def test_edges(spark):
     rows = [(None, None, 1), (1, "", 2), (1, "", 2), (2, " \n ", 3), (3, "word " * 40, 4)]
     df = spark.createDataFrame(rows, "doc_id long, text string, kept int")
