@@ -135,13 +135,14 @@ _SHORT_COLUMNS = re.findall(r'AS "(\w+)"', TITLES_SQL)
 
 def full_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Titles with all columns of the declared schema, also those that cleaning drops."""
-    k = F.substring("TitleNumber", 2, 20).cast("bigint")
-    made = {
-        name: F.when(k % (n + 3) != 0, F.concat(F.lit(f"{name}-"), (k % (n + 5)).cast("string")))
-        for n, name in enumerate(_FULL_COLUMNS)
-        if name not in _SHORT_COLUMNS
-    }
-    return titles(spark, sf_dir).withColumns(made).select(*_FULL_COLUMNS)
+    k = F.col("_k")
+    made = {name: n for n, name in enumerate(_FULL_COLUMNS) if name not in _SHORT_COLUMNS}
+    kinds = F.array(*[F.struct(F.lit(f"{name}-").alias("name"), F.lit(n).alias("n")) for name, n in made.items()])
+    # One expression over a list, not one for each column: together these are more code than the JVM compiles in a method.
+    values = F.transform(kinds, lambda c: F.when(k % (c["n"] + 3) != 0, F.concat(c["name"], (k % (c["n"] + 5)).cast("string"))))
+    numbered = titles(spark, sf_dir).withColumn("_k", F.substring("TitleNumber", 2, 20).cast("bigint"))
+    columns = {name: F.col("_made")[i] for i, name in enumerate(made)}
+    return numbered.withColumn("_made", values).withColumns(columns).select(*_FULL_COLUMNS)
 
 
 def _full_column_sql(n: int, name: str) -> str:

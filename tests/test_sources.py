@@ -272,6 +272,18 @@ def test_marked_titles_read_their_source_once(spark):
     assert plan.count("orders.parquet") == 1 and "Python" not in plan
 
 
+def test_made_columns_share_one_expression(spark):
+    # An expression for each column makes a method that the JVM only interprets.
+    titles = full_titles(spark, SF_DIR)
+    plan = titles._jdf.queryExecution().optimizedPlan().toString()
+    assert len(titles.columns) > 35 and plan.count("CASE WHEN") < 15
+    found = titles.where("TitleNumber = 'T12'").select("TitleNumber", "ProprietorName3", "CompanyRegistrationNo1").first()
+    names = titles.columns
+    for name in ("ProprietorName3", "CompanyRegistrationNo1"):
+        n = names.index(name)
+        assert found[name] == (f"{name}-{12 % (n + 5)}" if 12 % (n + 3) else None)
+
+
 def test_ownership_tables_of_no_titles(spark, tmp_path):
     spark.sql("CREATE DATABASE IF NOT EXISTS parts")
     write_ownership_tables(full_titles(spark, SF_DIR).limit(0), "parts", OWNERSHIP, name="none", path=str(tmp_path / "n"), prefix="none_")
