@@ -239,6 +239,31 @@ def flag_stages(
     return stages
 
 
+def hashed_slots(df: DataFrame, hashed: Sequence[str], out: Sequence[str], hashed_size: int = 256) -> DataFrame:
+    """Add the slot of each ``hashed`` column of :func:`flag_stages`, as the text of its vector; a NULL has a slot of its own."""
+    for c, name in zip(hashed, out, strict=True):
+        hasher = FeatureHasher(inputCols=[c], outputCol=name, numFeatures=hashed_size, categoricalCols=[c])
+        df = hasher.transform(df).withColumn(name, F.col(name).cast("string"))
+    return df
+
+
+def flagged_rows(df: DataFrame, borders: Mapping[str, Sequence[float]]) -> DataFrame:
+    """Rows that :func:`flag_stages` does not skip."""
+    if not any(borders.values()):
+        return df
+    return df.filter(reduce(and_, [F.col(quoted(c)).isNotNull() & ~F.isnan(quoted(c)) for c in borders]))
+
+
+def flag_keys(encoded: Sequence[str], slots: Sequence[str], borders: Mapping[str, Sequence[float]]) -> list[Column]:
+    """What decides the vector of :func:`flag_stages`: rows that are equal in all of these have the same.
+
+    ``slots`` are the columns that :func:`hashed_slots` added. Of a number it is
+    how many of its ``borders`` lie below.
+    """
+    above = [sum(((F.col(quoted(c)) > b).cast("int") for b in own), F.lit(0)) for c, own in borders.items() if own]
+    return [*above, *[F.col(quoted(c)) for c in (*encoded, *slots)]]
+
+
 def date_parts(df: DataFrame, column: str) -> DataFrame:
     """Year, month and day of a date as number columns."""
     return df.withColumns(

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 from multiprocessing.pool import ThreadPool
+from operator import and_
 
 import numpy as np
 from pyspark import inheritable_thread_target
@@ -15,9 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from deedlens.functions.hashing import bucket, poisson_count, poisson_thresholds, uniform
+from deedlens.functions.hashing import bucket, draw_digits, poisson_count, poisson_count_of_digits, poisson_thresholds, uniform  # noqa: F401
 from deedlens.functions.text import quoted
-from deedlens.operators.features import flag_stages
+from deedlens.operators.features import flag_keys, flag_stages, flagged_rows, hashed_slots
 from deedlens.operators.ranking import running_total
 from deedlens.operators.sampling import row_key, split
 from deedlens.sources.scratch import stored
@@ -208,7 +210,9 @@ def random_forest(
     of their sums does not matter either. So rows of equal features and label are
     drawn one by one, but fitted and scored as one row with their summed weight:
     what a tree passes over are the kinds of rows, and the rows themselves are
-    read three times, whatever the number of trees.
+    read a few times, whatever the number of trees. Kinds are told apart by
+    what decides the features (:func:`flag_keys`), so a row's own vector is
+    neither made nor moved.
 
     ``key`` decides split and draws and is no feature; see :func:`flag_stages`
     for ``encoded`` and ``hashed`` text columns. ``subset`` is how many features a
@@ -218,17 +222,22 @@ def random_forest(
     """
     kept = [F.col(quoted(c)) for c in (key, label, *encoded, *hashed)]
     needed = df.select(*kept, *[F.col(quoted(c)).cast("double").alias(c) for c in numbers])
-    parts = stored(split(needed, {"train": train_share, "test": 1.0 - train_share}, seed, key), "training")
+    split_rows = split(needed, {"train": train_share, "test": 1.0 - train_share}, seed, key)
+    slots = [f"_slot_{i}" for i in range(len(hashed))]
+    slotted = hashed_slots(split_rows, hashed, slots).withColumn("_row", F.monotonically_increasing_id())
+    parts = stored(slotted.select(*split_rows.columns, "_row", *slots), "training")
     train = parts.filter(F.col("part") == "train")
-    borders = split_candidates(train, numbers, key, seed)
+    # Rows without a key are told apart by all columns given here: not by their place.
+    borders = split_candidates(train.select(*split_rows.columns), numbers, key, seed)
     preparation = Pipeline(stages=flag_stages(encoded, hashed, borders)).fit(train)
     sizes = preparation.transform(train.limit(1)).schema["features"].metadata["ml_attr"]
     forest = Forest(preparation, [], sizes["num_attrs"])
-    prepared = forest.prepared(parts).select(*parts.columns, "features")
-    # The text of a vector is the vector, in a form that rows can be grouped and joined by.
-    marked = prepared.withColumns({"_vector": F.col("features").cast("string"), "_row": F.monotonically_increasing_id()})
-    rows = stored(marked, "prepared")
-    kinds = stored(_kinds(rows, row_key(needed, key), label, [f"{seed}.tree.{t}" for t in range(trees)]), "kinds")
+    # Equal in these, equal in features: whole vectors are made of one row of each kind only.
+    flags = {f"_flag_{i}": c for i, c in enumerate(flag_keys(encoded, slots, borders))}
+    rows = flagged_rows(parts, borders).withColumns(flags).drop(*slots)
+    kinds = _kinds(rows, list(flags), row_key(needed, key), label, [f"{seed}.tree.{t}" for t in range(trees)])
+    first = parts.select("_row", *[F.col(quoted(c)) for c in dict.fromkeys([*encoded, *hashed, *numbers])])
+    kinds = stored(forest.prepared(kinds.join(first, "_row")).select(*kinds.columns, "features"), "kinds")
     training = kinds.filter(F.col("part") == "train")
     if training.limit(FEW_KINDS).count() < FEW_KINDS:
         # MLlib wants two rows at least: where a tree may draw a single kind, each is two rows of half the weight.
@@ -253,33 +262,33 @@ def random_forest(
     with ThreadPool(min(PARALLEL_TREES, trees)) as pool:
         fitted = pool.map(inheritable_thread_target(df.sparkSession)(fit), range(trees))
     forest = replace(forest, trees=fitted)
-    vectors = kinds.filter("_first").select("_vector", "features")
-    scores = stored(forest.scored(vectors).select("_vector", "score"), "scores")
-    scored = rows.join(scores, "_vector").drop("_vector", "_row")
+    scores = stored(forest.scored(kinds.dropDuplicates(list(flags)).select(*flags, "features")), "scores")
+    found = scores.select(*[F.col(f).alias(f"_of{f}") for f in flags], "features", "score")
+    same = reduce(and_, [F.col(f).eqNullSafe(F.col(f"_of{f}")) for f in flags], F.lit(True))
+    scored = rows.join(found, same).select(*split_rows.columns, "features", "score")
     return replace(forest, train=scored.filter(F.col("part") == "train"), test=scored.filter(F.col("part") == "test"))
 
 
-def _kinds(rows: DataFrame, key: Column, label: str, seeds: Sequence[str]) -> DataFrame:
-    """Prepared rows of equal vector, label and part as one row: what a tree needs of them, once for all trees.
+def _kinds(rows: DataFrame, flags: Sequence[str], key: Column, label: str, seeds: Sequence[str]) -> DataFrame:
+    """Rows of equal flags, label and part as one row: what a tree needs of them, once for all trees.
 
     ``_weight_<i>`` is how often the tree of ``seeds[i]`` draws these rows, added
-    up over them, so a fit sees the same sums as over single rows. ``_first``
-    marks one row of each vector.
+    up over them, so a fit sees the same sums as over single rows. ``_row`` is
+    the smallest number of these rows.
     """
-    draws = [F.when(F.col("part") == "train", uniform(key, s)).alias(f"_u_{i}") for i, s in enumerate(seeds)]
-    limits = [F.lit(t) for t in poisson_thresholds(1.0)]
+    draws = [F.when(F.col("part") == "train", draw_digits(key, s)).alias(f"_draw_{i}") for i, s in enumerate(seeds)]
+    limits = poisson_thresholds(1.0)
     weights = [
-        F.sum(F.coalesce(poisson_count(F.col(f"_u_{i}"), limits), F.lit(0))).cast("double").alias(f"_weight_{i}")
+        F.sum(F.coalesce(poisson_count_of_digits(F.col(f"_draw_{i}"), limits), F.lit(0))).cast("double").alias(f"_weight_{i}")
         for i in range(len(seeds))
     ]
     grouped = (
-        rows.select("_vector", F.col(quoted(label)), "part", "_row", *draws)
-        .groupBy("_vector", quoted(label), "part")
+        rows.select(*flags, F.col(quoted(label)), "part", "_row", *draws)
+        .groupBy(*flags, quoted(label), "part")
         .agg(F.min("_row").alias("_row"), *weights)
     )
-    first = F.col("_row") == F.min("_row").over(Window.partitionBy("_vector"))
-    # A number stands for the vector until the rows are few: aggregates of vectors would have to sort all rows.
-    return grouped.withColumn("_first", first).drop("_vector").join(rows.select("_row", "_vector", "features"), "_row").drop("_row")
+    # Stored, so that Catalyst knows how few they are before it joins them with the rows.
+    return stored(grouped, "grouped")
 
 
 def forest_report(forest: Forest, label: str) -> DataFrame:

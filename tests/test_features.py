@@ -12,6 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import functions as F
 
+from deedlens.functions.hashing import draw_digits, poisson_count, poisson_count_of_digits, poisson_thresholds, uniform
 from deedlens.operators import features, latent, models, ranking
 
 
@@ -221,6 +222,42 @@ def test_forest_fits_kinds_of_rows_as_the_rows(spark, monkeypatch):
         assert learner.fit(single).toDebugString.split("\n", 1)[1] == tree.toDebugString.split("\n", 1)[1]
 
 
+def test_forest_makes_vectors_of_kinds_only(spark, monkeypatch):
+    k = F.col("id")
+    words = F.concat(F.lit("é"), F.expr("repeat('x', cast(id % 5 as int))"), (k % 30).cast("string"))
+    # NULL and NaN numbers are left out, NULL texts are a kind of their own; so is a number that has no border.
+    df = spark.range(3_000).select(
+        "id",
+        F.when(k % 9 != 0, F.when(k % 7 == 0, F.lit(math.nan)).otherwise((k % 4).cast("double"))).alias("x"),
+        F.when(k % 11 != 0, F.lit(1.0)).alias("one"),
+        F.when(k % 10 != 0, words).alias("w"),
+        F.when(k % 6 != 0, F.concat(F.lit("g"), (k % 2).cast("string"))).alias("g"),
+        (k % 4 + k % 2 > 2).cast("int").alias("label"),
+    )
+    seen = []
+    prepared = models.Forest.prepared
+    monkeypatch.setattr(models.Forest, "prepared", lambda forest, rows: seen.append(rows.count()) or prepared(forest, rows))
+    forest = models.random_forest(df, "label", ["g"], ["w"], ["x", "one"], "id", trees=2)
+    monkeypatch.undo()
+    both = forest.train.union(forest.test)
+    # Kinds: four numbers, 31 words, three groups, two labels, two parts; all 3,000 rows before.
+    assert len(seen) == 1 and seen[0] <= both.select("x", "w", "g", "label", "part").distinct().count() < both.count()
+    # Each row has the vector that the preparation gives it.
+    own = {r["id"]: r["f"] for r in forest.prepared(df).select("id", F.col("features").cast("string").alias("f")).collect()}
+    assert {r["id"]: r["f"] for r in both.select("id", F.col("features").cast("string").alias("f")).collect()} == own
+    assert both.count() == len(own) == df.where("x IS NOT NULL AND NOT isnan(x) AND one IS NOT NULL").count()
+
+
+def test_draws_by_digits(spark):
+    df = spark.range(20_000).select(F.when(F.col("id") > 0, F.col("id")).alias("k"))
+    limits = poisson_thresholds(1.0)
+    digits = poisson_count_of_digits(draw_digits(F.col("k"), "7.tree"), limits)
+    number = poisson_count(uniform(F.col("k"), "7.tree"), [F.lit(t) for t in limits])
+    assert df.where(~digits.eqNullSafe(number)).count() == 0
+    ends = spark.createDataFrame([("00000000",), ("ffffffff",), (None,)], "d string")
+    assert [r[0] for r in ends.select(poisson_count_of_digits(F.col("d"), limits)).collect()][::2] == [0, None]
+
+
 def test_forest_on_rows_that_are_all_alike(spark):
     df = spark.range(60).select("id", F.lit("a").alias("g"), F.lit(1).alias("label"))
     forest = models.random_forest(df, "label", [], ["g"], [], "id", trees=2)
