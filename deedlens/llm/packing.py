@@ -62,7 +62,9 @@ class WordEncoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
     def _learn_words(self, words: list[str]) -> None:
-        ids = np.array(self.merges.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        # The fast form keeps no offsets, which nobody reads here.
+        (found,) = self.merges.encode_batch_fast([" ".join(words)], add_special_tokens=False)
+        ids = np.array(found.ids, "<u4")
         borders = np.flatnonzero(self.ends[ids]) + 1
         if len(borders) != len(words):
             raise ValueError("the tokenizer does not mark the ends of words")
@@ -93,16 +95,13 @@ class WordEncoder:
                 self.chunks = {}
             if len(self.words) > self.cached:
                 self.words = {"": b""}
-            # Most chunks stand in these texts more than once: look each up once, then in a small dictionary.
-            chunks = set().union(*splits)
-            local = dict(zip(chunks, map(self.chunks.get, chunks), strict=True))
-            learnt = self._learn([c for c, ids in local.items() if ids is None])
-            local.update(learnt)
+            known = self.chunks
+            learnt = self._learn(list(set().union(*splits).difference(known)))
+            known.update(learnt)
             for split in splits:
-                yield b"".join(map(local.__getitem__, split))
+                yield b"".join(map(known.__getitem__, split))
             for chunk in [c for c in learnt if len(c) > CACHED_LENGTH]:
-                del learnt[chunk]
-            self.chunks.update(learnt)
+                del known[chunk]
 
 
 @functools.cache

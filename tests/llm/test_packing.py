@@ -63,6 +63,23 @@ def check(rows, texts, tokenizer):
     assert [r.length for r in order] == sorted(r.length for r in rows)
 
 
+def test_words_are_learnt_once_and_without_offsets(tokenizer):
+    own = packing.WordEncoder(public_tokenizers.path(packing.TOKENIZER))
+    learnt = []
+
+    class Fast:
+        def encode_batch_fast(self, found, add_special_tokens):
+            learnt.extend(found)
+            return merges.encode_batch_fast(found, add_special_tokens=add_special_tokens)
+
+    merges, own.merges = own.merges, Fast()
+    lines = ["Red red, green RED", "green " + "w" * 100 + " red."]
+    assert list(own.encode_all(lines)) == [coded(plain(tokenizer, t)[:-1]) for t in lines]
+    assert sorted(" ".join(learnt).split()) == ["green", "red", "w" * 100]
+    # Long chunks are not kept.
+    assert "green" in own.chunks and "w" * 100 not in own.chunks
+
+
 def test_query(spark, tokenizer):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
     check(queries.QUERIES["op1_packing"](spark, SF_DIR).collect(), texts, tokenizer)
