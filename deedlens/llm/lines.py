@@ -283,12 +283,9 @@ def line_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text", t
     """
     lines = lines_of(df, doc_id, text)
     place = F.struct("doc_id", "row", "line_no")
-    distinct = stored(
-        lines.select("h", place.alias("place"), _bands("line").alias("bands"))
-        .groupBy("h")
-        .agg(F.min("place").alias("place"), F.min("bands").alias("bands")),
-        "lines",
-    )
+    # Of equal lines, the text and the bands of one are enough; bands are made after lines have met.
+    firsts = lines.select("h", F.struct(place.alias("place"), "line").alias("first")).groupBy("h").agg(F.min("first").alias("first"))
+    distinct = stored(firsts.select("h", "first.place", "first.line").withColumn("bands", _bands("line")), "lines")
     banded = distinct.select("h", F.explode("bands").alias("key"))
     buckets = banded.groupBy("key").agg(F.min("h").alias("pivot"), F.count("*").alias("n")).where("n > 1")
     edges = stored(
@@ -299,15 +296,9 @@ def line_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text", t
         "line-candidates",
     )
     members = _tiled(edges, tile)
-    placed = distinct.select(F.col("h").alias("of_h"), F.col("place").alias("of_place"))
-    wanted = members.join(placed, F.col("h") == F.col("of_h")).drop("of_h")
-    # Of equal lines, the text of one is enough.
+    lined = distinct.select(F.col("h").alias("of_h"), "line")
     texts_of = stored(
-        wanted.join(
-            lines.select(F.col("h").alias("of_h"), "line", place.alias("p")),
-            (F.col("h") == F.col("of_h")) & F.col("of_place").eqNullSafe(F.col("p")),
-        ).select("pivot", "h", "tile", "tiles", "is_pivot", "line"),
-        "line-texts",
+        members.join(lined, F.col("h") == F.col("of_h")).select("pivot", "h", "tile", "tiles", "is_pivot", "line"), "line-texts"
     )
     sorted_tiles = texts_of.repartition("pivot", "tile").sortWithinPartitions("pivot", "tile", F.desc("is_pivot"), "h")
     found = stored(sorted_tiles.select("pivot", "tile", "h", "line").mapInArrow(_within, _FOUND), "line-links")

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from deedlens.llm import queries
+from deedlens.llm import lines, queries
 from deedlens.llm.lines import SHINGLE, band_keys, dedup_lines, line_components, similar_forest
 
 SCHEMA = "doc_id long, text string, h string, kept int"
@@ -121,6 +121,18 @@ def test_forest_spans_all_links():
     assert groups(similar_forest(sets[:20], sets[20:])) == groups(across)
 
 
+def test_equal_lines_are_one_line(spark, monkeypatch):
+    base = "a line that many documents hold, with a few words more at its end"
+    df = spark.createDataFrame([(i // 2, f"{base}\n{base}.\n{base}") for i in range(20)], "doc_id long, text string")
+    kept = {}
+    real = lines.stored
+    monkeypatch.setattr(lines, "stored", lambda frame, name="step": kept.setdefault(name, real(frame, name)))
+    found = lines.line_components(df)
+    assert kept["lines"].count() == kept["line-texts"].count() == 2
+    assert {(r["h"], r["line"]) for r in kept["line-texts"].collect()} == {(r["h"], r["line"]) for r in kept["lines"].collect()}
+    assert sorted({(r["doc_id"], r["line_no"]) for r in found.where("kept").collect()}) == [(0, 0)]
+
+
 def test_texts_and_edges(spark):
     long = "a line that is long enough to be compared with another one of its kind"
     rows = [
